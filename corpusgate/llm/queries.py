@@ -57,7 +57,49 @@ def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("first_no", "copies")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_restored, p4_found, p4_defect_types, p5_found, p6_found, p6_groups)}
+def _consensus(spark: SparkSession, sf_dir: str, least: int):
+    from .consensus import LABELS, fit_consensus, votes_by_item
+
+    reviews = table(spark, sf_dir, "reviewer_decisions_completed")
+    items = votes_by_item(reviews, "candidate_id", "reviewer_id", "decision_label", "confidence", ["filter_decision", "sampling_bucket"], "review_row", LABELS, least)
+    return fit_consensus(items)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .consensus import consensus_labels
+
+    return consensus_labels(*_consensus(spark, sf_dir, 1)).where("annotators >= 3").select(F.col("item").alias("candidate_id"), "decision_label")
+
+
+def p1_reviewers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .consensus import annotator_reliability
+
+    return annotator_reliability(*_consensus(spark, sf_dir, 1)).select("reviewer_id", "votes", F.round("reliability", 4).alias("reliability"))
+
+
+def _overlaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from .split_overlap import cross_split_overlaps
+
+    return cross_split_overlaps(table(spark, sf_dir, "sample_qa"), "row_no", "split", ["instruction", "input"], ["output"])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .split_overlap import spelled_out
+
+    pairs = spelled_out(*_overlaps(spark, sf_dir))
+    return pairs.select(F.least("train_key", "held_key").alias("row_no_a"), F.greatest("train_key", "held_key").alias("row_no_b"))
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out records that overlap with training, by split and source."""
+    pairs, members = _overlaps(spark, sf_dir)
+    hit = pairs.groupBy("held_text").agg(F.max("overlap_fraction").alias("o")).join(members.where("side = 1").withColumnRenamed("text", "held_text"), "held_text")
+    rows = table(spark, sf_dir, "sample_qa").where(F.col("split").isin("validation", "test")).select(F.col("row_no").alias("key"), "split", F.lower(F.trim("source")).alias("source"))
+    joined = rows.join(hit.select("key", "o"), "key", "left")
+    return joined.groupBy("split", "source").agg(F.count("*").alias("records"), F.count("o").alias("overlapping"), F.round(F.avg("o"), 6).alias("mean_overlap"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups)}
 
 #: SQL of the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
