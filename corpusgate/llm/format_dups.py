@@ -79,16 +79,12 @@ def formatting_copies(df: DataFrame, key: str, plain: list[str], fielded: list[s
     Rows travel with 16-byte keys only, and of groups only those with copies.
     """
     fielded = fielded or []
-    survivors = _survivors(df, key, plain, fielded, need_text).select("raw_key", "first_no", "copies", "canonical")
-    groups = survivors.groupBy("canonical").agg(
-        F.min("first_no").alias("group_no"), F.sum("copies").alias("n"), F.count("*").alias("forms"), F.min("raw_key").alias("only_form")
-    )
-    groups = groups.where("n > 1")
-    keyed = survivors.select("raw_key", F.xxhash64("canonical").alias("_h"), digest(F.col("canonical")).alias("_d"))
-    # a group of one form needs no look-up of its forms
-    single = groups.where("forms = 1").select(F.col("only_form").alias("raw_key"), "group_no")
-    many = groups.where("forms > 1").select(F.xxhash64("canonical").alias("_h"), digest(F.col("canonical")).alias("_d"), "group_no")
-    forms = single.unionByName(keyed.join(many, ["_h", "_d"]).select("raw_key", "group_no"))
+    survivors = _survivors(df, key, plain, fielded, need_text)
+    groups = survivors.groupBy("canonical").agg(F.min("first_no").alias("group_no"), F.sum("copies").alias("n")).where("n > 1")
+    form = [F.xxhash64("canonical").alias("_h"), digest(F.col("canonical")).alias("_d")]
+    # the numbers are read on both sides, if to no effect on this one, so that both use one shuffle of the texts
+    keyed = survivors.select("raw_key", *form, "first_no", "copies")
+    forms = keyed.join(groups.select(*form, "group_no"), ["_h", "_d"]).where("first_no >= group_no and copies >= 1").select("raw_key", "group_no")
     columns = plain + fielded
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("copy_no"), _raw_key(columns).alias("raw_key"))
     return rows.join(forms, "raw_key").where("copy_no <> group_no").select(F.col("group_no").alias("first_no"), "copy_no")
