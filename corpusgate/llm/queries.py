@@ -99,7 +99,24 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("split", "source").agg(F.count("*").alias("records"), F.count("o").alias("overlapping"), F.round(F.avg("o"), 6).alias("mean_overlap"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .shared_spans import shared_pairs, shared_spans
+
+    _, classes, copies = shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return shared_pairs(classes, copies).select(F.col("doc_a").alias("doc_id_a"), F.col("doc_b").alias("doc_id_b"))
+
+
+def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document other documents hold."""
+    from .shared_spans import coverage, shared_spans
+
+    documents = table(spark, sf_dir, "documents")
+    spans, _, copies = shared_spans(documents, "doc_id", "text")
+    found = coverage(documents, "doc_id", "text", spans, copies)
+    return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p9_found, p9_coverage)}
 
 #: SQL of the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
