@@ -99,6 +99,21 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("split", "source").agg(F.count("*").alias("records"), F.count("o").alias("overlapping"), F.round(F.avg("o"), 6).alias("mean_overlap"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .leakage import find_leaks
+
+    leaks = find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "heldout_items"), "item_id", "text")
+    return leaks.select("doc_id", "item_id").distinct()
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items given away, with the number of documents that hold them and the largest part held."""
+    from .leakage import find_leaks
+
+    leaks = find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "heldout_items"), "item_id", "text")
+    return leaks.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.round(F.max("covered"), 6).alias("largest_part"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shared_spans import shared_pairs, shared_spans
 
@@ -116,7 +131,7 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p8_found, p8_items, p9_found, p9_coverage)}
 
 #: SQL of the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
