@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, tokenizer_dir
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +99,24 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("split", "source").agg(F.count("*").alias("records"), F.count("o").alias("overlapping"), F.round(F.avg("o"), 6).alias("mean_overlap"))
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_windows
+
+    windows = table(spark, sf_dir, "context_windows")
+    return pack_windows(table(spark, sf_dir, "documents"), "doc_id", "text", windows, "window_name", "capacity_tokens", tokenizer_dir())
+
+
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir).withColumnRenamed("item", "doc_id")
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used for each window, and the part of their room that is filled."""
+    windows = table(spark, sf_dir, "context_windows").select("window_name", "capacity_tokens")
+    used = _packed(spark, sf_dir).groupBy("window_name").agg(F.countDistinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
+    return used.join(F.broadcast(windows), "window_name").select("window_name", "containers", "tokens", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6).alias("filled"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .leakage import find_leaks
 
@@ -131,7 +149,7 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p8_found, p8_items, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
 
 #: SQL of the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {
