@@ -147,7 +147,8 @@ def frequencies(df: DataFrame, columns: list[str]) -> dict[str, int]:
         for batch in batches:
             total.update(Counter("".join(batch["t"])))
         kept = {c: n for c, n in total.items() if c in single}
-        yield pd.DataFrame({"s": list(kept), "n": list(kept.values())})
+        if kept:
+            yield pd.DataFrame({"s": list(kept), "n": list(kept.values())})
 
     return {r.s: r.n for r in long.mapInPandas(run, schema).groupBy("s").agg(F.sum("n").alias("n")).collect()}
 
@@ -247,6 +248,7 @@ def unify_lookalikes(df: DataFrame, columns: list[str], keep: list[str] | None =
             batch["places"] = pd.Series([d[1] for d in done], index=batch.index, dtype="int32")
             batch = batch[batch["places"] > 0].copy()
             batch["garbled"] = [repair(t)[1] > 0 for t in batch["found_text"]]
-            yield batch
+            if len(batch):
+                yield batch
 
     return long.mapInPandas(run, schema)

@@ -298,6 +298,8 @@ def repair_encoding(df: DataFrame, columns: list[str], keep: list[str] | None =
             done = [repair(t) for t in batch["garbled_text"]]
             batch["restored_text"] = [d[0] for d in done]
             batch["spans"] = pd.Series([d[1] for d in done], index=batch.index, dtype="int32")
-            yield batch[batch["spans"] > 0]
+            batch = batch[batch["spans"] > 0]
+            if len(batch):
+                yield batch
 
     return long.mapInPandas(run, schema)

@@ -22,13 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bloom, passes
 from .codes import codes, mix, pieces, rolling, sliding_min
 from .common import digest
 
 #: Characters worked on at a time in a Python worker.
 _AT_ONCE = 400_000
-#: Words of 64 bits in the Bloom filter: at most 8 MB, whatever the corpus.
-_BLOOM_WORDS = 1 << 20
 
 
 def super_kmers(texts: list[str], span: int, grain: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,37 +60,6 @@ def _in_pieces(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.Data
             yield batch.iloc[a:b]
 
 
-def _bits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The Bloom filter's bits of each value, by two hashes."""
-    v = values.view(np.uint64) if values.dtype == np.int64 else values
-    n = np.uint64(_BLOOM_WORDS * 64)
-    return mix(v) % n, mix(v ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % n
-
-
-def _bloom(values: DataFrame) -> np.ndarray:
-    """Bloom filter over a column ``value``, put together in the cluster from its words."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros(_BLOOM_WORDS, dtype=np.uint64)
-        for b in batches:
-            for bit in _bits(b["value"].to_numpy()):
-                np.bitwise_or.at(words, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-        kept = np.flatnonzero(words)
-        yield pd.DataFrame({"i": kept, "w": words[kept].view(np.int64)})
-
-    out = np.zeros(_BLOOM_WORDS, dtype=np.uint64)
-    rows = values.mapInPandas(run, "i long, w long").groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
-    out[rows["i"].to_numpy()] = rows["w"].to_numpy().astype(np.int64).view(np.uint64)
-    return out
-
-
-def _passes(bloom: np.ndarray, values: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(values), dtype=bool)
-    for bit in _bits(values):
-        ok &= (bloom[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-    return ok
-
-
 def _windows(strings: list[str], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, offset and two hashes of every window in packed strings."""
     whole, at = codes(strings)
@@ -167,7 +135,7 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
 
     seen = texts.mapInPandas(minimisers, "value long, doc long").groupBy("value").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b").select("value", "n")
     seen = seen.persist()
-    bloom = spark.sparkContext.broadcast(_bloom(seen.select("value")))
+    shared = spark.sparkContext.broadcast(bloom(seen.select("value")))
     # there are at most runs / hot of these
     popular = spark.sparkContext.broadcast(np.array([r[0] for r in seen.where(F.col("n") > hot).select("value").collect()], dtype=np.int64))
     seen.unpersist()
@@ -176,7 +144,9 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
         for b in _in_pieces(batches, "text"):
             own, docs = b["text"].tolist(), b["doc"].to_numpy()
             t, start, n, value = super_kmers(own, span, grain)
-            keep = _passes(bloom.value, value)
+            keep = passes(shared.value, value)
+            if not keep.any():  # an empty column of strings has no type that Arrow could tell
+                continue
             t, start, n, value = t[keep], start[keep], n[keep], _signed(value[keep])
             packed = [own[i][s : s + w + span - 1] for i, s, w in zip(t.tolist(), start.tolist(), n.tolist())]
             yield pd.DataFrame({"value": value, "doc": docs[t], "start": start, "packed": packed, "hot": np.isin(value, popular.value)})
