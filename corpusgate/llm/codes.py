@@ -49,6 +49,14 @@ def rolling(values: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return mix((total[width:] - total[:n]) * _powers(_BASE, size)[:n])
 
 
+def run_hashes(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of values from ``first`` to before ``stop``, wherever it stands."""
+    size = 1 << max(16, len(values).bit_length())
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(mix(values) * _powers(_INVERSE, size)[: len(values)], out=total[1:])
+    return mix((total[stop] - total[first]) * _powers(_BASE, size)[first] + (stop - first).astype(np.uint64))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest of every ``width`` neighbours, by doubling."""
     out, done = values, 1

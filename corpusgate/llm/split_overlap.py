@@ -14,153 +14,161 @@ counts of fixed size.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest
-from .format_dups import _FIELD, _JSON
+from .bloom import bloom, passes
+from .codes import mix, run_hashes
+from .common import without, written
 
 #: Mean chunk length in words.
-CUT_EVERY = 4
+CUT_EVERY = 3
 #: Size of the table of chunk counts, whatever the corpus: 2 ** 16 counters of 8 bytes.
 COUNTERS = 1 << 16
 
+_name = lambda words: hashlib.blake2b(words.encode(), digest_size=16).digest()
+_gap = re.compile(r"[\W_]+")
+_field = re.compile(r"^[^\w\n]*\w+(?:[ \t]+\w+){0,3}[ \t]*[:=]", re.M)
 
-def _spaced(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+", " "))
 
-
-def _fields_in_order(text: Column) -> Column:
-    """Words of a text, the fields of a JSON object or of ``field: value`` lines sorted."""
-    raw = F.coalesce(text, F.lit(""))
-    object_ = F.when(raw.rlike(r"^\s*\{"), F.from_json(raw, _JSON))
-    pairs = F.transform(F.map_entries(object_), lambda e: _spaced(F.concat_ws(" ", e["key"], e["value"])))
-    cut = F.filter(F.split(F.regexp_replace(raw, r"(?m)^(?=" + _FIELD + ")", "\u0001"), "\u0001"), lambda x: x != "")
-    lines = raw.contains("\n") & (F.size(cut) >= 2) & cut[0].rlike("^" + _FIELD)
-    sorted_ = F.coalesce(F.when(F.size(pairs) >= 2, pairs), F.when(lines, F.transform(cut, lambda x: _spaced(x))))
-    return F.coalesce(F.array_join(F.array_sort(sorted_), " "), _spaced(raw))
+def _spaced(text: str) -> str:
+    if not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return _gap.sub(" ", text.lower()).strip()
 
 
-def record_words(plain: list[str], fielded: list[str]) -> Column:
+def _fields_in_order(text: str) -> str:
+    """Words of a text, the fields of a JSON object or of ``field: value`` lines sorted."""
+    if text.lstrip().startswith("{"):
+        try:
+            found = json.loads(text)
+        except ValueError:
+            found = None
+        if isinstance(found, dict) and len(found) > 1:
+            return " ".join(sorted(_spaced(f"{k} {v}") for k, v in found.items()))
+    elif "\n" in text:
+        starts = [m.start() for m in _field.finditer(text)]
+        if len(starts) > 1 and not text[: starts[0]].strip():
+            return " ".join(sorted(_spaced(text[a:b]) for a, b in zip(starts, [*starts[1:], len(text)])))
+    return _spaced(text)
+
+
+def record_words(plain: list[str | None], fielded: list[str | None]) -> str:
     """All words of a record with single spaces: lower case, no punctuation, null as empty."""
-    return F.trim(F.concat_ws(" ", *[_spaced(F.col(c).cast("string")) for c in plain], *[_fields_in_order(F.col(c).cast("string")) for c in fielded]))
-
+    return " ".join(w for w in [*(_spaced(p) for p in plain if p), *(_fields_in_order(f) for f in fielded if f)] if w)
 
-class Cutter:
-    """Cuts word-normalised text after each word at which the rolling hash of it and the word before falls on zero."""
 
-    def __init__(self, every: int = CUT_EVERY) -> None:
-        self.every = every
-        self.hashes: dict[str, int] = {}
+class _Hashes(dict):
+    """Word -> 64-bit hash, worked out when first asked for."""
 
-    def _hash(self, word: str) -> int:
-        if (h := self.hashes.get(word)) is None:
-            if len(self.hashes) > 200_000:
-                self.hashes.clear()
-            h = self.hashes[word] = xxhash.xxh64_intdigest(word)
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
         return h
 
-    def chunks(self, words: str) -> dict[int, int]:
-        """Digest of each distinct chunk -> its length in words."""
-        found, start, last, digest_ = {}, 0, 0, 0
-        parts = words.split(" ")
-        for end, w in enumerate(parts, 1):
-            h = self._hash(w)
-            digest_ = (digest_ * 0x100000001B3 + h) & 0xFFFFFFFFFFFFFFFF
-            if ((last * 31 + h) >> 7) % self.every == 0:
-                found[digest_] = end - start
-                start, digest_ = end, 0
-            last = h
-        if start < len(parts):
-            found[digest_] = len(parts) - start
-        return found
-
-    def parity(self, words: str) -> tuple[int, int]:
-        """For 128 word buckets, whether each holds an odd number of words.
-
-        Two texts' parities differ in at most as many bits as one must remove
-        and add words to turn one text into the other.
-        """
-        bits = 0
-        for w in words.split(" "):
-            bits ^= 1 << (self._hash(w) & 127)
-        return _signed(bits & 0xFFFFFFFFFFFFFFFF), _signed(bits >> 64)
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
 
+def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Content-defined chunks of word-normalised texts: ``text, digest, words`` of each distinct chunk of a text, and the texts' words and parities.
 
-def _rare_chunks(records: DataFrame, overlap: float) -> DataFrame:
-    """``id, side, words, p0, p1, chunk`` for the chunks of each record that may be the rarest shared one.
+    A chunk ends after each word at which the rolling hash of it and the word
+    before falls on zero. A parity tells, for 128 buckets of words, whether a
+    text has an odd number in each: parities differ in at most as many bits as
+    one must remove and add words to turn one text into the other.
+    """
+    split = [t.split(" ") for t in texts]
+    size = np.array([len(w) for w in split], dtype=np.int64)
+    start = np.cumsum(size) - size
+    h = np.fromiter((hashes[w] for words in split for w in words), dtype=np.uint64, count=int(size.sum()))
+    before = np.zeros_like(h)
+    before[1:] = h[:-1]
+    before[start] = 0
+    ends = mix(before * np.uint64(31) + h) % np.uint64(every) == 0
+    ends[start + size - 1] = True
+    stop = np.flatnonzero(ends) + 1
+    first = np.concatenate([[0], stop[:-1]])
+    digest_ = run_hashes(h, first, stop)
+    text = np.searchsorted(start, first, side="right") - 1
+    order = np.lexsort((digest_, text))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (digest_[order][1:] != digest_[order][:-1]) | (text[order][1:] != text[order][:-1])
+    order = order[new]
+    one = np.uint64(1) << (h & np.uint64(63))
+    high = (h >> np.uint64(6)) & np.uint64(1) == 1
+    parity = np.stack([np.bitwise_xor.reduceat(np.where(high, np.uint64(0), one), start), np.bitwise_xor.reduceat(np.where(high, one, np.uint64(0)), start)], axis=1)
+    return text[order], digest_[order], (stop - first)[order], size, parity
+
+
+def _rarest(table: DataFrame, counts, side: int, overlap: float) -> DataFrame:
+    """``chunk`` and the record's columns for the chunks of each record that may be the rarest shared one.
 
     Of equal chunks of a record one counts. Chunks come rarest first and end
-    where what is left is shorter than the overlap asked for. ``words`` is the
-    number of words, ``p0`` and ``p1`` their parity.
+    where what is left is shorter than the overlap asked for.
     """
-    spark = records.sparkSession
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cutter, counts = Cutter(), np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
-            found = [d % COUNTERS for w in batch["words"] for d in cutter.chunks(w)]
-            counts += np.bincount(np.array(found, dtype=np.int64), minlength=COUNTERS)
-        kept = np.flatnonzero(counts)
-        yield pd.DataFrame({"b": kept, "n": counts[kept]})
-
-    table = np.zeros(COUNTERS, dtype=np.int64)
-    for b, n in records.select("words").mapInPandas(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most COUNTERS rows
-        table[b] = n
-    sent = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, cutter = sent.value.tolist(), Cutter()
-        for batch in batches:
-            out = []
-            for id_, side, words in zip(batch["id"], batch["side"], batch["words"]):
-                own = cutter.chunks(words)
-                left = total = sum(own.values())
-                p0, p1 = cutter.parity(words)
-                n = words.count(" ") + 1
-                for d in sorted(own, key=lambda d: (counts[d % COUNTERS], d)):
-                    if left < overlap * total:
-                        break
-                    out.append((id_, side, n, p0, p1, _signed(d)))
-                    left -= own[d]
-            yield pd.DataFrame(out, columns=["id", "side", "words", "p0", "p1", "chunk"])
-
-    return records.select("id", "side", "words").mapInPandas(run, "id long, side int, words int, p0 long, p1 long, chunk long")
+        seen = counts.value
+        for b in batches:
+            if not len(b):
+                continue
+            n = b["chunks"].str.len().to_numpy()
+            row = np.repeat(np.arange(len(b)), n)
+            chunk, length = np.concatenate(b["chunks"].tolist()), np.concatenate(b["lengths"].tolist()).astype(np.int64)
+            order = np.lexsort((chunk, seen[chunk.view(np.uint64) % np.uint64(COUNTERS)], row))
+            chunk, length = chunk[order], length[order]
+            total = np.bincount(row, weights=length)
+            before = np.cumsum(length) - length
+            before = before - np.repeat(before[np.cumsum(n) - n], n)
+            keep = total[row] - before >= overlap * total[row]
+            kept = row[keep]
+            yield pd.DataFrame({f"{c}{side}": b[c].to_numpy()[kept] for c in ("id", "words", "p0", "p1")} | {"chunk": chunk[keep]})
+
+    schema = f"id{side} long, words{side} int, p0{side} long, p1{side} long, chunk long"
+    return table.where(F.col("side") == side).select("id", "words", "p0", "p1", "chunks", "lengths").mapInPandas(run, schema)
 
 
 def words_differing(a: str, b: str, limit: float) -> float:
-    """Share of the longer text's words that an alignment of both must change, or 1.0 if above ``limit``."""
+    """Share of the longer text's words that an alignment of both must change, or 1.0 if above ``limit``.
+
+    Edit distance over words by furthest-reaching diagonals, which takes time
+    in proportion to the texts and the square of the distance.
+    """
     x, y = a.split(" "), b.split(" ")
     longest = max(len(x), len(y))
-    shared = sum((Counter(x) & Counter(y)).values())
-    if longest - shared > limit * longest:
+    most = int(limit * longest)
+    if abs(len(x) - len(y)) > most or longest - sum((Counter(x) & Counter(y)).values()) > most:
         return 1.0
-    # banded edit distance over words; the band holds every alignment within the limit
-    band = int(limit * longest) + 1
-    big = longest + 1
-    row = {j: j for j in range(0, min(len(y), band) + 1)}
-    for i, w in enumerate(x, 1):
-        new = {}
-        for j in range(max(0, i - band), min(len(y), i + band) + 1):
-            best = i if j == 0 else min(row.get(j, big) + 1, new.get(j - 1, big) + 1, row.get(j - 1, big) + (w != y[j - 1]))
-            new[j] = best
-        row = new
-    share = row.get(len(y), big) / longest
-    return share if share <= limit else 1.0
+    goal = len(x) - len(y)
+    reach: dict[int, int] = {}
+    for d in range(most + 1):
+        now: dict[int, int] = {}
+        for k in range(-d, d + 1):
+            i = 0 if d == 0 else max(reach.get(k, -2) + 1, reach.get(k - 1, -2) + 1, reach.get(k + 1, -2))
+            i = min(i, len(x))
+            j = i - k
+            if i < 0 or j < 0 or j > len(y):
+                continue
+            while i < len(x) and j < len(y) and x[i] == y[j]:
+                i, j = i + 1, j + 1
+            now[k] = i
+        if now.get(goal, -1) >= len(x):
+            return d / longest
+        reach = now
+    return 1.0
 
 
 def cross_split_overlaps(
-    df: DataFrame, key: str, split: str, plain: list[str], fielded: list[str], train: tuple[str, ...] = ("train",), held_out: tuple[str, ...] = ("validation", "test"), overlap: float = 0.4, differing: float = 0.12
+    df: DataFrame, key: str, split: str, plain: list[str], fielded: list[str], train: tuple[str, ...] = ("train",), held_out: tuple[str, ...] = ("validation", "test"), overlap: float = 0.5, differing: float = 0.12
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of distinct texts across splits, and the records that hold each text.
 
@@ -174,31 +182,74 @@ def cross_split_overlaps(
     all take no part. Equal rows are members of one text. A text equal on both
     sides pairs with itself.
     """
+    spark = df.sparkSession
     side = F.when(F.col(split).isin(*train), 0).when(F.col(split).isin(*held_out), 1)
-    rows = df.select(F.col(key).alias("key"), side.alias("side"), record_words(plain, fielded).alias("words")).where("side is not null and key is not null and words <> ''")
-    members = rows.select(digest(F.col("words")).alias("text"), "side", "key")
-    texts = rows.groupBy("side", "words").agg(F.min("key").alias("id"))
-    rare = _rare_chunks(texts, overlap)
-    a, b = (rare.where(f"side = {s}").select("chunk", *[F.col(c).alias(f"{c}{s}") for c in ("id", "words", "p0", "p1")]) for s in (0, 1))
+    names = [f"c{i}" for i in range(len(plain) + len(fielded))]
+    rows = df.select(F.col(key).cast("long").alias("key"), side.alias("side"), *[F.col(c).cast("string").alias(n) for c, n in zip(plain + fielded, names)]).where("side is not null and key is not null")
+
+    def words_of(b: pd.DataFrame) -> list[str]:
+        columns = [b[n].tolist() for n in names]
+        return [record_words(r[: len(plain)], r[len(plain) :]) for r in zip(*columns)]
+
+    def cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        for b in batches:
+            words = words_of(b)
+            some = np.array([bool(w) for w in words])
+            if not some.any():
+                continue
+            b, words = b[some], [w for w in words if w]
+            text, chunk, length, size, parity = cut(words, hashes)
+            at = np.searchsorted(text, np.arange(1, len(words)))
+            yield pd.DataFrame({
+                "key": b["key"].to_numpy(), "side": b["side"].to_numpy(), "text": [_name(w) for w in words], "words": size, "p0": parity[:, 0].copy().view(np.int64),
+                "p1": parity[:, 1].copy().view(np.int64), "chunks": np.split(chunk.view(np.int64), at), "lengths": np.split(length.astype(np.int16), at),
+            })
+
+    table = written(rows.mapInPandas(cut_rows, "key long, side int, text binary, words int, p0 long, p1 long, chunks array<long>, lengths array<smallint>"))
+    members = table.select("text", "side", "key")
+    # copies stand back behind the first of their text
+    twins = members.groupBy("text", "side").agg(F.min("key").alias("id"), F.count("*").alias("n")).where("n > 1")
+    later = written(members.join(twins, ["text", "side"]).where("key <> id").select("key"))
+    texts = without(table, later, "key").withColumnRenamed("key", "id")
+    counted = np.zeros(COUNTERS, dtype=np.int64)
+    # the counters are of unsigned digests: the low bits are the same
+    for b, n in texts.select(F.explode("chunks").alias("c")).groupBy(F.col("c").bitwiseAND(COUNTERS - 1).alias("b")).agg(F.count("*").alias("n")).collect():  # at most COUNTERS rows
+        counted[b] = n
+    sent = spark.sparkContext.broadcast(counted)
     # what must hold of two texts that differ in so few words
     most = F.greatest("words0", "words1") * differing
     odd = F.bit_count(F.col("p00").bitwiseXOR(F.col("p01"))) + F.bit_count(F.col("p10").bitwiseXOR(F.col("p11")))
     near = (F.abs(F.col("words0") - F.col("words1")) <= most) & (odd <= most * 2)
-    pairs = a.join(b, "chunk").where(near).select("id0", "id1").distinct()
-    left, right = (texts.where(f"side = {s}").select(F.col("id").alias(f"id{s}"), F.col("words").alias(f"text{s}")) for s in (0, 1))
+    pairs = written(_rarest(texts, sent, 0, overlap).join(_rarest(texts, sent, 1, overlap), "chunk").where(near).select("id0", "id1").distinct())
+    wanted = spark.sparkContext.broadcast(bloom(pairs.select(F.col("id0").alias("value")).unionByName(pairs.select(F.col("id1").alias("value")))))
+
+    def texts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b = b[passes(wanted.value, b["key"].to_numpy())]
+            if len(b):
+                yield pd.DataFrame({"key": b["key"], "words": words_of(b)})
+
+    # few rows pass; written, they are read once for both sides
+    texts_again = written(rows.mapInPandas(texts_of, "key long, words string"))
+    left, right = (texts_again.select(F.col("key").alias(f"id{s}"), F.col("words").alias(f"text{s}")) for s in (0, 1))
 
-    @F.pandas_udf("overlap_fraction double, differing_words double")
+    @F.pandas_udf("train_text binary, held_text binary, overlap_fraction double, differing_words double")
     def compare(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-        cutter, out = Cutter(), []
-        for p, q in zip(x, y):
-            c, d = cutter.chunks(p), cutter.chunks(q)
-            shared = sum(n for k, n in c.items() if k in d)
-            out.append((shared / max(sum(c.values()), sum(d.values())), words_differing(p, q, differing)))
-        return pd.DataFrame(out, columns=["overlap_fraction", "differing_words"], dtype="float64")
-
-    both = pairs.join(left, "id0").join(right, "id1").withColumn("m", compare("text0", "text1"))
-    found = both.select(digest(F.col("text0")).alias("train_text"), digest(F.col("text1")).alias("held_text"), "m.*")
-    return found.where((F.col("overlap_fraction") >= overlap) & (F.col("differing_words") <= differing)), members
+        n = len(x)
+        text, chunk, length, size, _ = cut([*x, *y], _Hashes())
+        # a chunk of the one text that the other has too
+        pair = text % n
+        order = np.lexsort((chunk, pair))
+        p, c, w = pair[order], chunk[order], length[order]
+        twice = np.flatnonzero((p[1:] == p[:-1]) & (c[1:] == c[:-1]))
+        shared = np.bincount(p[twice], weights=w[twice], minlength=n)
+        total = np.bincount(text, weights=length, minlength=2 * n)
+        out = {"train_text": [_name(t) for t in x], "held_text": [_name(t) for t in y], "overlap_fraction": shared / np.maximum(total[:n], total[n:])}
+        return pd.DataFrame(out | {"differing_words": [words_differing(a, b, differing) for a, b in zip(x, y)]})
+
+    both = pairs.join(left, "id0").join(right, "id1").select(compare("text0", "text1").alias("m")).select("m.*")
+    return both.where((F.col("overlap_fraction") >= overlap) & (F.col("differing_words") <= differing)), members
 
 
 def spelled_out(pairs: DataFrame, members: DataFrame) -> DataFrame:
