@@ -9,8 +9,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space in the Unicode sense, for Java regular expressions.
-SPACE = r"[\s\p{Z}​⁠﻿]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +51,20 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Up to so many keys, 8 bytes each, an anti join sends them to all executors.
+MOST_KEYS_SENT = 500_000
+
+
+def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not among ``keys``, a written or small table.
+
+    The keys are counted first: few are broadcast, so the rows stay where they
+    are; for more the engine's usual join shuffles both sides.
+    """
+    few = keys.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT
+    return df.join(F.broadcast(keys) if few else keys, key, "left_anti")
+
+
 def letters_digits(text: Column) -> Column:
     """Lower-case letters and digits of ``text`` in order, all else removed; null counts as empty."""
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", "")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .bloom import bloom, passes
 from .codes import codes, mix, pieces, rolling, sliding_min
-from .common import digest
+from .common import digest, without, written
 
 #: Characters worked on at a time in a Python worker.
 _AT_ONCE = 400_000
@@ -125,8 +125,8 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
     rows = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where(F.length("text") >= span).where("doc is not null")
     keyed = rows.select("doc", digest(F.col("text")).alias("d"))
     groups = keyed.groupBy("d").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = keyed.join(groups, "d").select(F.col("first").alias("doc"), F.col("doc").alias("copy_no"), "n")
-    texts = rows.join(copies.where("copy_no <> doc").select(F.col("copy_no").alias("doc")), "doc", "left_anti")
+    copies = written(keyed.join(groups, "d").select(F.col("first").alias("doc"), F.col("doc").alias("copy_no"), "n"))
+    texts = without(rows, copies.where("copy_no <> doc").select(F.col("copy_no").alias("doc")), "doc")
 
     def minimisers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in _in_pieces(batches, "text"):
