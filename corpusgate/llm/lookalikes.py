@@ -33,8 +33,11 @@ SHAPES = {
     "Đ": "ÐƉ", "đ": "ɖ",
 }
 # Kinds of space, and characters that are not seen.
-SPACES = "               　"
-UNSEEN = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩︀️﻿"
+SPACES = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+UNSEEN = "\xad\u034f\u061cᅟᅠ\u17b4\u17b5\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufe00\ufe0f\ufeff"
+
+
+_RESEMBLING = frozenset("".join(SHAPES.values()))
 
 
 class Classes:
@@ -95,7 +98,7 @@ def classes() -> dict[str, frozenset[str]]:
     for latin, others in SHAPES.items():
         for c in others:
             u.join(c, latin)
-    for mark in "̵̶":
+    for mark in "\u0335\u0336":
         u.join("d" + mark, "đ")
         u.join("D" + mark, "Đ")
     likes = u.members()
@@ -107,7 +110,7 @@ def classes() -> dict[str, frozenset[str]]:
                 for base in like.get(written[0], ()):  # a wide or foreign letter under a separate accent
                     if base != written[0] and base and len(base) == 1:
                         u.join(base + written[1:], c)
-    return {x: frozenset(m) for m in u.members().values() for x in m}
+    return {x: c for c in map(frozenset, u.members().values()) for x in c}
 
 
 def _usual(member: str) -> bool:
@@ -119,14 +122,14 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
     """Member -> representative of its class: the usual form that is most frequent by ``counts``.
 
     A class with Latin letters is read as Latin, so one of them stands for it;
-    ties go to the smallest code point. A class with the empty string is of
+    ties go to the letter the others resemble, then to the smallest code point. A class with the empty string is of
     unseen characters and keeps it.
     """
     rep: dict[str, str] = {}
     for members in set(classes().values()):
         fit = [m for m in members if _usual(m)] or list(members)
         fit = [m for m in fit if _script(m) == "LATIN"] or fit
-        best = "" if "" in members else min(fit, key=lambda m: (-counts.get(m, 0), len(m), m))
+        best = "" if "" in members else min(fit, key=lambda m: (-counts.get(m, 0), m in _RESEMBLING, len(m), m))
         rep.update({m: best for m in members})
     return rep
 

@@ -38,13 +38,13 @@ _TCVN = {
     0xA1: "ĂÂÊÔƠƯĐăâêôơưđ", 0xB5: "àảãáạ", 0xBB: "ằẳẵắ", 0xC6: "ặầẩẫấậè", 0xCE: "ẻẽéẹềểễếệìỉ", 0xDC: "ĩíịò", 0xE1: "ỏõóọồổỗốộờởỡớợùủũúụừửữứựỳỷỹýỵ",
 }
 # VNI writes a base letter and a mark; tone marks on plain, circumflex and breve vowels.
-_VNI_TONES = {"": ("", "", ""), "́": ("ù", "á", "é"), "̀": ("ø", "à", "è"), "̉": ("û", "å", "ú"), "̃": ("õ", "ã", "ü"), "̣": ("ï", "ä", "ë")}
+_VNI_TONES = {"": ("", "", ""), "\u0301": ("ù", "á", "é"), "\u0300": ("ø", "à", "è"), "\u0309": ("û", "å", "ú"), "\u0303": ("õ", "ã", "ü"), "\u0323": ("ï", "ä", "ë")}
 _VNI_SINGLE = {"í": "í", "ì": "ì", "ỉ": "æ", "ĩ": "ó", "ị": "ò", "ỵ": "î", "đ": "ñ"}
 
-_TONES = ["", "̀", "̉", "̃", "́", "̣"]
+_TONES = ["", "\u0300", "\u0309", "\u0303", "\u0301", "\u0323"]
 _VOWELS = "aăâeêioôơuưy"
 #: Characters that occur in texts beside plain ASCII: accented letters of the Latin script, Cyrillic and Greek letters, punctuation and signs.
-_PUNCTUATION = "–—‘’‚“”„†‡•…‰‹›€™¡¢£¤¥¦§¨©ª«¬®¯°±²³´µ¶·¸¹º»¼½¾¿×÷ ­​‌‍⁠﻿≤≥≠√∞∑π①②③"
+_PUNCTUATION = "–—‘’‚“”„†‡•…‰‹›€™¡¢£¤¥¦§¨©ª«¬®¯°±²³´µ¶·¸¹º»¼½¾¿×÷\xa0\xad\u200b\u200c\u200d\u2060\ufeff≤≥≠√∞∑π①②③"
 
 # Initial consonants and, by vowel group, the finals that Vietnamese syllables have.
 ONSETS = "b c ch d đ g gh gi h k kh l m n ng ngh nh p ph qu r s t th tr v x".split() + [""]
@@ -72,14 +72,18 @@ def rimes() -> frozenset[str]:
     found = set()
     for nucleus, finals in _GROUPS.items():
         for final in finals.split(" "):
-            for tone in _TONES:
+            for tone in _TONES if final not in ("c", "ch", "p", "t") else _TONES[-2:]:
                 found.update(x + final for x in _tone(nucleus, tone, final))
     return frozenset(found)
 
 
-@lru_cache(1)
-def syllables() -> frozenset[str]:
-    return frozenset(o + r for o in ONSETS for r in rimes())
+@lru_cache(200_000)
+def is_syllable(word: str) -> bool:
+    """Whether a lower-case word is a Vietnamese syllable: an initial and a rime."""
+    return any(word[:i] in _INITIALS and word[i:] in rimes() for i in range(min(3, len(word)) + 1))
+
+
+_INITIALS = frozenset(ONSETS)
 
 
 def _single_byte(codes: dict[str, str]):
@@ -108,6 +112,7 @@ def legacy_writers() -> dict:
         elif base != "i" or tone == "":
             vni[c] = base + mark[0]
     vni["đ"] = "ñ"
+    vni |= {c.upper(): v.upper() for c, v in vni.items()}
     return {"viscii": _single_byte(viscii), "tcvn": _single_byte(tcvn), "vni": _single_byte(vni)}
 
 
@@ -133,7 +138,7 @@ _OPENERS = set("ÂÃÊÔÁÀâãêôáà")
 
 def _plausible(garbled: str) -> bool:
     """Whether the sequence may stand in correct text: a Vietnamese letter and then only punctuation or spaces."""
-    return garbled[0] in _OPENERS and all(c in "  " or unicodedata.category(c) in ("Pi", "Pf", "Pd", "Ps", "Pe", "Po", "So", "Sc") for c in garbled[1:])
+    return garbled[0] in _OPENERS and all(c in " \xa0" or unicodedata.category(c) in ("Pi", "Pf", "Pd", "Ps", "Pe", "Po", "So", "Sc") for c in garbled[1:])
 
 
 @lru_cache(1)
@@ -149,8 +154,8 @@ def patterns() -> dict[str, tuple[str, int]]:
         if len(garbled) > 1 and garbled != original and not garbled.isascii():
             weak = _plausible(garbled) or all(c.isalpha() and c.lower() in _VIETNAMESE for c in garbled)
             found.setdefault(garbled, (original, 1 if weak else 2))
-            if " " in garbled:  # the no-break space was made a plain one later
-                found.setdefault(garbled.replace(" ", " "), (original, 1))
+            if "\xa0" in garbled:  # the no-break space was made a plain one later
+                found.setdefault(garbled.replace("\xa0", " "), (original, 1))
 
     once = [(c, e, _read(c.encode(), e)) for e in READ_AS for c in _alphabet()]
     for c, _, garbled in once:
@@ -162,9 +167,9 @@ def patterns() -> dict[str, tuple[str, int]]:
     # what is left of a letter whose last byte was lost cannot be restored
     for e in READ_AS:
         for lead in (b"\xe1\xba", b"\xe1\xbb", b"\xc3", b"\xc4", b"\xc6"):
-            for lost in "?�":
+            for lost in "?\ufffd":
                 s = _read(lead, e) + lost
-                found.setdefault(s, (s, 2 if lost == "�" else 1))
+                found.setdefault(s, (s, 2 if lost == "\ufffd" else 1))
     return found
 
 
@@ -183,41 +188,63 @@ def automaton():
 
 
 @lru_cache(1)
-def legacy_table() -> dict[str, dict[str, str]]:
-    """By encoding: garbled onset-and-rime words in lower case -> syllable, for those that are no words as they stand."""
-    table: dict[str, dict[str, str]] = {}
+def legacy_table() -> dict[str, tuple[dict[str, str], dict[str, str]]]:
+    """By encoding: how initials and rimes look, in small letters, capitals, and with a capital first, -> what they are.
+
+    Letters that an encoding lacks, as capitals with tones, are left out.
+    """
+    table = {}
+    cases = (str.lower, str.upper, str.capitalize)
     for name, write in legacy_writers().items():
-        pairs = {}
-        for s in syllables():
-            garbled = write(s)
-            if garbled != s and not garbled.isascii():
-                pairs.setdefault(garbled.lower(), s)
-        table[name] = pairs
+        initials, finals = {}, {}
+        for parts, found in ((ONSETS, initials), (rimes(), finals)):
+            for part in parts:
+                for case in cases:
+                    own = case(part)
+                    seen = write(own)
+                    if own.isascii() or all(c not in seen for c in own if not c.isascii() and c not in write(c)):
+                        found.setdefault(seen, own)
+        table[name] = (initials, finals)
     return table
 
 
-_MAYBE = re.compile("[^\x00-\x7f]")
 _WORD = re.compile(r"[^\s.,;:!?()\[\]{}\"'/\\|<>=+*&^%$#@~`0-9-]+")
-_CASED = lambda word, like: word.upper() if like.isupper() and len(like) > 1 else word[:1].upper() + word[1:] if like[:1].isupper() else word
+
+
+@lru_cache(100_000)
+def _legacy_word(word: str, name: str) -> str | None:
+    """The syllable that a word of an encoding stands for, or None."""
+    initials, finals = legacy_table()[name]
+    for i in range(min(3, len(word)), -1, -1):
+        if (a := initials.get(word[:i])) is not None and (b := finals.get(word[i:])) is not None and a + b != word:
+            return a + b
+    return None
 
 
 def _legacy(text: str) -> tuple[str, int]:
-    """Text with words of a Vietnamese 8-bit encoding restored, and how many words tell of it."""
+    """Text with words of a Vietnamese 8-bit encoding restored, and how many words tell of it.
+
+    A word tells if it has three characters or more and is no syllable as it
+    stands. One word of five characters proves it or two shorter ones, unless
+    most such words of the text are of no syllable in the encoding either.
+    """
     words = [w for w in _WORD.finditer(text) if not w.group().isascii()]
-    strange = [w for w in words if unicodedata.normalize("NFC", w.group().lower()) not in syllables()]
+    strange = [w.group() for w in words if w.end() - w.start() > 2 and any(c.isascii() and c.isalpha() for c in w.group()) and not is_syllable(unicodedata.normalize("NFC", w.group().lower()))]
     if not strange:
         return text, 0
-    best, at = 0, None
-    for name, table in legacy_table().items():
-        hits = [w for w in strange if w.group().lower() in table]
-        if len(hits) > best:
-            best, at = len(hits), table
-    # one short word proves nothing, nor do few among many other strange words
-    if at is None or best * 2 < len(strange) or (best < 2 and len(max((w.group() for w in strange), key=len)) < 5):
+    best, name = 0, ""
+    for encoding in legacy_table():
+        hits = [w for w in strange if _legacy_word(w, encoding)]
+        if len(hits) > best and len(hits) * 2 >= len(strange) and (len(hits) > 1 or len(hits[0]) > 4):
+            best, name = len(hits), encoding
+    if not best:
         return text, 0
     out, end = [], 0
     for w in words:
-        out += [text[end : w.start()], _CASED(at.get(w.group().lower(), w.group()), w.group())]
+        # a short word may be a sign of its own beside a letter, as in square metres
+        own = w.group()
+        sign = len(own) < 3 and any(not c.isalpha() for c in own)
+        out += [text[end : w.start()], own if sign else _legacy_word(own, name) or own]
         end = w.end()
     return "".join([*out, text[end:]]), best
 
@@ -233,7 +260,7 @@ def _lost_letters() -> dict[str, list[str]]:
     for e in READ_AS:
         for lead in (b"\xe1\xba", b"\xe1\xbb", b"\xc3", b"\xc4", b"\xc6"):
             letters = [c for b in _LOST if (c := (lead + bytes([b])).decode("utf-8", "ignore")) and c.lower() in _VIETNAMESE]
-            for lost in "?�":
+            for lost in "?\ufffd":
                 found.setdefault(_read(lead, e) + lost, letters)
     return found
 
@@ -244,7 +271,7 @@ _AROUND = re.compile(r"[^\W\d_]*")
 def _fill(left: str, span: str, right: str) -> str:
     """The one letter that makes a syllable of the word around a span, else the span itself."""
     before, after = _AROUND.match(left[::-1]).group()[::-1], _AROUND.match(right).group()
-    fits = [c for c in _lost_letters().get(span, []) if (before + c + after).lower() in syllables()]
+    fits = [c for c in _lost_letters().get(span, []) if is_syllable((before + c + after).lower())]
     return fits[0] if len(fits) == 1 else span
 
 
@@ -256,7 +283,7 @@ def repair(text: str | None) -> tuple[str | None, int]:
     """
     if not text or text.isascii():
         return text, 0
-    sure = 0
+    sure = maybe = 0
     hits = []
     for end, (n, original, weight) in automaton().iter_long(text):
         start = end - n + 1
@@ -264,15 +291,19 @@ def repair(text: str | None) -> tuple[str | None, int]:
         if weight == 1 and start and text[start].isupper() and text[start - 1].islower():
             weight = 2
         sure += weight == 2
+        maybe += weight == 1 and n > 2
         hits.append((start, end + 1, original))
-    if not sure and "�" not in text:
-        return _legacy(text)
+    # a letter and two signs may stand so once, hardly twice
+    sure += maybe > 1
+    older, words = _legacy(text)
+    if words > sure:
+        return older, words
     if not sure:
-        return text, text.count("�")
+        return text, text.count("\ufffd")
     out, at = [], 0
     for start, end, original in hits:
         out.append(text[at:start])
-        if original[-1] in "?�":  # its last byte is gone; the word around it may tell
+        if original[-1] in "?\ufffd":  # its last byte is gone; the word around it may tell
             original = _fill("".join(out)[-12:], original, text[end : end + 12])
         out.append(original)
         at = end

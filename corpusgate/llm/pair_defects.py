@@ -201,7 +201,7 @@ def pair_defects(instruction: str | None, context: str | None, answer: str | Non
     if _breaks_off(text, kept):
         found.append("truncated")
     asked = language(_words(i + " " + c))
-    bare = len(text.split(None, 3)) <= 3 and text[-1:] not in ".!?"
+    bare = len(text.split(None, 3)) <= 3 and text[-1:] not in ".!?\u3002\uff01\uff1f"
     if asked and not bare:
         said = language(_words(a))
         if said and said != asked and not _asked.search(i.lower()):
