@@ -28,7 +28,9 @@ LONGEST_METADATA = 2000
 
 
 def _named(df: DataFrame, field: str) -> Column:
-    present = [F.col(f"`{c}`") for c in ALIASES[field] if c in df.columns]
+    types = dict(df.dtypes)
+    # a number 0 is no value, the text "0" is one
+    present = [F.col(f"`{c}`") if types[c] == "string" else F.nullif(F.col(f"`{c}`").cast("string"), F.lit("0")) for c in ALIASES[field] if c in types]
     return first_truthy(*present) if present else F.lit(None).cast("string")
 
 
@@ -69,7 +71,7 @@ def normalize(df: DataFrame, dataset: Column, url: Column, license_: Column, ret
     staged = df.select(
         dataset.alias("source_dataset"), url.alias("source_url"), text_or(_named(df, "source_id"), "UNKNOWN").alias("source_id"), license_.alias("license"), retrieved_at.alias("retrieved_at"),
         one_of(_named(df, "document_type"), DOCUMENT_TYPES, "other").alias("document_type"), text_or(_named(df, "document_number")).alias("document_number"), text_or(_named(df, "title")).alias("title"),
-        lenient_int(F.nullif(_named(df, "article_number"), F.lit("0"))).alias("article_number"), F.nullif(text_or(_named(df, "clause_number")), F.lit("")).alias("clause_number"),
+        lenient_int(_named(df, "article_number")).alias("article_number"), F.nullif(text_or(_named(df, "clause_number")), F.lit("")).alias("clause_number"),
         F.nullif(text, F.lit("")).alias("text"), one_of(_named(df, "effective_status"), STATUSES, "unknown").alias("effective_status"), metadata_json(df).alias("raw_metadata"),
     )
     return staged.select(

@@ -19,7 +19,7 @@ ACCEPT = "accept_for_later_corpus_candidate"
 
 
 def _flag_errors(field: str) -> list[tuple[Column, str]]:
-    low = F.lower(text_or(field))
+    low = F.lower(field)  # trimmed before
     return [(low.isin(TRUE), f"{field} must remain false."), ((low != "") & ~low.isin(TRUE + FALSE), f"{field} must be a boolean false value.")]
 
 
@@ -32,18 +32,18 @@ def validate_reviews(df: DataFrame) -> DataFrame:
     for c in REQUIRED:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
-    field = {c: text_or(c) for c in REQUIRED}
-    label, level, date = F.lower(field["decision_label"]), F.lower(field["confidence"]), field["review_date"]
+    tidy = {c: text_or(c) for c in REQUIRED}
+    tidy |= {c: F.lower(tidy[c]) for c in ("decision_label", "confidence")}
+    staged = df.withColumns(tidy)
+    label, level, date = F.col("decision_label"), F.col("confidence"), F.col("review_date")
     good_date = date.rlike(r"^\d{4}-\d{2}-\d{2}$") & date.try_cast("date").isNotNull()
-    checks = [(field[c] == "", f"{c} is required.") for c in REQUIRED]
-    checks += [((date != "") & ~good_date, "review_date must be ISO format YYYY-MM-DD.")]
+    checks = [(F.col(c) == "", f"{c} is required.") for c in REQUIRED]
+    checks += [((date != "") & ~F.coalesce(good_date, F.lit(False)), "review_date must be ISO format YYYY-MM-DD.")]
     checks += _flag_errors("legal_ground_truth_approved") + _flag_errors("rag_index_approved")
     named = F.array_compact(F.array(
         F.when((label != "") & ~label.isin(LABELS), F.concat(F.lit("decision_label is invalid: "), label)), F.when((level != "") & ~level.isin(LEVELS), F.concat(F.lit("confidence is invalid: "), level)),
     ))
-    why = F.array_sort(F.array_distinct(F.concat(reasons(*checks), named)))
-    tidy = {c: field[c] for c in REQUIRED} | {"decision_label": label, "confidence": level}
-    return df.withColumn("invalid_reasons", why).withColumns(tidy)
+    return staged.withColumn("invalid_reasons", F.array_sort(F.array_distinct(F.concat(reasons(*checks), named))))
 
 
 def adjudicate(valid: DataFrame) -> DataFrame:
