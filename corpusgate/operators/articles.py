@@ -60,9 +60,11 @@ def chunk_text(text: Column, most: int = CHUNK) -> Column:
             .otherwise(lines)
         )
 
-    folded = F.aggregate(paragraphs, start, paragraph, lambda s: F.when(s["held"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["held"]))))
-    packed = F.when(F.size(folded) > 0, folded).otherwise(F.array(content))
-    return F.when(F.length(content) <= most, F.array(content)).otherwise(packed)
+    def finish(s: Column) -> Column:
+        out = F.when(s["held"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["held"])))
+        return F.when(F.size(out) > 0, out).otherwise(F.array(content))
+
+    return F.when(F.length(content) <= most, F.array(content)).otherwise(F.aggregate(paragraphs, start, paragraph, finish))
 
 
 def missing_provenance(df: DataFrame) -> Column:
@@ -93,7 +95,9 @@ def parse_warnings(parsed: DataFrame) -> DataFrame:
 
 def articles(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """One row per article: the ``keep`` columns, ``article_pos`` from 1, number, title, text and flags."""
-    rows = parsed.where("reason is null").select(*keep, F.posexplode("pieces").alias("article_pos", "piece")).where("article_pos > 0")
+    # a document without text or marker has no piece beyond the first; to ask for its reason, or to explode without the
+    # outer form, would make the engine split the text once more for a filter
+    rows = parsed.where(F.size("missing_fields") == 0).select(*keep, F.posexplode_outer("pieces").alias("article_pos", "piece")).where("article_pos > 0")
     title = utrim(F.regexp_extract("piece", MARKER, 3))
     title = F.when(title.rlike(r"^[.:\-]*$"), None).otherwise(title)
     heading = F.startswith(utrim(F.regexp_extract("piece", MARKER, 1)), F.lit("#"))
@@ -108,7 +112,7 @@ def candidates(parsed: DataFrame, most: int = CHUNK) -> DataFrame:
     keep = ["record_id", "source_dataset", "source_id", "source_url", "license", "retrieved_at", "title", "document_type", "document_number"]
     rows = articles(parsed, keep).withColumn("chunks", chunk_text(F.col("text"), most))
     split = F.when(F.size("chunks") > 1, F.concat("parse_flags", F.array(F.lit("split_into_multiple_chunks")))).otherwise(F.col("parse_flags"))
-    out = rows.select(*provenance, "article_pos", "article_number", "article_title", sorted_set(split).alias("parse_flags"), F.posexplode("chunks").alias("chunk_index", "text"))
+    out = rows.select(*provenance, "article_pos", "article_number", "article_title", sorted_set(split).alias("parse_flags"), F.posexplode_outer("chunks").alias("chunk_index", "text"))
     return out.withColumns({"text_hash": hash16("text"), "parser_version": F.lit(PARSER_VERSION), "uncertain_parse": F.size("parse_flags") > 0, "is_legal_ground_truth": F.lit(False), "approved_for_rag_index": F.lit(False)})
 
 

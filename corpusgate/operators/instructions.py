@@ -54,8 +54,10 @@ def validate_rows(df: DataFrame, source: str = "synthetic-demo", format_: str =
     first = F.lit(None).cast("string")
     for f in reversed(TEXT_FIELDS):
         bad = F.lit(True) if types[f] != "string" else F.col(f).isNull()
-        first = F.when(bad, f"{f} must be a string.").otherwise(first if f == "input" else F.when(utrim(f) == "", f"{f} must not be blank.").otherwise(first))
-    v = {f: text_or(f) for f in TEXT_FIELDS}
+        first = F.when(bad, f"{f} must be a string.").otherwise(first if f == "input" else F.when(F.col("_v")[f] == "", f"{f} must not be blank.").otherwise(first))
+    # trimmed once, in a step of its own
+    staged = df.withColumn("_v", F.struct(*[text_or(f).alias(f) for f in TEXT_FIELDS]))
+    v = {f: F.col("_v")[f] for f in TEXT_FIELDS}
     listed = lambda f, values: F.when(~v[f].isin(values), F.concat(F.lit(f"{f} is invalid: "), v[f]))
     flag = lambda f, want: F.lit(True) if types[f] != "boolean" else ~F.coalesce(F.col(f) == want, F.lit(False))
     head = reasons((~F.startswith(v["id"], F.lit(id_prefix)), f"id must start with {id_prefix}."), (v["source"] != source, f"source must equal {source}."), (v["format"] != format_, f"format must equal {format_}."), (v["domain"] != domain, f"domain must equal {domain}."))
@@ -65,7 +67,7 @@ def validate_rows(df: DataFrame, source: str = "synthetic-demo", format_: str =
         (flag("is_synthetic", True), "is_synthetic must be true."), (flag("is_legal_ground_truth", False), "is_legal_ground_truth must be false."), (flag("approved_for_rag_index", False), "approved_for_rag_index must be false."),
         *[(~F.contains(low, F.lit(t)), f"disclaimer must mention: {t}") for t in DISCLAIMER_TERMS], (contains_any(F.concat_ws(" ", v["instruction"], v["input"], v["output"]), CLAIMS), "Row must not claim official legal authority."),
     )
-    return df.withColumn("errors", F.when(first.isNotNull(), F.array(first)).otherwise(F.concat(head, middle, tail)))
+    return staged.withColumn("errors", F.when(first.isNotNull(), F.array(first)).otherwise(F.concat(head, middle, tail))).drop("_v")
 
 
 def duplicate_counts(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import any_of, blank, piped
+from ..sources.shared import written
 from .candidates import bucket
 
 # Buckets in the order they are drawn, and their weights.
@@ -85,26 +86,32 @@ def suspicious_length(df: DataFrame) -> Column:
 def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_version: str = "corpusgate_filter_v1") -> DataFrame:
     """A review sample of about ``size`` rows in five buckets, none of which repeats a row of an earlier one.
 
-    Each bucket is a top-k of bounded size, so the rows drawn so far are a small
-    set that the next bucket leaves out by an anti join.
+    What the drawing needs is written once, without texts. Each bucket is a
+    top-k; its keys, at most ``size`` over all buckets, go to the driver and are
+    left out of the next. The rows themselves are then looked up by those keys.
+    Input indexes must be unique.
     """
     targets = apportion(size)
+    needed = ["input_index", "candidate_id", "parent_record_id", "article_hash", "filter_decision", "filter_reasons", "risk_flags", "duplicate_of", "group_size", "parent_document_warning_codes"]
+    slim = written(decided.select(*needed))
     kind = bucket(F.col("filter_decision"))
     pools = {
-        "duplicate_related": duplicate_representatives(decided, seed), "suspicious_length": decided.where(suspicious_length(decided)), "keep_candidate_for_human_review": decided.where(kind == "keep"),
-        "needs_review": decided.where(kind == "needs_review"), "rejected": decided.where(kind == "rejected"),
+        "duplicate_related": duplicate_representatives(slim, seed), "suspicious_length": slim.where(suspicious_length(slim)), "keep_candidate_for_human_review": slim.where(kind == "keep"),
+        "needs_review": slim.where(kind == "needs_review"), "rejected": slim.where(kind == "rejected"),
     }
-    out: DataFrame | None = None
+    drawn: list[tuple] = []
     for b in BUCKETS:
-        pool = pools[b].withColumn("row_key", row_key(decided))
-        if out is not None:
-            pool = pool.join(F.broadcast(out.select("row_key")), "row_key", "left_anti")  # at most ``size`` keys
-        drawn = round_robin(pool.drop("row_key"), seed, b, targets[b], warned_first=True).withColumn("sampling_bucket", F.lit(b))
-        out = drawn if out is None else out.unionByName(drawn, allowMissingColumns=True)
+        if not targets[b]:
+            continue
+        pool = pools[b].where(~F.col("input_index").isin([d[0] for d in drawn])) if drawn else pools[b]
+        rows = round_robin(pool, seed, b, targets[b], warned_first=True).select("input_index", "row_key", "sample_index", F.when(F.lit(b == "duplicate_related"), F.col("group_size")).alias("duplicate_group_size"))
+        drawn += [(*r, b) for r in rows.collect()]
+    keys = decided.sparkSession.createDataFrame(drawn, "input_index long, row_key string, sample_index int, duplicate_group_size long, sampling_bucket string")
+    out = decided.join(F.broadcast(keys), "input_index")  # at most ``size`` keys
     short = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), "sampling_bucket", "row_key"), 256), 1, 12)
     return out.withColumns({
         "review_sample_id": F.format_string("review-%s-%03d-%s", "sampling_bucket", "sample_index", short), "text_length": F.coalesce(F.nullif("text_char_count", F.lit(0)), F.length(F.trim("text")), F.lit(0)),
-        "filter_version": F.lit(filter_version), "sampling_seed": F.lit(seed),
+        "duplicate_group_key": F.when(F.col("duplicate_group_size").isNotNull(), F.col("article_hash")), "filter_version": F.lit(filter_version), "sampling_seed": F.lit(seed),
     })
 
 

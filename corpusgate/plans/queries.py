@@ -11,6 +11,7 @@ from ..functions.exprs import blank, text_or
 from ..operators import articles as art
 from ..operators import audit, candidates, instructions, manifest, normalize, quality, reviews, sampling
 from ..sources.readers import table
+from ..sources.shared import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,7 +49,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return art.parse_documents(_documents(spark, sf_dir))
+    return art.parse_documents(spread(_documents(spark, sf_dir)))
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +298,7 @@ def q_first_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_instruction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = instructions.validate_rows(_qa(spark, sf_dir), source="template-drill", id_prefix="mock-qa-")
+    rows = instructions.validate_rows(spread(_qa(spark, sf_dir)), source="template-drill", id_prefix="mock-qa-")
     return rows.select("row_no", F.array_join("errors", "; ").alias("errors"))
 
 
