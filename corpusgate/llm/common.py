@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import durable, written
+
+__all__ = ["digest", "durable", "letters_digits", "table", "tokenizer_dir", "without", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,41 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, made known to the session's checkpoints.
-
-    It is the cluster's ``spark.checkpoint.dir``; one of our own is set only
-    where the session names none, as in tests on one machine.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-            folder = tempfile.mkdtemp(prefix="corpusgate-checkpoint-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of ``df`` by a checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of ``df`` by a parquet table in the shared folder, which columns and compression make smaller than a checkpoint.
-
-    The table lies in the folder of the session's checkpoints and is left to
-    whoever clears that; its name is of one use.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Up to so many keys, 8 bytes each, an anti join sends them to all executors.
 MOST_KEYS_SENT = 500_000
 
