@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, letters_digits
+from .common import digest, letters_digits, written
 
 _FIELD = r"[^\p{L}\p{N}\n]*[\p{L}\p{N}_]+(?:[ \t_]+[\p{L}\p{N}_]+){0,3}[ \t]*[:=]"
 _JSON = "map<string,string>"
@@ -62,13 +62,18 @@ def collapse_formatting(df: DataFrame, key: str, plain: list[str], fielded: list
 
 
 def _survivors(df: DataFrame, key: str, plain: list[str], fielded: list[str], need_text: bool) -> DataFrame:
-    """The distinct raw records with their counts and canonical text."""
+    """The distinct raw records with their counts, canonical text and its digest, written to the shared folder.
+
+    Written, because the engine would otherwise move tests of the canonical
+    text before the first grouping, and so make it for every copy.
+    """
     columns = plain + fielded
     raw = df.where(F.col(key).isNotNull()).select(F.col(key).alias("first_no"), *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(columns)])
     names = [f"_c{i}" for i in range(len(columns))]
     distinct = raw.groupBy(*names).agg(F.min("first_no").alias("first_no"), F.count("*").alias("copies"))
     forms = [letters_digits(F.col(n)) for n in names[: len(plain)]] + [canonical_fields(F.col(n)) for n in names[len(plain) :]]
-    kept = distinct.select(_raw_key(names).alias("raw_key"), F.concat_ws("\u001f", *forms).alias("canonical"), "first_no", "copies")
+    formed = distinct.select(_raw_key(names).alias("raw_key"), F.concat_ws("\u001f", *forms).alias("canonical"), "first_no", "copies")
+    kept = written(formed.withColumn("form_key", digest(F.col("canonical"))))
     return kept.where(F.regexp_replace("canonical", "[\u001d-\u001f]", "") != "") if need_text else kept
 
 
@@ -80,11 +85,8 @@ def formatting_copies(df: DataFrame, key: str, plain: list[str], fielded: list[s
     """
     fielded = fielded or []
     survivors = _survivors(df, key, plain, fielded, need_text)
-    groups = survivors.groupBy("canonical").agg(F.min("first_no").alias("group_no"), F.sum("copies").alias("n")).where("n > 1")
-    form = [F.xxhash64("canonical").alias("_h"), digest(F.col("canonical")).alias("_d")]
-    # the numbers are read on both sides, if to no effect on this one, so that both use one shuffle of the texts
-    keyed = survivors.select("raw_key", *form, "first_no", "copies")
-    forms = keyed.join(groups.select(*form, "group_no"), ["_h", "_d"]).where("first_no >= group_no and copies >= 1").select("raw_key", "group_no")
+    groups = survivors.groupBy("canonical").agg(F.min("first_no").alias("group_no"), F.sum("copies").alias("n")).where("n > 1").select(digest(F.col("canonical")).alias("form_key"), "group_no")
+    forms = survivors.select("raw_key", "form_key").join(groups, "form_key").select("raw_key", "group_no")
     columns = plain + fielded
     rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("copy_no"), _raw_key(columns).alias("raw_key"))
     return rows.join(forms, "raw_key").where("copy_no <> group_no").select(F.col("group_no").alias("first_no"), "copy_no")
