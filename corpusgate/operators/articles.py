@@ -117,14 +117,17 @@ def candidates(parsed: DataFrame, most: int = CHUNK) -> DataFrame:
 
 
 def parse_metrics(parsed: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row of counts over documents and their candidates."""
-    docs = parsed.agg(
-        F.count("*").alias("documents"), F.count_if(F.col("reason").isNotNull()).alias("rejected_documents"), F.count_if(F.size("missing_fields") == 0).alias("with_provenance"),
-        F.count_if(audit_marker_count(F.col("text")) > 0).alias("documents_with_markers"),
+    """One row of counts over documents and their candidates; an empty table gives zeros."""
+    marks = F.when(~blank("text"), F.size(split_articles(F.col("text"))) - 1).otherwise(0)
+    docs = parsed.select(marks.alias("m"), F.size("missing_fields").alias("lacks"), F.col("reason").isNotNull().alias("bad"), (~blank(F.col("pieces")[0]) & F.col("reason").isNull()).alias("early")).agg(
+        F.count("*").alias("documents"), F.count_if("bad").alias("rejected_documents"), F.count_if(F.col("lacks") == 0).alias("with_provenance"), F.count_if(F.col("m") > 0).alias("documents_with_markers"),
+        F.count_if(F.col("m") == 0).alias("documents_without_markers"), F.count_if(F.col("m") == 1).alias("documents_with_one_article"), F.count_if(F.col("m") > 1).alias("documents_with_several_articles"), F.count_if("early").alias("warnings"),
     )
+    n = F.length("text")
     rows = chunks.agg(
-        F.count("*").alias("candidates"), (F.count("*") - F.count_distinct("text_hash")).alias("duplicate_hashes"), F.count_if(F.length("text") <= NEAR_EMPTY).alias("near_empty"),
-        F.count_if(F.array_contains("parse_flags", "suspicious_short_article") | F.array_contains("parse_flags", "suspicious_long_article")).alias("suspicious_length"), F.count_if("uncertain_parse").alias("uncertain"),
+        F.count("*").alias("candidates"), (F.count("*") - F.count_distinct("text_hash")).alias("duplicate_hashes"), F.count_if(n == 0).alias("empty"), F.count_if(n <= NEAR_EMPTY).alias("near_empty"),
+        F.count_if((n < SHORTEST) | (n > LONGEST)).alias("suspicious_length"), F.count("article_number").alias("with_number"), F.count_if("uncertain_parse").alias("uncertain"),
     )
     both = docs.crossJoin(F.broadcast(rows))  # one row each
-    return both.withColumn("provenance_coverage", rate(F.col("with_provenance"), F.col("documents"))).drop("with_provenance")
+    rates = {"provenance_coverage": rate(F.col("with_provenance"), F.col("documents")), "article_number_rate": rate(F.col("with_number"), F.col("candidates"))}
+    return both.withColumns(rates).drop("with_provenance", "with_number")

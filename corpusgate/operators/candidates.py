@@ -61,7 +61,8 @@ def decide(df: DataFrame) -> DataFrame:
     """Candidates with ``filter_reasons``, ``risk_flags``, ``duplicate_of`` and ``filter_decision``.
 
     Rules are tried in order and all that hold are kept; the first rejecting
-    one decides, else the first at all, else the candidate is kept. Needs
+    one decides, else the first at all, else the candidate is kept, which is then
+    its reason. Needs
     ``input_index``; ``parent_document_warning_codes`` is optional. A missing
     text column counts as a missing required text, a null or blank text as
     empty. Flags of approval are reset to false.
@@ -84,7 +85,7 @@ def decide(df: DataFrame) -> DataFrame:
     near = ~empty & ((chars < MIN_CHARS) | (words < MIN_WORDS))
     odd = ~empty & ((chars < SHORT_CHARS) | (chars > LONG_CHARS))
     flag = lambda f: F.coalesce(F.array_contains("parse_flags", f), F.lit(False))
-    header = flag("markdown_heading_marker") | F.startswith(F.ltrim(F.coalesce("text", F.lit(""))), F.lit("#"))
+    header = flag("markdown_heading_marker") | F.startswith(F.coalesce(utrim("text"), F.lit("")), F.lit("#"))
     unsure = F.coalesce("uncertain_parse", F.lit(False)) | flag("article_title_missing") | flag("article_number_unparsed")
     no_hash = blank("article_hash")
     why = reasons(
@@ -92,12 +93,12 @@ def decide(df: DataFrame) -> DataFrame:
         (near, "reject_near_empty"), (odd, "needs_review_suspicious_length"), (header, "needs_review_preamble_or_header_noise"), (unsure, "needs_review_marker_uncertainty"),
     )
     risk = F.concat(
-        reasons(*lacking, (empty, "empty_text"), (no_hash, "missing_hash"), (loser, "duplicate_hash_loser"), (near, "near_empty_text"), (odd, "suspicious_length_text"), (header, "preamble_or_header_noise"), (unsure, "marker_uncertainty")),
+        reasons(*lacking, (empty, "empty_text" if has_text else "missing_text_field"), (no_hash, "missing_article_hash"), (loser, "duplicate_hash_loser"), (near, "near_empty_text"), (odd, "suspicious_length_text"), (header, "candidate_header_noise"), (unsure, "marker_uncertainty")),
         F.transform("parent_document_warning_codes", lambda c: F.concat(F.lit("parent_document_warning:"), c)),
     )
     out = staged.withColumns({"_why": why, "risk_flags": sorted_set(risk), "duplicate_of": F.when(loser, F.col("canonical_id"))})
     decision = F.coalesce(F.get(F.filter("_why", lambda r: F.startswith(r, F.lit("reject_"))), F.lit(0)), F.get("_why", F.lit(0)), F.lit(KEEP))
-    out = out.withColumns({"filter_decision": decision, "filter_reasons": sorted_set(F.col("_why")), "is_legal_ground_truth": F.lit(False), "approved_for_rag_index": F.lit(False)})
+    out = out.withColumns({"filter_decision": decision, "filter_reasons": F.when(F.size("_why") > 0, sorted_set(F.col("_why"))).otherwise(F.array(F.lit(KEEP))), "is_legal_ground_truth": F.lit(False), "approved_for_rag_index": F.lit(False)})
     return out.drop("_why", "canonical_index", "canonical_id")
 
 
@@ -111,10 +112,10 @@ def filter_metrics(decided: DataFrame) -> DataFrame:
     has = lambda r: F.array_contains("filter_reasons", r)
     chars = F.col("text_char_count")
     loser = F.array_contains("risk_flags", "duplicate_hash_loser")
-    missing = F.exists("risk_flags", lambda f: F.startswith(f, F.lit("missing_")) & (f != "missing_hash"))
+    missing = has("reject_missing_parent_provenance")
     a = decided.agg(
         F.count("*").alias("total_input_candidates"), F.count_if(bucket(F.col("filter_decision")) == "rejected").alias("total_rejected"), F.count_if(bucket(F.col("filter_decision")) == "needs_review").alias("total_needs_review"),
-        F.count_if(F.col("filter_decision") == KEEP).alias("total_keep"), F.count_if(loser).alias("duplicate_candidates_rejected"), F.count_if(has("reject_empty")).alias("empty_count"), F.count_if(has("reject_near_empty")).alias("near_empty_count"),
+        F.count_if(F.col("filter_decision") == KEEP).alias("total_keep"), F.count_if(loser).alias("duplicate_candidates_rejected"), F.count_if(F.col("filter_decision") == "reject_missing_parent_provenance").alias("missing_required_fields_count"), F.count_if(chars == 0).alias("empty_count"), F.count_if(F.size("parent_document_warning_codes") > 0).alias("with_parent_warning"), F.count_if(has("reject_near_empty")).alias("near_empty_count"),
         F.count_if((chars < SHORT_CHARS) | (chars > LONG_CHARS)).alias("suspicious_length_count"), F.count_if(has("needs_review_preamble_or_header_noise")).alias("preamble_warning_count"),
         F.count_if(has("needs_review_marker_uncertainty")).alias("marker_uncertainty_count"), F.count_if(~missing).alias("with_parent"),
     )

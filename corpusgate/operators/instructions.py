@@ -13,9 +13,8 @@ DIFFICULTIES = ["easy", "medium", "hard"]
 DISCLAIMER_TERMS = ["synthetic", "demo", "not legal advice"]
 CLAIMS = ["this is official legal text", "this is official legal advice", "official legal authority", "official legal answer", "binding legal advice", "authoritative legal interpretation"]
 TEXT_FIELDS = ["id", "instruction", "input", "output", "source", "format", "domain", "task_type", "difficulty", "disclaimer"]
-# The prompt frame of instruction tuning.
-WITH_INPUT = "Below is an instruction that describes a task, paired with an input that provides further context. Write a response that appropriately completes the request.\n\n### Instruction:\n"
-WITHOUT_INPUT = "Below is an instruction that describes a task. Write a response that appropriately completes the request.\n\n### Instruction:\n"
+# The headings of a prompt.
+HEADINGS = {"disclaimer": "### Disclaimer\n", "instruction": "### Instruction\n", "input": "### Context\n", "output": "### Response\n"}
 
 
 def render_templates(spark: SparkSession, count: int, templates: dict[str, list[str]], dimensions: dict[str, tuple[list[str], int]], id_format: str = "synthetic-demo-%06d") -> DataFrame:
@@ -84,16 +83,16 @@ def duplicate_counts(df: DataFrame) -> DataFrame:
 
 
 def prompt(with_answer: bool = True) -> Column:
-    """Instruction-tuning prompt; the input section is left out where the input is blank."""
-    has = text_or("input") != ""
-    text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    head = F.when(has, F.concat(F.lit(WITH_INPUT), text("instruction"), F.lit("\n\n### Input:\n"), text("input"))).otherwise(F.concat(F.lit(WITHOUT_INPUT), text("instruction")))
-    return F.concat(head, F.lit("\n\n### Response:\n"), text("output") if with_answer else F.lit(""))
+    """Prompt of trimmed texts under headings; the context is left out where the input is blank, null texts are empty."""
+    part = lambda c: F.concat(F.lit(HEADINGS[c]), text_or(c))
+    context = F.when(text_or("input") != "", F.concat(part("input"), F.lit("\n\n"))).otherwise("")
+    disclaimer = F.concat(F.lit(HEADINGS["disclaimer"]), F.coalesce("disclaimer", F.lit("")))
+    return F.concat(disclaimer, F.lit("\n\n"), part("instruction"), F.lit("\n\n"), context, part("output") if with_answer else F.lit(HEADINGS["output"]))
 
 
 def overlap_score(response: Column, expected: Column) -> Column:
     """Share of the expected answer's distinct words that stand in the response."""
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"\s+"), lambda w: w != ""))
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"(?U)\s+"), lambda w: w != ""))
     return F.size(F.array_intersect(words(expected), words(response))) / F.greatest(F.size(words(expected)), F.lit(1))
 
 

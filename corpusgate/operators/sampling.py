@@ -83,7 +83,7 @@ def suspicious_length(df: DataFrame) -> Column:
     return F.array_contains("filter_reasons", "needs_review_suspicious_length") | F.array_contains("risk_flags", "suspicious_length_text")
 
 
-def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_version: str = "corpusgate_filter_v1") -> DataFrame:
+def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_version: str = "corpusgate_filter_v1", id_prefix: str = "phase2h") -> DataFrame:
     """A review sample of about ``size`` rows in five buckets, none of which repeats a row of an earlier one.
 
     What the drawing needs is written once, without texts. Each bucket is a
@@ -110,7 +110,7 @@ def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_ve
     out = decided.join(F.broadcast(keys), "input_index")  # at most ``size`` keys
     short = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), "sampling_bucket", "row_key"), 256), 1, 12)
     return out.withColumns({
-        "review_sample_id": F.format_string("review-%s-%03d-%s", "sampling_bucket", "sample_index", short), "text_length": F.coalesce(F.nullif("text_char_count", F.lit(0)), F.length(F.trim("text")), F.lit(0)),
+        "review_sample_id": F.format_string(id_prefix + "-%s-%03d-%s", "sampling_bucket", "sample_index", short), "text_length": F.coalesce(F.nullif("text_char_count", F.lit(0)), F.length(F.trim("text")), F.lit(0)),
         "duplicate_group_key": F.when(F.col("duplicate_group_size").isNotNull(), F.col("article_hash")), "filter_version": F.lit(filter_version), "sampling_seed": F.lit(seed),
     })
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..operators.articles import LABELS
-from ..operators.instructions import CLAIMS, DIFFICULTIES, TASK_TYPES, WITH_INPUT, WITHOUT_INPUT
+from ..operators.instructions import CLAIMS, DIFFICULTIES, TASK_TYPES
 from .queries import DEMO_DIMENSIONS, DEMO_TEMPLATES, POLICY_PHRASES
 
 # White space in the Unicode sense for RE2.
@@ -104,7 +104,7 @@ _DECIDED = f"""
             CASE WHEN {_blank("text")} THEN 'reject_empty' END, CASE WHEN {_blank("article_hash")} THEN 'reject_missing_required_hash' END,
             CASE WHEN canonical_index <> input_index THEN 'reject_duplicate_hash' END, CASE WHEN NOT {_blank("text")} AND (chars < 80 OR words < 12) THEN 'reject_near_empty' END,
             CASE WHEN NOT {_blank("text")} AND (chars < 100 OR chars > 50000) THEN 'needs_review_suspicious_length' END,
-            CASE WHEN list_contains(parse_flags, 'markdown_heading_marker') OR starts_with(ltrim(coalesce(text, '')), '#') THEN 'needs_review_preamble_or_header_noise' END,
+            CASE WHEN list_contains(parse_flags, 'markdown_heading_marker') OR starts_with({_tidy("text")}, '#') THEN 'needs_review_preamble_or_header_noise' END,
             CASE WHEN uncertain_parse OR list_contains(parse_flags, 'article_title_missing') OR list_contains(parse_flags, 'article_number_unparsed') THEN 'needs_review_marker_uncertainty' END
         ] IF x IS NOT NULL] AS why FROM c
     ), decided AS (
@@ -115,6 +115,26 @@ _DECIDED = f"""
 
 _RANK = "sha256('42|{salt}|' || input_index || '|' || candidate_id || '|' || coalesce(parent_record_id, '') || '|' || article_hash)"
 
+def _sample() -> str:
+    """The five buckets one after the other, each without the rows drawn before."""
+    targets = {"duplicate_related": 10, "suspicious_length": 10, "keep_candidate_for_human_review": 60, "needs_review": 50, "rejected": 20}
+    pools = {
+        "duplicate_related": f"(SELECT * FROM decided WHERE group_size > 1 QUALIFY row_number() OVER (PARTITION BY article_hash ORDER BY CASE WHEN filter_decision = 'reject_duplicate_hash' THEN 0 ELSE 1 END, {_RANK.format(salt='duplicate_related_group')}, CAST(input_index AS VARCHAR)) = 1)",
+        "suspicious_length": "(SELECT * FROM decided WHERE list_contains(why, 'needs_review_suspicious_length'))", "keep_candidate_for_human_review": "(SELECT * FROM decided WHERE filter_decision = 'keep_candidate_for_human_review')",
+        "needs_review": "(SELECT * FROM decided WHERE starts_with(filter_decision, 'needs_review_'))", "rejected": "(SELECT * FROM decided WHERE starts_with(filter_decision, 'reject_'))",
+    }
+    parts, before = [], []
+    for b, n in targets.items():
+        drawn = "".join(f" AND input_index NOT IN (SELECT input_index FROM pick_{x})" for x in before)
+        parts.append(f"""pick_{b} AS (
+            SELECT *, row_number() OVER (ORDER BY turn, sha256('42|{b}:parent|' || parent), parent) AS sample_index, '{b}' AS sampling_bucket FROM (
+                SELECT *, coalesce(parent_record_id, '') AS parent, row_number() OVER (PARTITION BY coalesce(parent_record_id, '') ORDER BY {_RANK.format(salt=b)}, CAST(input_index AS VARCHAR)) AS turn FROM {pools[b]} WHERE true{drawn})
+            QUALIFY sample_index <= {n})""")
+        before.append(b)
+    columns = "input_index, candidate_id, sampling_bucket, sample_index, chars"
+    return f"{_DECIDED}, {', '.join(parts)}, sample AS ({' UNION ALL '.join(f'SELECT {columns} FROM pick_{b}' for b in targets)})"
+
+
 _REVIEW_FIELDS = ["reviewer_id", "review_date", "candidate_id", "decision_label", "confidence", "notes", "legal_ground_truth_approved", "rag_index_approved"]
 _LABELS = "('accept_for_later_corpus_candidate', 'reject_not_article', 'reject_duplicate', 'reject_too_short', 'reject_too_long', 'reject_missing_metadata', 'needs_legal_expert_review', 'needs_parser_fix', 'uncertain')"
 _REVIEWS = f"""
@@ -142,6 +162,39 @@ _REVIEWS = f"""
 """
 
 
+_ONE_RAW = "SELECT {fields} FROM reviewer_decisions_completed WHERE NOT {blank} QUALIFY row_number() OVER (PARTITION BY {id} ORDER BY {order}) = 1"
+
+
+def _one(fields: str, order: list[str]) -> str:
+    return _ONE_RAW.format(fields=f"{_tidy('candidate_id')} AS id, {fields}", blank=_blank("candidate_id"), id=_tidy("candidate_id"), order=", ".join(map(_tidy, order)))
+
+
+def _either(field: str) -> str:
+    return _tidy(f"coalesce(nullif(sm.{field}, ''), nullif(fl.{field}, ''))")
+
+
+_MANIFEST = f"""
+    {_REVIEWS}, {_DECIDED.strip().removeprefix("WITH ").replace(", c AS (", ", cand AS (").replace("FROM c\n", "FROM cand\n")}, rv AS ({_one("decision_label, reviewer_id, review_date, legal_ground_truth_approved AS lg, rag_index_approved AS rg", ["review_date", "reviewer_id", "decision_label", "confidence", "review_sample_id"])}),
+    sm AS ({_one("parent_record_id, source_dataset, license, review_sample_id, filter_decision", ["parent_record_id", "source_id", "review_sample_id", "filter_decision"])}),
+    joined AS (
+        SELECT acc.candidate_id, {_either("parent_record_id")} AS parent_record_id, {_either("license")} AS license, {_tidy("coalesce(nullif(fl.text_hash, ''), fl.article_hash)")} AS text_hash, {_tidy("rv.reviewer_id")} AS reviewer_id,
+               {_tidy("rv.review_date")} AS review_date, {_tidy("sm.review_sample_id")} AS review_sample_id, {_tidy("coalesce(nullif(fl.filter_decision, ''), sm.filter_decision)")} AS filter_decision, acc.review_count AS accepted_review_count,
+               CASE WHEN rv.id IS NULL THEN ['missing_completed_review_row'] ELSE [x FOR x IN [CASE WHEN {_tidy("rv.decision_label")} <> 'accept_for_later_corpus_candidate' THEN 'review_decision_not_accept_for_later_corpus_candidate' END,
+                   CASE WHEN lower({_tidy("lg")}) IN ('true', '1', 'yes', 'y') THEN 'review_row_legal_ground_truth_approved_true' END, CASE WHEN lower({_tidy("rg")}) IN ('true', '1', 'yes', 'y') THEN 'review_row_rag_index_approved_true' END] IF x IS NOT NULL] END AS problems,
+               [x FOR x IN [CASE WHEN {_either("parent_record_id")} = '' THEN 'parent_record_id' END, CASE WHEN {_either("source_dataset")} = '' THEN 'source_dataset' END, CASE WHEN {_either("license")} = '' THEN 'license' END,
+                   CASE WHEN {_blank("fl.parser_version")} THEN 'parser_version' END, CASE WHEN fl.candidate_id IS NULL THEN 'filter_version' END] IF x IS NOT NULL] AS missing_fields
+        FROM (SELECT * FROM settled WHERE outcome = 'accepted') acc LEFT JOIN rv ON rv.id = acc.candidate_id LEFT JOIN sm ON sm.id = acc.candidate_id LEFT JOIN decided fl ON fl.candidate_id = acc.candidate_id
+    )
+"""
+
+_RISK = f"""
+    {_DECIDED}, flags AS (
+        SELECT unnest([{", ".join(f"CASE WHEN {_blank(f)} THEN 'missing_{f}' END" for f in ("parent_record_id", "source_dataset", "source_id", "source_url", "license", "retrieved_at"))},
+            {", ".join(f"CASE WHEN list_contains(why, '{r}') THEN '{flag}' END" for r, flag in (("reject_empty", "empty_text"), ("reject_missing_required_hash", "missing_article_hash"), ("reject_duplicate_hash", "duplicate_hash_loser"), ("reject_near_empty", "near_empty_text"), ("needs_review_suspicious_length", "suspicious_length_text"), ("needs_review_preamble_or_header_noise", "candidate_header_noise"), ("needs_review_marker_uncertainty", "marker_uncertainty")))}]) AS risk_flag FROM decided
+    )
+"""
+
+
 def _fill(column: str) -> str:
     texts = DEMO_TEMPLATES[column]
     out = f"[{', '.join(map(_q, texts))}][((i - 1) % {len(texts)} + 1)::INTEGER]"
@@ -170,7 +223,8 @@ _VALID = f"""list_concat([x FOR x IN [
     CASE WHEN NOT contains(lower({_tidy("disclaimer")}), 'not legal advice') THEN 'disclaimer must mention: not legal advice' END, CASE WHEN {_CLAIM} THEN 'Row must not claim official legal authority.' END
 ] IF x IS NOT NULL], [])"""
 
-_HEAD = f"CASE WHEN {_blank('input')} THEN {_q(WITHOUT_INPUT)} || coalesce(instruction, '') ELSE {_q(WITH_INPUT)} || coalesce(instruction, '') || chr(10) || chr(10) || '### Input:' || chr(10) || coalesce(input, '') END || chr(10) || chr(10) || '### Response:' || chr(10)"
+_NL = "chr(10)"
+_HEAD = f"concat('### Disclaimer', {_NL}, coalesce(disclaimer, ''), {_NL}, {_NL}, '### Instruction', {_NL}, {_tidy('instruction')}, {_NL}, {_NL}, CASE WHEN {_blank('input')} THEN '' ELSE concat('### Context', {_NL}, {_tidy('input')}, {_NL}, {_NL}) END, '### Response', {_NL})"
 _SPLIT = """
     WITH n AS (SELECT row_no, row_number() OVER (ORDER BY sha256('42|' || row_no)) AS i, count(*) OVER () AS n FROM sample_qa)
     , s AS (SELECT row_no, CASE WHEN i <= floor(n * 0.8) THEN 'train' WHEN i <= floor(n * 0.8) + floor(n * 0.1) THEN 'validation' ELSE 'test' END AS split_name FROM n)
@@ -189,8 +243,17 @@ def _cites(c: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
-    "q_filter_decisions": f"{_DECIDED} SELECT input_index, candidate_id, filter_decision, array_to_string(list_sort(why), ',') AS filter_reasons, duplicate_of, chars AS text_char_count, words AS text_word_count FROM decided",
+    "q_filter_decisions": f"{_DECIDED} SELECT input_index, candidate_id, filter_decision, CASE WHEN len(why) = 0 THEN 'keep_candidate_for_human_review' ELSE array_to_string(list_sort(why), ',') END AS filter_reasons, duplicate_of, chars AS text_char_count, words AS text_word_count FROM decided",
     "q_filter_buckets": f"{_DECIDED} SELECT CASE WHEN starts_with(filter_decision, 'reject_') THEN 'rejected' WHEN starts_with(filter_decision, 'needs_review_') THEN 'needs_review' ELSE 'keep' END AS bucket, count(*) AS count FROM decided GROUP BY 1",
+    "q_filter_metrics": f"""
+        {_DECIDED} SELECT *, total_rejected + total_needs_review + total_keep = total_input_candidates AS counts_reconcile FROM (
+            SELECT count(*) AS total_input_candidates, count(*) FILTER (WHERE starts_with(filter_decision, 'reject_')) AS total_rejected, count(*) FILTER (WHERE starts_with(filter_decision, 'needs_review_')) AS total_needs_review,
+                   count(*) FILTER (WHERE filter_decision = 'keep_candidate_for_human_review') AS total_keep, count(*) FILTER (WHERE canonical_index <> input_index) AS duplicate_candidates_rejected,
+                   count(*) FILTER (WHERE filter_decision = 'reject_missing_parent_provenance') AS missing_required_fields_count, count(*) FILTER (WHERE chars = 0) AS empty_count, CAST(0 AS BIGINT) AS with_parent_warning,
+                   count(*) FILTER (WHERE list_contains(why, 'reject_near_empty')) AS near_empty_count, count(*) FILTER (WHERE chars < 100 OR chars > 50000) AS suspicious_length_count,
+                   count(*) FILTER (WHERE list_contains(why, 'needs_review_preamble_or_header_noise')) AS preamble_warning_count, count(*) FILTER (WHERE list_contains(why, 'needs_review_marker_uncertainty')) AS marker_uncertainty_count,
+                   round_even(count(*) FILTER (WHERE NOT list_contains(why, 'reject_missing_parent_provenance')) / count(*), 6) AS parent_provenance_coverage FROM decided)
+    """,
     "q_candidate_ids": f"{_HASHED} SELECT input_index, substr(sha256(coalesce(parent_record_id, '') || '|' || coalesce(source_id, '') || '|' || coalesce(CAST(nullif(article_number, 0) AS VARCHAR), '') || '|' || coalesce(CAST(nullif(chunk_index, 0) AS VARCHAR), '') || '|' || article_hash), 1, 16) AS made_id, article_hash FROM h",
     "q_duplicate_groups": f"{_HASHED} SELECT article_hash, group_size FROM g WHERE group_size > 1",
     "q_canonical_duplicates": f"{_HASHED} SELECT input_index, canonical_index, canonical_id, group_size FROM h JOIN g USING (article_hash) WHERE canonical_index <> input_index",
@@ -198,6 +261,13 @@ ORACLE_SQL: dict[str, str] = {
     "q_normalize_records": f"{_NORMALIZED} SELECT * EXCLUDE (error) FROM normalized WHERE error IS NULL",
     "q_rejected_records": f"{_NORMALIZED} SELECT source_id, title, error FROM normalized WHERE error IS NOT NULL",
     "q_quality_metrics": f"{_QUALITY} SELECT * FROM m",
+    "q_quality_violations": f"""
+        {_QUALITY} SELECT metric, value, bound FROM (SELECT unnest([
+            {{'metric': 'parse_success_rate', 'value': parse_success_rate, 'bound': 0.99::DOUBLE, 'low': true}}, {{'metric': 'empty_text_rate', 'value': empty_text_rate, 'bound': 0.005::DOUBLE, 'low': false}},
+            {{'metric': 'duplicate_rate', 'value': duplicate_rate, 'bound': 0.02::DOUBLE, 'low': false}}, {{'metric': 'missing_metadata_rate', 'value': missing_metadata_rate, 'bound': 0.01::DOUBLE, 'low': false}},
+            {{'metric': 'missing_license_rate', 'value': missing_license_rate, 'bound': 0.01::DOUBLE, 'low': false}}, {{'metric': 'malformed_article_rate', 'value': malformed_article_rate, 'bound': 0.01::DOUBLE, 'low': false}}
+        ], recursive := true) FROM m) WHERE CASE WHEN low THEN value < bound ELSE value > bound END
+    """,
     "q_source_lookup": "SELECT source, records, m.license AS manifest_license, license_confirmed, attribution_required FROM (SELECT source, count(*) AS records FROM documents GROUP BY source) LEFT JOIN source_manifest m ON source = source_dataset",
     "q_content_summary": f"""
         SELECT count(*) AS records, CAST(sum(n) AS BIGINT) AS total_chars, count(*) FILTER (WHERE n = 0) AS empty, count(*) FILTER (WHERE n <= 50) AS near_empty, count(*) FILTER (WHERE m > 0) AS with_markers,
@@ -225,6 +295,13 @@ ORACLE_SQL: dict[str, str] = {
         {_DECIDED} SELECT input_index, article_hash AS duplicate_group_key, group_size AS duplicate_group_size FROM decided WHERE group_size > 1
         QUALIFY row_number() OVER (PARTITION BY article_hash ORDER BY CASE WHEN filter_decision = 'reject_duplicate_hash' THEN 0 ELSE 1 END, {_RANK.format(salt="duplicate_related_group")}, CAST(input_index AS VARCHAR)) = 1
     """,
+    "q_review_sample": f"""
+        {_sample()} SELECT printf('phase2h-%s-%03d-%s', sampling_bucket, sample_index, substr(sha256('42|' || sampling_bucket || '|' || input_index), 1, 12)) AS review_sample_id, sampling_bucket, sample_index, input_index, candidate_id, chars AS text_length FROM sample
+    """,
+    "q_bucket_shortfalls": f"""
+        {_sample()} SELECT b AS sampling_bucket, t AS target, count(input_index) AS selected, greatest(t - count(input_index), 0) AS shortfall
+        FROM (VALUES ('duplicate_related', 10), ('suspicious_length', 10), ('keep_candidate_for_human_review', 60), ('needs_review', 50), ('rejected', 20)) w(b, t) LEFT JOIN sample ON sampling_bucket = b GROUP BY b, t
+    """,
     "q_subset_consistency": f"SELECT DISTINCT candidate_id FROM reviewer_decisions_completed r WHERE NOT {_blank('candidate_id')} AND NOT EXISTS (SELECT 1 FROM article_candidates c WHERE c.candidate_id = r.candidate_id)",
     "q_review_validation": f"{_REVIEWS} SELECT review_row, candidate_id, array_to_string(reasons, '; ') AS reasons FROM v WHERE len(reasons) > 0",
     "q_review_invalid_reasons": f"{_REVIEWS} SELECT reason, count(*) AS count FROM (SELECT unnest(reasons) AS reason FROM v) GROUP BY reason",
@@ -237,6 +314,12 @@ ORACLE_SQL: dict[str, str] = {
         (SELECT count(*) AS candidates, count(*) FILTER (WHERE review_count > 1) AS reviewed_more_than_once, count(*) FILTER (WHERE outcome = 'accepted') AS accepted,
             count(*) FILTER (WHERE outcome = 'rejected') AS rejected, count(*) FILTER (WHERE outcome = 'unresolved') AS unresolved FROM settled)
     """,
+    "q_filter_risk_flags": f"{_RISK} SELECT risk_flag, count(*) AS count FROM flags WHERE risk_flag IS NOT NULL GROUP BY risk_flag",
+    "q_manifest_join": f"{_MANIFEST} SELECT * REPLACE (array_to_string(problems, ',') AS problems, array_to_string(missing_fields, ',') AS missing_fields) FROM joined",
+    "q_manifest_metrics": f"""
+        {_MANIFEST} SELECT count(*) AS accepted_in, count(*) FILTER (WHERE ok) AS written, count(*) FILTER (WHERE len(problems) > 0) AS rejected, count(*) FILTER (WHERE len(problems) = 0 AND len(missing_fields) > 0) AS unresolved,
+            count(DISTINCT nullif(parent_record_id, '')) FILTER (WHERE ok) AS parents, count(DISTINCT nullif(reviewer_id, '')) FILTER (WHERE ok) AS reviewers FROM (SELECT *, len(problems) = 0 AND len(missing_fields) = 0 AS ok FROM joined)
+    """,
     "q_provenance_coverage": f"""
         SELECT count(*) AS rows, count(*) FILTER (WHERE ok) AS covered, round_even(count(*) FILTER (WHERE ok) / count(*), 6) AS coverage
         FROM (SELECT NOT ({" OR ".join(_blank(f) for f in ("candidate_id", "parent_record_id", "source_dataset", "license", "text_hash", "parser_version"))} OR ({_blank("source_id")} AND {_blank("source_url")})) AS ok FROM article_candidates)
@@ -250,7 +333,11 @@ ORACLE_SQL: dict[str, str] = {
     "q_instruction_distribution": "SELECT task_type, difficulty, count(*) AS rows FROM sample_qa GROUP BY 1, 2",
     "q_split_assignment": f"{_SPLIT} SELECT row_no, split_name FROM s",
     "q_split_sizes": f"{_SPLIT} SELECT split_name, count(*) AS rows FROM s GROUP BY 1",
-    "q_prompt_format": f"SELECT row_no, md5({_HEAD} || coalesce(output, '')) AS training_md5, md5({_HEAD}) AS inference_md5 FROM sample_qa",
+    "q_prompt_format": f"SELECT row_no, md5({_HEAD} || {_tidy('output')}) AS training_md5, md5({_HEAD}) AS inference_md5 FROM sample_qa",
+    "q_overlap_score": f"""
+        SELECT row_no, length({_tidy("input")}) > 10 AS format_valid, round(len(list_intersect(e, r)) / greatest(len(e), 1), 6) AS overlap, len(list_intersect(e, r)) / greatest(len(e), 1) >= 0.15 AS task_pass
+        FROM (SELECT row_no, input, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(output, '')), '{_WS}+')) IF w <> ''] AS e, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(input, '')), '{_WS}+')) IF w <> ''] AS r FROM sample_qa)
+    """,
     "q_policy_lines": f"""
         SELECT doc_id, line_no, phrase FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r|\\x0B|\\x0C|\\x{{85}}|\\x{{2028}}|\\x{{2029}}') AS lines FROM documents)),
         (SELECT unnest([{", ".join(map(_q, POLICY_PHRASES))}]) AS phrase) WHERE NOT starts_with(ltrim(line), '#') AND contains(lower(line), lower(phrase))

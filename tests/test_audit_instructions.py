@@ -28,10 +28,10 @@ def test_validation_is_staged(spark):
 
 
 def test_duplicates_prompts_and_scores(spark):
-    df = spark.createDataFrame([("1", "A", "", "x y z"), ("1", "A", None, "x y z"), ("2", "B", "ctx", None)], "id string, instruction string, input string, output string")
+    df = spark.createDataFrame([("1", "A", "", "x y z", "d"), ("1", "A", None, "x y z", None), ("2", " B", "ctx ", None, "d")], "id string, instruction string, input string, output string, disclaimer string")
     assert {r.measure: r.duplicates for r in instructions.duplicate_counts(df).collect()} == {"id": 1, "instruction": 1, "input": 1, "output": 1, "instruction_input_output": 1}
     got = [r[0] for r in df.select(instructions.prompt(False)).collect()]
-    assert "### Input:" not in got[0] and got[0].endswith("### Response:\n") and "### Input:\nctx" in got[2]
+    assert got[0] == "### Disclaimer\nd\n\n### Instruction\nA\n\n### Response\n" and got[2] == "### Disclaimer\nd\n\n### Instruction\nB\n\n### Context\nctx\n\n### Response\n"
     s = instructions.response_scores(spark.createDataFrame([("X y qqqqqqqqq", "x y z"), (None, None), ("short", "x")], "r string, e string"), "r", "e").collect()
     assert [(x.format_valid, round(x.overlap, 3), x.task_pass) for x in s] == [(True, 0.667, True), (False, 0.0, False), (False, 0.0, False)]
 
