@@ -20,3 +20,15 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+
+
+@pytest.fixture(scope="session")
+def empty_tables(spark, tmp_path_factory):
+    """A data directory with the test tables' columns and no rows."""
+    source = "/root/testdata/sf0.001"
+    if not os.path.isdir(source):
+        pytest.skip("no test data")
+    folder = tmp_path_factory.mktemp("empty")
+    for f in os.listdir(source):
+        spark.read.parquet(f"{source}/{f}").limit(0).write.parquet(str(folder / f))
+    return str(folder)

@@ -38,3 +38,8 @@ def test_query_runs_and_agrees_with_sql(spark, name):
 def test_entry_and_contract(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_on_empty_tables(spark, empty_tables, name):
+    QUERIES[name](spark, empty_tables).collect()
