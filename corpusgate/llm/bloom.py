@@ -1,4 +1,4 @@
-"""A Bloom filter of fixed size over 64-bit values, filled in the cluster and sent to all tasks."""
+"""A Bloom filter of bounded size over 64-bit values, filled in the cluster and sent to all tasks."""
 
 from __future__ import annotations
 
@@ -11,36 +11,41 @@ from pyspark.sql import functions as F
 
 from .codes import mix
 
-#: Words of 64 bits: 8 MB, whatever the corpus. Fuller filters let more through; nothing is lost by that.
-WORDS = 1 << 20
+#: Bits for each value, and the bounds of the filter's size in words of 64 bits: 32 KB to 64 MB. With more values than
+#: fit it lets more through, and nothing is lost by that.
+BITS_A_VALUE, LEAST_WORDS, MOST_WORDS = 16, 1 << 12, 1 << 23
 
 
-def _bits(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The Bloom filter's bits of each value, by two hashes."""
+def _bits(values: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The filter's bits of each value, by two hashes."""
     v = values.view(np.uint64) if values.dtype == np.int64 else values
-    n = np.uint64(WORDS * 64)
+    n = np.uint64(words * 64)
     return mix(v) % n, mix(v ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % n
 
 
 def bloom(values: DataFrame) -> np.ndarray:
-    """Bloom filter over a column ``value``, put together in the cluster from its words."""
+    """Bloom filter over a column ``value`` of a written or persisted table, put together in the cluster from its words."""
+    need = values.count() * BITS_A_VALUE // 64
+    words = min(MOST_WORDS, max(LEAST_WORDS, 1 << need.bit_length()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = np.zeros(WORDS, dtype=np.uint64)
+        filled = np.zeros(words, dtype=np.uint64)
         for b in batches:
-            for bit in _bits(b["value"].to_numpy()):
-                np.bitwise_or.at(words, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-        kept = np.flatnonzero(words)
-        yield pd.DataFrame({"i": kept, "w": words[kept].view(np.int64)})
+            for bit in _bits(b["value"].to_numpy(), words):
+                np.bitwise_or.at(filled, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+        kept = np.flatnonzero(filled)
+        if len(kept):
+            yield pd.DataFrame({"i": kept, "w": filled[kept].view(np.int64)})
 
-    out = np.zeros(WORDS, dtype=np.uint64)
+    out = np.zeros(words, dtype=np.uint64)
     rows = values.mapInPandas(run, "i long, w long").groupBy("i").agg(F.bit_or("w").alias("w")).toPandas()
-    out[rows["i"].to_numpy()] = rows["w"].to_numpy().astype(np.int64).view(np.uint64)
+    out[rows["i"].to_numpy().astype(np.int64)] = rows["w"].to_numpy().astype(np.int64).view(np.uint64)
     return out
 
 
 def passes(filled: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values may be in the filter; those that are in it always pass."""
     ok = np.ones(len(values), dtype=bool)
-    for bit in _bits(values):
+    for bit in _bits(values, len(filled)):
         ok &= (filled[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
     return ok

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from .codes import codes, pieces, rolling
 
 _AT_ONCE = 500_000
-#: Bits of the first test of a q-gram: 4 MB.
-_TEST_BITS = 25
+#: Bits of the number of places in the first test of a q-gram, by the number of q-grams: 64 KB to 32 MB.
+_TEST_BITS = range(16, 26)
 
 
 @lru_cache(1)
@@ -112,8 +112,9 @@ def prepare(ids: list[int], texts: list[str], run: int, share: float) -> Passage
     order = np.argsort(g, kind="stable")
     g = g[order]
     distinct, first = np.unique(g, return_index=True)
-    test = np.zeros(1 << _TEST_BITS, dtype=bool)
-    test[(distinct >> np.uint64(64 - _TEST_BITS)).astype(np.int64)] = True
+    bits = min(_TEST_BITS[-1], max(_TEST_BITS[0], len(distinct).bit_length() + 5))
+    test = np.zeros(1 << bits, dtype=bool)
+    test[(distinct >> np.uint64(64 - bits)).astype(np.int64)] = True
     return Passages(
         [ids[i] for i in kept], [words[i] for i in kept], distinct, np.append(first, len(g)), np.concatenate(owner)[order] if owner else none, np.concatenate(place)[order] if place else none,
         np.array(least, dtype=np.int64), np.array([at[i + 1] - at[i] for i in kept], dtype=np.int64), test, q,
@@ -169,7 +170,8 @@ def _find(texts: list[str], p: Passages, run: int, share: float, stretch: float)
     hashes = rolling(folded, p.q)
     if not len(hashes) or not len(p.grams):
         return []
-    maybe = np.flatnonzero(p.test[(hashes >> np.uint64(64 - _TEST_BITS)).astype(np.int64)])
+    bits = len(p.test).bit_length() - 1
+    maybe = np.flatnonzero(p.test[(hashes >> np.uint64(64 - bits)).astype(np.int64)])
     where = np.searchsorted(p.grams, hashes[maybe])
     where[where == len(p.grams)] = 0
     hit = p.grams[where] == hashes[maybe]

@@ -8,7 +8,7 @@ counted. Equal windows have equal minimisers, so none is missed.
 
 Most minimisers stand in one text only, and their runs stay at home: which
 minimisers stand in several is found first from their hashes alone and sent
-around as a Bloom filter of fixed size. Minimisers of very many texts are not
+around as a Bloom filter of bounded size. Minimisers of very many texts are not
 gathered in a bucket: their windows are sent singly, as digests, and combined
 before the shuffle.
 """

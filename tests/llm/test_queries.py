@@ -19,3 +19,8 @@ def test_runs_with_distinct_rows(spark, name):
     assert len(rows) == len(set(rows))
     if name in COLUMNS:
         assert df.columns == COLUMNS[name]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_runs_on_empty_tables(spark, empty_tables, name):
+    assert QUERIES[name](spark, empty_tables).count() == 0 or name == "p3_report"
