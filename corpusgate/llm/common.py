@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import durable, written
 
-__all__ = ["digest", "durable", "letters_digits", "table", "tokenizer_dir", "without", "written"]
+__all__ = ["digest", "durable", "letters_digits", "table", "tokenizer_dir", "within", "without", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, key, "left_anti")
 
 
+def within(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is among ``keys``, which are counted first as in ``without``."""
+    few = keys.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT
+    return df.join(F.broadcast(keys) if few else keys, key, "left_semi")
+
+
 def letters_digits(text: Column) -> Column:
     """Lower-case letters and digits of ``text`` in order, all else removed; null counts as empty."""
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", "")

@@ -23,13 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import bloom, passes
 from .codes import mix, run_hashes
-from .common import without, written
+from .common import within, without, written
 
 #: Mean chunk length in words.
 CUT_EVERY = 3
@@ -116,25 +116,25 @@ def _rarest(table: DataFrame, counts, side: int, overlap: float) -> DataFrame:
     where what is left is shorter than the overlap asked for.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = counts.value
         for b in batches:
-            if not len(b):
+            if not b.num_rows:
                 continue
-            n = b["chunks"].str.len().to_numpy()
-            row = np.repeat(np.arange(len(b)), n)
-            chunk, length = np.concatenate(b["chunks"].tolist()), np.concatenate(b["lengths"].tolist()).astype(np.int64)
+            n = b.column("chunks").value_lengths().to_numpy()
+            row = np.repeat(np.arange(b.num_rows), n)
+            chunk, length = (b.column(c).flatten().to_numpy() for c in ("chunks", "lengths"))
             order = np.lexsort((chunk, seen[chunk.view(np.uint64) % np.uint64(COUNTERS)], row))
-            chunk, length = chunk[order], length[order]
-            total = np.bincount(row, weights=length)
+            chunk, length = chunk[order], length[order].astype(np.int64)
+            total = np.bincount(row, weights=length, minlength=b.num_rows)
             before = np.cumsum(length) - length
             before = before - np.repeat(before[np.cumsum(n) - n], n)
             keep = total[row] - before >= overlap * total[row]
-            kept = row[keep]
-            yield pd.DataFrame({f"{c}{side}": b[c].to_numpy()[kept] for c in ("id", "words", "p0", "p1")} | {"chunk": chunk[keep]})
+            own = b.select(["id", "words", "p0", "p1"]).take(pa.array(row[keep]))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(chunk[keep])], names=[f"id{side}", f"words{side}", f"p0{side}", f"p1{side}", "chunk"])
 
     schema = f"id{side} long, words{side} int, p0{side} long, p1{side} long, chunk long"
-    return table.where(F.col("side") == side).select("id", "words", "p0", "p1", "chunks", "lengths").mapInPandas(run, schema)
+    return table.where(F.col("side") == side).select("id", "words", "p0", "p1", "chunks", "lengths").mapInArrow(run, schema)
 
 
 def words_differing(a: str, b: str, limit: float) -> float:
@@ -187,26 +187,26 @@ def cross_split_overlaps(
     names = [f"c{i}" for i in range(len(plain) + len(fielded))]
     rows = df.select(F.col(key).cast("long").alias("key"), side.alias("side"), *[F.col(c).cast("string").alias(n) for c, n in zip(plain + fielded, names)]).where("side is not null and key is not null")
 
-    def words_of(b: pd.DataFrame) -> list[str]:
-        columns = [b[n].tolist() for n in names]
+    def words_of(b: pa.RecordBatch) -> list[str]:
+        columns = [b.column(n).to_pylist() for n in names]
         return [record_words(r[: len(plain)], r[len(plain) :]) for r in zip(*columns)]
 
-    def cut_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
             words = words_of(b)
-            some = np.array([bool(w) for w in words])
-            if not some.any():
+            some = [i for i, w in enumerate(words) if w]
+            if not some:
                 continue
-            b, words = b[some], [w for w in words if w]
+            words = [words[i] for i in some]
             text, chunk, length, size, parity = cut(words, hashes)
-            at = np.searchsorted(text, np.arange(1, len(words)))
-            yield pd.DataFrame({
-                "key": b["key"].to_numpy(), "side": b["side"].to_numpy(), "text": [_name(w) for w in words], "words": size, "p0": parity[:, 0].copy().view(np.int64),
-                "p1": parity[:, 1].copy().view(np.int64), "chunks": np.split(chunk.view(np.int64), at), "lengths": np.split(length.astype(np.int16), at),
-            })
+            ends = pa.array(np.searchsorted(text, np.arange(len(words) + 1)).astype(np.int32))
+            own = b.select(["key", "side"]).take(pa.array(some))
+            p0, p1 = (pa.array(np.ascontiguousarray(parity[:, i]).view(np.int64)) for i in (0, 1))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (chunk.view(np.int64), length.astype(np.int16))]
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([_name(w) for w in words], pa.binary()), pa.array(size.astype(np.int32)), p0, p1, *lists], names=["key", "side", "text", "words", "p0", "p1", "chunks", "lengths"])
 
-    table = written(rows.mapInPandas(cut_rows, "key long, side int, text binary, words int, p0 long, p1 long, chunks array<long>, lengths array<smallint>"))
+    table = written(rows.mapInArrow(cut_rows, "key long, side int, text binary, words int, p0 long, p1 long, chunks array<long>, lengths array<smallint>"))
     members = table.select("text", "side", "key")
     # copies stand back behind the first of their text
     twins = members.groupBy("text", "side").agg(F.min("key").alias("id"), F.count("*").alias("n")).where("n > 1")
@@ -222,16 +222,15 @@ def cross_split_overlaps(
     odd = F.bit_count(F.col("p00").bitwiseXOR(F.col("p01"))) + F.bit_count(F.col("p10").bitwiseXOR(F.col("p11")))
     near = (F.abs(F.col("words0") - F.col("words1")) <= most) & (odd <= most * 2)
     pairs = written(_rarest(texts, sent, 0, overlap).join(_rarest(texts, sent, 1, overlap), "chunk").where(near).select("id0", "id1").distinct())
-    wanted = spark.sparkContext.broadcast(bloom(pairs.select(F.col("id0").alias("value")).unionByName(pairs.select(F.col("id1").alias("value")))))
+    wanted = pairs.select(F.col("id0").alias("key")).unionByName(pairs.select(F.col("id1").alias("key"))).distinct()
 
-    def texts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b[passes(wanted.value, b["key"].to_numpy())]
-            if len(b):
-                yield pd.DataFrame({"key": b["key"], "words": words_of(b)})
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(words_of(b), pa.string())], names=["key", "words"])
 
-    # few rows pass; written, they are read once for both sides
-    texts_again = written(rows.mapInPandas(texts_of, "key long, words string"))
+    # few rows are wanted; written, they are read once for both sides
+    texts_again = written(within(rows, wanted, "key").mapInArrow(texts_of, "key long, words string"))
     left, right = (texts_again.select(F.col("key").alias(f"id{s}"), F.col("words").alias(f"text{s}")) for s in (0, 1))
 
     @F.pandas_udf("train_text binary, held_text binary, overlap_fraction double, differing_words double")
