@@ -79,6 +79,7 @@ _VI_LETTERS = "ăắằẳẵặấầẩẫậđẻẽẹếềểễệỉĩ
 _SCRIPTS = ["Han", "Hiragana", "Katakana", "Hangul", "Cyrillic", "Greek", "Arabic", "Hebrew", "Thai", "Devanagari", "Lao", "Khmer"]
 
 # Any of these must stand in an opening before it is worth matching the refusals.
+_HINTS = ["tôi", "em", "mình", "chúng", "trợ lý", "xin", "thể", "này", "hệ thống", "i ", "i'", "i\u2019", " my", "no ", "as a", "be ", "we ", "assistant", "system", "je ", "puedo", "siento", "posible", "debo", "saya", "kami", "ich ", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
 _TELLING = ["tôi", "em ", "mình", "chúng", "hệ thống", "trợ lý", "xin", "không thể", "chưa thể", "này", " i ", " im ", " my ", "no ", " as a", "cannot be", "can not be", "cant be", " we ", "assistant", "system", " je ", "puedo", "siento", "posible", "debo", "saya", "kami", " ich ", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
 
 RULES = ["empty", "refusal", "copied", "truncated", "other_language"]
@@ -89,7 +90,6 @@ _asked = re.compile(_ASKED)
 _viet = re.compile(f"[{_VI_LETTERS}]")
 _beyond_latin = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
 _nonword = re.compile(r"[\W_]+")
-_apostrophes = str.maketrans("", "", "'’")
 _sentence_end = re.compile(r"(?<=[.!?。！？])\s+")
 _lead = re.compile(r"^[\W_]*((?:[^\W_]+[^\w\n:：]*_*){1,5})[:：]")
 _json = re.compile(r"^[{\[]\s*[\"{\[\]}]")
@@ -112,7 +112,7 @@ def _kept(text: str) -> str:
 
 def _words(text: str) -> str:
     """Lower-case letters and digits with single spaces between and around, apostrophes closed up."""
-    return " " + _nonword.sub(" ", text.lower().translate(_apostrophes)).strip() + " "
+    return f" {_nonword.sub(' ', text.lower().replace(chr(39), '').replace(chr(0x2019), '')).strip()} "
 
 
 def language(words: str) -> str | None:
@@ -141,7 +141,7 @@ def language(words: str) -> str | None:
 
 def _refuses(answer: str) -> bool:
     """The answer opens with a refusal, once courtesies are set aside, and has little beside it."""
-    if len(answer) > 700:
+    if len(answer) > 700 or not any(map(answer.lower().__contains__, _HINTS)):
         return False
     sentences = _sentence_end.split(answer.strip())
     if len(sentences) > 5:
@@ -188,23 +188,25 @@ def _breaks_off(text: str, kept: str) -> bool:
 def pair_defects(instruction: str | None, context: str | None, answer: str | None) -> list[str]:
     """Every defect of a pair in rule order; an empty answer has no further defect."""
     i, c, a = instruction or "", context or "", answer or ""
-    kept = _kept(a)
+    said = _words(a)
+    kept = said.replace(" ", "")
     if not kept or (len(a) <= 60 and kept in _PLACEHOLDERS):
         return ["empty"]
     found = []
     if _refuses(a):
         found.append("refusal")
-    ik, ck = _kept(i), _kept(c)
+    iw, cw = _words(i), _words(c)
+    ik, ck = iw.replace(" ", ""), cw.replace(" ", "")
     if _copies(a, kept, [ik, ck, ik + ck, ck + ik]):
         found.append("copied")
     text = a.strip()
     if _breaks_off(text, kept):
         found.append("truncated")
-    asked = language(_words(i + " " + c))
+    asked = language(iw + cw)
     bare = len(text.split(None, 3)) <= 3 and text[-1:] not in ".!?\u3002\uff01\uff1f"
     if asked and not bare:
-        said = language(_words(a))
-        if said and said != asked and not _asked.search(i.lower()):
+        given = language(said)
+        if given and given != asked and not _asked.search(i.lower()):
             found.append("other_language")
     return found
 
