@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +52,27 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the session's Python workers, once for each application.
+
+    So they find it wherever they start. A package that was itself sent as an
+    archive is there already.
+    """
+    context = spark.sparkContext
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _SHIPPED or not os.path.isdir(home):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusgate-"), "corpusgate.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, folders, files in os.walk(home):
+            folders[:] = sorted(f for f in folders if f != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(base, f), os.path.relpath(os.path.join(base, f), os.path.dirname(home)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
