@@ -110,7 +110,7 @@ def _posterior(codes: list[np.ndarray], cells: np.ndarray, log_confusion: np.nda
     return p / p.sum(1, keepdims=True)
 
 
-def fit_consensus(items: DataFrame, labels: list[str] = LABELS, rounds: int = 40, ridge: float = 50.0, smooth: float = 2.0, tolerance: float = 1e-4, most_annotators: int = 20_000, most_cells: int = 5_000) -> tuple[DataFrame, Model]:
+def fit_consensus(items: DataFrame, labels: list[str] = LABELS, rounds: int = 40, ridge: float = 50.0, smooth: float = 5.0, tolerance: float = 1e-3, most_annotators: int = 20_000, most_cells: int = 5_000) -> tuple[DataFrame, Model]:
     """Fits the model to items from ``votes_by_item``; gives the coded items and the model.
 
     Raises ValueError if annotators or feature cells exceed what the driver and
