@@ -77,6 +77,11 @@ def contains_any(text: Column | str, phrases: Iterable[str]) -> Column:
     return any_of(F.contains(low, F.lit(p.lower())) for p in phrases)
 
 
+def preview(c: Column | str, most: int = 80) -> Column:
+    """Text cut to ``most`` characters, the last three of them dots."""
+    return F.when(F.length(as_col(c)) > most, F.concat(F.substring(as_col(c), 1, most - 3), F.lit("..."))).otherwise(as_col(c))
+
+
 def word_count(c: Column | str) -> Column:
     trimmed = utrim(c)
     return F.when(F.coalesce(trimmed, F.lit("")) == "", 0).otherwise(F.size(F.split(trimmed, r"(?U)\s+")))

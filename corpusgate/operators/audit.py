@@ -36,6 +36,12 @@ def histogram(df: DataFrame, column: str, missing: str | None = None) -> DataFra
     return df.select(value.alias(column)).where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("count"))
 
 
+def annotated(histogram_: DataFrame, column: str, notes: dict[str, str], note: str = "note") -> DataFrame:
+    """Rows of a histogram whose value has a note, with it; the notes are a handful and are broadcast."""
+    listed = histogram_.sparkSession.createDataFrame(list(notes.items()), f"{column} string, {note} string")
+    return histogram_.join(F.broadcast(listed), column)
+
+
 def content_summary(df: DataFrame, exact_median: bool = True) -> DataFrame:
     """Rows, mean and median length, empty and nearly empty texts, missing fields, marker counts.
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from ..operators.articles import LABELS
 from ..operators.instructions import CLAIMS, DIFFICULTIES, TASK_TYPES
-from .queries import DEMO_DIMENSIONS, DEMO_TEMPLATES, POLICY_PHRASES
+from ..operators.normalize import DOCUMENT_TYPES, STATUSES
+from .queries import DEMO_DIMENSIONS, DEMO_TEMPLATES, POLICY_PHRASES, TASK_NOTES
 
 # White space in the Unicode sense for RE2.
 _WS = r"[\t-\r\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -338,6 +339,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT row_no, length({_tidy("input")}) > 10 AS format_valid, round(len(list_intersect(e, r)) / greatest(len(e), 1), 6) AS overlap, len(list_intersect(e, r)) / greatest(len(e), 1) >= 0.15 AS task_pass
         FROM (SELECT row_no, input, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(output, '')), '{_WS}+')) IF w <> ''] AS e, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(input, '')), '{_WS}+')) IF w <> ''] AS r FROM sample_qa)
     """,
+    "q_overlap_means": f"""
+        SELECT round_even(avg(CAST(length({_tidy("input")}) > 10 AS INTEGER)), 6) AS format_valid_rate, round_even(avg(CAST(len(list_intersect(e, r)) / greatest(len(e), 1) >= 0.15 AS INTEGER)), 6) AS task_pass_rate
+        FROM (SELECT row_no, input, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(output, '')), '{_WS}+')) IF w <> ''] AS e, [w FOR w IN list_distinct(regexp_split_to_array(lower(coalesce(input, '')), '{_WS}+')) IF w <> ''] AS r FROM sample_qa)
+    """,
+    "q_task_notes": f"SELECT task_type, count(*) AS count, CASE task_type {' '.join(f'WHEN {_q(k)} THEN {_q(v)}' for k, v in TASK_NOTES.items())} END AS note FROM sample_qa WHERE task_type IN {_listed(list(TASK_NOTES))} GROUP BY task_type",
+    "q_contract_errors": f"""
+        SELECT record_no, CASE WHEN length(title) > 80 THEN substr(title, 1, 77) || '...' ELSE title END AS title, array_to_string(errors, '; ') AS errors FROM (SELECT record_no, title, [x FOR x IN [
+            CASE WHEN coalesce(article_number < 1, true) THEN 'article_number must be at least 1' END, CASE WHEN {_blank("text")} THEN 'text must not be blank' END,
+            CASE WHEN doc_type NOT IN {_listed(DOCUMENT_TYPES)} THEN 'doc_type is not listed' END, CASE WHEN status NOT IN {_listed(STATUSES)} THEN 'status is not listed' END,
+            CASE WHEN len([c FOR c IN clauses IF coalesce(c.clause_number, '') = '']) > 0 THEN 'clause_number must not be empty' END, CASE WHEN len([c FOR c IN clauses IF {_blank("c.text")}]) > 0 THEN 'clause text must not be blank' END,
+            CASE WHEN len([c FOR c IN clauses IF c.article_number < 1]) > 0 THEN 'clause article_number must be at least 1' END, CASE WHEN len([c FOR c IN clauses IF c.doc_type NOT IN {_listed(DOCUMENT_TYPES)}]) > 0 THEN 'clause doc_type is not listed' END,
+            CASE WHEN len([c FOR c IN clauses IF c.status NOT IN {_listed(STATUSES)}]) > 0 THEN 'clause status is not listed' END] IF x IS NOT NULL] AS errors FROM synthetic_legal_articles) WHERE len(errors) > 0
+    """,
     "q_policy_lines": f"""
         SELECT doc_id, line_no, phrase FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_no FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '\\r\\n|\\n|\\r|\\x0B|\\x0C|\\x{{85}}|\\x{{2028}}|\\x{{2029}}') AS lines FROM documents)),
         (SELECT unnest([{", ".join(map(_q, POLICY_PHRASES))}]) AS phrase) WHERE NOT starts_with(ltrim(line), '#') AND contains(lower(line), lower(phrase))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import blank, text_or
+from ..functions.exprs import blank, preview, text_or
 from ..operators import articles as art
-from ..operators import audit, candidates, instructions, manifest, normalize, quality, reviews, sampling
+from ..operators import audit, candidates, contracts, instructions, manifest, normalize, quality, reviews, sampling
 from ..sources.readers import table
 from ..sources.shared import spread
 
@@ -23,6 +23,7 @@ DEMO_TEMPLATES = {
     "input": ["Scenario {index}: a {actor} at the {place} asks about {topic}."],
     "output": ["Demo answer for {case_anchor}: check the {topic} with the {actor} first.", "Synthetic reply: the {place} files the {topic}.", "Demo note: a {actor} keeps the {topic}."],
 }
+TASK_NOTES = {"explanation": "may leave out conditions", "drafting_demo": "may overstate effect"}
 POLICY_PHRASES = ["thời hạn", "complaint box", "not legal advice"]
 
 
@@ -332,6 +333,23 @@ def q_overlap_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.response_scores(_qa(spark, sf_dir), "input", "output").select("row_no", "format_valid", F.round("overlap", 6).alias("overlap"), "task_pass")
 
 
+@query
+def q_overlap_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = instructions.response_scores(_qa(spark, sf_dir), "input", "output")
+    return scored.agg(*[F.bround(F.avg(F.col(c).cast("int")), 6).alias(f"{c}_rate") for c in ("format_valid", "task_pass")])
+
+
+@query
+def q_task_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.annotated(audit.histogram(_qa(spark, sf_dir), "task_type"), "task_type", TASK_NOTES)
+
+
+@query
+def q_contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contracts.contract_errors(table(spark, sf_dir, "synthetic_legal_articles"))
+    return rows.where(F.size("contract_errors") > 0).select("record_no", preview("title").alias("title"), F.array_join("contract_errors", "; ").alias("errors"))
+
+
 @query
 def q_policy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.lines_holding(table(spark, sf_dir, "documents"), "doc_id", "text", POLICY_PHRASES)
