@@ -23,9 +23,12 @@ def _bits(values: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(v) % n, mix(v ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % n
 
 
-def bloom(values: DataFrame) -> np.ndarray:
-    """Bloom filter over a column ``value`` of a written or persisted table, put together in the cluster from its words."""
-    need = values.count() * BITS_A_VALUE // 64
+def bloom(values: DataFrame, bits: int = BITS_A_VALUE) -> np.ndarray:
+    """Bloom filter over a column ``value`` of a written or persisted table, put together in the cluster from its words.
+
+    Fewer ``bits`` for each row do where most values stand in several rows.
+    """
+    need = values.count() * bits // 64
     words = min(MOST_WORDS, max(LEAST_WORDS, 1 << need.bit_length()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

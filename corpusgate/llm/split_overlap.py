@@ -1,15 +1,16 @@
 """Same or near-same records across splits.
 
-Records are normalised to words and cut into content-defined chunks by a
-rolling hash over words, so an edit changes only the chunks around it. Chunk
-digests are joined between the training and the evaluation side, and the
-lengths of shared chunks are summed into an overlap fraction for each pair.
-
-Frequent chunks need not travel: where two records share at least ``overlap``
-of the longer one's length, the rarest chunk they share lies among the rarest
-chunks of either that make up the rest of its length and one more, so only
-these are joined. This loses no pair. Rarity is read from a table of chunk
-counts of fixed size.
+Records are normalised to words. A training text gives short runs of words
+that do not overlap, one more than the words that may be changed: one change
+touches one run at the most, so every text near enough holds at least one of
+them as it stands. Of all such sets of runs that with the fewest hits among the
+held-out texts is taken, as counted in a table of fixed size. A held-out text
+gives all its runs, and runs are joined. This loses no pair. An alignment of
+the words decides on each.
+
+The overlap fraction that is reported with a pair is that of content-defined
+chunks, cut by a rolling hash over words, so an edit changes only the chunks
+around it. It decides nothing.
 """
 
 from __future__ import annotations
@@ -28,13 +29,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import bloom, passes
 from .codes import mix, run_hashes
 from .common import within, without, written
 
 #: Mean chunk length in words.
 CUT_EVERY = 3
-#: Size of the table of chunk counts, whatever the corpus: 2 ** 16 counters of 8 bytes.
-COUNTERS = 1 << 16
+#: Most words of a run; short texts have shorter ones.
+RUN = 5
+#: Size of the table of run counts, whatever the corpus: 2 ** 17 counters of 8 bytes.
+COUNTERS = 1 << 17
+#: Runs are chosen within pieces of up to so many words.
+PIECE = 128
+#: More than any count in the choice of runs.
+_NEVER = 1 << 28
 
 _name = lambda words: hashlib.blake2b(words.encode(), digest_size=16).digest()
 _gap = re.compile(r"[\W_]+")
@@ -78,6 +86,20 @@ class _Hashes(dict):
         return h
 
 
+def _hashed(texts: list[str], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of word-normalised texts, and where each text starts and how many words it has."""
+    split = [t.split(" ") for t in texts]
+    size = np.array([len(w) for w in split], dtype=np.int64)
+    h = np.fromiter((hashes[w] for words in split for w in words), dtype=np.uint64, count=int(size.sum()))
+    return h, np.cumsum(size) - size, size
+
+
+def _parities(h: np.ndarray, start: np.ndarray) -> np.ndarray:
+    one = np.uint64(1) << (h & np.uint64(63))
+    high = (h >> np.uint64(6)) & np.uint64(1) == 1
+    return np.stack([np.bitwise_xor.reduceat(np.where(high, np.uint64(0), one), start), np.bitwise_xor.reduceat(np.where(high, one, np.uint64(0)), start)], axis=1)
+
+
 def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Content-defined chunks of word-normalised texts: ``text, digest, words`` of each distinct chunk of a text, and the texts' words and parities.
 
@@ -86,10 +108,7 @@ def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.n
     text has an odd number in each: parities differ in at most as many bits as
     one must remove and add words to turn one text into the other.
     """
-    split = [t.split(" ") for t in texts]
-    size = np.array([len(w) for w in split], dtype=np.int64)
-    start = np.cumsum(size) - size
-    h = np.fromiter((hashes[w] for words in split for w in words), dtype=np.uint64, count=int(size.sum()))
+    h, start, size = _hashed(texts, hashes)
     before = np.zeros_like(h)
     before[1:] = h[:-1]
     before[start] = 0
@@ -103,38 +122,109 @@ def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.n
     new = np.ones(len(order), dtype=bool)
     new[1:] = (digest_[order][1:] != digest_[order][:-1]) | (text[order][1:] != text[order][:-1])
     order = order[new]
-    one = np.uint64(1) << (h & np.uint64(63))
-    high = (h >> np.uint64(6)) & np.uint64(1) == 1
-    parity = np.stack([np.bitwise_xor.reduceat(np.where(high, np.uint64(0), one), start), np.bitwise_xor.reduceat(np.where(high, one, np.uint64(0)), start)], axis=1)
-    return text[order], digest_[order], (stop - first)[order], size, parity
+    return text[order], digest_[order], (stop - first)[order], size, _parities(h, start)
 
 
-def _rarest(table: DataFrame, counts, side: int, overlap: float) -> DataFrame:
-    """``chunk`` and the record's columns for the chunks of each record that may be the rarest shared one.
+def _runs_needed(words: np.ndarray, differing: float) -> tuple[np.ndarray, np.ndarray]:
+    """For training texts of so many words: the words of a run (0: the whole text), and how many runs survive all changes but one.
 
-    Of equal chunks of a record one counts. Chunks come rarest first and end
-    where what is left is shorter than the overlap asked for.
+    The longest text near enough has at most ``words / (1 - differing)`` words.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = counts.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            n = b.column("chunks").value_lengths().to_numpy()
-            row = np.repeat(np.arange(b.num_rows), n)
-            chunk, length = (b.column(c).flatten().to_numpy() for c in ("chunks", "lengths"))
-            order = np.lexsort((chunk, seen[chunk.view(np.uint64) % np.uint64(COUNTERS)], row))
-            chunk, length = chunk[order], length[order].astype(np.int64)
-            total = np.bincount(row, weights=length, minlength=b.num_rows)
-            before = np.cumsum(length) - length
-            before = before - np.repeat(before[np.cumsum(n) - n], n)
-            keep = total[row] - before >= overlap * total[row]
-            own = b.select(["id", "words", "p0", "p1"]).take(pa.array(row[keep]))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(chunk[keep])], names=[f"id{side}", f"words{side}", f"p0{side}", f"p1{side}", "chunk"])
-
-    schema = f"id{side} long, words{side} int, p0{side} long, p1{side} long, chunk long"
-    return table.where(F.col("side") == side).select("id", "words", "p0", "p1", "chunks", "lengths").mapInArrow(run, schema)
+    most = (np.floor(words / (1 - differing) + 1e-9) * differing + 1e-9).astype(np.int64)
+    return np.where(most > 0, np.minimum(RUN, words // (most + 1)), 0), most + 1
+
+
+def _runs(h: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the run of ``width`` words from each word on, also across the ends of texts."""
+    found = h ^ np.uint64(width * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    for k in range(1, width):
+        after = np.zeros_like(h)
+        after[:-k] = h[k:]
+        found = mix(found * np.uint64(31) + after)
+    return found
+
+
+def held_runs(h: np.ndarray, start: np.ndarray, size: np.ndarray, differing: float) -> tuple[np.ndarray, np.ndarray]:
+    """``text, run`` of every run that a training text near a text may have chosen."""
+    at = np.arange(int(size.max() / (1 - differing)) + 3)
+    widths = _runs_needed(at, differing)[0]
+    least, most = size - (size * differing + 1e-9).astype(np.int64), (size / (1 - differing) + 1e-9).astype(np.int64)
+    text = np.repeat(np.arange(len(size)), size)
+    left = np.repeat(start + size, size) - np.arange(len(h))
+    rows, found = [], []
+    for width in range(RUN + 1):
+        there = np.concatenate([[0], np.cumsum(widths == width)])
+        wanted = there[most + 1] > there[least]
+        if not wanted.any():
+            continue
+        if width:
+            ok = (left >= width) & wanted[text]
+            rows.append(text[ok])
+            found.append(_runs(h, width)[ok])
+        else:
+            rows.append(np.flatnonzero(wanted))
+            found.append(run_hashes(h, start, start + size)[wanted])
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def _fewest(cost: np.ndarray, first: np.ndarray, size: np.ndarray, need: np.ndarray, width: int) -> np.ndarray:
+    """Starts of ``need`` runs of each piece that do not overlap and whose costs have the least sum."""
+    chosen = []
+    order = np.argsort(size, kind="stable")
+    for some in np.array_split(order, max(1, len(order) // 512)):
+        n, f, many = size[some], first[some], need[some]
+        longest = int(n.max())
+        at = np.arange(longest - width + 1)[:, None]
+        here = np.where(at <= n - width, cost[np.minimum(f + at, len(cost) - 1)], np.int32(_NEVER))
+        best = np.zeros((longest + 1, len(some)), dtype=np.int32)
+        steps = []
+        for _ in range(int(many.max())):
+            ending = np.full_like(best, _NEVER)
+            np.minimum(best[: longest - width + 1] + here, _NEVER, out=ending[width:])
+            best = ending.copy()
+            for i in range(1, longest + 1):  # a loop over long rows takes a fifth of the time of accumulate
+                np.minimum(best[i - 1], best[i], out=best[i])
+            steps.append((ending, best))
+        end = n.copy()
+        for j in range(len(steps) - 1, -1, -1):
+            on = np.flatnonzero(many > j)
+            ending, best = steps[j]
+            # the first place at which the least sum up to the end is reached
+            reached = (ending[:, on] == best[end[on], on]).argmax(axis=0)
+            end[on] = reached - width
+            chosen.append(f[on] + end[on])
+    return np.concatenate(chosen)
+
+
+def train_runs(h: np.ndarray, start: np.ndarray, size: np.ndarray, counts: np.ndarray, differing: float) -> tuple[np.ndarray, np.ndarray]:
+    """``text, run`` of the runs chosen for each text, sorted by text; a run a text has twice counts once."""
+    widths, needs = _runs_needed(size, differing)
+    rows, found = [], []
+    for width in np.unique(widths):
+        which = np.flatnonzero(widths == width)
+        if not width:
+            rows.append(which)
+            found.append(run_hashes(h, start[which], start[which] + size[which]))
+            continue
+        # long texts in pieces, each with its share of the runs
+        parts = -(-size[which] // PIECE)
+        text = np.repeat(which, parts)
+        k = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        of = np.repeat(parts, parts)
+        low, high = size[text] * k // of, size[text] * (k + 1) // of
+        # shares by length, rounded down alike
+        need = needs[text] * high // size[text] - needs[text] * low // size[text]
+        runs = _runs(h, int(width))
+        cost = np.minimum(counts[(runs % np.uint64(COUNTERS)).astype(np.int64)], 1 << 20).astype(np.int32)
+        starts = _fewest(cost, start[text] + low, high - low, need, int(width))
+        rows.append(np.searchsorted(start, starts, side="right") - 1)
+        found.append(runs[starts])
+    row, run = np.concatenate(rows), np.concatenate(found)
+    order = np.lexsort((run, row))
+    row, run = row[order], run[order]
+    new = np.ones(len(row), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (run[1:] != run[:-1])
+    return row[new], run[new]
 
 
 def words_differing(a: str, b: str, limit: float) -> float:
@@ -168,20 +258,22 @@ def words_differing(a: str, b: str, limit: float) -> float:
 
 
 def cross_split_overlaps(
-    df: DataFrame, key: str, split: str, plain: list[str], fielded: list[str], train: tuple[str, ...] = ("train",), held_out: tuple[str, ...] = ("validation", "test"), overlap: float = 0.5, differing: float = 0.12
+    df: DataFrame, key: str, split: str, plain: list[str], fielded: list[str], train: tuple[str, ...] = ("train",), held_out: tuple[str, ...] = ("validation", "test"), differing: float = 0.12
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of distinct texts across splits, and the records that hold each text.
 
     The pairs have ``train_text, held_text`` (16-byte digests of the word
     sequence), ``overlap_fraction`` (shared chunk length over the longer text)
     and ``differing_words`` (share of words an alignment changes); kept are
-    those with at most ``differing``. The members have ``text, side, key`` for
+    those with at most ``differing``, which must be under a half. The members have ``text, side, key`` for
     every record: copies stay one text until a caller wants the pairs spelled out.
 
     Rows with a null key, a split outside both lists (also null), or no word at
     all take no part. Equal rows are members of one text. A text equal on both
     sides pairs with itself.
     """
+    if not 0 <= differing < 0.5:
+        raise ValueError("differing must be from 0 to under 0.5")
     spark = df.sparkSession
     side = F.when(F.col(split).isin(*train), 0).when(F.col(split).isin(*held_out), 1)
     names = [f"c{i}" for i in range(len(plain) + len(fielded))]
@@ -191,7 +283,7 @@ def cross_split_overlaps(
         columns = [b.column(n).to_pylist() for n in names]
         return [record_words(r[: len(plain)], r[len(plain) :]) for r in zip(*columns)]
 
-    def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
             words = words_of(b)
@@ -199,29 +291,64 @@ def cross_split_overlaps(
             if not some:
                 continue
             words = [words[i] for i in some]
-            text, chunk, length, size, parity = cut(words, hashes)
-            ends = pa.array(np.searchsorted(text, np.arange(len(words) + 1)).astype(np.int32))
+            h, start, size = _hashed(words, hashes)
+            parity = _parities(h, start)
             own = b.select(["key", "side"]).take(pa.array(some))
             p0, p1 = (pa.array(np.ascontiguousarray(parity[:, i]).view(np.int64)) for i in (0, 1))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (chunk.view(np.int64), length.astype(np.int16))]
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([_name(w) for w in words], pa.binary()), pa.array(size.astype(np.int32)), p0, p1, *lists], names=["key", "side", "text", "words", "p0", "p1", "chunks", "lengths"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(h)).astype(np.int32)), pa.array(h.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([_name(w) for w in words], pa.binary()), pa.array(size.astype(np.int32)), p0, p1, lists], names=["key", "side", "text", "words", "p0", "p1", "hashes"])
 
-    table = written(rows.mapInArrow(cut_rows, "key long, side int, text binary, words int, p0 long, p1 long, chunks array<long>, lengths array<smallint>"))
+    table = written(rows.mapInArrow(word_rows, "key long, side int, text binary, words int, p0 long, p1 long, hashes array<long>"))
     members = table.select("text", "side", "key")
     # copies stand back behind the first of their text
     twins = members.groupBy("text", "side").agg(F.min("key").alias("id"), F.count("*").alias("n")).where("n > 1")
     later = written(members.join(twins, ["text", "side"]).where("key <> id").select("key"))
     texts = without(table, later, "key").withColumnRenamed("key", "id")
+    own = ["id", "words", "p0", "p1"]
+    trained, held = (texts.where(F.col("side") == n).select(*own, "hashes") for n in (0, 1))
+
+    def hashes_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = b.column("words").to_numpy().astype(np.int64)
+        return b.column("hashes").flatten().to_numpy().view(np.uint64), np.cumsum(size) - size, size
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                run = held_runs(*hashes_of(b), differing)[1]
+                total += np.bincount((run % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["b", "n"])
+
     counted = np.zeros(COUNTERS, dtype=np.int64)
-    # the counters are of unsigned digests: the low bits are the same
-    for b, n in texts.select(F.explode("chunks").alias("c")).groupBy(F.col("c").bitwiseAND(COUNTERS - 1).alias("b")).agg(F.count("*").alias("n")).collect():  # at most COUNTERS rows
-        counted[b] = n
+    at = held.select("words", "hashes").mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
+    counted[at["b"].to_numpy().astype(np.int64)] = at["n"].to_numpy()
     sent = spark.sparkContext.broadcast(counted)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                row, run = train_runs(*hashes_of(b), sent.value, differing)
+                ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*b.select(own).columns, pa.ListArray.from_arrays(ends, pa.array(run.view(np.int64)))], names=[*[f"{c}0" for c in own], "runs"])
+
+    chosen = written(trained.mapInArrow(choose, "id0 long, words0 int, p00 long, p10 long, runs array<long>"))
+    known = spark.sparkContext.broadcast(bloom(chosen.select(F.explode("runs").alias("value")), bits=4))
+
+    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                row, run = held_runs(*hashes_of(b), differing)
+                ok = passes(known.value, run)
+                row, run = row[ok], run[ok]
+                yield pa.RecordBatch.from_arrays([*b.select(own).take(pa.array(row)).columns, pa.array(run.view(np.int64))], names=[*[f"{c}1" for c in own], "run"])
+
+    offered = held.mapInArrow(offer, "id1 long, words1 int, p01 long, p11 long, run long")
     # what must hold of two texts that differ in so few words
     most = F.greatest("words0", "words1") * differing
     odd = F.bit_count(F.col("p00").bitwiseXOR(F.col("p01"))) + F.bit_count(F.col("p10").bitwiseXOR(F.col("p11")))
     near = (F.abs(F.col("words0") - F.col("words1")) <= most) & (odd <= most * 2)
-    pairs = written(_rarest(texts, sent, 0, overlap).join(_rarest(texts, sent, 1, overlap), "chunk").where(near).select("id0", "id1").distinct())
+    pairs = written(chosen.select("id0", "words0", "p00", "p10", F.explode("runs").alias("run")).join(offered, "run").where(near).select("id0", "id1").distinct())
     wanted = pairs.select(F.col("id0").alias("key")).unionByName(pairs.select(F.col("id1").alias("key"))).distinct()
 
     def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +375,7 @@ def cross_split_overlaps(
         return pd.DataFrame(out | {"differing_words": [words_differing(a, b, differing) for a, b in zip(x, y)]})
 
     both = pairs.join(left, "id0").join(right, "id1").select(compare("text0", "text1").alias("m")).select("m.*")
-    return both.where((F.col("overlap_fraction") >= overlap) & (F.col("differing_words") <= differing)), members
+    return both.where(F.col("differing_words") <= differing), members
 
 
 def spelled_out(pairs: DataFrame, members: DataFrame) -> DataFrame:

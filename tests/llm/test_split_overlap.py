@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from corpusgate.llm.split_overlap import _Hashes, cross_split_overlaps, cut, record_words, spelled_out, words_differing
+from corpusgate.llm.split_overlap import COUNTERS, _hashed, _Hashes, cross_split_overlaps, cut, held_runs, record_words, spelled_out, train_runs, words_differing
 
 
 def edit_distance(a, b):
@@ -85,3 +85,38 @@ def test_empty_table_and_long_texts(spark):
     long = " ".join(f"w{n}" for n in range(60_000))
     df = spark.createDataFrame([(1, long, None, "a", "train"), (2, long + " end", None, "a", "test")], schema)
     assert spelled_out(*cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])).count() == 1
+
+
+@pytest.mark.parametrize("words", [9, 20, 40, 100, 200, 500])
+def test_no_pair_with_a_tenth_of_its_words_changed_is_lost(words):
+    rng = random.Random(words)
+    hashes, trained, held = _Hashes(), [], []
+    for k in range(150):
+        a = [f"w{rng.randint(0, 3000)}" for _ in range(words)]
+        b = [[w] for w in a]
+        for i in rng.sample(range(words), int(words * (0.08, 0.1, 0.12)[k % 3])):
+            b[i] = rng.choice([["khác"], ["khác"], [], [a[i], "thêm"]])
+        trained.append(" ".join(a))
+        held.append(" ".join(w for x in b for w in x))
+    offered = held_runs(*_hashed(held, hashes), 0.12)
+    counts = np.bincount((offered[1] % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    chosen = train_runs(*_hashed(trained, hashes), counts, 0.12)
+    met = {t for t, _ in set(zip(*map(np.ndarray.tolist, chosen))) & set(zip(*map(np.ndarray.tolist, offered)))}
+    near = {k for k, (a, b) in enumerate(zip(trained, held)) if words_differing(a, b, 0.12) <= 0.12}
+    assert len(near) > 140 and near <= met
+
+
+def test_pairs_that_share_few_chunks_are_found(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(120):
+        words = [f"w{rng.randint(0, 3000)}" for _ in range(40)]
+        other = list(words)
+        for i in rng.sample(range(40), 4):
+            other[i] = "khác"
+        rows += [(2 * k, " ".join(words), None, None, "train"), (2 * k + 1, " ".join(other), None, None, "test")]
+    df = spark.createDataFrame(rows, "id long, instruction string, input string, output string, side string")
+    found, members = cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])
+    got = {(r.train_key, r.held_key) for r in spelled_out(found, members).collect()}
+    assert got == {(2 * k, 2 * k + 1) for k in range(120)}
+    assert found.where("overlap_fraction < 0.5").count() > 0
