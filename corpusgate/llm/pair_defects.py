@@ -78,19 +78,30 @@ FUNCTION_WORDS = {
 _VI_LETTERS = "ăắằẳẵặấầẩẫậđẻẽẹếềểễệỉĩịỏọốồổỗộơớờởỡợủũụưứừửữựỳỷỹỵ"
 _SCRIPTS = ["Han", "Hiragana", "Katakana", "Hangul", "Cyrillic", "Greek", "Arabic", "Hebrew", "Thai", "Devanagari", "Lao", "Khmer"]
 
-# Any of these must stand in an opening before it is worth matching the refusals.
-_HINTS = ["tôi", "em", "mình", "chúng", "trợ lý", "xin", "thể", "này", "hệ thống", "i ", "i'", "i\u2019", " my", "no ", "as a", "be ", "we ", "assistant", "system", "je ", "puedo", "siento", "posible", "debo", "saya", "kami", "ich ", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
+# Words of sentences that speak of the request, of who asks or declines, or of whom to ask instead. They answer nothing.
+_ASIDE = (
+    r" (?:tôi|em|mình|bạn|quý|anh chị|vui lòng|mong|hãy|xin|yêu cầu|câu hỏi|trả lời|phụ trách|chuyên môn|lý do|chính sách|thông cảm|đây|này|điều đó|việc đó|"
+    r"i|im|id|me|my|we|our|you|your|please|sorry|thanks|try|ask|request|requests|question|questions|person in charge|policy|policies|safety|assistant|advice|this|that|it|these|such|"
+    r"je|moi|vous|votre|demande|yo|usted|su pregunta|saya|anda|ich|sie|ihre)(?= )"
+)
+
+# Any of these must stand in an answer before it is worth matching the refusals.
 _TELLING = ["tôi", "em ", "mình", "chúng", "hệ thống", "trợ lý", "xin", "không thể", "chưa thể", "này", " i ", " im ", " my ", "no ", " as a", "cannot be", "can not be", "cant be", " we ", "assistant", "system", " je ", "puedo", "siento", "posible", "debo", "saya", "kami", " ich ", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
+# And one of these, for every way to refuse holds one.
+_DENYING = ["không", "chưa thể", "từ chối", "ngoài", "vượt quá", "cannot", " not ", " cant ", "couldnt", "wont", "dont", "unable", "decline", "refuse", " pass ", "beyond", "outside", "can be", " as a", " je ", "puedo", "siento", "posible", "debo", "tidak", "menolak", "nicht", "ablehnen", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
 
 RULES = ["empty", "refusal", "copied", "truncated", "other_language"]
 
 _refusal = re.compile("|".join(REFUSALS))
+_refusal_anywhere = re.compile("|".join(r.removeprefix("^") for r in REFUSALS))
+_aside = re.compile(_ASIDE)
+_quoted = re.compile("“[^”]*”|«[^»]*»|\"[^\"]*\"")
 _courtesy = re.compile(_COURTESY.replace("^", "^ ", 1))
 _asked = re.compile(_ASKED)
 _viet = re.compile(f"[{_VI_LETTERS}]")
 _beyond_latin = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
 _nonword = re.compile(r"[\W_]+")
-_sentence_end = re.compile(r"(?<=[.!?。！？])\s+")
+_sentence_end = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
 _lead = re.compile(r"^[\W_]*((?:[^\W_]+[^\w\n:：]*_*){1,5})[:：]")
 _json = re.compile(r"^[{\[]\s*[\"{\[\]}]")
 _dangling = re.compile(r"[,;:(\[{/–—\-、，：；（]$")
@@ -139,22 +150,32 @@ def language(words: str) -> str | None:
     return best if counts[best] >= 2 and counts[best] * 6 >= len(parts) else None
 
 
-def _refuses(answer: str) -> bool:
-    """The answer opens with a refusal, once courtesies are set aside, and has little beside it."""
-    if len(answer) > 700 or not any(map(answer.lower().__contains__, _HINTS)):
+def _refuses(answer: str, spoken: str, context: str) -> bool:
+    """Some sentence of the answer refuses, outside quotation marks, and none answers; ``spoken`` has the answer's words.
+
+    A sentence answers if it has over three words after courtesies and speaks
+    neither of the request nor of who asks or declines. After a refusal it may
+    still be a reason for it: there it answers only if half of its words are
+    those of the context, or if there is no context to tell by.
+    """
+    if not any(map(spoken.__contains__, _DENYING)) or not any(map(spoken.__contains__, _TELLING)):
         return False
-    sentences = _sentence_end.split(answer.strip())
-    if len(sentences) > 5:
+    own = _quoted.sub(" ", answer)
+    if not _kept(own):
+        own = answer
+    if not _refusal_anywhere.search(spoken if own == answer else _words(own)):
         return False
-    opening = first = None
-    for sentence in sentences:
+    known = set(_words(context).split())
+    refused = False
+    for sentence in _sentence_end.split(own.strip()):
         said = _courtesy.sub(" ", _words(sentence))
-        first = said if first is None else first
-        if said.count(" ") > 4:
-            opening = said
-            break
-    opening = first if opening is None else opening
-    return len(opening) <= 260 and any(t in opening for t in _TELLING) and _refusal.search(opening) is not None
+        if _refusal.search(said):
+            refused = True
+        elif said.count(" ") > 4 and not _aside.search(said):
+            words = said.split()
+            if not refused or not known or 2 * sum(w in known for w in words) >= len(words):
+                return False
+    return refused
 
 
 def _copies(answer: str, kept: str, sources: list[str]) -> bool:
@@ -193,7 +214,7 @@ def pair_defects(instruction: str | None, context: str | None, answer: str | Non
     if not kept or (len(a) <= 60 and kept in _PLACEHOLDERS):
         return ["empty"]
     found = []
-    if _refuses(a):
+    if _refuses(a, said, c):
         found.append("refusal")
     iw, cw = _words(i), _words(c)
     ik, ck = iw.replace(" ", ""), cw.replace(" ", "")

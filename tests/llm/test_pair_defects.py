@@ -41,3 +41,25 @@ def test_operator(spark):
     got = {r.id: r.defect for r in find_pair_defects(df).collect()}
     assert got == {n: d for n, (*_, d) in enumerate(CASES)} | {99: None}
     assert find_pair_defects(df.limit(0)).count() == 0
+
+
+REASONS = "Files of ongoing proceedings carry duties of discretion towards everyone concerned. Their wording changes often and depends on local practice. "
+
+
+@pytest.mark.parametrize("i,c,a", [
+    (EN, EN_NOTE, "I understand you want the deadline of this slip. I am not able to help with it."),
+    (EN, EN_NOTE, "I'm sorry, but I can't help with that. " + REASONS * 6 + "Please ask someone else."),
+    (ASK, NOTE, "Cảm ơn bạn đã gửi phiếu này cho tôi. Tôi rất muốn hỗ trợ bạn. Tuy nhiên tôi không thể trả lời câu hỏi này. " + "Bạn nên hỏi một người có chuyên môn. " * 25),
+    (EN, EN_NOTE, "I am not able to help with " + "the very long list of papers and slips and forms that you have sent " * 6 + "today."),
+])
+def test_refusals_of_any_length_and_place(i, c, a):
+    assert pair_defects(i, c, a)[:1] == ["refusal"]
+
+
+@pytest.mark.parametrize("i,c,a", [
+    (EN, EN_NOTE, "The ward office must record a copied form within the week. I cannot comment on other slips."),
+    (EN, EN_NOTE, "I cannot comment on other slips. The ward office must record a copied form within the week."),
+    (EN, EN_NOTE, "The clerk answered: “I cannot help with that.” The form must then be recorded within the week."),
+])
+def test_answers_with_a_refusal_beside_them(i, c, a):
+    assert pair_defects(i, c, a) == []
