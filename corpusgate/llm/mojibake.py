@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 #: Single-byte encodings in which UTF-8 bytes are read by mistake.
 READ_AS = ["cp1252", "latin-1", "cp1258", "cp1250", "cp1251", "cp1254", "cp1257", "cp437", "cp850", "mac_roman", "iso8859_15"]
-#: Those that are read twice over often enough to be listed.
+#: Those that are read twice over in any order; the others are listed for reading in the same one twice.
 READ_TWICE = ["cp1252", "latin-1", "cp1258"]
 
 # The Vietnamese 8-bit standards, code by code.
@@ -130,10 +130,13 @@ def _read(data: bytes, encoding: str) -> str:
 def _alphabet() -> list[str]:
     latin = [chr(c) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)) if chr(c).isalpha()]
     other = [chr(c) for c in (*range(0x391, 0x3CA), *range(0x401, 0x460)) if chr(c).isalpha()]
-    return latin + other + list(_PUNCTUATION)
+    marks = list("\u0300\u0301\u0302\u0303\u0306\u0309\u031b\u0323")
+    thai = [chr(c) for c in (*range(0xE01, 0xE3B), *range(0xE3F, 0xE5C))]
+    emoji = [chr(c) for c in (*range(0x1F300, 0x1F650), *range(0x1F680, 0x1F700), *range(0x1F900, 0x1FA00))]
+    return latin + other + marks + thai + emoji + list(_PUNCTUATION)
 
 
-_OPENERS = set("ÂÃÊÔÁÀâãêôáà")
+_OPENERS = set("ÂÃÊÔÁÀÌâãêôáàì\u0300")
 
 
 def _plausible(garbled: str) -> bool:
@@ -164,6 +167,8 @@ def patterns() -> dict[str, tuple[str, int]]:
         if e in READ_TWICE:
             for second in READ_TWICE:
                 add(_read(garbled.encode(), second), c)
+        else:
+            add(_read(garbled.encode(), e), c)
     # what is left of a letter whose last byte was lost cannot be restored
     for e in READ_AS:
         for lead in (b"\xe1\xba", b"\xe1\xbb", b"\xc3", b"\xc4", b"\xc6"):
@@ -221,29 +226,49 @@ def _legacy_word(word: str, name: str) -> str | None:
     return None
 
 
+def _stretch(told: list[bool]) -> tuple[int, int]:
+    """First and last place of the stretch with the largest excess of true over false, or (0, -1) if that is under two."""
+    most, found, total, first = 1, (0, -1), 0, 0
+    for i, t in enumerate(told):
+        if total <= 0:
+            total, first = 0, i
+        total += 1 if t else -1
+        if total > most:
+            most, found = total, (first, i)
+    return found
+
+
 def _legacy(text: str) -> tuple[str, int]:
     """Text with words of a Vietnamese 8-bit encoding restored, and how many words tell of it.
 
     A word tells if it has three characters or more and is no syllable as it
-    stands. One word of five characters proves it or two shorter ones, unless
-    most such words of the text are of no syllable in the encoding either.
+    stands. One word of five characters proves it or two shorter ones. Where
+    most such words of the text are of no syllable in the encoding, a stretch in
+    which those that are outnumber the others by two proves itself, and nothing else is changed.
     """
     words = [w for w in _WORD.finditer(text) if not w.group().isascii()]
-    strange = [w.group() for w in words if w.end() - w.start() > 2 and any(c.isascii() and c.isalpha() for c in w.group()) and not is_syllable(unicodedata.normalize("NFC", w.group().lower()))]
+    strange = [w for w in words if w.end() - w.start() > 2 and any(c.isascii() and c.isalpha() for c in w.group()) and not is_syllable(unicodedata.normalize("NFC", w.group().lower()))]
     if not strange:
         return text, 0
-    best, name = 0, ""
+    best, name, low, high = 0, "", 0, 0
     for encoding in legacy_table():
-        hits = [w for w in strange if _legacy_word(w, encoding)]
-        if len(hits) > best and len(hits) * 2 >= len(strange) and (len(hits) > 1 or len(hits[0]) > 4):
-            best, name = len(hits), encoding
+        told = [_legacy_word(w.group(), encoding) is not None for w in strange]
+        hits = [w.group() for w, t in zip(strange, told) if t]
+        if len(hits) * 2 >= len(strange):
+            first, last = 0, len(strange) - 1
+        else:
+            first, last = _stretch(told)
+            hits = [w.group() for w, t in zip(strange[first : last + 1], told[first : last + 1]) if t] if last > first else []
+        if len(hits) > best and (len(hits) > 1 or len(hits[0]) > 4):
+            whole = last - first == len(strange) - 1
+            best, name, low, high = len(hits), encoding, 0 if whole else strange[first].start(), len(text) if whole else strange[last].end()
     if not best:
         return text, 0
     out, end = [], 0
     for w in words:
         # a short word may be a sign of its own beside a letter, as in square metres
         own = w.group()
-        sign = len(own) < 3 and any(not c.isalpha() for c in own)
+        sign = len(own) < 3 and any(not c.isalpha() for c in own) or not low <= w.start() < high
         out += [text[end : w.start()], own if sign else _legacy_word(own, name) or own]
         end = w.end()
     return "".join([*out, text[end:]]), best

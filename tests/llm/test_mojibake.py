@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,3 +60,22 @@ def test_operator_with_nulls_copies_and_clashing_names(spark):
     got = sorted((r.id, r.field_name, r.restored_text[:9]) for r in repair_encoding(df, ["text", "spans_text"], ["id"]).collect())
     assert got == [(3, "text", "giấy"), (3, "text", "giấy"), (4, "spans_text", "quá hạn"), (5, "text", "giấy giấy")]
     assert repair_encoding(df.limit(0), ["text"], ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("encoding", ["cp1252", "latin-1", "cp437"])
+@pytest.mark.parametrize("text", ["Hội đồng thẩm định", "ภาษี", "ok 😀 👍"])
+def test_marks_and_further_scripts_come_back(encoding, text):
+    text = unicodedata.normalize("NFD", text)
+    assert repair(_read(text.encode(), encoding))[0] == text
+
+
+@pytest.mark.parametrize("encoding", READ_AS)
+def test_read_twice_in_every_encoding(encoding):
+    text = "Hội đồng thẩm định"
+    assert repair(_read(_read(text.encode(), encoding).encode(), encoding))[0] == text
+
+
+def test_a_short_stretch_among_foreign_names():
+    names = "tên Señor Pão Köln façade naïve über Ångström Gödel "
+    assert repair(names + legacy_writers()["tcvn"]("được miễn giảm"))[0] == names + "được miễn giảm"
+    assert repair(names) == (names, 0)
