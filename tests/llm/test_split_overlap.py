@@ -120,3 +120,8 @@ def test_pairs_that_share_few_chunks_are_found(spark):
     got = {(r.train_key, r.held_key) for r in spelled_out(found, members).collect()}
     assert got == {(2 * k, 2 * k + 1) for k in range(120)}
     assert found.where("overlap_fraction < 0.5").count() > 0
+
+
+def test_a_long_text_of_one_word_pairs_with_its_copy(spark):
+    df = spark.createDataFrame([(1, "w " * 40_000, None, None, "train"), (2, "w " * 40_000, None, None, "test")], "id long, instruction string, input string, output string, side string")
+    assert spelled_out(*cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])).count() == 1
