@@ -9,6 +9,7 @@ regular expressions and lambdas that the JVM interprets.
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 
@@ -16,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .languages import language, plain_words
+
 # Answers that stand for no answer, as letters and digits only.
 PLACEHOLDERS = [
     "na", "none", "null", "nil", "nan", "empty", "blank", "tbd", "tba", "todo", "undefined", "placeholder",
@@ -50,7 +53,10 @@ REFUSALS = [
     r" (?:no puedo|lo siento no|no me es posible|debo (?:rechazar|declinar))(?= )",
     r" (?:saya|kami) (?:[^\W\d_]+ ){0,2}?(?:tidak (?:dapat|bisa|boleh)|terpaksa menolak|harus menolak)(?= )",
     r" ich (?:kann|darf|muss) (?:[^\W\d_]+ ){0,3}?(?:nicht|ablehnen)(?= )",
-    r"抱歉|无法(?:回答|提供|帮助)|不能(?:回答|提供)|申し訳|お答えできません|не могу (?:ответить|помочь)|вынужден отказать",
+    r" (?:não (?:posso|consigo|me é possível)|lamento mas não) (?:[^\W\d_]+ ){0,2}?(?:ajudar|responder|fornecer|atender|cumprir)(?= )",
+    r" (?:non posso|non mi è possibile|devo rifiutare) (?:[^\W\d_]+ ){0,2}?(?:aiutare|aiutarti|aiutarla|rispondere|fornire|soddisfare)(?= )",
+    r" ik (?:kan|mag|wil) (?:[^\W\d_]+ ){0,4}?niet (?:[^\W\d_]+ ){0,2}?(?:helpen|beantwoorden|geven)(?= )",
+    r"죄송하지만|(?:도와드릴|답변할|제공할) 수 없|抱歉|无法(?:回答|提供|帮助)|不能(?:回答|提供)|申し訳|お答えできません|не могу (?:ответить|помочь)|вынужден отказать",
 ]
 
 # Courtesies that may stand before a refusal or an answer.
@@ -61,23 +67,11 @@ _COURTESY = (
 )
 _LANGUAGES = (
     r"tiếng (?:anh|việt|pháp|trung|hoa|nhật|hàn|đức|nga|tây ban nha|indonesia|thái|lào|khmer)|"
-    r"(?:english|vietnamese|french|chinese|japanese|korean|german|russian|spanish|indonesian|thai|italian|portuguese)|"
+    r"(?:english|vietnamese|french|chinese|japanese|korean|german|russian|spanish|indonesian|thai|italian|portuguese|dutch|swedish|polish|turkish|romanian|malay|hindi|arabic|greek)|"
     r"(?:anglais|vietnamien|français|inglés|vietnamita)"
 )
 _ASKED = r"(?:\b(?:in|into|to|using|en|em|auf|bằng|sang|qua|ra|thành|dùng)\s+(?:the\s+)?(?:" + _LANGUAGES + r"))|\b(?:translate|translation|dịch|traduis|traduire|traduce|terjemahkan)\b"
 
-# Frequent function words by language. Vietnamese shows itself by its letters.
-FUNCTION_WORDS = {
-    "en": "the a an of and to in is for that with by on or which not must shall may should if this be are from has have will when than as it at before after within without each can needs",
-    "fr": "le la les un une des du de et à au aux en est pour que qui dans par sur ou ne pas ce cette doit sont avec se son sa si leur avant sous lors puis",
-    "id": "yang dan di ke dari untuk pada dengan tidak dapat ini itu oleh atau akan adalah dalam bagi harus ketika jika sebelum setelah boleh para karena agar sampai",
-    "es": "el la los las un una de del y en es para que con por no se debe al su o como si antes lo son este esta cuando",
-    "de": "der die das und ein eine ist für mit von den dem des nicht zu auf wird oder im bei muss nach vor wenn als sich",
-    "pt": "o a os as um uma de do da e em é para que com por não se deve ao seu ou como quando antes no na",
-}
-_VI_LETTERS = "ăắằẳẵặấầẩẫậđẻẽẹếềểễệỉĩịỏọốồổỗộơớờởỡợủũụưứừửữựỳỷỹỵ"
-_SCRIPTS = ["Han", "Hiragana", "Katakana", "Hangul", "Cyrillic", "Greek", "Arabic", "Hebrew", "Thai", "Devanagari", "Lao", "Khmer"]
-
 # Words of sentences that speak of the request, of who asks or declines, or of whom to ask instead. They answer nothing.
 _ASIDE = (
     r" (?:tôi|em|mình|bạn|quý|anh chị|vui lòng|mong|hãy|xin|yêu cầu|câu hỏi|trả lời|phụ trách|chuyên môn|lý do|chính sách|thông cảm|đây|này|điều đó|việc đó|"
@@ -86,9 +80,9 @@ _ASIDE = (
 )
 
 # Any of these must stand in an answer before it is worth matching the refusals.
-_TELLING = ["tôi", "em ", "mình", "chúng", "hệ thống", "trợ lý", "xin", "không thể", "chưa thể", "này", " i ", " im ", " my ", "no ", " as a", "cannot be", "can not be", "cant be", " we ", "assistant", "system", " je ", "puedo", "siento", "posible", "debo", "saya", "kami", " ich ", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
+_TELLING = ["tôi", "em ", "mình", "chúng", "hệ thống", "trợ lý", "xin", "không thể", "chưa thể", "này", " i ", " im ", " my ", "no ", " as a", "cannot be", "can not be", "cant be", " we ", "assistant", "system", " je ", "puedo", "siento", "posible", "debo", "saya", "kami", " ich ", "não", "non ", "devo", " ik ", "죄송", "수 없", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
 # And one of these, for every way to refuse holds one.
-_DENYING = ["không", "chưa thể", "từ chối", "ngoài", "vượt quá", "cannot", " not ", " cant ", "couldnt", "wont", "dont", "unable", "decline", "refuse", " pass ", "beyond", "outside", "can be", " as a", " je ", "puedo", "siento", "posible", "debo", "tidak", "menolak", "nicht", "ablehnen", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
+_DENYING = ["không", "chưa thể", "từ chối", "ngoài", "vượt quá", "cannot", " not ", " cant ", "couldnt", "wont", "dont", "unable", "decline", "refuse", " pass ", "beyond", "outside", "can be", " as a", " je ", "puedo", "siento", "posible", "debo", "tidak", "menolak", "não", "non ", "devo", "niet", "죄송", "수 없", "nicht", "ablehnen", "抱歉", "无法", "不能", "申し訳", "お答え", "не могу", "вынужден"]
 
 RULES = ["empty", "refusal", "copied", "truncated", "other_language"]
 
@@ -98,58 +92,16 @@ _aside = re.compile(_ASIDE)
 _quoted = re.compile("“[^”]*”|«[^»]*»|\"[^\"]*\"")
 _courtesy = re.compile(_COURTESY.replace("^", "^ ", 1))
 _asked = re.compile(_ASKED)
-_viet = re.compile(f"[{_VI_LETTERS}]")
-_beyond_latin = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
-_nonword = re.compile(r"[\W_]+")
 _sentence_end = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
-_lead = re.compile(r"^[\W_]*((?:[^\W_]+[^\w\n:：]*_*){1,5})[:：]")
+_lead = re.compile(r"^[\W_]*((?:[^\W_]+[^\w\n:：]*_*){1,8})[:：]")
 _json = re.compile(r"^[{\[]\s*[\"{\[\]}]")
+_json_string = re.compile(r'"(?:[^"\\]|\\.)*"')
 _dangling = re.compile(r"[,;:(\[{/–—\-、，：；（]$")
-_unclosed = re.compile(r"[(（\[][^()（）\[\]]*$")
+_item = re.compile(r"^[ \t]*(?:(\d+)[.)]|[-*•–])(?=\s|$)", re.M)
 _closed = re.compile(r"[.!?…。！？\"”’'»)）\]}*_`>]$")
 _field = re.compile(r"^[\W_]*\w+(?: \w+){0,2}\s*[:=]\s*\S")
 _label = re.compile(r"^[^\w\n]*\w+(?: \w+)?[ \t]*[:=\-–—][ \t]*\S+(?: \S+)?$")
 
-_LANGUAGES_OF: dict[str, list[str]] = {}
-for _name, _listed in FUNCTION_WORDS.items():
-    for _w in _listed.split():
-        _LANGUAGES_OF.setdefault(_w, []).append(_name)
-
-
-def _kept(text: str) -> str:
-    """Lower-case letters and digits."""
-    return _nonword.sub("", text.lower())
-
-
-def _words(text: str) -> str:
-    """Lower-case letters and digits with single spaces between and around, apostrophes closed up."""
-    return f" {_nonword.sub(' ', text.lower().replace(chr(39), '').replace(chr(0x2019), '')).strip()} "
-
-
-def language(words: str) -> str | None:
-    """Likely language of text made by ``_words``, or None where too little speaks for any.
-
-    Vietnamese is told by its letters, scripts other than Latin by name, the
-    rest by function words.
-    """
-    parts = words.split()
-    if not parts:
-        return None
-    if (own := len(_viet.findall(words))) >= 2 and own * 4 >= len(parts):
-        return "vi"
-    counts: dict[str, int] = {}
-    for w in parts:
-        for name in _LANGUAGES_OF.get(w, ()):
-            counts[name] = counts.get(name, 0) + 1
-    if not words.isascii() and len(others := _beyond_latin.findall(words)) * 3 > len(words) - len(parts):
-        names = [unicodedata.name(ch, "?").split(" ")[0] for ch in others]
-        return max(set(names), key=lambda n: (names.count(n), n))
-    if len(parts) < 4 or not counts:
-        return None
-    best = max(counts, key=lambda n: (counts[n], n))
-    return best if counts[best] >= 2 and counts[best] * 6 >= len(parts) else None
-
-
 def _refuses(answer: str, spoken: str, context: str) -> bool:
     """Some sentence of the answer refuses, outside quotation marks, and none answers; ``spoken`` has the answer's words.
 
@@ -161,14 +113,14 @@ def _refuses(answer: str, spoken: str, context: str) -> bool:
     if not any(map(spoken.__contains__, _DENYING)) or not any(map(spoken.__contains__, _TELLING)):
         return False
     own = _quoted.sub(" ", answer)
-    if not _kept(own):
+    if not plain_words(own).strip():
         own = answer
-    if not _refusal_anywhere.search(spoken if own == answer else _words(own)):
+    if not _refusal_anywhere.search(spoken if own == answer else plain_words(own)):
         return False
-    known = set(_words(context).split())
+    known = set(plain_words(context).split())
     refused = False
     for sentence in _sentence_end.split(own.strip()):
-        said = _courtesy.sub(" ", _words(sentence))
+        said = _courtesy.sub(" ", plain_words(sentence))
         if _refusal.search(said):
             refused = True
         elif said.count(" ") > 4 and not _aside.search(said):
@@ -179,53 +131,95 @@ def _refuses(answer: str, spoken: str, context: str) -> bool:
 
 
 def _copies(answer: str, kept: str, sources: list[str]) -> bool:
-    """All letters and digits of the answer come from the prompt, but for a short lead-in before a colon."""
+    """All letters and digits of the answer come from the prompt, but for a lead-in of up to eight words before a colon.
+
+    An answer that stops within a prompt it copies counts if it gets past the prompt's half.
+    """
+    lead = _lead.match(answer)
+    led = plain_words(lead[1]).replace(" ", "") if lead else None
+    forms = [kept, kept[len(led) :]] if led else [kept]
     for source in sources:
-        before = len(kept) - len(source)
-        if source and before >= 0 and kept.endswith(source):
-            if not before:
-                return True
-            if before <= 30 and (lead := _lead.match(answer)) and _kept(lead[1]) == kept[:before]:
-                return True
+        if source and any(x == source or (2 * len(x) > len(source) and source.startswith(x)) for x in forms):
+            return True
     return False
 
 
+_CLOSED_BY = {"(": ")", "（": "）", "[": "]", "{": "}", "“": "”", "«": "»", "「": "」", "『": "』", "《": "》"}
+_CLOSERS = {v: k for k, v in _CLOSED_BY.items()}
+_BRACKETS = frozenset("(（[{")
+_delimiter = re.compile("[" + re.escape("".join([*_CLOSED_BY, *_CLOSERS])) + "]")
+
+
+def _open_delimiters(text: str) -> list[int]:
+    """Places of the delimiters that nothing closes, by a stack over the whole text; a closing one without its opener is passed over."""
+    stack: list[int] = []
+    for m in _delimiter.finditer(text):
+        c = m.group()
+        if c in _CLOSED_BY:
+            stack.append(m.start())
+        else:
+            # what was opened within and left open does not outlive the pair around it
+            for k in range(len(stack) - 1, -1, -1):
+                # brackets of different kinds close each other, as in carelessly set text
+                if text[stack[k]] == _CLOSERS[c] or (_CLOSERS[c] in _BRACKETS and text[stack[k]] in _BRACKETS):
+                    del stack[k]
+                    break
+    return stack
+
+
+def _empty_item(text: str) -> bool:
+    """The text ends with the mark of a list item and nothing after it: the number after that of an item before, or a bullet like one before."""
+    *others, last = [m for m in _item.finditer(text)] or [None]
+    if last is None or last.end() < len(text):
+        return False
+    return any(int(m[1]) + 1 == int(last[1]) if m[1] and last[1] else m.group().strip() == last.group().strip() for m in others)
+
+
 def _breaks_off(text: str, kept: str) -> bool:
-    """An open bracket, an unfinished JSON object or list item, or an ending in mid-sentence.
+    """An open delimiter or code fence, an unfinished JSON object or list item, or an ending in mid-sentence.
 
-    Bare labels (``name: value`` in one short line), lines of ``field: value``
-    and answers of up to three words need no closing mark.
+    A delimiter before the first word may be a mark of the layout and is passed
+    over if the answer ends as a sentence. Bare labels (``name: value`` in one
+    short line), lines of ``field: value`` and answers of up to three words need
+    no closing mark.
     """
     if _json.match(text):
-        return text.count("{") > text.count("}") or text.count("[") > text.count("]")
-    if _dangling.search(text) or _unclosed.search(text):
+        try:
+            json.loads(text)
+            return False
+        except ValueError:
+            return bool(_open_delimiters(_json_string.sub("", text))) or text[-1] not in "]}"
+    if _dangling.search(text) or text.count("```") % 2 or _empty_item(text):
+        return bool(kept)
+    ended = bool(_closed.search(text))
+    first = next((i for i, c in enumerate(text) if c.isalnum()), len(text))
+    if any(i > first for i in _open_delimiters(text)) or (not ended and _open_delimiters(text)):
         return bool(kept)
-    if _closed.search(text) or len(text.split(None, 3)) <= 3 or _label.match(text):
+    if ended or len(text.split(None, 3)) <= 3 or _label.match(text):
         return False
     lines = [x for x in text.splitlines() if x.strip()]
     return not (len(lines) >= 2 and all(_field.match(x) for x in lines))
 
 
 def pair_defects(instruction: str | None, context: str | None, answer: str | None) -> list[str]:
-    """Every defect of a pair in rule order; an empty answer has no further defect."""
-    i, c, a = instruction or "", context or "", answer or ""
-    said = _words(a)
+    """Every defect of a pair in rule order; an empty answer has no further defect. Text counts in composed form, whatever its length."""
+    i, c, a = (unicodedata.normalize("NFC", x) if x and not x.isascii() else x or "" for x in (instruction, context, answer))
+    said = plain_words(a)
     kept = said.replace(" ", "")
-    if not kept or (len(a) <= 60 and kept in _PLACEHOLDERS):
+    if not kept or kept in _PLACEHOLDERS:
         return ["empty"]
     found = []
     if _refuses(a, said, c):
         found.append("refusal")
-    iw, cw = _words(i), _words(c)
+    iw, cw = plain_words(i), plain_words(c)
     ik, ck = iw.replace(" ", ""), cw.replace(" ", "")
     if _copies(a, kept, [ik, ck, ik + ck, ck + ik]):
         found.append("copied")
     text = a.strip()
     if _breaks_off(text, kept):
         found.append("truncated")
-    asked = language(iw + cw)
     bare = len(text.split(None, 3)) <= 3 and text[-1:] not in ".!?\u3002\uff01\uff1f"
-    if asked and not bare:
+    if not bare and (asked := language(iw + cw)):
         given = language(said)
         if given and given != asked and not _asked.search(i.lower()):
             found.append("other_language")

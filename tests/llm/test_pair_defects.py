@@ -1,5 +1,8 @@
+import unicodedata
+
 import pytest
 
+from corpusgate.llm.languages import language, plain_words
 from corpusgate.llm.pair_defects import find_pair_defects, pair_defects
 
 ASK, NOTE = "Liệt kê giấy tờ còn thiếu.", "Phiếu số 5: Kho lưu trữ bàn giao biên bản kiểm tra trong thời hạn 3 ngày."
@@ -63,3 +66,38 @@ def test_refusals_of_any_length_and_place(i, c, a):
 ])
 def test_answers_with_a_refusal_beside_them(i, c, a):
     assert pair_defects(i, c, a) == []
+
+
+@pytest.mark.parametrize("i,c,a,defect", [
+    (EN, EN_NOTE, unicodedata.normalize("NFD", "Xin lỗi, tôi không thể trả lời câu hỏi này."), "refusal"),
+    (EN, EN_NOTE, "Mi dispiace, ma non posso rispondere a questa domanda.", "refusal"), (EN, EN_NOTE, "Infelizmente não posso ajudar com isso.", "refusal"),
+    (EN, EN_NOTE, "Il modulo deve essere consegnato allo sportello entro dieci giorni dalla richiesta.", "other_language"),
+    (EN, EN_NOTE, "Formulier en kopie worden binnen tien dagen bij het gemeentehuis ingeleverd.", "other_language"),
+    (ASK, NOTE, "Papan nama di luar batas menjaga pemilik kios; lalu meteran air yang rusak menunda tim gabungan.", "other_language"),
+    (ASK, NOTE, "*** " * 40 + "N/A" + " ***" * 40, "empty"),
+    (ASK, NOTE, "Câu hỏi mà bạn đã gửi: " + NOTE, "copied"), (ASK, NOTE, NOTE[:60], "copied"),
+    (EN, EN_NOTE, "1. The ward office records the form.\n2. The clerk returns it.\n3. ", "truncated"),
+    (EN, EN_NOTE, "The office said “record the form within the week. The clerk returns it.", "truncated"), (EN, EN_NOTE, "The clerk (of the office (north) records the form. Then it is returned.", "truncated"),
+    (EN, EN_NOTE, "Run this:\n```\nrecord form\n", "truncated"), (EN, EN_NOTE, '{"unit": "ward {office", "due": "a week"', "truncated"),
+])
+def test_forms_languages_and_delimiters(i, c, a, defect):
+    assert defect in pair_defects(i, c, a)
+
+
+@pytest.mark.parametrize("a", [
+    "“The ward office records the form within the week.", "The clerk [of the office) records the form.", '{"unit": "ward (office", "due": "a week"}', "The form is due in week\n3.", "a) The office records it.\nb) The clerk returns it.",
+    "Tray: an-audit-trail-under-review", "The rule is: x < 5 and y } 3.",
+])
+def test_whole_answers_with_odd_marks(a):
+    assert pair_defects(EN, EN_NOTE, a) == []
+
+
+def test_languages_of_sentences_outside_the_samples():
+    said = {
+        "en": "The committee postponed its decision because several papers were missing.", "fr": "Le comité a reporté sa décision car plusieurs documents manquaient.", "es": "El comité aplazó su decisión porque faltaban varios documentos.",
+        "pt": "O comitê adiou a sua decisão porque faltavam vários documentos.", "it": "Il comitato ha rinviato la decisione perché mancavano diversi documenti.", "de": "Der Ausschuss verschob seine Entscheidung, weil mehrere Unterlagen fehlten.",
+        "nl": "De commissie stelde haar beslissing uit omdat verschillende stukken ontbraken.", "id": "Panitia menunda keputusan karena beberapa surat belum lengkap.", "sv": "Kommittén sköt upp sitt beslut eftersom flera handlingar saknades.",
+        "pl": "Komisja odroczyła swoją decyzję, ponieważ brakowało kilku dokumentów.", "tr": "Kurul, birkaç belge eksik olduğu için kararını erteledi.", "ro": "Comitetul a amânat decizia pentru că lipseau mai multe documente.", "vi": "Ủy ban đã hoãn quyết định vì còn thiếu một số giấy tờ.",
+        "CYRILLIC": "Комитет отложил решение.", None: "OK 12",
+    }
+    assert {k: language(plain_words(t)) for k, t in said.items()} == {k: k for k in said}
