@@ -48,7 +48,9 @@ SAMPLES = {
 LANGUAGES = list(SAMPLES)
 
 #: Least lead over the second language, in natural logarithms: over the whole text, and for each of its words. Short texts lack the first by themselves.
-LEAD, LEAD_A_WORD = 8.0, 0.4
+LEAD, LEAD_A_WORD = 5.0, 0.4
+#: What a function word adds to its language, in natural logarithms.
+FUNCTION_WORD = 2.0
 
 _VI_LETTERS = "ăắằẳẵặấầẩẫậđẻẽẹếềểễệỉĩịỏọốồổỗộơớờởỡợủũụưứừửữựỳỷỹỵ"
 _viet = re.compile(f"[{_VI_LETTERS}]")
@@ -88,19 +90,19 @@ def profiles() -> dict[str, tuple[float, ...]]:
     return table
 
 
-@lru_cache(100_000)
+@lru_cache(200_000)
 def _word_scores(word: str) -> tuple[float, ...]:
     table = profiles()
     found = [table.get(f" {word} "[i : i + 3], table[""]) for i in range(len(word))]
     return tuple(map(sum, zip(*found)))
 
 
-def by_trigrams(parts: list[str]) -> str | None:
-    """The language whose profile fits the words best, if it leads the next by ``LEAD`` and for each word by ``LEAD_A_WORD``."""
+def by_profiles(parts: list[str], function_words: dict[str, int]) -> str | None:
+    """The language that trigrams and function words together make most likely, if it leads the next by ``LEAD`` and for each word by ``LEAD_A_WORD``."""
     words = [w for w in parts if not w.isdigit()]
     if not words:
         return None
-    totals = list(map(sum, zip(*map(_word_scores, words))))
+    totals = [t + FUNCTION_WORD * function_words.get(name, 0) for name, t in zip(LANGUAGES, map(sum, zip(*map(_word_scores, words))))]
     best, second = sorted(totals, reverse=True)[:2]
     if best - second < max(LEAD, LEAD_A_WORD * len(words)):
         return None
@@ -122,9 +124,7 @@ def language(words: str) -> str | None:
         for name in _LANGUAGES_OF.get(w, ()):
             counts[name] = counts.get(name, 0) + 1
     ranked = sorted(counts.values(), reverse=True)
-    many = len(parts) >= 4 and bool(ranked) and ranked[0] >= 2 and ranked[0] * 6 >= len(parts)
-    first = max(counts, key=lambda n: (counts[n], n)) if many else None
-    # clearly more function words than of any other language, else the profiles, else the most function words
-    if many and (len(ranked) == 1 or ranked[0] >= 2 * ranked[1]):
-        return first
-    return by_trigrams(parts) or first
+    # many function words, and clearly more than of any other language
+    if len(parts) >= 4 and ranked and ranked[0] >= 2 and ranked[0] * 6 >= len(parts) and (len(ranked) == 1 or ranked[0] >= 2 * ranked[1]):
+        return max(counts, key=lambda n: (counts[n], n))
+    return by_profiles(parts, counts)

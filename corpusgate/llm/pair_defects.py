@@ -93,7 +93,7 @@ _quoted = re.compile("“[^”]*”|«[^»]*»|\"[^\"]*\"")
 _courtesy = re.compile(_COURTESY.replace("^", "^ ", 1))
 _asked = re.compile(_ASKED)
 _sentence_end = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
-_lead = re.compile(r"^[\W_]*((?:[^\W_]+[^\w\n:：]*_*){1,8})[:：]")
+_lead = re.compile(r"^[\W_]*((?:[^\W_]++[^\w\n:：]*+_*+){1,8})[:：]")
 _json = re.compile(r"^[{\[]\s*[\"{\[\]}]")
 _json_string = re.compile(r'"(?:[^"\\]|\\.)*"')
 _dangling = re.compile(r"[,;:(\[{/–—\-、，：；（]$")
