@@ -90,6 +90,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("train_key", "held_key").alias("row_no_a"), F.greatest("train_key", "held_key").alias("row_no_b"))
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps between texts, each named by the smallest row number of its side, with its number of copies there."""
+    from .split_overlap import class_pairs
+
+    pairs, _ = class_pairs(*_overlaps(spark, sf_dir))
+    return pairs.select(F.col("train_first").alias("train_no"), F.col("held_first").alias("held_no"), "train_copies", "held_copies", F.round("overlap_fraction", 6).alias("overlap"), F.round("differing_words", 6).alias("differing"))
+
+
+def p3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every text that ``p3_classes`` names."""
+    from .split_overlap import class_pairs
+
+    _, members = class_pairs(*_overlaps(spark, sf_dir))
+    return members.select(F.when(F.col("side") == 0, "train").otherwise("held_out").alias("side"), F.col("first_key").alias("first_no"), F.col("key").alias("row_no"))
+
+
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out records that overlap with training, by split and source."""
     pairs, members = _overlaps(spark, sf_dir)
@@ -149,7 +165,7 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
 
 #: SQL of the queries that SQL can express over whole tables.
 ORACLE_SQL: dict[str, str] = {

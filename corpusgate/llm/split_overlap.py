@@ -1,16 +1,22 @@
-"""Same or near-same records across splits.
-
-Records are normalised to words. A training text gives short runs of words
-that do not overlap, one more than the words that may be changed: one change
-touches one run at the most, so every text near enough holds at least one of
-them as it stands. Of all such sets of runs that with the fewest hits among the
-held-out texts is taken, as counted in a table of fixed size. A held-out text
-gives all its runs, and runs are joined. This loses no pair. An alignment of
-the words decides on each.
-
-The overlap fraction that is reported with a pair is that of content-defined
-chunks, cut by a rolling hash over words, so an edit changes only the chunks
-around it. It decides nothing.
+"""Same or near-same records across splits, by content-defined chunks.
+
+Records are normalised to words, and a rolling hash runs over windows of up to
+five words. A training text is cut into chunks at places its content defines:
+where the hashes of the windows are rarest among the held-out texts, as counted
+in a table of bounded size. A held-out text offers the window at every place,
+so a chunk is met wherever it has moved to. Chunk digests are joined across the
+splits and the lengths of the chunks that two texts share are summed.
+
+How much they must share follows from the number of words that may differ. One
+changed word spoils one chunk at the most, as chunks do not overlap: of ``n``
+chunks all but as many survive as words may differ, and one chunk more than
+that is always cut. So no pair within the budget is lost. (Cutting both sides
+where the hash falls on zero lost a third of the pairs of twenty words that
+differ in a tenth, as one change spoils up to three such chunks.)
+
+An alignment of the words decides on what is left, and the overlap fraction
+that is reported is the length of all chunks, cut at hash zero, that both texts
+have, over the longer text.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import json
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,8 +43,12 @@ from .common import within, without, written
 CUT_EVERY = 3
 #: Most words of a run; short texts have shorter ones.
 RUN = 5
-#: Size of the table of run counts, whatever the corpus: 2 ** 17 counters of 8 bytes.
-COUNTERS = 1 << 17
+#: Chunks beyond those that changes may spoil, where a text is long enough: so many more must be shared.
+SPARE = 1
+#: Bits of the number of counters of runs, of a byte each: as many as there are runs, from 64 KB to 4 MB.
+COUNTER_BITS = range(16, 23)
+#: Counters travel in blocks of so many.
+BLOCK = 1 << 12
 #: Runs are chosen within pieces of up to so many words.
 PIECE = 128
 #: More than any count in the choice of runs.
@@ -95,20 +105,21 @@ def _hashed(texts: list[str], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray,
 
 
 def _parities(h: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For 128 buckets of words, whether a text has an odd number in each.
+
+    Parities differ in at most as many bits as one must remove and add words to turn one text into the other.
+    """
     one = np.uint64(1) << (h & np.uint64(63))
     high = (h >> np.uint64(6)) & np.uint64(1) == 1
     return np.stack([np.bitwise_xor.reduceat(np.where(high, np.uint64(0), one), start), np.bitwise_xor.reduceat(np.where(high, one, np.uint64(0)), start)], axis=1)
 
 
-def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Content-defined chunks of word-normalised texts: ``text, digest, words`` of each distinct chunk of a text, and the texts' words and parities.
+def cut(h: np.ndarray, start: np.ndarray, size: np.ndarray, every: int = CUT_EVERY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Content-defined chunks of texts as hashes of words: ``text, digest, words`` of each distinct chunk of a text.
 
     A chunk ends after each word at which the rolling hash of it and the word
-    before falls on zero. A parity tells, for 128 buckets of words, whether a
-    text has an odd number in each: parities differ in at most as many bits as
-    one must remove and add words to turn one text into the other.
+    before falls on zero.
     """
-    h, start, size = _hashed(texts, hashes)
     before = np.zeros_like(h)
     before[1:] = h[:-1]
     before[start] = 0
@@ -122,16 +133,32 @@ def cut(texts: list[str], hashes: _Hashes, every: int = CUT_EVERY) -> tuple[np.n
     new = np.ones(len(order), dtype=bool)
     new[1:] = (digest_[order][1:] != digest_[order][:-1]) | (text[order][1:] != text[order][:-1])
     order = order[new]
-    return text[order], digest_[order], (stop - first)[order], size, _parities(h, start)
+    return text[order], digest_[order], (stop - first)[order]
+
+
+def _most_changed(words: np.ndarray, differing: float) -> np.ndarray:
+    """How many words may differ from texts of so many words: the longest text near enough has at most ``words / (1 - differing)``."""
+    return (np.floor(words / (1 - differing) + 1e-9) * differing + 1e-9).astype(np.int64)
 
 
 def _runs_needed(words: np.ndarray, differing: float) -> tuple[np.ndarray, np.ndarray]:
-    """For training texts of so many words: the words of a run (0: the whole text), and how many runs survive all changes but one.
+    """For training texts of so many words: the words of a run (0: the whole text), and how many runs to cut, one more than changes can spoil and ``SPARE`` more where they fit."""
+    most = _most_changed(words, differing)
+    width = np.where(most > 0, np.minimum(RUN, words // (most + 1)), 0)
+    # pieces of a long text may each leave a rest of less than a run
+    room = np.where(width > 0, words // np.maximum(width, 1) - -(-words // PIECE) - most - 1, 0)
+    return width, most + 1 + np.clip(room, 0, SPARE)
+
+
+def _squeezed(n: np.ndarray) -> np.ndarray:
+    """Counts in a byte: up to 127 as they are, above by steps of an eighth of a power of two; zero only for zero."""
+    return np.where(n < 128, n, np.minimum(255, 128 + 8 * (np.log2(np.maximum(n, 1)) - 7))).astype(np.uint8)
 
-    The longest text near enough has at most ``words / (1 - differing)`` words.
-    """
-    most = (np.floor(words / (1 - differing) + 1e-9) * differing + 1e-9).astype(np.int64)
-    return np.where(most > 0, np.minimum(RUN, words // (most + 1)), 0), most + 1
+
+def _spread_out(b: np.ndarray) -> np.ndarray:
+    """About the counts that ``_squeezed`` was given."""
+    x = b.astype(np.float64)
+    return np.where(x < 128, x, np.exp2((x - 128) / 8 + 7)).astype(np.int64)
 
 
 def _runs(h: np.ndarray, width: int) -> np.ndarray:
@@ -215,11 +242,15 @@ def train_runs(h: np.ndarray, start: np.ndarray, size: np.ndarray, counts: np.nd
         # shares by length, rounded down alike
         need = needs[text] * high // size[text] - needs[text] * low // size[text]
         runs = _runs(h, int(width))
-        cost = np.minimum(counts[(runs % np.uint64(COUNTERS)).astype(np.int64)], 1 << 20).astype(np.int32)
+        cost = np.minimum(counts[(runs % np.uint64(len(counts))).astype(np.int64)], 1 << 20).astype(np.int32)
         starts = _fewest(cost, start[text] + low, high - low, need, int(width))
         rows.append(np.searchsorted(start, starts, side="right") - 1)
         found.append(runs[starts])
-    row, run = np.concatenate(rows), np.concatenate(found)
+    return _each_once(np.concatenate(rows), np.concatenate(found))
+
+
+def _each_once(row: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every run of a row once, sorted by row."""
     order = np.lexsort((run, row))
     row, run = row[order], run[order]
     new = np.ones(len(row), dtype=bool)
@@ -227,13 +258,14 @@ def train_runs(h: np.ndarray, start: np.ndarray, size: np.ndarray, counts: np.nd
     return row[new], run[new]
 
 
-def words_differing(a: str, b: str, limit: float) -> float:
+def words_differing(a: str | list, b: str | list, limit: float) -> float:
     """Share of the longer text's words that an alignment of both must change, or 1.0 if above ``limit``.
 
     Edit distance over words by furthest-reaching diagonals, which takes time
-    in proportion to the texts and the square of the distance.
+    in proportion to the texts and the square of the distance. Texts may also
+    be lists of words, or of what stands for them.
     """
-    x, y = a.split(" "), b.split(" ")
+    x, y = (t.split(" ") if isinstance(t, str) else t for t in (a, b))
     longest = max(len(x), len(y))
     most = int(limit * longest)
     if abs(len(x) - len(y)) > most or longest - sum((Counter(x) & Counter(y)).values()) > most:
@@ -270,7 +302,7 @@ def cross_split_overlaps(
 
     Rows with a null key, a split outside both lists (also null), or no word at
     all take no part. Equal rows are members of one text. A text equal on both
-    sides pairs with itself.
+    sides pairs with itself. Keys must be unique.
     """
     if not 0 <= differing < 0.5:
         raise ValueError("differing must be from 0 to under 0.5")
@@ -311,36 +343,34 @@ def cross_split_overlaps(
         size = b.column("words").to_numpy().astype(np.int64)
         return b.column("hashes").flatten().to_numpy().view(np.uint64), np.cumsum(size) - size, size
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for b in batches:
-            if b.num_rows:
-                run = held_runs(*hashes_of(b), differing)[1]
-                total += np.bincount((run % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["b", "n"])
-
-    counted = np.zeros(COUNTERS, dtype=np.int64)
-    at = held.select("words", "hashes").mapInArrow(count, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTERS rows
-    counted[at["b"].to_numpy().astype(np.int64)] = at["n"].to_numpy()
-    sent = spark.sparkContext.broadcast(counted)
+    sent = spark.sparkContext.broadcast(_count_runs(held, hashes_of, differing))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = sent.value.astype(np.int64)
         for b in batches:
             if b.num_rows:
-                row, run = train_runs(*hashes_of(b), sent.value, differing)
-                ends = pa.array(np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([*b.select(own).columns, pa.ListArray.from_arrays(ends, pa.array(run.view(np.int64)))], names=[*[f"{c}0" for c in own], "runs"])
-
-    chosen = written(trained.mapInArrow(choose, "id0 long, words0 int, p00 long, p10 long, runs array<long>"))
-    known = spark.sparkContext.broadcast(bloom(chosen.select(F.explode("runs").alias("value")), bits=4))
+                h, start, size = hashes_of(b)
+                row, run = train_runs(h, start, size, counts, differing)
+                # so many of its chunks a text near enough must have; those that no held-out text has cannot be among them
+                least = np.maximum(1, np.bincount(row, minlength=b.num_rows) - _most_changed(size, differing))
+                there = sent.value[(run % np.uint64(len(counts))).astype(np.int64)] > 0
+                there &= (np.bincount(row[there], minlength=b.num_rows) >= least)[row]
+                row, run = row[there], run[there]
+                held_by = np.unique(row)
+                ends = np.append(np.searchsorted(row, held_by), len(row)).astype(np.int32)
+                columns = b.select(own).take(pa.array(held_by)).columns
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(least[held_by].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(run.view(np.int64)))], names=[*[f"{c}0" for c in own], "least", "runs"])
+
+    chosen = written(trained.mapInArrow(choose, "id0 long, words0 int, p00 long, p10 long, least int, runs array<long>"))
+    known = spark.sparkContext.broadcast(bloom(chosen.select(F.explode("runs").alias("value")), bits=8))
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 row, run = held_runs(*hashes_of(b), differing)
                 ok = passes(known.value, run)
-                row, run = row[ok], run[ok]
+                # a window that a text has twice counts once
+                row, run = _each_once(row[ok], run[ok])
                 yield pa.RecordBatch.from_arrays([*b.select(own).take(pa.array(row)).columns, pa.array(run.view(np.int64))], names=[*[f"{c}1" for c in own], "run"])
 
     offered = held.mapInArrow(offer, "id1 long, words1 int, p01 long, p11 long, run long")
@@ -348,34 +378,72 @@ def cross_split_overlaps(
     most = F.greatest("words0", "words1") * differing
     odd = F.bit_count(F.col("p00").bitwiseXOR(F.col("p01"))) + F.bit_count(F.col("p10").bitwiseXOR(F.col("p11")))
     near = (F.abs(F.col("words0") - F.col("words1")) <= most) & (odd <= most * 2)
-    pairs = written(chosen.select("id0", "words0", "p00", "p10", F.explode("runs").alias("run")).join(offered, "run").where(near).select("id0", "id1").distinct())
-    wanted = pairs.select(F.col("id0").alias("key")).unionByName(pairs.select(F.col("id1").alias("key"))).distinct()
+    met = chosen.select("id0", "words0", "p00", "p10", "least", F.explode("runs").alias("run")).join(offered, "run").where(near)
+    # chunks of a text have one length, so their number stands for the sum of it
+    pairs = written(met.groupBy("id0", "id1").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("id0", "id1"))
+    wanted = written(pairs.select(F.col("id0").alias("id")).unionByName(pairs.select(F.col("id1").alias("id"))).distinct())
+    few = within(texts.select("id", "side", "text", "hashes"), wanted, "id")
+    left, right = (few.where(F.col("side") == s).select(F.col("id").alias(f"id{s}"), F.col("text").alias(f"text{s}"), F.col("hashes").alias(f"h{s}")) for s in (0, 1))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = [b.column(f"h{s}") for s in (0, 1)]
+            share = np.array([words_differing(x, y, differing) for x, y in zip(lists[0].to_pylist(), lists[1].to_pylist())])
+            good = pa.array(np.flatnonzero(share <= differing))
+            if len(good):
+                kept = [x.take(good) for x in lists]
+                shared = overlap_fractions(*[(x.flatten().to_numpy().view(np.uint64), x.value_lengths().to_numpy().astype(np.int64)) for x in kept])
+                yield pa.RecordBatch.from_arrays([*[b.column(f"text{s}").take(good) for s in (0, 1)], pa.array(shared), pa.array(share[share <= differing])], names=["train_text", "held_text", "overlap_fraction", "differing_words"])
+
+    both = pairs.join(left, "id0").join(right, "id1").select("text0", "text1", "h0", "h1")
+    found = both.mapInArrow(compare, "train_text binary, held_text binary, overlap_fraction double, differing_words double")
+    return found, members
+
+
+def _count_runs(held: DataFrame, hashes_of: Callable, differing: float) -> np.ndarray:
+    """Squeezed counters of the runs of held-out texts, by hash; as many as there are words, within bounds.
+
+    A task counts whole tables and sends them in blocks that are summed in two
+    steps, so no task gathers the blocks of all others. A counter is zero only if no run fell on it.
+    """
+    words = held.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("n")).first()["n"]
+    bits = min(COUNTER_BITS[-1], max(COUNTER_BITS[0], int(words).bit_length() - 1))
 
-    def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, dtype=np.int64)
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(words_of(b), pa.string())], names=["key", "words"])
-
-    # few rows are wanted; written, they are read once for both sides
-    texts_again = written(within(rows, wanted, "key").mapInArrow(texts_of, "key long, words string"))
-    left, right = (texts_again.select(F.col("key").alias(f"id{s}"), F.col("words").alias(f"text{s}")) for s in (0, 1))
-
-    @F.pandas_udf("train_text binary, held_text binary, overlap_fraction double, differing_words double")
-    def compare(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-        n = len(x)
-        text, chunk, length, size, _ = cut([*x, *y], _Hashes())
-        # a chunk of the one text that the other has too
-        pair = text % n
-        order = np.lexsort((chunk, pair))
-        p, c, w = pair[order], chunk[order], length[order]
-        twice = np.flatnonzero((p[1:] == p[:-1]) & (c[1:] == c[:-1]))
-        shared = np.bincount(p[twice], weights=w[twice], minlength=n)
-        total = np.bincount(text, weights=length, minlength=2 * n)
-        out = {"train_text": [_name(t) for t in x], "held_text": [_name(t) for t in y], "overlap_fraction": shared / np.maximum(total[:n], total[n:])}
-        return pd.DataFrame(out | {"differing_words": [words_differing(a, b, differing) for a, b in zip(x, y)]})
-
-    both = pairs.join(left, "id0").join(right, "id1").select(compare("text0", "text1").alias("m")).select("m.*")
-    return both.where(F.col("differing_words") <= differing), members
+                run = held_runs(*hashes_of(b), differing)[1]
+                at, n = np.unique(run % np.uint64(1 << bits), return_counts=True)
+                total[at.astype(np.int64)] += n
+        blocks = _squeezed(total).reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([blocks[i].tobytes() for i in some], pa.binary())], names=["block", "counts"])
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(_spread_out(np.frombuffer(c, dtype=np.uint8)) for c in frame["counts"])
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "salt": -1, "counts": [_squeezed(total).tobytes()]})
+
+    schema = "block long, salt int, counts binary"
+    parts = held.select("words", "hashes").mapInArrow(count, "block long, counts binary").withColumn("salt", F.spark_partition_id() % 64)
+    whole = parts.groupBy("block", "salt").applyInPandas(summed, schema).groupBy("block").applyInPandas(summed, schema)
+    out = np.zeros((1 << bits - BLOCK.bit_length() + 1, BLOCK), dtype=np.uint8)
+    for r in whole.select("block", "counts").collect():  # at most 4 MB
+        out[r.block] = np.frombuffer(r.counts, dtype=np.uint8)
+    return out.ravel()
+
+
+def overlap_fractions(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Words in chunks that both texts of each pair have, over the longer text; texts come as hashes of words, one after the other, and numbers of words."""
+    n = len(a[1])
+    size = np.concatenate([a[1], b[1]])
+    text, chunk, length = cut(np.concatenate([a[0], b[0]]), np.cumsum(size) - size, size)
+    pair = text % n
+    order = np.lexsort((chunk, pair))
+    p, c, w = pair[order], chunk[order], length[order]
+    twice = np.flatnonzero((p[1:] == p[:-1]) & (c[1:] == c[:-1]))
+    total = np.bincount(text, weights=length, minlength=2 * n)
+    return np.bincount(p[twice], weights=w[twice], minlength=n) / np.maximum(total[:n], total[n:])
 
 
 def spelled_out(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -383,3 +451,19 @@ def spelled_out(pairs: DataFrame, members: DataFrame) -> DataFrame:
     a = members.where("side = 0").select(F.col("text").alias("train_text"), F.col("key").alias("train_key"))
     b = members.where("side = 1").select(F.col("text").alias("held_text"), F.col("key").alias("held_key"))
     return pairs.join(a, "train_text").join(b, "held_text").select("train_key", "held_key", "overlap_fraction", "differing_words")
+
+
+def class_pairs(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same overlaps with every text standing once: pairs of classes, and membership.
+
+    The pairs are ``train_first, held_first, train_copies, held_copies`` with
+    the measures; a class is named by the smallest key of its text on that
+    side. The members are ``side`` (0 train, 1 held out), ``first_key, key`` of the classes in
+    a pair. Nothing is spelled out, so a text with many copies costs no more than its rows.
+    """
+    classes = members.groupBy("text", "side").agg(F.min("key").alias("first_key"), F.count("*").alias("copies"))
+    part = lambda n, name: classes.where(F.col("side") == n).select(F.col("text").alias(f"{name}_text"), F.col("first_key").alias(f"{name}_first"), F.col("copies").alias(f"{name}_copies"))
+    both = pairs.join(part(0, "train"), "train_text").join(part(1, "held"), "held_text")
+    taking = pairs.select(F.col("train_text").alias("text"), F.lit(0).alias("side")).unionByName(pairs.select(F.col("held_text").alias("text"), F.lit(1).alias("side"))).distinct()
+    named = taking.join(classes.select("text", "side", "first_key"), ["text", "side"])
+    return both.drop("train_text", "held_text"), members.join(named, ["text", "side"]).select("side", "first_key", "key")

@@ -1,9 +1,10 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from corpusgate.llm.split_overlap import COUNTERS, _hashed, _Hashes, cross_split_overlaps, cut, held_runs, record_words, spelled_out, train_runs, words_differing
+from corpusgate.llm.split_overlap import _hashed, _Hashes, _most_changed, _parities, _spread_out, _squeezed, class_pairs, cross_split_overlaps, cut, held_runs, record_words, spelled_out, train_runs, words_differing
 
 
 def edit_distance(a, b):
@@ -31,7 +32,9 @@ def test_chunks_do_not_depend_on_place_or_neighbours():
     rng = random.Random(2)
     words = [f"w{rng.randint(0, 500)}" for _ in range(300)]
     whole, moved = " ".join(words), " ".join(["x", "y", "z", *words])
-    t, d, n, size, parity = cut([whole, moved, "one"], _Hashes())
+    h, start, size = _hashed([whole, moved, "one"], _Hashes())
+    t, d, n = cut(h, start, size)
+    parity = _parities(h, start)
     assert size.tolist() == [300, 303, 1] and n[t == 0].sum() <= 300
     assert len(set(d[t == 0]) & set(d[t == 1])) >= len(d[t == 0]) - 2
     odd = np.bitwise_xor(parity[0], parity[1])
@@ -75,6 +78,11 @@ def test_against_planted_pairs(spark):
     got = {(r.train_key, r.held_key) for r in spelled_out(found, members).collect()}
     extra = {(9100 + k, 1) for k in range(3)}
     assert got == pairs | extra
+    classes, membership = class_pairs(found, members)
+    firsts = {}
+    for r in membership.collect():
+        firsts[r.side, r.key] = r.first_key
+    assert {(r.train_first, r.held_first, r.train_copies) for r in classes.collect()} == {(firsts[0, a], firsts[1, b], 4 if firsts[0, a] == 0 else 1) for a, b in got}
     assert all(0.5 <= r.overlap_fraction <= 1 and r.differing_words <= 0.12 for r in found.collect())
 
 
@@ -99,9 +107,12 @@ def test_no_pair_with_a_tenth_of_its_words_changed_is_lost(words):
         trained.append(" ".join(a))
         held.append(" ".join(w for x in b for w in x))
     offered = held_runs(*_hashed(held, hashes), 0.12)
-    counts = np.bincount((offered[1] % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-    chosen = train_runs(*_hashed(trained, hashes), counts, 0.12)
-    met = {t for t, _ in set(zip(*map(np.ndarray.tolist, chosen))) & set(zip(*map(np.ndarray.tolist, offered)))}
+    counts = np.bincount((offered[1] % np.uint64(1 << 16)).astype(np.int64), minlength=1 << 16)
+    h, start, size = _hashed(trained, hashes)
+    chosen = train_runs(h, start, size, counts, 0.12)
+    least = np.maximum(1, np.bincount(chosen[0], minlength=len(size)) - _most_changed(size, 0.12))
+    shared = Counter(t for t, _ in set(zip(*map(np.ndarray.tolist, chosen))) & set(zip(*map(np.ndarray.tolist, offered))))
+    met = {t for t, n in shared.items() if n >= least[t]}
     near = {k for k, (a, b) in enumerate(zip(trained, held)) if words_differing(a, b, 0.12) <= 0.12}
     assert len(near) > 140 and near <= met
 
@@ -125,3 +136,13 @@ def test_pairs_that_share_few_chunks_are_found(spark):
 def test_a_long_text_of_one_word_pairs_with_its_copy(spark):
     df = spark.createDataFrame([(1, "w " * 40_000, None, None, "train"), (2, "w " * 40_000, None, None, "test")], "id long, instruction string, input string, output string, side string")
     assert spelled_out(*cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])).count() == 1
+
+
+def test_repetitive_texts_with_one_edit_and_squeezed_counts(spark):
+    rows = [(2 * n, "w " * size, None, None, "train") for n, size in enumerate((10, 300, 3000))] + [(2 * n + 1, "w " * (size // 2) + "khác " + "w " * (size - size // 2 - 1), None, None, "test") for n, size in enumerate((10, 300, 3000))]
+    df = spark.createDataFrame(rows, "id long, instruction string, input string, output string, side string")
+    got = {(r.train_key, r.held_key) for r in spelled_out(*cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])).collect()}
+    assert got == {(0, 1), (2, 3), (4, 5)}
+    n = np.array([0, 1, 127, 128, 1000, 10**6])
+    again = _spread_out(_squeezed(n))
+    assert (again[:3] == n[:3]).all() and (np.abs(again - n) <= n * 0.1).sum() >= 5 and (again > 0).tolist() == (n > 0).tolist()
