@@ -31,24 +31,25 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import bloom, passes
 from .codes import mix, run_hashes
-from .common import within, without, written
+from .common import MOST_KEYS_SENT, within, without, written
 
 #: Mean chunk length in words.
 CUT_EVERY = 3
 #: Most words of a run; short texts have shorter ones.
 RUN = 5
-#: Chunks beyond those that changes may spoil, where a text is long enough: so many more must be shared.
-SPARE = 1
+#: Chunks cut beyond the least number, where a text is long enough: so many more must be shared.
+SPARE = 0
 #: Bits of the number of counters of runs, of a byte each: as many as there are runs, from 64 KB to 4 MB.
 COUNTER_BITS = range(16, 23)
-#: Counters travel in blocks of so many.
-BLOCK = 1 << 12
+#: Counters travel in blocks of so many, and blocks of tasks with the same number modulo 1,024 are summed first.
+BLOCK = 1 << 16
 #: Runs are chosen within pieces of up to so many words.
 PIECE = 128
 #: More than any count in the choice of runs.
@@ -81,9 +82,37 @@ def _fields_in_order(text: str) -> str:
     return _spaced(text)
 
 
+def _spaced_column(column: pa.Array) -> pa.Array:
+    """``_spaced`` of every text of a column at once; null as null."""
+    texts = column.to_pylist()
+    odd = {i: unicodedata.normalize("NFC", t) for i, t in enumerate(texts) if t and not t.isascii() and not unicodedata.is_normalized("NFC", t)}
+    if odd:
+        column = pa.array([odd.get(i, t) for i, t in enumerate(texts)], pa.string())
+    return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(column), pattern=r"[^\pL\pN]+", replacement=" "), characters=" ")
+
+
+def words_of_records(plain: list[pa.Array], fielded: list[pa.Array]) -> pa.Array:
+    """All words of each record with single spaces: lower case, no punctuation, null as empty, fields in order."""
+    columns = [_spaced_column(c.cast(pa.string())) for c in plain]
+    for c in fielded:
+        texts = c.to_pylist()
+        own = _spaced_column(c.cast(pa.string()))
+        some = [i for i, t in enumerate(texts) if t and ("\n" in t or t.lstrip().startswith("{"))]
+        if some:
+            mask = np.zeros(len(texts), dtype=bool)
+            mask[some] = True
+            own = pc.replace_with_mask(own, pa.array(mask), pa.array([_fields_in_order(texts[i]) for i in some], pa.string()))
+        columns.append(own)
+    whole, *rest = [pc.fill_null(c, "") for c in columns]
+    for c in rest:
+        between = pc.if_else(pc.or_(pc.equal(whole, ""), pc.equal(c, "")), "", " ")
+        whole = pc.binary_join_element_wise(whole, between, c, "")
+    return whole
+
+
 def record_words(plain: list[str | None], fielded: list[str | None]) -> str:
-    """All words of a record with single spaces: lower case, no punctuation, null as empty."""
-    return " ".join(w for w in [*(_spaced(p) for p in plain if p), *(_fields_in_order(f) for f in fielded if f)] if w)
+    """``words_of_records`` of one record."""
+    return words_of_records([pa.array([x], pa.string()) for x in plain], [pa.array([x], pa.string()) for x in fielded])[0].as_py()
 
 
 class _Hashes(dict):
@@ -96,12 +125,13 @@ class _Hashes(dict):
         return h
 
 
-def _hashed(texts: list[str], hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashed(texts: list[str] | pa.Array, hashes: _Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words of word-normalised texts, and where each text starts and how many words it has."""
-    split = [t.split(" ") for t in texts]
-    size = np.array([len(w) for w in split], dtype=np.int64)
-    h = np.fromiter((hashes[w] for words in split for w in words), dtype=np.uint64, count=int(size.sum()))
-    return h, np.cumsum(size) - size, size
+    words = pc.split_pattern(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), pattern=" ")
+    size = words.value_lengths().to_numpy().astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    known = np.fromiter(map(hashes.__getitem__, coded.dictionary.to_pylist()), dtype=np.uint64, count=len(coded.dictionary))
+    return known[coded.indices.to_numpy()], np.cumsum(size) - size, size
 
 
 def _parities(h: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -311,24 +341,20 @@ def cross_split_overlaps(
     names = [f"c{i}" for i in range(len(plain) + len(fielded))]
     rows = df.select(F.col(key).cast("long").alias("key"), side.alias("side"), *[F.col(c).cast("string").alias(n) for c, n in zip(plain + fielded, names)]).where("side is not null and key is not null")
 
-    def words_of(b: pa.RecordBatch) -> list[str]:
-        columns = [b.column(n).to_pylist() for n in names]
-        return [record_words(r[: len(plain)], r[len(plain) :]) for r in zip(*columns)]
-
     def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for b in batches:
-            words = words_of(b)
-            some = [i for i, w in enumerate(words) if w]
-            if not some:
+            words = words_of_records([b.column(n) for n in names[: len(plain)]], [b.column(n) for n in names[len(plain) :]])
+            some = pa.array(np.flatnonzero(pc.not_equal(words, "").to_numpy(zero_copy_only=False)))
+            if not len(some):
                 continue
-            words = [words[i] for i in some]
+            words = words.take(some)
             h, start, size = _hashed(words, hashes)
             parity = _parities(h, start)
-            own = b.select(["key", "side"]).take(pa.array(some))
+            own = b.select(["key", "side"]).take(some)
             p0, p1 = (pa.array(np.ascontiguousarray(parity[:, i]).view(np.int64)) for i in (0, 1))
             lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(h)).astype(np.int32)), pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([_name(w) for w in words], pa.binary()), pa.array(size.astype(np.int32)), p0, p1, lists], names=["key", "side", "text", "words", "p0", "p1", "hashes"])
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array([_name(w) for w in words.to_pylist()], pa.binary()), pa.array(size.astype(np.int32)), p0, p1, lists], names=["key", "side", "text", "words", "p0", "p1", "hashes"])
 
     table = written(rows.mapInArrow(word_rows, "key long, side int, text binary, words int, p0 long, p1 long, hashes array<long>"))
     members = table.select("text", "side", "key")
@@ -395,7 +421,8 @@ def cross_split_overlaps(
                 shared = overlap_fractions(*[(x.flatten().to_numpy().view(np.uint64), x.value_lengths().to_numpy().astype(np.int64)) for x in kept])
                 yield pa.RecordBatch.from_arrays([*[b.column(f"text{s}").take(good) for s in (0, 1)], pa.array(shared), pa.array(share[share <= differing])], names=["train_text", "held_text", "overlap_fraction", "differing_words"])
 
-    both = pairs.join(left, "id0").join(right, "id1").select("text0", "text1", "h0", "h1")
+    sent_pairs = F.broadcast(pairs) if pairs.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT else pairs
+    both = left.join(sent_pairs, "id0").join(right, "id1").select("text0", "text1", "h0", "h1")
     found = both.mapInArrow(compare, "train_text binary, held_text binary, overlap_fraction double, differing_words double")
     return found, members
 
@@ -425,7 +452,7 @@ def _count_runs(held: DataFrame, hashes_of: Callable, differing: float) -> np.nd
         return pd.DataFrame({"block": frame["block"].iloc[:1], "salt": -1, "counts": [_squeezed(total).tobytes()]})
 
     schema = "block long, salt int, counts binary"
-    parts = held.select("words", "hashes").mapInArrow(count, "block long, counts binary").withColumn("salt", F.spark_partition_id() % 64)
+    parts = held.select("words", "hashes").mapInArrow(count, "block long, counts binary").withColumn("salt", F.spark_partition_id() % 1024)
     whole = parts.groupBy("block", "salt").applyInPandas(summed, schema).groupBy("block").applyInPandas(summed, schema)
     out = np.zeros((1 << bits - BLOCK.bit_length() + 1, BLOCK), dtype=np.uint8)
     for r in whole.select("block", "counts").collect():  # at most 4 MB
