@@ -5,8 +5,9 @@ in another are worked out beforehand for all encoding pairs. A multi-pattern
 automaton finds them in one pass over a text, longest match first, and only
 the matched spans are replaced; all other text stays as it is.
 
-Two families of pairs are covered: UTF-8 read as a single-byte encoding, once
-or twice over, and Vietnamese single-byte encodings read as Western European.
+Three families of pairs are covered: UTF-8 read as a single-byte encoding, once
+or twice over; Vietnamese single-byte encodings read as Western European; and
+other national encodings of one or two bytes read so (``mojibake_pairs``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import mojibake_pairs
+
 #: Single-byte encodings in which UTF-8 bytes are read by mistake.
 READ_AS = ["cp1252", "latin-1", "cp1258", "cp1250", "cp1251", "cp1254", "cp1257", "cp437", "cp850", "mac_roman", "iso8859_15"]
 #: Those that are read twice over in any order; the others are listed for reading in the same one twice.
@@ -193,85 +196,87 @@ def automaton():
 
 
 @lru_cache(1)
-def legacy_table() -> dict[str, tuple[dict[str, str], dict[str, str]]]:
-    """By encoding: how initials and rimes look, in small letters, capitals, and with a capital first, -> what they are.
+def legacy_automaton():
+    """Automaton over every Vietnamese syllable as it looks in each 8-bit encoding: in small letters, capitals, and with a capital first.
 
-    Letters that an encoding lacks, as capitals with tones, are left out.
+    A hit says by encoding what the syllable is, and whether it is a syllable
+    also as it looks. Letters that an encoding lacks, as capitals with tones, are left out.
     """
-    table = {}
+    import ahocorasick
+
     cases = (str.lower, str.upper, str.capitalize)
+    found: dict[str, dict[str, str]] = {}
     for name, write in legacy_writers().items():
-        initials, finals = {}, {}
-        for parts, found in ((ONSETS, initials), (rimes(), finals)):
-            for part in parts:
-                for case in cases:
-                    own = case(part)
-                    seen = write(own)
-                    if own.isascii() or all(c not in seen for c in own if not c.isascii() and c not in write(c)):
-                        found.setdefault(seen, own)
-        table[name] = (initials, finals)
-    return table
-
-
-_WORD = re.compile(r"[^\s.,;:!?()\[\]{}\"'/\\|<>=+*&^%$#@~`0-9-]+")
-
-
-@lru_cache(100_000)
-def _legacy_word(word: str, name: str) -> str | None:
-    """The syllable that a word of an encoding stands for, or None."""
-    initials, finals = legacy_table()[name]
-    for i in range(min(3, len(word)), -1, -1):
-        if (a := initials.get(word[:i])) is not None and (b := finals.get(word[i:])) is not None and a + b != word:
-            return a + b
-    return None
-
-
-def _stretch(told: list[bool]) -> tuple[int, int]:
-    """First and last place of the stretch with the largest excess of true over false, or (0, -1) if that is under two."""
-    most, found, total, first = 1, (0, -1), 0, 0
-    for i, t in enumerate(told):
-        if total <= 0:
-            total, first = 0, i
-        total += 1 if t else -1
-        if total > most:
-            most, found = total, (first, i)
-    return found
+        for initial, rime in product(ONSETS, rimes()):
+            for case in cases:
+                own = case(initial + rime)
+                seen = write(own)
+                if seen != own and not seen.isascii() and all(c not in seen for c in own if not c.isascii() and c not in write(c)):
+                    found.setdefault(seen, {}).setdefault(name, own)
+    a = ahocorasick.Automaton()
+    for seen, originals in found.items():
+        a.add_word(seen, (len(seen), originals, is_syllable(unicodedata.normalize("NFC", seen.lower()))))
+    a.make_automaton()
+    return a
+
 
+_SPLIT = "\\s.,;:!?()\\[\\]{}\"'/\\\\|<>=+*&^%$#@~`0-9-"
+_WORD = re.compile(f"[^{_SPLIT}]+")
+_PARTS = re.compile(f"[{_SPLIT}]")
+_UNIT = re.compile(r"(?:[mkcd]?m|ha)[²³]$|[°²³]$", re.I)
 
-def _legacy(text: str) -> tuple[str, int]:
-    """Text with words of a Vietnamese 8-bit encoding restored, and how many words tell of it.
+#: What it costs to read a word against the evidence, and to go from right text to garbled text or between encodings.
+_STRANGE, _PROOF, _HINT, _AMBIGUOUS = 1.0, 2.0, 0.4, 0.1
+_START, _ENTER, _LEAVE = 1.1, 1.4, 0.3
 
-    A word tells if it has three characters or more and is no syllable as it
-    stands. One word of five characters proves it or two shorter ones. Where
-    most such words of the text are of no syllable in the encoding, a stretch in
-    which those that are outnumber the others by two proves itself, and nothing else is changed.
+
+def _legacy(text: str) -> tuple[list[tuple[int, int, str]], int]:
+    """Start, end and original of every word garbled by a Vietnamese 8-bit encoding, and how many words tell of it.
+
+    Every word is read as it stands or as garbled by one of the encodings, so
+    that the whole text costs least. Reading a word as it stands costs something
+    if it is a syllable only when garbled, twice as much from five characters
+    on, and less if it is short but holds a sign; reading it as garbled does if it is no syllable then, and a little if it
+    is one also as it stands. Going over to garbled text costs more than one
+    short word can prove. So a word that is right as it stands stays, but in the
+    midst of garbled ones, and each stretch has its own encoding.
     """
-    words = [w for w in _WORD.finditer(text) if not w.group().isascii()]
-    strange = [w for w in words if w.end() - w.start() > 2 and any(c.isascii() and c.isalpha() for c in w.group()) and not is_syllable(unicodedata.normalize("NFC", w.group().lower()))]
-    if not strange:
-        return text, 0
-    best, name, low, high = 0, "", 0, 0
-    for encoding in legacy_table():
-        told = [_legacy_word(w.group(), encoding) is not None for w in strange]
-        hits = [w.group() for w, t in zip(strange, told) if t]
-        if len(hits) * 2 >= len(strange):
-            first, last = 0, len(strange) - 1
-        else:
-            first, last = _stretch(told)
-            hits = [w.group() for w, t in zip(strange[first : last + 1], told[first : last + 1]) if t] if last > first else []
-        if len(hits) > best and (len(hits) > 1 or len(hits[0]) > 4):
-            whole = last - first == len(strange) - 1
-            best, name, low, high = len(hits), encoding, 0 if whole else strange[first].start(), len(text) if whole else strange[last].end()
-    if not best:
-        return text, 0
-    out, end = [], 0
-    for w in words:
-        # a short word may be a sign of its own beside a letter, as in square metres
-        own = w.group()
-        sign = len(own) < 3 and any(not c.isalpha() for c in own) or not low <= w.start() < high
-        out += [text[end : w.start()], own if sign else _legacy_word(own, name) or own]
-        end = w.end()
-    return "".join([*out, text[end:]]), best
+    hits = {}
+    telling = False
+    for end, (n, originals, right) in legacy_automaton().iter_long(text):
+        start = end - n + 1
+        if (not start or _PARTS.match(text[start - 1])) and (end + 1 == len(text) or _PARTS.match(text[end + 1])):
+            hits[start] = (end + 1, originals, right)
+            telling |= not right and n > 2
+    if not telling:
+        return [], 0
+    names = list(legacy_writers())
+    words = [m for m in _WORD.finditer(text) if not m.group().isascii()]
+    kinds = []
+    cost, back = [0.0] + [_START] * len(names), []
+    for m in words:
+        own = m.group()
+        end, originals, right = hits.get(m.start(), (0, {}, False))
+        if end != m.end() or _UNIT.match(own):
+            originals = {}
+        if not originals:
+            right = is_syllable(unicodedata.normalize("NFC", own.lower())) or not any(c.isascii() and c.isalpha() for c in own)
+        proves = _PROOF if len(own) > 4 else _STRANGE if len(own) > 2 and any(c.isascii() and c.isalpha() for c in own) else _HINT if any(not c.isalpha() for c in own) else 0.0
+        paid = [proves if originals and not right else 0.0] + [(_AMBIGUOUS if right else 0.0) if n in originals else 0.0 if len(own) < 3 and not originals else _STRANGE for n in names]
+        kinds.append((originals, proves if not right else 0.0))
+        moves = [[cost[c] + (0.0 if c == k else (_ENTER if k else 0.0) + (_LEAVE if c else 0.0)) for c in range(len(cost))] for k in range(len(cost))]
+        came = [min(range(len(cost)), key=row.__getitem__) for row in moves]
+        cost = [moves[k][c] + paid[k] for k, c in enumerate(came)]
+        back.append(came)
+    state = min(range(len(cost)), key=cost.__getitem__)
+    out, told = [], 0
+    for i in range(len(words) - 1, -1, -1):
+        originals, proves = kinds[i]
+        if state and (own := originals.get(names[state - 1])) is not None:
+            out.append((words[i].start(), words[i].end(), own))
+            told += proves > _HINT
+        state = back[i][state]
+    return (out[::-1], told) if told else ([], 0)
 
 
 #: The last bytes that the Western European code page leaves undefined, and so turn into a question mark.
@@ -300,16 +305,34 @@ def _fill(left: str, span: str, right: str) -> str:
     return fits[0] if len(fits) == 1 else span
 
 
+def _tidy(out: list[tuple[int, int, str]], text: str) -> list[tuple[int, int, str]]:
+    """Spans of UTF-8 without those in words whose other characters beyond ASCII decode to nothing and are no Vietnamese letters or signs: such a word is of another encoding."""
+    kept = []
+    spans = {i for a, b, _ in out for i in range(a, b)}
+    for start, end, original in out:
+        left, right = start, end
+        while left and not text[left - 1].isspace() and not text[left - 1].isascii():
+            left -= 1
+        while right < len(text) and not text[right].isspace() and not text[right].isascii():
+            right += 1
+        alien = sum(i not in spans and text[i].isalpha() and text[i].lower() not in _VIETNAMESE for i in range(left, right))
+        if 2 * alien < right - left:
+            kept.append((start, end, original))
+    return kept
+
+
 def repair(text: str | None) -> tuple[str | None, int]:
     """The text with garbled spans restored, and the number of spans found; (text, 0) if there are none.
 
-    A span whose last byte was lost is restored if only one letter makes a
-    syllable of its word. Spans that cannot be restored count but stay as they are. Null gives (None, 0), empty text ("", 0).
+    Each span is decided by itself, so a text may hold stretches of several
+    encodings beside correct text, which stays as it is. A span whose last byte
+    was lost is restored if only one letter makes a syllable of its word. Spans
+    that cannot be restored count but stay as they are. Null gives (None, 0), empty text ("", 0).
     """
     if not text or text.isascii():
         return text, 0
     sure = maybe = 0
-    hits = []
+    spans = []
     for end, (n, original, weight) in automaton().iter_long(text):
         start = end - n + 1
         # a capital inside a word in small letters is no capital
@@ -317,22 +340,39 @@ def repair(text: str | None) -> tuple[str | None, int]:
             weight = 2
         sure += weight == 2
         maybe += weight == 1 and n > 2
-        hits.append((start, end + 1, original))
+        spans.append((start, end + 1, original))
     # a letter and two signs may stand so once, hardly twice
     sure += maybe > 1
     older, words = _legacy(text)
-    if words > sure:
-        return older, words
-    if not sure:
+    others = [] if words else [x for x in mojibake_pairs.find(text) if 2 * sum(max(0, min(x[1], b) - max(x[0], a)) for a, b, _ in spans) < x[1] - x[0]]
+    found = 0
+    if words and sure <= 1 + words // 4:
+        # what looks like UTF-8 in the midst of an 8-bit encoding is chance
+        inside = (older[0][0], older[-1][1])
+        spans = [x for x in spans if not inside[0] <= x[0] < inside[1]]
+        sure = len(spans) if len(spans) > 1 and sure > 1 else 0
+    taken = sorted([*older, *others])
+    found += words + len(others)
+    if sure:
+        free = []
+        at = 0
+        for x in spans:
+            while at < len(taken) and taken[at][1] <= x[0]:
+                at += 1
+            if at == len(taken) or x[1] <= taken[at][0]:
+                free.append(x)
+        found += len(free)
+        taken = sorted([*taken, *_tidy(free, text)])
+    if not found:
         return text, text.count("\ufffd")
     out, at = [], 0
-    for start, end, original in hits:
+    for start, end, original in taken:
         out.append(text[at:start])
         if original[-1] in "?\ufffd":  # its last byte is gone; the word around it may tell
             original = _fill("".join(out)[-12:], original, text[end : end + 12])
         out.append(original)
         at = end
-    return "".join([*out, text[at:]]), len(hits)
+    return "".join([*out, text[at:]]), found
 
 
 def repair_encoding(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:

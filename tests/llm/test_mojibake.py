@@ -1,9 +1,11 @@
+import random
 import unicodedata
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from corpusgate.llm import mojibake_pairs
 from corpusgate.llm.mojibake import READ_AS, _read, legacy_writers, repair, repair_encoding, rimes
 
 WORDS = "Hội đồng thẩm định chờ xác minh; Điều 5 của Luật thuế Ắc quy, nhà ở tại Đắk Lắk".split()
@@ -79,3 +81,39 @@ def test_a_short_stretch_among_foreign_names():
     names = "tên Señor Pão Köln façade naïve über Ångström Gödel "
     assert repair(names + legacy_writers()["tcvn"]("được miễn giảm"))[0] == names + "được miễn giảm"
     assert repair(names) == (names, 0)
+
+
+LEGACY = legacy_writers()
+
+
+@pytest.mark.parametrize("garbled,right", [
+    ("các bên tham gia hợp đồng " + LEGACY["tcvn"]("khu vực đệm lần đầu được miễn giảm"), "các bên tham gia hợp đồng khu vực đệm lần đầu được miễn giảm"),
+    (LEGACY["tcvn"]("khu vực đệm được áp phích lần đầu") + " và " + _read("Hội đồng thẩm định".encode(), "cp1252"), "khu vực đệm được áp phích lần đầu và Hội đồng thẩm định"),
+    (LEGACY["tcvn"]("khu vực đệm lần đầu") + ". " + LEGACY["vni"]("thẻ các điều khoản được nộp"), "khu vực đệm lần đầu. thẻ các điều khoản được nộp"),
+    ("diện tích 120 m² của " + LEGACY["viscii"]("khu vực đệm lần đầu được miễn giảm"), "diện tích 120 m² của khu vực đệm lần đầu được miễn giảm"),
+    ("tên gọi " + _read("你好世界合同".encode("gb2312"), "latin-1") + " là", "tên gọi 你好世界合同 là"),
+    ("tên gọi " + _read("Договор поставки".encode("cp1251"), "cp1252") + " là café", "tên gọi Договор поставки là café"),
+    (_read("Σύμβαση εργασίας".encode("cp1253"), "cp1252"), "Σύμβαση εργασίας"), (_read("안녕하세요".encode("euc_kr"), "cp1252"), "안녕하세요"),
+])
+def test_each_stretch_by_its_own_encoding(garbled, right):
+    assert repair(garbled)[0] == right
+
+
+@pytest.mark.parametrize("text", ["порядок учёта и договор", "Σύμβαση εργασίας", "ÀÉÎ ÖÄÜ straße Ærøskøbing", "契約書です 계약서 合同", "Îles Éparses, Åland, Çeşme, Łódź"])
+def test_other_scripts_and_names_are_left_alone(text):
+    assert repair(text) == (text, 0) and mojibake_pairs.find(text) == []
+
+
+def test_share_of_correct_words_changed_in_mixed_text():
+    """Correct sentences of syllables beside garbled ones, each by itself decidable: none of the correct words may change."""
+    rng = random.Random(4)
+    syllables = "hồ sơ phải được gửi đến tổ tiếp nhận trong thời hạn ba ngày kể từ khi bên liên quan ký biên bản bàn giao tại trụ sở cơ quan cấp huyện".split()
+    changed = total = 0
+    for k in range(300):
+        right = [rng.choice(syllables) for _ in range(12)]
+        bad = " ".join(rng.choice(syllables) for _ in range(10))
+        garbled = LEGACY[("tcvn", "vni", "viscii")[k % 3]](bad) if k % 2 else _read(bad.encode(), READ_AS[k % 3])
+        got = repair(" ".join(right) + ". " + garbled)[0].split(" ")[: len(right)]
+        changed += sum(a.strip(".") != b for a, b in zip(got, right))
+        total += len(right)
+    assert changed <= total * 0.002
