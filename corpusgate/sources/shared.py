@@ -41,7 +41,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
