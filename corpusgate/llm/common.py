@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import durable, written
 
-__all__ = ["digest", "durable", "letters_digits", "table", "tokenizer_dir", "within", "without", "written"]
+__all__ = ["digest", "durable", "letters_digits", "sent_if_few", "table", "tokenizer_dir", "within", "without", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,14 +27,17 @@ def without(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     The keys are counted first: few are broadcast, so the rows stay where they
     are; for more the engine's usual join shuffles both sides.
     """
-    few = keys.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT
-    return df.join(F.broadcast(keys) if few else keys, key, "left_anti")
+    return df.join(sent_if_few(keys), key, "left_anti")
 
 
 def within(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose ``key`` is among ``keys``, which are counted first as in ``without``."""
-    few = keys.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT
-    return df.join(F.broadcast(keys) if few else keys, key, "left_semi")
+    return df.join(sent_if_few(keys), key, "left_semi")
+
+
+def sent_if_few(rows: DataFrame) -> DataFrame:
+    """``rows``, a written or small table of short rows, marked to be broadcast in a join if they are few."""
+    return F.broadcast(rows) if rows.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT else rows
 
 
 def letters_digits(text: Column) -> Column:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .bloom import bloom, passes
 from .codes import mix, run_hashes
-from .common import MOST_KEYS_SENT, within, without, written
+from .common import sent_if_few, within, without, written
 
 #: Mean chunk length in words.
 CUT_EVERY = 3
@@ -46,8 +46,8 @@ CUT_EVERY = 3
 RUN = 5
 #: Chunks cut beyond the least number, where a text is long enough: so many more must be shared.
 SPARE = 0
-#: Bits of the number of counters of runs, of a byte each: as many as there are runs, from 64 KB to 4 MB.
-COUNTER_BITS = range(16, 23)
+#: Bits of the number of counters of runs, of a byte each: about as many as there are runs, from 64 KB to 2 MB.
+COUNTER_BITS = range(16, 22)
 #: Counters travel in blocks of so many, and blocks of tasks with the same number modulo 1,024 are summed first.
 BLOCK = 1 << 16
 #: Runs are chosen within pieces of up to so many words.
@@ -359,8 +359,8 @@ def cross_split_overlaps(
     table = written(rows.mapInArrow(word_rows, "key long, side int, text binary, words int, p0 long, p1 long, hashes array<long>"))
     members = table.select("text", "side", "key")
     # copies stand back behind the first of their text
-    twins = members.groupBy("text", "side").agg(F.min("key").alias("id"), F.count("*").alias("n")).where("n > 1")
-    later = written(members.join(twins, ["text", "side"]).where("key <> id").select("key"))
+    twins = written(members.groupBy("text", "side").agg(F.min("key").alias("id"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    later = written(members.join(sent_if_few(twins), ["text", "side"]).where("key <> id").select("key"))
     texts = without(table, later, "key").withColumnRenamed("key", "id")
     own = ["id", "words", "p0", "p1"]
     trained, held = (texts.where(F.col("side") == n).select(*own, "hashes") for n in (0, 1))
@@ -421,10 +421,9 @@ def cross_split_overlaps(
                 shared = overlap_fractions(*[(x.flatten().to_numpy().view(np.uint64), x.value_lengths().to_numpy().astype(np.int64)) for x in kept])
                 yield pa.RecordBatch.from_arrays([*[b.column(f"text{s}").take(good) for s in (0, 1)], pa.array(shared), pa.array(share[share <= differing])], names=["train_text", "held_text", "overlap_fraction", "differing_words"])
 
-    sent_pairs = F.broadcast(pairs) if pairs.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT else pairs
-    both = left.join(sent_pairs, "id0").join(right, "id1").select("text0", "text1", "h0", "h1")
+    both = left.join(sent_if_few(pairs), "id0").join(right, "id1").select("text0", "text1", "h0", "h1")
     found = both.mapInArrow(compare, "train_text binary, held_text binary, overlap_fraction double, differing_words double")
-    return found, members
+    return written(found), members
 
 
 def _count_runs(held: DataFrame, hashes_of: Callable, differing: float) -> np.ndarray:
@@ -455,7 +454,7 @@ def _count_runs(held: DataFrame, hashes_of: Callable, differing: float) -> np.nd
     parts = held.select("words", "hashes").mapInArrow(count, "block long, counts binary").withColumn("salt", F.spark_partition_id() % 1024)
     whole = parts.groupBy("block", "salt").applyInPandas(summed, schema).groupBy("block").applyInPandas(summed, schema)
     out = np.zeros((1 << bits - BLOCK.bit_length() + 1, BLOCK), dtype=np.uint8)
-    for r in whole.select("block", "counts").collect():  # at most 4 MB
+    for r in whole.select("block", "counts").collect():  # at most 2 MB
         out[r.block] = np.frombuffer(r.counts, dtype=np.uint8)
     return out.ravel()
 
@@ -477,7 +476,11 @@ def spelled_out(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Every pair of records whose texts pair: ``train_key, held_key`` with the measures of the pair."""
     a = members.where("side = 0").select(F.col("text").alias("train_text"), F.col("key").alias("train_key"))
     b = members.where("side = 1").select(F.col("text").alias("held_text"), F.col("key").alias("held_key"))
-    return pairs.join(a, "train_text").join(b, "held_text").select("train_key", "held_key", "overlap_fraction", "differing_words")
+    few = sent_if_few(pairs)
+    trained = a.join(few, "train_text")
+    # the members of one side of the pairs are found without moving those of the other
+    held = sent_if_few(b.join(F.broadcast(few.select("held_text").distinct()) if few is not pairs else pairs.select("held_text").distinct(), "held_text", "left_semi"))
+    return trained.join(held, "held_text").select("train_key", "held_key", "overlap_fraction", "differing_words")
 
 
 def class_pairs(pairs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
