@@ -30,17 +30,17 @@ def _load(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _indexed(df: DataFrame) -> DataFrame:
-    """With ``input_index``; where the input has none, by the order of the candidate's own columns."""
-    if "input_index" in df.columns:
-        return df
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.withColumn("input_index", order)
+    """With ``input_index``; where the input has none, each row's place in the input."""
+    return df if "input_index" in df.columns else readers.indexed(df)
 
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
-    rows, mode = readers.load_records(spark, readers.record_limit(a.max_records), fixture=a.input)
-    # at most ``MOST_RECORDS`` lines; their schema is that of all of them
-    raw = spark.read.json(spark.sparkContext.parallelize([r.value for r in rows.orderBy("ordinal").collect()], 1))
+    if a.all:
+        raw, mode = readers.read_jsonl(spark, a.input), "whole_input"
+    else:
+        rows, mode = readers.load_records(spark, readers.record_limit(a.max_records), fixture=a.input)
+        # at most ``MOST_RECORDS`` lines; their schema is that of all of them
+        raw = spark.read.json(spark.sparkContext.parallelize([r.value for r in rows.orderBy("ordinal").collect()], 1))
     now = a.retrieved_at or datetime.datetime.now(datetime.timezone.utc).isoformat()
     records = normalize.normalize(raw, F.lit(a.dataset), F.lit(a.url), F.lit(a.license), F.lit(now)).persist()
     good, bad = normalize.split_errors(records)
@@ -53,7 +53,7 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def inspect(spark: SparkSession, a: argparse.Namespace) -> int:
-    checked = readers.checked_jsonl(spark, a.input).where(F.col("line_number") <= a.limit)
+    checked = readers.checked_lines(readers.first_lines(spark, a.input, a.limit, blank_lines_count=True))
     counts = checked.agg(F.count("*").alias("rows"), F.count("issue").alias("broken")).first()
     print(f"rows {counts.rows}, broken {counts.broken}")
     return 1 if counts.broken else 0
@@ -161,17 +161,20 @@ def scan(spark: SparkSession, a: argparse.Namespace) -> int:
     """Forbidden phrases in texts or in the code cells of notebooks."""
     texts = readers.read_whole_texts(spark, a.input)
     cells = readers.notebook_cells(texts).where("cell_type = 'code'").withColumn("path", F.concat_ws("#", "path", "cell_no")).select("path", F.col("source").alias("text"))
-    hits = instructions.lines_holding(texts.where(~F.endswith("path", F.lit(".ipynb"))).unionByName(cells), "path", "text", a.phrase).orderBy("path", "line_no").collect()
-    for h in hits:
+    hits = instructions.lines_holding(texts.where(~F.endswith("path", F.lit(".ipynb"))).unionByName(cells), "path", "text", a.phrase)
+    if a.report:
+        writers.write_jsonl(hits, a.report, order=["path", "line_no"], overwrite=a.overwrite)
+    first = hits.orderBy("path", "line_no").limit(a.show).collect()
+    for h in first:
         print(f"{h.path}:{h.line_no}: {h.phrase}")
-    return 2 if hits else 0
+    return 2 if first else 0
 
 
 COMMANDS = {
     "ingest": (ingest, ["--dataset", "--url", "--license"], {"--max-records": (int, readers.DEFAULT_RECORDS), "--retrieved-at": (str, None)}), "inspect": (inspect, [], {"--limit": (int, 10)}), "content": (content, ["--report"], {}), "parse": (parse, [], {"--max-chars": (int, articles.CHUNK)}),
     "filter": (filter_, [], {"--warnings": (str, None)}), "sample": (sample, [], {"--size": (int, 150), "--seed": (int, 42)}), "fill": (fill, ["--reviewer", "--notes"], {"--label": (str, "uncertain"), "--confidence": (str, "medium"), "--date": (str, None)}),
     "review": (review, [], {}), "manifest": (join, ["--accepted", "--reviews", "--samples", "--filtered"], {}), "synth": (synth, [], {"--count": (int, 2500)}), "validate": (validate, [], {"--report": (str, None)}),
-    "split": (split, [], {"--seed": (int, 42), "--train": (float, 0.8), "--validation": (float, 0.1), "--test": (float, 0.1)}), "scan": (scan, [], {}),
+    "split": (split, [], {"--seed": (int, 42), "--train": (float, 0.8), "--validation": (float, 0.1), "--test": (float, 0.1)}), "scan": (scan, [], {"--report": (str, None), "--show": (int, 50)}),
 }
 _NO_INPUT, _NO_OUTPUT = {"manifest", "synth"}, {"inspect", "content", "validate", "scan"}
 
@@ -190,6 +193,8 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument(flag, required=True)
         for flag, (kind, default) in optional.items():
             c.add_argument(flag, type=kind, default=default)
+        if name == "ingest":
+            c.add_argument("--all", action="store_true", help="read the whole input, whatever its size")
         if name == "parse":
             c.add_argument("--strict", action="store_true", help="write nothing if any document lacks provenance")
         if name == "scan":

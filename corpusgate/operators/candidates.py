@@ -44,13 +44,19 @@ def with_warnings(candidates: DataFrame, warnings: DataFrame) -> DataFrame:
 def canonical(df: DataFrame, hash_: str = "article_hash", order: str = "input_index", id_: str = "candidate_id") -> DataFrame:
     """Adds ``canonical_index`` and ``canonical_id`` of the first row with the same hash; rows with a blank hash have none.
 
-    The first of each group comes from an aggregation with partial results, and
-    is joined back, so a hash that a third of the rows share neither sits in
-    one task nor is sorted.
+    The first of each group comes from an aggregation with partial results over
+    hashes, order and ids only. Only groups of several rows are joined back;
+    a row alone is its own canonical row. So the joined side is as large as
+    there are duplicates, and a hash that a third of the rows share neither
+    sits in one task nor is sorted.
     """
-    first = df.where(~blank(hash_)).groupBy(hash_).agg(F.min(F.struct(F.col(order), F.col(id_))).alias("_first"), F.count("*").alias("group_size"))
-    joined = df.join(first, hash_, "left")
-    return joined.withColumns({"canonical_index": F.col(f"_first.{order}"), "canonical_id": F.col(f"_first.{id_}"), "group_size": F.coalesce("group_size", F.lit(0))}).drop("_first")
+    slim = df.where(~blank(hash_)).select(F.col(hash_).alias("_hash"), F.col(order).alias("_order"), F.col(id_).alias("_id"))
+    first = slim.groupBy("_hash").agg(F.min(F.struct("_order", "_id")).alias("_first"), F.count("*").alias("_size")).where("_size > 1")
+    joined = df.join(first, F.col(hash_) == F.col("_hash"), "left")
+    own = ~blank(hash_)
+    return joined.withColumns({
+        "canonical_index": F.coalesce(F.col("_first._order"), F.when(own, F.col(order))), "canonical_id": F.coalesce(F.col("_first._id"), F.when(own, F.col(id_))), "group_size": F.coalesce("_size", F.when(own, 1).otherwise(0).cast("long")),
+    }).drop("_first", "_hash", "_size")
 
 
 def duplicate_groups(df: DataFrame, hash_: str = "article_hash") -> DataFrame:
@@ -63,15 +69,15 @@ def decide(df: DataFrame) -> DataFrame:
     Rules are tried in order and all that hold are kept; the first rejecting
     one decides, else the first at all, else the candidate is kept, which is then
     its reason. Needs
-    ``input_index``; ``parent_document_warning_codes`` is optional. A missing
+    ``input_index``; other missing columns count as null. A missing
     text column counts as a missing required text, a null or blank text as
     empty. Flags of approval are reset to false.
     """
     if "parent_document_warning_codes" not in df.columns:
         df = df.withColumn("parent_document_warning_codes", F.array().cast("array<string>"))
     has_text = "text" in df.columns
-    if not has_text:
-        df = df.withColumn("text", F.lit(None).cast("string"))
+    needed = {c: "string" for c in ["text", *PARENT_FIELDS, "article_number", "chunk_index"]} | {"parse_flags": "array<string>", "uncertain_parse": "boolean"}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in needed.items() if c not in df.columns})
     hashed = df.withColumn("article_hash", candidate_hash(df))
     # rows that name their candidate keep the name
     own = candidate_id(F.col("article_hash"))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import json
 import os
+import warnings
 from collections.abc import Iterator
+from itertools import islice
+from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -26,21 +30,38 @@ def require_files(paths: list[str]) -> None:
 
 
 def record_limit(requested: int, most: int = MOST_RECORDS) -> int:
-    """The number of records to read: at least 1, at most ``most``."""
+    """The number of records to read: at least 1, at most ``most``; a larger request is cut to that with a warning."""
     if requested <= 0:
         raise ValueError(f"max records must be positive, got {requested}")
+    if requested > most:
+        warnings.warn(f"max records {requested} exceeds the cap; reading {most}", stacklevel=2)
     return min(requested, most)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """``path, line_number, value``: lines of each file as text, numbered from 1 within the file.
 
-    A file is read whole by one task, as a line's number needs all before it;
-    many files are read in parallel. Lines end at a line feed.
+    Files are read in splits by many tasks. A line's place in its split comes
+    from the order of reading; a first job counts the lines of each split, and
+    the numbers of lines before each (a row for each split) are joined to the
+    lines. Lines end at a line feed; a carriage return before it is dropped. An
+    empty file has no lines. The read fails if a split was laid out differently the second time.
     """
-    whole = spark.read.text(path, wholetext=True).select("_metadata.file_path", "value")
-    lines = F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n"))
-    return whole.select(F.col("file_path").alias("path"), lines.alias("n", "value")).select("path", (F.col("n") + 1).alias("line_number"), "value")
+    lines = spark.read.option("lineSep", "\n").text(path)
+    at = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), "value")
+    # the limit of tasks and rows per task that the ids allow keeps their difference within a split exact
+    counts = at.groupBy("path", "split").agg(F.count("*").alias("lines"), F.min("id").alias("first"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = counts.select("path", "split", "lines", "first", before.alias("before"))
+    place = F.col("id") - F.col("first")
+    same = place.between(0, F.col("lines") - 1)
+    number = F.when(same, F.col("before") + place + 1).otherwise(F.raise_error(F.lit("the files were split differently when their lines were counted")))
+    return at.join(splits, ["path", "split"], "left").select("path", number.alias("line_number"), F.regexp_replace("value", r"\r$", "").alias("value"))
+
+
+def _line_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a path in order of their names."""
+    return sorted(spark.read.text(path).inputFiles())
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -49,18 +70,45 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
+def first_lines(spark: SparkSession, path: str, most: int, blank_lines_count: bool = False) -> DataFrame:
+    """``path, line_number, value`` of the first ``most`` lines in file order that count; blank ones count only if asked.
+
+    Files are taken in order of their names and read no further than needed:
+    on this machine line by line, elsewhere by a scan and a top-k. A line number is that within its file.
+    """
+    found: list[tuple[str, int, str]] = []
+    for file in _line_files(spark, path):
+        if len(found) >= most:
+            break
+        found += _first_lines(spark, file, most - len(found), blank_lines_count)
+    return spark.createDataFrame(found, "path string, line_number long, value string")
+
+
 def first_records(spark: SparkSession, path: str, most: int, schema: str, blank_lines_count: bool = False) -> DataFrame:
-    """The first ``most`` records in file order; blank lines count towards the limit only if asked."""
-    lines = numbered_lines(spark, path)
-    full = F.trim("value") != ""
-    order = ["path", "line_number"]
-    chosen = lines.orderBy(*order).limit(most).where(full) if blank_lines_count else lines.where(full).orderBy(*order).limit(most)
+    """The first ``most`` records in file order, from ``first_lines``; blank lines give no record."""
+    chosen = first_lines(spark, path, most, blank_lines_count).where(F.trim("value") != "")
     return chosen.select("path", "line_number", F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("path", "line_number", "r.*")
 
 
+def _first_lines(spark: SparkSession, file: str, most: int, blank_lines_count: bool) -> list[tuple[str, int, str]]:
+    """The first lines of a file that count, with blank ones only if they count."""
+    if file.startswith("file:"):
+        with open(unquote(urlparse(file).path), encoding="utf-8", newline="\n") as f:
+            full = ((file, n, line.rstrip("\r\n")) for n, line in enumerate(f, 1) if blank_lines_count or line.strip())
+            return list(islice(full, most))
+    lines = numbered_lines(spark, file)
+    rows = (lines if blank_lines_count else lines.where(F.trim("value") != "")).orderBy("line_number").limit(most).collect()  # at most ``most``
+    return [(r.path, r.line_number, r.value) for r in rows]
+
+
 def checked_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """``path, line_number, value, issue`` of the non-blank lines; the issue names invalid JSON or a value that is no object, else is null."""
-    lines = numbered_lines(spark, path).where(F.trim("value") != "")
+    return checked_lines(numbered_lines(spark, path))
+
+
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """The non-blank lines of a table with a column ``value``, with ``issue``."""
+    lines = lines.where(F.trim("value") != "")
     v = F.try_parse_json("value")
     issue = F.when(v.isNull(), "Invalid JSON.").when(~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "Row must be a JSON object.")
     return lines.withColumn("issue", issue)
@@ -75,9 +123,13 @@ def strict_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return checked.drop("issue")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every value text, empty ones as the empty string; quoted line breaks are kept."""
-    raw = spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False).csv(path)
+def read_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header, every value text, empty ones as the empty string.
+
+    Quoted line breaks are kept, for which each file is read whole by one task;
+    without ``line_breaks`` a row is a line, and large files are split.
+    """
+    raw = spark.read.options(header=True, multiLine=line_breaks, escape='"', inferSchema=False).csv(path)
     return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
 
 
@@ -182,6 +234,26 @@ class BoundedJsonSource(DataSource):
         return BoundedJsonReader(self.options)
 
 
+def indexed(df: DataFrame, name: str = "input_index") -> DataFrame:
+    """Rows with their place in the input, from 0: by order of reading, files in the order of their names and splits in order within them.
+
+    Rows are told apart by where they stand, never by what they hold. A first
+    job counts the rows of each split. A table that is not read from files takes the order of its partitions.
+    """
+    at = df.select("*", F.monotonically_increasing_id().alias("_id"))
+    try:
+        at = at.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_split"))
+        at.schema  # noqa: B018
+    except AnalysisException:
+        at = at.withColumns({"_path": F.lit(""), "_split": F.shiftright("_id", 33)})
+    counts = at.groupBy("_path", "_split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))  # a row for each split
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_path", "_split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = counts.select("_path", "_split", "_n", "_first", before.alias("_before"))
+    place = F.col("_id") - F.col("_first")
+    index = F.when(place.between(0, F.col("_n") - 1), F.col("_before") + place).otherwise(F.raise_error(F.lit("the input was split differently when its rows were counted")))
+    return at.join(splits, ["_path", "_split"], "left").withColumn(name, index).drop("_id", "_path", "_split", "_n", "_first", "_before")
+
+
 def load_records(spark: SparkSession, most: int, fixture: str | None = None, remote: str | None = None) -> tuple[DataFrame, str]:
     """Bounded records and where they are from: a local fixture wins over a remote handle; one of them must be given."""
     path = fixture or remote

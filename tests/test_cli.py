@@ -59,6 +59,24 @@ def test_instruction_track(spark, tmp_path, capsys):
     assert run("inspect", "--input", bad) == 0 and run("content", "--input", t("nothing"), "--report", t("r.json")) == 1
 
 
+def test_of_identical_candidates_the_first_is_kept(spark, tmp_path):
+    row = {"parent_record_id": "p", "source_dataset": "d", "source_id": "s", "source_url": "u", "license": "MIT", "retrieved_at": "now", "text": "một hai ba bốn năm " * 30, "parse_flags": ["x"]}
+    raw = lines(tmp_path / "c.jsonl", [row, row | {"text": "khác hẳn " * 40}, row, row])
+    assert main(["filter", "--input", raw, "--output", str(tmp_path / "f")], spark) == 0
+    got = {r["input_index"]: r["filter_decision"] for r in read(str(tmp_path / "f" / "decided"))}
+    assert got == {0: "keep_candidate_for_human_review", 1: "keep_candidate_for_human_review", 2: "reject_duplicate_hash", 3: "reject_duplicate_hash"}
+
+
+def test_ingest_beyond_the_cap(spark, tmp_path):
+    raw = lines(tmp_path / "raw.jsonl", [{"doc_id": str(i), "doc_type": "luat", "title": "t", "text": f"văn bản {i}"} for i in range(1200)])
+    common = ["ingest", "--input", raw, "--dataset", "d", "--url", "u", "--license", "MIT", "--max-records", "1200"]
+    with pytest.warns(UserWarning, match="1200"):
+        main([*common, "--output", str(tmp_path / "a")], spark)
+    assert len(read(str(tmp_path / "a" / "normalized"))) == 1000
+    main([*common, "--all", "--output", str(tmp_path / "b")], spark)
+    assert len(read(str(tmp_path / "b" / "normalized"))) == 1200
+
+
 def test_every_command_is_parsed():
     for name in COMMANDS:
         with pytest.raises(SystemExit):

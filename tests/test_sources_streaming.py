@@ -21,11 +21,34 @@ def test_lines_are_numbered_and_limits_count_what_they_say(spark, tmp_path):
     assert [json.loads(r.value)["a"] for r in rows.orderBy("ordinal").collect()] == [1, 2] and mode == "offline_fixture"
     with pytest.raises(ValueError):
         readers.load_records(spark, 2)
-    assert readers.record_limit(5000) == 1000
+    with pytest.warns(UserWarning, match="5000"):
+        assert readers.record_limit(5000) == 1000
     with pytest.raises(ValueError):
         readers.record_limit(0)
 
 
+def test_numbers_over_several_files_and_splits(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    write(folder / "b.jsonl", "".join(f"b{n}\r\n" for n in range(500)))
+    write(folder / "a.jsonl", "".join(f"a{n}\n" for n in range(300)) + "\nlast")
+    write(folder / "c.jsonl", "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = readers.numbered_lines(spark, str(folder)).collect()
+        assert len({r.path for r in got}) == 2 and len(got) == 802
+        assert all(r.value == f"{r.path[-7]}{r.line_number - 1}" for r in got if r.value not in ("", "last"))
+        assert {r.line_number for r in got if r.value == "last"} == {302}
+        rows = readers.indexed(spark.read.text(str(folder))).collect()
+        assert sorted(r.input_index for r in rows) == list(range(802))
+        assert {r.value for r in rows if r.input_index in (0, 302)} == {"a0", "b0"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.value for r in readers.first_lines(spark, str(folder), 301).collect()][-2:] == ["a299", "last"]
+    assert [r.n for r in readers.indexed(spark.range(5).repartition(2), "n").orderBy("n").collect()] == list(range(5))
+
+
 def test_checked_and_strict_json_lines(spark, tmp_path):
     p = write(tmp_path / "b.jsonl", '{"a": 1}\n[1]\n\n{broken\n')
     issues = {r.line_number: r.issue for r in readers.checked_jsonl(spark, p).collect()}
