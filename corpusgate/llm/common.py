@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import durable, written
 
-__all__ = ["digest", "durable", "letters_digits", "sent_if_few", "table", "tokenizer_dir", "within", "without", "written"]
+__all__ = ["composed", "digest", "durable", "letters_digits", "sent_if_few", "table", "tokenizer_dir", "within", "without", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +40,15 @@ def sent_if_few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(MOST_KEYS_SENT + 1).count() <= MOST_KEYS_SENT else rows
 
 
+def composed(text: Column) -> Column:
+    """Text in composed form (NFC). Worked out in the JVM, and only for texts with combining marks or letters that have another composed form."""
+    odd = text.rlike(r"[\p{M}\x{1100}-\x{11FF}\x{0340}-\x{0344}\x{037E}\x{0387}\x{1F71}-\x{1FFD}\x{2126}-\x{212B}\x{F900}-\x{FAFF}]")
+    return F.when(odd, F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False))).otherwise(text)
+
+
 def letters_digits(text: Column) -> Column:
-    """Lower-case letters and digits of ``text`` in order, all else removed; null counts as empty."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", "")
+    """Lower-case letters with their marks, and digits, of ``text`` in order, all else removed; null counts as empty. For text in composed form."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\p{M}]+", "")
 
 
 def digest(*columns: Column) -> Column:

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import digest, letters_digits, written
+from .common import composed, digest, letters_digits, written
 
-_FIELD = r"[^\p{L}\p{N}\n]*[\p{L}\p{N}_]+(?:[ \t_]+[\p{L}\p{N}_]+){0,3}[ \t]*[:=]"
+_FIELD = r"[^\p{L}\p{N}\n]*[\p{L}\p{N}\p{M}_]+(?:[ \t_]+[\p{L}\p{N}\p{M}_]+){0,3}[ \t]*[:=]"
 _JSON = "map<string,string>"
 
 
@@ -50,7 +50,7 @@ def _raw_key(columns: list[str]) -> Column:
 def collapse_formatting(df: DataFrame, key: str, plain: list[str], fielded: list[str] | None = None, need_text: bool = True) -> DataFrame:
     """One row per group of equal records: ``group_key``, ``first_no`` (smallest ``key``), ``copies``.
 
-    Records are equal if their ``plain`` columns agree as letters and digits
+    Records are equal if their ``plain`` columns agree as letters, with their marks in composed form, and digits
     and their ``fielded`` ones as fields in any order. Null counts as empty.
     With ``need_text`` records without any letter or digit are left out,
     otherwise they are equal to each other. Rows with a null ``key`` are left
@@ -71,7 +71,8 @@ def _survivors(df: DataFrame, key: str, plain: list[str], fielded: list[str], ne
     raw = df.where(F.col(key).isNotNull()).select(F.col(key).alias("first_no"), *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(columns)])
     names = [f"_c{i}" for i in range(len(columns))]
     distinct = raw.groupBy(*names).agg(F.min("first_no").alias("first_no"), F.count("*").alias("copies"))
-    forms = [letters_digits(F.col(n)) for n in names[: len(plain)]] + [canonical_fields(F.col(n)) for n in names[len(plain) :]]
+    forms = [letters_digits(F.col(f"_n{i}")) for i in range(len(plain))] + [canonical_fields(F.col(f"_n{i}")) for i in range(len(plain), len(columns))]
+    distinct = distinct.withColumns({f"_n{i}": composed(F.col(n)) for i, n in enumerate(names)})
     formed = distinct.select(_raw_key(names).alias("raw_key"), F.concat_ws("\u001f", *forms).alias("canonical"), "first_no", "copies")
     kept = written(formed.withColumn("form_key", digest(F.col("canonical"))))
     return kept.where(F.regexp_replace("canonical", "[\u001d-\u001f]", "") != "") if need_text else kept

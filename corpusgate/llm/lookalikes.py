@@ -32,12 +32,39 @@ SHAPES = {
     "N": "Ν", "O": "ОΟՕ", "P": "РΡ", "Q": "Ԛ", "S": "ЅՏ", "T": "ТΤ", "U": "Սᑌ", "V": "Ѵ", "W": "Ԝ", "X": "ХΧ", "Y": "УΥҮ", "Z": "Ζ",
     "Đ": "ÐƉ", "đ": "ɖ",
 }
-# Kinds of space, and characters that are not seen.
-SPACES = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
-UNSEEN = "\xad\u034f\u061cᅟᅠ\u17b4\u17b5\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\ufe00\ufe0f\ufeff"
-
-
-_RESEMBLING = frozenset("".join(SHAPES.values()))
+# The same for scripts and small capitals whose letters seldom stand beside Latin ones.
+FURTHER_SHAPES = {
+    "b": "Ꮟ", "c": "ᴄⲥ", "d": "Ꮷ", "h": "Ꮒ", "i": "Ꭵ", "o": "ᴏⲟ", "p": "ⲣ", "v": "ᴠ", "w": "ᴡ", "x": "ⲭ",
+    "A": "ᎪⲀꓮ", "B": "ᏴⲂꓐ", "C": "ᏟⲤꓚ", "D": "Ꭰꓓ", "E": "ᎬⲈꓰ", "F": "ꓝ", "G": "Ꮐꓖ", "H": "ᎻⲎꓧ", "I": "Ⲓꓲ", "J": "Ꭻꓙ", "K": "ᏦⲔꓗ", "L": "Ꮮꓡ", "M": "ᎷⲘꓟ",
+    "N": "Ⲛꓠ", "O": "Ⲟꓳ", "P": "ᏢⲢꓑ", "R": "Ꮢꓣ", "S": "Ꮪꓢ", "T": "ᎢⲦꓔ", "U": "ꓴ", "V": "Ꮩꓦ", "W": "Ꮃꓪ", "X": "Ⲭꓫ", "Y": "ᎩⲨꓬ", "Z": "ᏃⲌꓜ",
+}
+#: Kinds of space beside the plain one, and of line end beside the line feed.
+SPACES = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Zs" and c != " ")
+LINE_ENDS = "\u2028\u2029"
+# Code points without a picture of their own that are no format characters by category.
+_FILLERS = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
+_VARIATIONS = "".join(map(chr, (*range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0))))
+# Format characters that are seen, as signs before numbers or names.
+_SEEN = set("\u0600\u0601\u0602\u0603\u0604\u0605\u06dd\u070f\u0890\u0891\u08e2\U000110bd\U000110cd")
+#: Characters that are not seen, by their category.
+UNSEEN = "".join(c for c in map(chr, (*range(0x30000), *range(0xE0000, 0xE0080))) if unicodedata.category(c) == "Cf" and c not in _SEEN) + _FILLERS + _VARIATIONS
+_JOINERS = frozenset("\u200c\u200d")
+_AFTER_SIGNS = frozenset("\u20e3" + _VARIATIONS) | frozenset(map(chr, range(0xE0020, 0xE0080)))
+#: Scripts whose letters change their form beside each other.
+_JOINING = ("ARABIC", "SYRIAC", "MONGOLIAN", "NKO", "MANDAIC", "DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "KHMER", "MYANMAR", "TIBETAN", "THAANA")
+
+_RESEMBLING = frozenset("".join([*SHAPES.values(), *FURTHER_SHAPES.values()]))
+
+
+def _belongs(text: str, at: int) -> bool:
+    """Whether an unseen character shapes what stands beside it: a joiner within a joining script or between pictures, a variation or tag after a picture."""
+    before, after, c = text[at - 1 : at], text[at + 1 : at + 2], text[at]
+    picture = lambda x: bool(x) and (unicodedata.category(x) in ("So", "Sk") or x in "#*0123456789\u203c\u2049\u00a9\u00ae\u2122")
+    if c in _JOINERS:
+        joining = lambda x: bool(x) and unicodedata.name(x, "").startswith(_JOINING)
+        drawn = lambda x: bool(x) and unicodedata.category(x) in ("So", "Sk")
+        return (joining(before) and (joining(after) or c == "\u200d")) or (c == "\u200d" and (drawn(before) or before in _AFTER_SIGNS) and drawn(after))
+    return c in _AFTER_SIGNS and bool(before) and ((picture(before) and before not in "0123456789") or (before in "0123456789" and after == "\u20e3") or (c >= "\U000e0020" and before >= "\U0001f3f4") or unicodedata.name(before, "").startswith(("CJK", "MONGOLIAN", "KATAKANA", "HIRAGANA")))
 
 
 class Classes:
@@ -93,11 +120,16 @@ def classes() -> dict[str, frozenset[str]]:
             u.join(c, plain)
     for c in SPACES:
         u.join(c, " ")
+    for c in LINE_ENDS:
+        u.join(c, "\n")
     for c in UNSEEN:
         u.join(c, "")
-    for latin, others in SHAPES.items():
-        for c in others:
-            u.join(c, latin)
+    for c in map(chr, (*range(0xFB00, 0xFB07), *range(0x1C4, 0x1CD), *range(0x1F1, 0x1F4), 0x132, 0x133)):  # letters written as one
+        u.join(c, unicodedata.normalize("NFKC", c))
+    for shapes in (SHAPES, FURTHER_SHAPES):
+        for latin, others in shapes.items():
+            for c in others:
+                u.join(c, latin)
     for mark in "\u0335\u0336":
         u.join("d" + mark, "đ")
         u.join("D" + mark, "Đ")
@@ -114,8 +146,8 @@ def classes() -> dict[str, frozenset[str]]:
 
 
 def _usual(member: str) -> bool:
-    """Whether a string may stand for its class: nothing, or one composed character of its usual width."""
-    return member == "" or (len(member) == 1 and unicodedata.normalize("NFC", member) == member and not unicodedata.decomposition(member).startswith("<"))
+    """Whether a string may stand for its class: nothing, or composed characters of their usual width and form."""
+    return unicodedata.normalize("NFC", member) == member and not any(unicodedata.decomposition(c).startswith("<") or unicodedata.combining(c) for c in member)
 
 
 def representatives(counts: dict[str, int]) -> dict[str, str]:
@@ -134,22 +166,40 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
     return rep
 
 
+@lru_cache(1)
+def _counter():
+    """Automaton over all members, and the characters that members of several characters have beyond their first."""
+    import ahocorasick
+
+    known = [m for m in classes() if len(m) > 1]
+    automaton = ahocorasick.Automaton()
+    for m in known:
+        automaton.add_word(m, m)
+    automaton.make_automaton()
+    return automaton, frozenset(c for m in known for c in m[1:])
+
+
 def frequencies(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Occurrences in the corpus of every string that has a look-alike.
+    """Occurrences in the corpus of every string that has a look-alike, the longest at each place.
 
-    Counted per Arrow batch and summed in the cluster. What reaches the driver
-    is bounded by the number of known look-alikes, a few thousand at any size.
+    Counted per Arrow batch by the automaton and summed in the cluster. What reaches the driver
+    is bounded by the number of known look-alikes, some fifteen thousand at any size.
     """
-    known = classes()
-    single = {m for m in known if len(m) == 1}
+    known = frozenset(classes())
     long = df.select(F.explode(F.array(*[F.col(c).cast("string") for c in columns])).alias("t")).where("t is not null")
     schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton, parts = _counter()
         total: Counter = Counter()
         for batch in batches:
             total.update(Counter("".join(batch["t"])))
-        kept = {c: n for c, n in total.items() if c in single}
+            for t in batch["t"]:
+                if not t.isascii() and not parts.isdisjoint(t):
+                    for _, m in automaton.iter_long(t):
+                        total[m] += 1
+                        total.subtract(m)  # its characters were counted singly
+        kept = {c: n for c, n in total.items() if n > 0 and c in known}
         if kept:
             yield pd.DataFrame({"s": list(kept), "n": list(kept.values())})
 
@@ -161,7 +211,7 @@ def _script(c: str) -> str:
 
 
 _TOKEN = re.compile(r"[^\s\d.,;:!?()\[\]{}\"'/\\|<>=+*&^%$#@~`«»“”‘’–—-]+")
-_FOREIGN = {"CYRILLIC", "GREEK", "ARMENIAN"}
+_FOREIGN = {"CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "LISU", "COPTIC"}
 
 
 class Rewriter:
@@ -221,7 +271,7 @@ class Rewriter:
         kept = self._kept(text) if any(h[3] for h in hits) else []
         out, at, n = [], 0, 0
         for start, end, rep, foreign in hits:
-            if foreign and any(a <= start < b for a, b in kept):
+            if (foreign and any(a <= start < b for a, b in kept)) or (not rep and end - start == 1 and _belongs(text, start)):
                 continue
             out += [text[at:start], rep]
             at, n = end, n + 1

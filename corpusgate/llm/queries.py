@@ -41,6 +41,14 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("not garbled").select("record_no", "field_name")
 
 
+def p5_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields that change, in their one form."""
+    from .lookalikes import unify_lookalikes
+
+    found = unify_lookalikes(table(spark, sf_dir, "synthetic_legal_articles"), ["text", "document_title"], ["record_no"])
+    return found.where("not garbled").select("record_no", "field_name", "places", "unified_text")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .format_dups import formatting_copies
 
@@ -51,10 +59,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record for each group of articles and of QA rows, with its number of copies."""
     from .format_dups import collapse_formatting
 
-    groups = collapse_formatting(table(spark, sf_dir, "synthetic_legal_articles"), "record_no", ["text"])
-    return groups.select("first_no", "copies")
+    articles = collapse_formatting(table(spark, sf_dir, "synthetic_legal_articles"), "record_no", ["text"])
+    answers = collapse_formatting(table(spark, sf_dir, "sample_qa"), "row_no", ["instruction", "input"], ["output"], need_text=False)
+    named = [d.select(F.lit(t).alias("table_name"), "first_no", "copies") for t, d in (("synthetic_legal_articles", articles), ("sample_qa", answers))]
+    return named[0].unionByName(named[1])
 
 
 def _consensus(spark: SparkSession, sf_dir: str, least: int):
@@ -165,13 +176,50 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p5_unified, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
+
+
+_FORM = r"regexp_replace(lower(nfc_normalize({})), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"
 
 #: SQL of the queries that SQL can express over whole tables.
-ORACLE_SQL: dict[str, str] = {
-    "p6_groups": r"""
-        SELECT min(record_no) AS first_no, count(*) AS copies
-        FROM (SELECT record_no, regexp_replace(lower(text), '[^\p{L}\p{N}]+', '', 'g') AS canonical FROM synthetic_legal_articles)
-        WHERE canonical <> '' GROUP BY canonical
-    """,
-}
+ORACLE_SQL: dict[str, str] = {}
+_FIELD_SQL = r"[^\p{L}\p{N}\n]*[\p{L}\p{N}\p{M}_]+(?:[ \t_]+[\p{L}\p{N}\p{M}_]+){0,3}[ \t]*[:=]"
+
+
+def _form(c: str) -> str:
+    return _FORM.format(c)
+
+
+_PAIR_SQL = "{} || chr(30) || {}"
+_COPIES_SQL = rf"""
+    WITH qa AS (
+        SELECT row_no, instruction, input, coalesce(output, '') AS raw FROM sample_qa
+    ), cut AS (
+        SELECT *, CASE WHEN regexp_matches(raw, '^\s*\{{') AND json_valid(raw) THEN list_transform(json_keys(raw), lambda k: {_PAIR_SQL.format(_form("k"), _form("coalesce(json_extract_string(raw, '$.\"' || k || '\"'), '')"))}) END AS pairs,
+               list_filter(string_split(regexp_replace(raw, '(?m)^({_FIELD_SQL})', chr(1) || '\1', 'g'), chr(1)), lambda x: x <> '') AS led
+        FROM qa
+    ), fields AS (
+        SELECT *, CASE WHEN contains(raw, chr(10)) AND len(led) >= 2 AND regexp_matches(led[1], '^{_FIELD_SQL}')
+                       THEN list_transform(led, lambda x: {_PAIR_SQL.format(_form(f"regexp_extract(x, '^{_FIELD_SQL}')"), _form(f"regexp_replace(x, '^{_FIELD_SQL}', '')"))}) END AS lines
+        FROM cut
+    ), forms AS (
+        SELECT 'sample_qa' AS table_name, row_no AS no, {_form("coalesce(instruction, '')")} || chr(31) || {_form("coalesce(input, '')")} || chr(31) ||
+               CASE WHEN len(pairs) >= 2 THEN array_to_string(list_sort(pairs), chr(29)) WHEN lines IS NOT NULL THEN array_to_string(list_sort(lines), chr(29)) ELSE {_form("raw")} END AS canonical
+        FROM fields
+        UNION ALL
+        SELECT 'synthetic_legal_articles', record_no, {_form("text")} FROM synthetic_legal_articles WHERE {_form("text")} <> ''
+    )
+"""
+ORACLE_SQL["p6_groups"] = _COPIES_SQL + "SELECT table_name, min(no) AS first_no, count(*) AS copies FROM forms GROUP BY table_name, canonical"
+ORACLE_SQL["p6_found"] = _COPIES_SQL + """
+    SELECT table_name, first_no, no AS copy_no FROM (SELECT table_name, no, min(no) OVER (PARTITION BY table_name, canonical) AS first_no FROM forms) WHERE no <> first_no
+"""
+# every window of 300 characters of every text, by brute force
+ORACLE_SQL["p9_found"] = """
+    WITH windows AS (
+        SELECT DISTINCT doc_id, md5(substr(text, place, 300)) AS w FROM (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS place FROM documents WHERE length(text) >= 300)
+    ), held AS (
+        SELECT w, list(doc_id) AS docs FROM windows GROUP BY w HAVING count(*) > 1
+    ), sets AS (SELECT DISTINCT list_sort(docs) AS docs FROM held)
+    SELECT DISTINCT a AS doc_id_a, b AS doc_id_b FROM (SELECT unnest(docs) AS a, docs FROM sets) JOIN LATERAL (SELECT unnest(docs) AS b) ON a < b
+"""

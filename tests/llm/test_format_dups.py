@@ -1,5 +1,6 @@
 import json
 import re
+import unicodedata
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -44,3 +45,12 @@ def test_hot_group_clashing_names_and_empty_table(spark):
     got = formatting_copies(df, "first_no", ["text"]).collect()
     assert len(got) == 599 and {r.first_no for r in got} == {0}
     assert formatting_copies(df.limit(0), "first_no", ["text"]).count() == 0
+
+
+def test_marks_count_and_composed_forms_agree(spark):
+    d = lambda s: unicodedata.normalize("NFD", s)
+    texts = ["किताब", "कतब", "má số", d("MÁ, số"), d("mà số"), "ma so", "ḿ"]
+    df = spark.createDataFrame(list(enumerate(texts)), "no long, t string")
+    assert sorted(map(tuple, formatting_copies(df, "no", ["t"]).collect())) == [(2, 3)]
+    same = spark.createDataFrame([(0, "a: má\nb: hai"), (1, d("B: hai\nA: má"))], "no long, t string")
+    assert formatting_copies(same, "no", [], ["t"]).count() == 1

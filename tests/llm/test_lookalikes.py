@@ -44,3 +44,23 @@ def test_operator(spark):
     assert [r.id for r in out.where("garbled").collect()] == [4]
     assert unify_lookalikes(df.limit(0), ["text"], ["id"]).count() == 0
     assert frequencies(df, ["text"])["\u200b"] == 20_000
+
+
+def test_joiners_and_variations_stay_where_they_shape_something():
+    for s in ("می‌خواهم", "\U0001f468‍\U0001f469‍\U0001f467", "❤️", "1️⃣", "क्‍ष"):
+        assert REWRITE(s) == (s, 0), ascii(s)
+    for s, want in (("2‍3 ngày", "23 ngày"), ("x️y", "xy"), ("Điều⁪ 1", "Điều 1"), ("a\U000e0041b", "ab"), ("dòng sau", "dòng\nsau")):
+        assert REWRITE(s)[0] == want, ascii(s)
+
+
+def test_further_scripts_and_letters_written_as_one():
+    assert REWRITE("ᎪᏢᏢle")[0] == "APPle" and REWRITE("ꓮꓐꓚ")[0] == "ABC" and REWRITE("ﬁnal ﬂow")[0] == "final flow" and REWRITE("ᴄode")[0] == "code"
+    assert REWRITE("ᏣᎳᎩ")[0] == "ᏣᎳᎩ"
+
+
+def test_strings_are_counted_and_decide(spark):
+    df = spark.createDataFrame([("á b á ậ đ",), (None,), ("aa",)], "t string")
+    n = frequencies(df, ["t"])
+    assert n["á"] == 2 and n["ậ"] == 1 and n["a"] == 2
+    rep = representatives({"ﬁ": 9, "fi": 1})
+    assert rep["ﬁ"] == "fi" and rep["á"] == "á"
