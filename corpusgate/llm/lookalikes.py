@@ -39,7 +39,7 @@ FURTHER_SHAPES = {
     "N": "Ⲛꓠ", "O": "Ⲟꓳ", "P": "ᏢⲢꓑ", "R": "Ꮢꓣ", "S": "Ꮪꓢ", "T": "ᎢⲦꓔ", "U": "ꓴ", "V": "Ꮩꓦ", "W": "Ꮃꓪ", "X": "Ⲭꓫ", "Y": "ᎩⲨꓬ", "Z": "ᏃⲌꓜ",
 }
 #: Kinds of space beside the plain one, and of line end beside the line feed.
-SPACES = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Zs" and c != " ")
+SPACES = "".join(c for c in map(chr, range(0x3001)) if unicodedata.category(c) == "Zs" and c != " ")
 LINE_ENDS = "\u2028\u2029"
 # Code points without a picture of their own that are no format characters by category.
 _FILLERS = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0"
@@ -47,7 +47,7 @@ _VARIATIONS = "".join(map(chr, (*range(0x180B, 0x1810), *range(0xFE00, 0xFE10),
 # Format characters that are seen, as signs before numbers or names.
 _SEEN = set("\u0600\u0601\u0602\u0603\u0604\u0605\u06dd\u070f\u0890\u0891\u08e2\U000110bd\U000110cd")
 #: Characters that are not seen, by their category.
-UNSEEN = "".join(c for c in map(chr, (*range(0x30000), *range(0xE0000, 0xE0080))) if unicodedata.category(c) == "Cf" and c not in _SEEN) + _FILLERS + _VARIATIONS
+UNSEEN = "".join(c for c in map(chr, (*range(0x1D200), *range(0xE0000, 0xE0080))) if unicodedata.category(c) == "Cf" and c not in _SEEN) + _FILLERS + _VARIATIONS
 _JOINERS = frozenset("\u200c\u200d")
 _AFTER_SIGNS = frozenset("\u20e3" + _VARIATIONS) | frozenset(map(chr, range(0xE0020, 0xE0080)))
 #: Scripts whose letters change their form beside each other.

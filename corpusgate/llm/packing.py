@@ -1,21 +1,24 @@
 """Filling fixed-capacity containers with items of varying length.
 
 Linear grouping: large lengths are put in groups of equal cardinality and
-rounded up to the largest of their group, so few sizes remain. Configurations
-(which sizes share a container) are chosen for those few sizes, the actual
-items take the places of the rounded ones, and the small items are placed
-where they leave least room.
+rounded up to the largest of their group, so few sizes remain. How often each
+configuration (which sizes share a container) is used is a linear programme over
+those few sizes, solved by column generation; its whole parts are taken, and
+what is left over is filled one container after the other. The actual items
+take the places of the rounded ones, and the small items are placed where they
+leave least room.
 
 All planning is done on counts by length. A length is a whole number of tokens
-up to the capacity, so the plan's size depends on the capacity, not on the
+below the capacity, so the plan's size depends on the capacity, not on the
 corpus. The items themselves are only numbered within their length, in the
-cluster, and the plan says for each range of numbers where it goes.
+cluster, in groups as many as their number asks for, and the plan says for each
+range of numbers where it goes. Pieces that fill a container go nowhere at all:
+an item's full pieces take containers in a row from a running sum over items.
 """
 
 from __future__ import annotations
 
 import base64
-import importlib.util
 import os
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,19 +34,23 @@ from .common import written
 #: A stretch of containers: ``(length, first rank, last rank + 1, first container)``; rank r lies in container ``first container + r - first rank``.
 Placement = tuple[int, int, int, int]
 
-SALTS = 32
+#: About so many items of one length are numbered by one task.
+ITEMS_A_GROUP = 200_000
+
+#: The linear programme has at most so many sizes; its time grows with their square and more.
+PROGRAMME_GROUPS = 256
+
+# Fixed value: how the public byte-level vocabularies part text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @lru_cache(2)
 def _encoder(folder: str, name: str):
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_tokenizer_files", os.path.join(folder, "__init__.py"))
-    files = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(files)
     with open(os.path.join(folder, name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_counts(df: DataFrame, key: str, text: str, folder: str, name: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
@@ -82,6 +89,52 @@ def _groups(counts: dict[int, int], least: int, groups: int) -> list[tuple[int,
     return out
 
 
+def configurations(sizes: list[int], needed: list[int], capacity: int, most: int = 4_000) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations of at most three items and how many whole containers of each, by the linear programme of fewest containers.
+
+    ``sizes`` fall and each is over a quarter of the capacity, so a container
+    holds three at the most and the best new column is found among pairs, with
+    the best third by room. Revised simplex from containers of one size each;
+    stops at the optimum or after ``most`` steps, as every step is a valid plan.
+    """
+    m = len(sizes)
+    size, need = np.array(sizes, dtype=np.int64), np.array(needed, dtype=float)
+    if not m:
+        return []
+    columns = [tuple([i] * min(3, capacity // s)) for i, s in enumerate(sizes)]
+    inverse = np.diag([1.0 / len(c) for c in columns])
+    amount = inverse @ need
+    order = np.argsort(size, kind="stable")
+    rising = size[order]
+    for _ in range(most):
+        value = np.maximum(inverse.sum(axis=0), 0.0)  # every container costs one
+        best, arg = np.zeros(m + 1), np.full(m + 1, -1)  # the best single item among the k smallest
+        for k in range(m):
+            better = value[order[k]] > best[k]
+            best[k + 1], arg[k + 1] = (value[order[k]], order[k]) if better else (best[k], arg[k])
+        room = capacity - (size[:, None] + size[None, :])
+        third = np.searchsorted(rising, room, side="right")
+        total = np.where(room >= 0, value[:, None] + value[None, :] + best[np.maximum(third, 0)], -1.0)
+        i, j = divmod(int(total.argmax()), m)
+        if total[i, j] <= 1 + 1e-7:
+            break
+        entering = tuple(x for x in (i, j, int(arg[third[i, j]])) if x >= 0)
+        column = np.bincount(entering, minlength=m).astype(float)
+        step = inverse @ column
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = np.where(step > 1e-9, amount / step, np.inf)
+        out = int(ratio.argmin())
+        if not np.isfinite(ratio[out]):
+            break
+        columns[out] = entering
+        pivot = inverse[out] / step[out]
+        amount = amount - ratio[out] * step
+        amount[out] = ratio[out]
+        inverse = inverse - np.outer(step, pivot)
+        inverse[out] = pivot
+    return [(c, int(x + 1e-6)) for c, x in zip(columns, amount) if x + 1e-6 >= 1]
+
+
 def _best_fill(sizes: list[int], left: list[int], room: int) -> list[int]:
     """How many of each size fill ``room`` best; of equal fills the one with larger items."""
     reach = np.full(room + 1, -2, dtype=np.int32)
@@ -114,8 +167,15 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 512, small: int =
     """Where items go, given how many there are of each length up to ``capacity``; and the number of containers.
 
     Lengths over ``capacity / small`` are large. Ranks count the items of a
-    length from 0. No container exceeds the capacity.
+    length from 0. No container exceeds the capacity. Of the plan with the
+    linear programme and that without, the one with fewer containers is taken.
     """
+    small = max(2, min(4, small))  # the programme knows containers of up to three large items
+    plans = [_plan(counts, capacity, min(groups, PROGRAMME_GROUPS), small, True), _plan(counts, capacity, groups, small, False)]
+    return min(plans, key=lambda p: p[1])
+
+
+def _plan(counts: dict[int, int], capacity: int, groups: int, small: int, programme: bool) -> tuple[list[Placement], int]:
     placed: list[Placement] = []
     taken: dict[int, int] = {}
     containers = 0
@@ -129,17 +189,12 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 512, small: int =
     grouped = _groups(counts, capacity // small, groups)
     sizes, left = [g[0] for g in grouped], [g[1] for g in grouped]
     stock = [sorted(g[2].items(), reverse=True) for g in grouped]
-    while any(left):
-        lead = next(j for j, n in enumerate(left) if n)
-        rest = left.copy()
-        rest[lead] -= 1
-        take = _best_fill(sizes, rest, capacity - sizes[lead])
-        take[lead] += 1
-        many = min(n // t for n, t in zip(left, take) if t)
-        # each place of the configuration takes actual items of its group, largest first
-        slots = [j for j, t in enumerate(take) for _ in range(t)]
+
+    def use(take: dict[int, int], many: int) -> None:
+        """``many`` containers of a configuration; each place takes actual items of its group, largest first."""
+        nonlocal containers
         edges, filling = {0, many}, []
-        for j in slots:
+        for j in (j for j, t in take.items() for _ in range(t)):
             at, own = 0, []
             while at < many:
                 s, n = stock[j][0]
@@ -160,7 +215,23 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 512, small: int =
             if room:
                 insort(free, (room, containers + a, b - a))
         containers += many
-        left = [n - t * many for n, t in zip(left, take)]
+        for j, t in take.items():
+            left[j] -= t * many
+
+    if programme:
+        for config, many in configurations(sizes, left, capacity):
+            take = {j: config.count(j) for j in config}
+            # the programme may provide for more than there are
+            many = min([many, *(left[j] // t for j, t in take.items())])
+            if many:
+                use(take, many)
+    while any(left):
+        lead = next(j for j, n in enumerate(left) if n)
+        rest = left.copy()
+        rest[lead] -= 1
+        take = _best_fill(sizes, rest, capacity - sizes[lead])
+        take[lead] += 1
+        use({j: t for j, t in enumerate(take) if t}, min(n // t for n, t in zip(left, take) if t))
     # small items, longest first, each where least room is left
     for s in sorted((s for s in counts if s <= capacity // small), reverse=True):
         n = counts[s]
@@ -185,12 +256,42 @@ def plan(counts: dict[int, int], capacity: int, groups: int = 512, small: int =
     return placed, containers
 
 
-def _pieces(items: DataFrame, capacity: int) -> DataFrame:
-    """``item, piece, token_start, tokens``: items over the capacity in pieces of it, the last one shorter."""
-    full = F.floor((F.col("tokens") - 1) / capacity).cast("int")
-    cut = items.select("item", "tokens", F.explode(F.sequence(F.lit(0), full)).alias("piece"))
-    start = F.col("piece") * capacity
-    return cut.select("item", "piece", start.alias("token_start"), F.least(F.lit(capacity), F.col("tokens") - start).cast("int").alias("tokens"))
+def _salted(rows: DataFrame, by: str, sizes: pd.DataFrame) -> DataFrame:
+    """Adds ``salt``: rows with one value of ``by`` in as many groups as their number ``n`` in ``sizes`` asks for."""
+    groups = sizes.assign(groups=(-(-sizes["n"] // ITEMS_A_GROUP)).clip(lower=1))[[by, "groups"]]
+    many = groups[groups["groups"] > 1]
+    if not len(many):
+        return rows.withColumn("salt", F.lit(0))
+    named = rows.sparkSession.createDataFrame(many)
+    joined = rows.join(F.broadcast(named), by, "left")  # at most as many rows as there are lengths
+    return joined.withColumn("salt", F.pmod(F.xxhash64("item", "tokens"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
+
+
+def _full_pieces(rows: DataFrame, capacity: int) -> tuple[DataFrame, int]:
+    """``container, item, piece, token_start, tokens`` of the pieces that fill a container, and their number.
+
+    Items are numbered by running sums within groups; an item's pieces are only made once it knows its first container.
+    """
+    items = rows.where(F.col("tokens") >= capacity).select("item", "tokens", F.floor(F.col("tokens") / capacity).cast("long").alias("full"), F.lit(0).alias("all"))
+    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum("full"), F.lit(0)).alias("full")).first()
+    salted = _salted(items, "all", pd.DataFrame({"all": [0], "n": [total["n"]]}))
+    tally = salted.groupBy("salt").agg(F.sum("full").alias("full")).orderBy("salt").toPandas()  # a row for each 200,000 items
+    base = rows.sparkSession.sparkContext.broadcast(dict(zip(tally["salt"], tally["full"].cumsum() - tally["full"])))
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, seen = None, 0
+        for b in batches:
+            for salt, own in b.groupby("salt", sort=False):
+                seen = seen if salt == group else base.value[salt]
+                group = salt
+                sums = own["full"].cumsum()
+                yield pd.DataFrame({"first": seen + sums - own["full"], "item": own["item"], "full": own["full"]})
+                seen += int(sums.iloc[-1])
+
+    placed = salted.repartition("salt").sortWithinPartitions("salt", "item", "tokens").select("salt", "item", "full").mapInPandas(number, "first long, item long, full long")
+    pieces = placed.select("first", "item", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
+    out = pieces.select((F.col("first") + F.col("piece")).alias("container"), "item", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).cast("int").alias("token_start"), F.lit(capacity).alias("tokens"))
+    return out, int(total["full"])
 
 
 def pack(items: DataFrame, capacity: int, groups: int = 512, small: int = 4) -> DataFrame:
@@ -204,20 +305,20 @@ def pack(items: DataFrame, capacity: int, groups: int = 512, small: int = 4) ->
     if capacity < 1:
         raise ValueError("a container must hold at least one token")
     spark = items.sparkSession
-    cut = _pieces(items.where("item is not null and tokens > 0"), capacity)
-    salt = F.pmod(F.xxhash64("item", "piece"), F.lit(SALTS)).cast("int")
-    salted = cut.withColumn("salt", salt)
-    # at most capacity * SALTS rows
-    tally = salted.groupBy("tokens", "salt").agg(F.count("*").alias("n")).orderBy("tokens", "salt").collect()
-    counts: dict[int, int] = {}
-    base: dict[tuple[int, int], int] = {}
-    for r in tally:
-        base[r.tokens, r.salt] = counts.get(r.tokens, 0)
-        counts[r.tokens] = counts.get(r.tokens, 0) + r.n
-    placed, _ = plan(counts, capacity, groups, small)
+    rows = items.where("item is not null and tokens > 0").select(F.col("item").cast("long").alias("item"), F.col("tokens").cast("long").alias("tokens"))
+    full, taken = _full_pieces(rows, capacity)
+    whole = F.floor(F.col("tokens") / capacity).cast("int")
+    rest = rows.select("item", whole.alias("piece"), (whole * capacity).alias("token_start"), (F.col("tokens") % capacity).cast("int").alias("tokens")).where("tokens > 0")
+    sizes = rest.groupBy("tokens").agg(F.count("*").alias("n")).toPandas()  # fewer rows than the capacity
+    placed, _ = plan({int(t): int(n) for t, n in zip(sizes["tokens"], sizes["n"])}, capacity, groups, small)
+    salted = _salted(rest, "tokens", sizes)
+    # a row for each length, and for each 200,000 items of one
+    tally = salted.groupBy("tokens", "salt").agg(F.count("*").alias("n")).orderBy("tokens", "salt").toPandas()
+    tally["base"] = tally.groupby("tokens")["n"].cumsum() - tally["n"]
+    base = {(int(t), int(s)): int(b) for t, s, b in zip(tally["tokens"], tally["salt"], tally["base"])}
     by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for length, rows in pd.DataFrame(placed, columns=["length", "low", "high", "first"]).sort_values("low").groupby("length"):
-        by_length[int(length)] = (rows["low"].to_numpy(), rows["first"].to_numpy())
+    for length, some in pd.DataFrame(placed, columns=["length", "low", "high", "first"]).sort_values("low").groupby("length"):
+        by_length[int(length)] = (some["low"].to_numpy(), some["first"].to_numpy())
     sent = spark.sparkContext.broadcast((base, by_length))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,10 +337,10 @@ def pack(items: DataFrame, capacity: int, groups: int = 512, small: int = 4) ->
                 i = np.searchsorted(low, rank, side="right") - 1
                 out[a:z] = first[i] + rank - low[i]
                 seen += z - a
-            yield b.assign(container=out)[["container", "item", "piece", "token_start", "tokens"]]
+            yield b.assign(container=out + taken)[["container", "item", "piece", "token_start", "tokens"]]
 
     ordered = salted.repartition("tokens", "salt").sortWithinPartitions("tokens", "salt", "item", "piece")
-    return ordered.mapInPandas(place, "container long, item long, piece int, token_start int, tokens int")
+    return ordered.mapInPandas(place, "container long, item long, piece int, token_start int, tokens int").unionByName(full)
 
 
 def pack_windows(df: DataFrame, key: str, text: str, windows: DataFrame, name: str, capacity: str, folder: str) -> DataFrame:

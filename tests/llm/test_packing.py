@@ -2,12 +2,14 @@ import os
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from corpusgate.llm import packing
 from corpusgate.llm.common import tokenizer_dir
-from corpusgate.llm.packing import pack, pack_windows, plan
+from corpusgate.llm.packing import configurations, pack, pack_windows, plan
 
 
 def unfold(placed):
@@ -38,6 +40,30 @@ def test_plan_leaves_little_space():
         assert containers <= 1.02 * least + 1
 
 
+def test_the_programme_finds_the_fewest_containers():
+    # 60 + 40, 50 + 50 and 34 + 33 + 33 fill a container; the greatest first alone would do worse
+    sizes, needed = [60, 50, 40, 34, 33], [300, 200, 300, 100, 200]
+    used = Counter()
+    for config, many in configurations(sizes, needed, 100):
+        assert sum(sizes[j] for j in config) <= 100
+        used.update({j: many * config.count(j) for j in config})
+        assert many > 0
+    assert [used[j] for j in range(5)] == needed
+    assert plan(dict(zip(sizes, needed)), 100)[1] == 300 + 100 + 100
+
+
+def test_most_pieces_full_and_hot_lengths(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_A_GROUP", 50)
+    rows = [(n, 100) for n in range(900)] + [(2_000 + n, 350) for n in range(40)] + [(3_000 + n, 30) for n in range(700)]
+    got = pack(spark.createDataFrame(rows, "item long, tokens int"), 100).toPandas()
+    load = got.groupby("container")["tokens"].sum()
+    assert load.max() <= 100 and sorted(load.index) == list(range(len(load))) and got["tokens"].sum() == sum(t for _, t in rows)
+    assert len(load) <= 900 + 120 + (700 * 30 + 40 * 50) // 90 + 2
+    salted = packing._salted(spark.createDataFrame(rows, "item long, tokens int"), "tokens", pd.DataFrame({"tokens": [100, 30], "n": [900, 700]}))
+    assert salted.where("tokens = 100").groupBy("salt").count().agg({"count": "max"}).first()[0] < 110
+    assert salted.where("tokens = 350").select("salt").distinct().count() == 1
+
+
 def test_operator(spark):
     rng = random.Random(5)
     rows = [(n, rng.choice([7, 7, 7, rng.randint(1, 250)])) for n in range(500)] + [(1000, 0), (1001, None), (None, 5), (3, 9), (3, 9)]
