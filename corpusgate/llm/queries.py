@@ -82,6 +82,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consensus_labels(*_consensus(spark, sf_dir, 1)).where("annotators >= 3").select(F.col("item").alias("candidate_id"), "decision_label")
 
 
+def p1_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the reviewers of each candidate agree, also beyond chance, with its label and how sure that is."""
+    from .consensus import chance_corrected, consensus_labels
+
+    coded, model = _consensus(spark, sf_dir, 1)
+    found = chance_corrected(consensus_labels(coded, model), coded)
+    return found.select(F.col("item").alias("candidate_id"), "decision_label", F.round("probability", 4).alias("probability"), "annotators", F.round("agreement", 4).alias("agreement"), F.round("kappa", 4).alias("kappa"))
+
+
 def p1_reviewers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .consensus import annotator_reliability
 
@@ -176,7 +185,7 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p5_unified, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_agreement, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p5_unified, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
 
 
 _FORM = r"regexp_replace(lower(nfc_normalize({})), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"

@@ -1,7 +1,8 @@
 import numpy as np
+import pandas as pd
 import pytest
 
-from corpusgate.llm.consensus import LABELS, annotator_reliability, consensus_labels, fit_consensus, votes_by_item
+from corpusgate.llm.consensus import LABELS, annotator_reliability, chance_corrected, consensus_labels, fit_consensus, votes_by_item
 
 SCHEMA = "review_row long, candidate_id string, reviewer_id string, decision_label string, confidence string, kind string, item string"
 
@@ -47,10 +48,49 @@ def test_dirty_rows_and_repeats(spark):
     assert (row.item, row.decision_label, row.annotators, row.agreement) == ("c", "uncertain", 3, 1.0)
 
 
-def test_empty_and_bounds(spark):
+def test_empty(spark):
     coded, model = run(spark, [])
-    assert consensus_labels(coded, model).count() == 0 and annotator_reliability(coded, model).count() == 0
-    df = spark.createDataFrame([(i, "c", f"r{i}", "uncertain", "low", None, None) for i in range(3)], SCHEMA)
+    assert consensus_labels(coded, model).count() == 0 and annotator_reliability(coded, model).count() == 0 and model.converged
+
+
+def test_any_number_of_annotators_gives_the_same(spark):
+    rows, _ = simulated(items=120)
+    df = spark.createDataFrame(rows, SCHEMA)
     items = votes_by_item(df, "candidate_id", "reviewer_id", "decision_label", "confidence", ["kind"], "review_row", LABELS, 1)
-    with pytest.raises(ValueError):
-        fit_consensus(items, most_annotators=2)
+    sent = fit_consensus(items, rounds=4)
+    joined = fit_consensus(items, rounds=4, most_sent=2)
+    assert sent[1].confusion is not None and joined[1].confusion is None and (sent[1].rounds, sent[1].converged) == (joined[1].rounds, joined[1].converged) == (4, False)
+    for f, key in ((consensus_labels, "item"), (annotator_reliability, "reviewer_id")):
+        a, b = (f(*x).toPandas().sort_values(key, ignore_index=True) for x in (sent, joined))
+        pd.testing.assert_frame_equal(a, b[a.columns], check_dtype=False, atol=1e-6)
+    assert fit_consensus(items)[1].converged
+
+
+def test_features_decide_where_votes_do_not(spark):
+    """Labels follow a feature; annotators guess between two labels. With the feature the classifier tells them apart."""
+    rng = np.random.default_rng(7)
+    rows, truth, n = [], {}, 0
+    for i in range(300):
+        t = i % 2
+        truth[f"c{i}"] = LABELS[t]
+        for a in range(4):
+            said = t if rng.random() < 0.62 else 1 - t
+            n += 1
+            rows.append((n, f"c{i}", f"r{a}", LABELS[said], "high", f"kind {t}", None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    right = {}
+    for features in ([], ["kind"]):
+        for cells in (5_000, 1):
+            items = votes_by_item(df, "candidate_id", "reviewer_id", "decision_label", "confidence", features, "review_row", LABELS, 1)
+            got = {r.item: r.decision_label for r in consensus_labels(*fit_consensus(items, ridge=1.0, most_cells=cells)).collect()}
+            assert len(got) == 300
+            right[bool(features), cells] = np.mean([got[c] == t for c, t in truth.items()])
+    assert right[True, 5_000] > 0.95 > right[False, 5_000] + 0.1
+
+
+def test_agreement_beyond_chance(spark):
+    rows = [(n, c, f"r{n % 3}", label, "high", None, None) for n, (c, label) in enumerate([("a", "uncertain")] * 3 + [("b", "uncertain"), ("b", "needs_parser_fix"), ("b", "reject_too_long")])] + [(9, "c", "r1", "uncertain", None, None, None)]
+    coded, model = run(spark, rows)
+    got = {r.item: (r.pair_agreement, r.kappa) for r in chance_corrected(consensus_labels(coded, model), coded).collect()}
+    chance = (25 + 1 + 1) / 49
+    assert got["a"] == (1.0, pytest.approx(1.0)) and got["b"] == (0.0, pytest.approx(-chance / (1 - chance))) and got["c"] == (None, None)
