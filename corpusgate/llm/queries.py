@@ -168,6 +168,14 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.round(F.max("covered"), 6).alias("largest_part"))
 
 
+def p8_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold parts of items within an edit distance, also where no run of eight words is unbroken."""
+    from .leakage import find_edited
+
+    found = find_edited(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "heldout_items"), "item_id", "text")
+    return found.select("doc_id", "item_id", F.round("covered", 6).alias("covered"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shared_spans import shared_pairs, shared_spans
 
@@ -185,7 +193,27 @@ def p9_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "shared_chars", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_agreement, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p5_unified, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_items, p9_found, p9_coverage)}
+def p9_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of documents with a common span: a row for each member, with the number of others it is linked to by the set."""
+    from .shared_spans import shared_spans, span_classes
+
+    _, classes, copies = shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return span_classes(classes, copies).select(F.col("class").alias("class_id"), F.col("doc").alias("doc_id"), (F.col("members") - 1).alias("links"))
+
+
+def p9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shared passages of every distinct text; a text that several rows have whole is one itself."""
+    from .shared_spans import merged_spans, shared_spans
+
+    documents = table(spark, sf_dir, "documents")
+    spans, _, copies = shared_spans(documents, "doc_id", "text")
+    texts = documents.select(F.col("doc_id").alias("doc"), "text")
+    twins = copies.select("doc").distinct().join(texts, "doc").select("doc", F.lit(0).cast("long").alias("start"), F.length("text").cast("long").alias("length"))
+    found = merged_spans(spans.unionByName(twins)).join(texts, "doc")
+    return found.select(F.col("doc").alias("doc_id"), F.col("start").alias("span_start"), F.col("length").alias("span_chars"), F.expr("substring(text, cast(start + 1 as int), cast(length as int))").alias("passage"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_agreement, p1_reviewers, p2_found, p2_restored, p3_found, p3_classes, p3_members, p3_report, p4_found, p4_defect_types, p5_found, p5_unified, p6_found, p6_groups, p7_packed, p7_fill, p8_found, p8_edited, p8_items, p9_found, p9_classes, p9_coverage, p9_passages)}
 
 
 _FORM = r"regexp_replace(lower(nfc_normalize({})), '[^\p{{L}}\p{{N}}\p{{M}}]+', '', 'g')"

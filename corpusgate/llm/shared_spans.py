@@ -10,7 +10,8 @@ Most minimisers stand in one text only, and their runs stay at home: which
 minimisers stand in several is found first from their hashes alone and sent
 around as a Bloom filter of bounded size. Minimisers of very many texts are not
 gathered in a bucket: their windows are sent singly, as digests, and combined
-before the shuffle.
+before the shuffle. They too are known by a Bloom filter; a minimiser that
+passes it by chance is counted singly as well, with the same result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .bloom import bloom, passes
 from .codes import codes, mix, pieces, rolling, sliding_min
-from .common import digest, without, written
+from .common import digest, sent_if_few, without, written
 
 #: Characters worked on at a time in a Python worker.
 _AT_ONCE = 400_000
@@ -95,17 +96,23 @@ def _shared_runs(bucketed: pd.DataFrame, span: int) -> tuple[pd.DataFrame, pd.Da
     edge = np.flatnonzero(shared & np.concatenate([[True], (row[1:] != row[:-1]) | ~shared[:-1]]))
     stop = np.flatnonzero(shared & np.concatenate([(row[1:] != row[:-1]) | ~shared[1:], [True]]))
     runs = pd.DataFrame({"doc": docs[row[edge]], "start": starts[row[edge]] + offset[edge], "length": offset[stop] - offset[edge] + span})
-    # the sets of texts, told apart by the sum of hashes of their members
+    # the sets of texts, told apart by two sums of hashes of their members
     keep = held & once
     g, member = group[keep], d[keep]
     if not len(g):
-        return runs, pd.DataFrame({"class": np.zeros(0, np.int64), "doc": np.zeros(0, np.int64)})
-    _, g = np.unique(g, return_inverse=True)
+        return runs, pd.DataFrame({"class": np.zeros(0, object), "doc": np.zeros(0, np.int64)})
     start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-    sums = np.add.reduceat(mix(member.astype(np.int64).view(np.uint64)), start)
-    _, chosen = np.unique(sums, return_index=True)
-    pick = np.isin(g, chosen)
-    return runs, pd.DataFrame({"class": _signed(sums[g[pick]]), "doc": member[pick]})
+    size = np.diff(np.append(start, len(g)))
+    own = member.astype(np.int64).view(np.uint64)
+    one, two = (np.add.reduceat(mix(own ^ np.uint64(salt)), start) for salt in (0, 0x9E3779B97F4A7C15))
+    order = np.lexsort((two, one))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    chosen = np.sort(order[new])
+    pick = np.zeros(len(start), dtype=bool)
+    pick[chosen] = True
+    names = np.array([f"{one[i]:016x}{two[i]:016x}" for i in chosen], dtype=object)
+    return runs, pd.DataFrame({"class": np.repeat(names, size[chosen]), "doc": member[np.repeat(pick, size)]})
 
 
 def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int = 120, hot: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -136,8 +143,9 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
     seen = texts.mapInPandas(minimisers, "value long, doc long").groupBy("value").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b").select("value", "n")
     seen = seen.persist()
     shared = spark.sparkContext.broadcast(bloom(seen.select("value")))
-    # there are at most runs / hot of these
-    popular = spark.sparkContext.broadcast(np.array([r[0] for r in seen.where(F.col("n") > hot).select("value").collect()], dtype=np.int64))
+    popular_values = seen.where(F.col("n") > hot).select("value")
+    any_popular = popular_values.limit(1).count() > 0
+    popular = spark.sparkContext.broadcast(bloom(popular_values, bits=32) if any_popular else None)
     seen.unpersist()
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,10 +157,10 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
                 continue
             t, start, n, value = t[keep], start[keep], n[keep], _signed(value[keep])
             packed = [own[i][s : s + w + span - 1] for i, s, w in zip(t.tolist(), start.tolist(), n.tolist())]
-            yield pd.DataFrame({"value": value, "doc": docs[t], "start": start, "packed": packed, "hot": np.isin(value, popular.value)})
+            yield pd.DataFrame({"value": value, "doc": docs[t], "start": start, "packed": packed, "hot": passes(popular.value, value) if popular.value is not None else np.zeros(len(value), dtype=bool)})
 
     runs = texts.mapInPandas(pack, "value long, doc long, start long, packed string, hot boolean")
-    out = "doc long, start long, length long, class long"
+    out = "doc long, start long, length long, class string"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -171,7 +179,7 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
         lengths = np.add.reduceat(frame["packed"].str.len().to_numpy(), bounds[:-1]).tolist()
         for a, b in pieces(lengths, _AT_ONCE):
             spans, classes = _shared_runs(frame.iloc[bounds[a] : bounds[b]], span)
-            yield spans.assign(**{"class": None}).astype({"class": "Int64"})
+            yield spans.assign(**{"class": pd.Series(None, index=spans.index, dtype=object)})
             yield classes.assign(start=None, length=None).astype({"start": "Int64", "length": "Int64"})[["doc", "start", "length", "class"]]
 
     plain = runs.where("not hot").select("value", "doc", "start", "packed").repartition("value").sortWithinPartitions("value").mapInPandas(count, out)
@@ -182,16 +190,48 @@ def shared_spans(df: DataFrame, key: str, text: str, span: int = 300, grain: int
             yield pd.DataFrame({"h1": _signed(h1), "h2": _signed(h2), "doc": b["doc"].to_numpy()[row], "start": b["start"].to_numpy()[row] + offset})
 
     found = plain
-    if len(popular.value):
+    if any_popular:
         windows = runs.where("hot").mapInPandas(singly, "h1 long, h2 long, doc long, start long")
-        common = windows.groupBy("h1", "h2").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("h1", "h2")
-        held = windows.join(common, ["h1", "h2"])
-        spans = held.select("doc", "start", F.lit(span).cast("long").alias("length"), F.lit(None).cast("long").alias("class"))
-        sets = held.select("doc", F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("length"), F.xxhash64("h1", "h2").alias("class")).distinct()
-        found = plain.unionByName(spans).unionByName(sets)
+        held_by = windows.select("h1", "h2", "doc").distinct()
+        # windows of one set of texts are one class, however many they are
+        member = lambda n: F.bit_xor(F.xxhash64("doc", F.lit(n)))
+        sets = held_by.groupBy("h1", "h2").agg(F.count("*").alias("n"), member(1).alias("a"), member(2).alias("b")).where("n > 1")
+        common = written(sets.select("h1", "h2", F.concat(F.lower(F.hex("a")), F.lit("-"), F.lower(F.hex("b"))).alias("class")))
+        one_each = common.groupBy("class").agg(F.min(F.struct("h1", "h2")).alias("w")).select("class", "w.h1", "w.h2")
+        none = F.lit(None).cast("long")
+        spans = windows.join(sent_if_few(common.select("h1", "h2")), ["h1", "h2"]).select("doc", "start", F.lit(span).cast("long").alias("length"), F.lit(None).cast("string").alias("class"))
+        classes = held_by.join(sent_if_few(one_each), ["h1", "h2"]).select("doc", none.alias("start"), none.alias("length"), "class")
+        found = plain.unionByName(spans).unionByName(classes)
     return found.where("class is null").select("doc", "start", "length"), found.where("class is not null").select("class", "doc"), copies
 
 
+def span_classes(classes: DataFrame, copies: DataFrame) -> DataFrame:
+    """``class, doc, members``: every row of every set of rows with a common span, and the size of the set; nothing is paired.
+
+    Rows with equal texts are in the classes of their text, and in one of their own if no other text shares a span with it.
+    """
+    sets = classes.distinct()
+    rows = copies.select("doc", "copy_no")
+    spelled = sets.join(rows, "doc", "left").select("class", F.coalesce("copy_no", "doc").alias("doc"))
+    alone = rows.join(sets.select("doc").distinct(), "doc", "left_anti").select(F.concat(F.lit("copies-"), F.col("doc").cast("string")).alias("class"), F.col("copy_no").alias("doc"))
+    whole = spelled.unionByName(alone)
+    return whole.join(whole.groupBy("class").agg(F.count("*").alias("members")), "class")
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """``doc, start, length``: stretches that overlap or touch as one. A text's stretches are gathered; its own length bounds them."""
+    zero = F.array().cast("array<struct<start:bigint,stop:bigint>>")
+
+    def joined(out, x):
+        last = F.element_at(out, -1)
+        grown = F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))))
+        return F.when(F.size(out) == 0, F.array(x)).when(x["start"] <= last["stop"], grown).otherwise(F.concat(out, F.array(x)))
+
+    own = F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("length")).cast("long").alias("stop"))
+    lists = spans.groupBy("doc").agg(F.array_sort(F.collect_set(own)).alias("s"))
+    return lists.select("doc", F.explode(F.aggregate("s", zero, joined)).alias("m")).select("doc", F.col("m.start").alias("start"), (F.col("m.stop") - F.col("m.start")).alias("length"))
+
+
 def shared_pairs(classes: DataFrame, copies: DataFrame) -> DataFrame:
     """``doc_a, doc_b`` (smaller first) for every two rows that share a span, copies spelled out."""
     sets = classes.distinct()

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from corpusgate.llm.shared_spans import coverage, shared_pairs, shared_spans, super_kmers
+from corpusgate.llm.shared_spans import coverage, merged_spans, shared_pairs, shared_spans, span_classes, super_kmers
 
 
 def brute(rows, k):
@@ -46,6 +46,13 @@ def test_against_brute_force(spark, hot):
     assert {tuple(r) for r in shared_pairs(classes, copies).collect()} == pairs
     got = shared_pairs(classes, copies).collect()
     assert len(got) == len(set(got))
+    sets = {}
+    for r in span_classes(classes, copies).collect():
+        sets.setdefault(r["class"], []).append((r.doc, r.members))
+    assert all(len(m) == n for m in sets.values() for _, n in m)
+    assert {(a, b) for m in sets.values() for a, _ in m for b, _ in m if a < b} == pairs
+    whole = {r.copy_no for r in copies.collect()}
+    assert {d: n for d, n in marks.items() if d not in whole} == {r.doc: r.n for r in merged_spans(spans).groupBy("doc").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect() if r.doc not in whole}
     assert {r.doc: r.shared_chars for r in coverage(df, "doc", "body", spans, copies).collect()} == marks
 
 
@@ -63,3 +70,15 @@ def test_empty_and_unshared(spark):
         spans, classes, copies = shared_spans(d, "doc", "body", span=40, grain=16)
         assert spans.count() == classes.count() == copies.count() == 0
         assert shared_pairs(classes, copies).count() == coverage(d, "doc", "body", spans, copies).count() == 0
+
+
+@pytest.mark.parametrize("hot", [20_000, 20])
+def test_a_footer_of_very_many_texts_is_one_class(spark, hot):
+    rng = random.Random(2)
+    text = lambda n: "".join(rng.choice("abcdeđ ") for _ in range(n))
+    footer = text(400)
+    df = spark.createDataFrame([(n, text(60) + chr(0x4E00 + n) + footer + (chr(0x4E00 + n) if n % 2 else "")) for n in range(60)], "doc long, body string")
+    spans, classes, copies = shared_spans(df, "doc", "body", span=40, grain=16, hot=hot)
+    assert classes.distinct().groupBy("class").count().count() == 1
+    assert shared_pairs(classes, copies).count() == 60 * 59 // 2 and copies.count() == 0
+    assert merged_spans(spans).groupBy("doc").count().count() == 60
