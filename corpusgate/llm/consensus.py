@@ -357,7 +357,12 @@ def consensus_labels(coded: DataFrame, model: Model, labels: list[str] = LABELS)
 
 def _label_shares(coded: DataFrame, k: int) -> np.ndarray:
     """Shares of the labels among all votes."""
-    said = coded.select(F.explode("codes").alias("c")).select((F.col("c") % k).alias("label")) if "codes" in coded.columns else coded.select("label")
+    if "codes" in coded.columns:
+        said = coded.select(F.explode("codes").alias("c")).select((F.col("c") % k).alias("label"))
+    elif "votes" in coded.columns:  # nothing was fitted
+        said = coded.select(F.explode("votes.label").alias("label"))
+    else:
+        said = coded.select("label")
     n = np.zeros(k)
     for r in said.groupBy("label").agg(F.count("*").alias("n")).collect():  # a row for each label
         n[r.label] = r.n
