@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import articles, audit, candidates, instructions, manifest, normalize, quality, reviews, sampling
 from .plans.queries import DEMO_DIMENSIONS, DEMO_TEMPLATES
-from .sources import readers, writers
+from .sources import readers, registry, writers
 
 
 def _session() -> SparkSession:
@@ -42,11 +42,14 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> int:
         # at most ``MOST_RECORDS`` lines; their schema is that of all of them
         raw = spark.read.json(spark.sparkContext.parallelize([r.value for r in rows.orderBy("ordinal").collect()], 1))
     now = a.retrieved_at or datetime.datetime.now(datetime.timezone.utc).isoformat()
-    records = normalize.normalize(raw, F.lit(a.dataset), F.lit(a.url), F.lit(a.license), F.lit(now)).persist()
+    records = normalize.normalize(raw, F.lit(a.dataset), F.lit(a.url), F.lit(a.license), F.lit(now), keep_raw=True).persist()
     good, bad = normalize.split_errors(records)
     writers.write_jsonl(good, os.path.join(a.output, "normalized"), overwrite=a.overwrite)
     writers.write_jsonl(bad, os.path.join(a.output, "rejected"), overwrite=a.overwrite)
     metrics = quality.quality_metrics(records)
+    source = registry.Source(a.dataset, a.url, a.license)
+    seen = records.count()
+    writers.write_report(registry.provenance_record(spark, source, a.max_records, seen, normalize.TRANSFORM_VERSION, os.path.basename(a.input.rstrip("/")), retrieved_at=now), os.path.join(a.output, "provenance_manifest.json"))
     missed = [r.message for r in quality.violations(metrics).collect()]
     writers.write_report(metrics.withColumns({"mode": F.lit(mode), "violations": F.array(*map(F.lit, missed)).cast("array<string>")}), os.path.join(a.output, "quality_report.json"))
     return 2 if missed else 0
@@ -81,7 +84,7 @@ def filter_(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.warnings:
         df = candidates.with_warnings(df, _load(spark, a.warnings))
     decided = candidates.decide(df).withColumn("bucket", candidates.bucket(F.col("filter_decision"))).persist()
-    writers.write_buckets(decided, os.path.join(a.output, "decided"), "bucket", overwrite=a.overwrite)
+    writers.write_buckets(decided, os.path.join(a.output, "decided"), "bucket", overwrite=a.overwrite, order=["input_index"])
     report = writers.write_report(candidates.filter_metrics(decided), os.path.join(a.output, "filter_report.json"))
     return 0 if report["counts_reconcile"] else 2
 
@@ -122,12 +125,13 @@ def review(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def join(spark: SparkSession, a: argparse.Namespace) -> int:
-    m = manifest.join_manifest(_load(spark, a.accepted), _load(spark, a.reviews), _load(spark, a.samples), _load(spark, a.filtered)).persist()
-    report = writers.write_report(manifest.manifest_metrics(m), os.path.join(a.output, "manifest_report.json"))
-    if report["rejected"]:
-        return 2
-    writers.write_jsonl(m, os.path.join(a.output, "manifest"), order=["candidate_id"], overwrite=a.overwrite)
-    return 0
+    filtered = candidates.union_outputs([_load(spark, path) for path in a.filtered.split(",")])
+    m = manifest.join_manifest(_load(spark, a.accepted), _load(spark, a.reviews), _load(spark, a.samples), filtered).persist()
+    metrics = manifest.manifest_metrics(m).persist()
+    verdict = lambda: "FAIL" if metrics.first()["rejected"] else "PASS"
+    report = lambda said: writers.write_report(metrics, os.path.join(a.output, "manifest_report.json"))
+    said = writers.publish(verdict, {"manifest": lambda: writers.write_jsonl(m, os.path.join(a.output, "manifest"), order=["candidate_id"], overwrite=a.overwrite)}, report)
+    return 2 if said == "FAIL" else 0
 
 
 def synth(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -157,6 +161,20 @@ def split(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+def pack_dataset(spark: SparkSession, a: argparse.Namespace) -> int:
+    """The split files of a folder under plain names beside a card, zipped; refused if a file is missing or two share an id."""
+    files = {f"{n}.jsonl": os.path.join(a.input, f"split_name={n}") for n in ("train", "validation", "test")}
+    readers.require_files(list(files.values()))
+    shared = instructions.split_overlaps({n: readers.read_jsonl(spark, path) for n, path in files.items()}).where("shared > 0").collect()
+    for r in shared:
+        print(f"{r.first} and {r.second} share {r.shared}")
+    if shared:
+        return 2
+    parts = {n: [os.path.join(path, f) for f in sorted(os.listdir(path)) if f.startswith("part-")] for n, path in files.items()}
+    writers.package(a.output, parts, a.card, a.archive)
+    return 0
+
+
 def scan(spark: SparkSession, a: argparse.Namespace) -> int:
     """Forbidden phrases in texts or in the code cells of notebooks."""
     texts = readers.read_whole_texts(spark, a.input)
@@ -174,7 +192,7 @@ COMMANDS = {
     "ingest": (ingest, ["--dataset", "--url", "--license"], {"--max-records": (int, readers.DEFAULT_RECORDS), "--retrieved-at": (str, None)}), "inspect": (inspect, [], {"--limit": (int, 10)}), "content": (content, ["--report"], {}), "parse": (parse, [], {"--max-chars": (int, articles.CHUNK)}),
     "filter": (filter_, [], {"--warnings": (str, None)}), "sample": (sample, [], {"--size": (int, 150), "--seed": (int, 42)}), "fill": (fill, ["--reviewer", "--notes"], {"--label": (str, "uncertain"), "--confidence": (str, "medium"), "--date": (str, None)}),
     "review": (review, [], {}), "manifest": (join, ["--accepted", "--reviews", "--samples", "--filtered"], {}), "synth": (synth, [], {"--count": (int, 2500)}), "validate": (validate, [], {"--report": (str, None)}),
-    "split": (split, [], {"--seed": (int, 42), "--train": (float, 0.8), "--validation": (float, 0.1), "--test": (float, 0.1)}), "scan": (scan, [], {"--report": (str, None), "--show": (int, 50)}),
+    "split": (split, [], {"--seed": (int, 42), "--train": (float, 0.8), "--validation": (float, 0.1), "--test": (float, 0.1)}), "package": (pack_dataset, [], {"--card": (str, "# Synthetic rows\n"), "--archive": (str, None)}), "scan": (scan, [], {"--report": (str, None), "--show": (int, 50)}),
 }
 _NO_INPUT, _NO_OUTPUT = {"manifest", "synth"}, {"inspect", "content", "validate", "scan"}
 

@@ -77,6 +77,12 @@ def contains_any(text: Column | str, phrases: Iterable[str]) -> Column:
     return any_of(F.contains(low, F.lit(p.lower())) for p in phrases)
 
 
+def contains_all(text: Column | str, phrases: Iterable[str]) -> Column:
+    """Whether all of the phrases stand in the text, whatever its case; null text holds none, and no phrases are all held."""
+    low = F.lower(F.coalesce(as_col(text), F.lit("")))
+    return reduce(lambda a, b: a & b, [F.contains(low, F.lit(p.lower())) for p in phrases], F.lit(True))
+
+
 def preview(c: Column | str, most: int = 80) -> Column:
     """Text cut to ``most`` characters, the last three of them dots."""
     return F.when(F.length(as_col(c)) > most, F.concat(F.substring(as_col(c), 1, most - 3), F.lit("..."))).otherwise(as_col(c))

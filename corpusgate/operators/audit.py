@@ -70,6 +70,7 @@ def turn_summary(df: DataFrame, conversations: str = "conversations", text: str
     return df.agg(
         F.count("*").alias("records"), F.count_if((user != "") & (user == text_or(text))).alias("text_is_user_turn"), F.count_if(assistant != "").alias("assistant_turns"), F.count_if((assistant != "") & cites(assistant)).alias("citing_turns"),
         F.coalesce(F.sum(F.length(assistant)), F.lit(0)).alias("assistant_chars"), F.coalesce(F.bool_and(user == text_or(text)), F.lit(True)).alias("all_text_is_user_turn"),
+        F.coalesce(F.bround(F.avg(F.when(assistant != "", F.length(assistant))), 2), F.lit(0.0)).alias("mean_assistant_chars"),
     )
 
 

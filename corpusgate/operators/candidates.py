@@ -113,6 +113,21 @@ def bucket(decision: Column) -> Column:
     return F.when(F.startswith(decision, F.lit("reject_")), "rejected").when(F.startswith(decision, F.lit("needs_review_")), "needs_review").otherwise("keep")
 
 
+def decision_counts(decided: DataFrame) -> DataFrame:
+    """``bucket, filter_decision, candidates``: how often each reason decided, within its output."""
+    return decided.groupBy(bucket(F.col("filter_decision")).alias("bucket"), "filter_decision").agg(F.count("*").alias("candidates"))
+
+
+def union_outputs(outputs: list[DataFrame]) -> DataFrame:
+    """The rows of several filter outputs as one table; a column that an output lacks is null there."""
+    if not outputs:
+        raise ValueError("no filter output is given")
+    whole = outputs[0]
+    for other in outputs[1:]:
+        whole = whole.unionByName(other, allowMissingColumns=True)
+    return whole
+
+
 def filter_metrics(decided: DataFrame) -> DataFrame:
     """One row of counts over decided candidates; duplicates rejected are all but one of each group."""
     has = lambda r: F.array_contains("filter_reasons", r)
@@ -124,6 +139,8 @@ def filter_metrics(decided: DataFrame) -> DataFrame:
         F.count_if(F.col("filter_decision") == KEEP).alias("total_keep"), F.count_if(loser).alias("duplicate_candidates_rejected"), F.count_if(F.col("filter_decision") == "reject_missing_parent_provenance").alias("missing_required_fields_count"), F.count_if(chars == 0).alias("empty_count"), F.count_if(F.size("parent_document_warning_codes") > 0).alias("with_parent_warning"), F.count_if(has("reject_near_empty")).alias("near_empty_count"),
         F.count_if((chars < SHORT_CHARS) | (chars > LONG_CHARS)).alias("suspicious_length_count"), F.count_if(has("needs_review_preamble_or_header_noise")).alias("preamble_warning_count"),
         F.count_if(has("needs_review_marker_uncertainty")).alias("marker_uncertainty_count"), F.count_if(~missing).alias("with_parent"),
+        F.count("*").alias("total_output_records"), F.count_if((F.col("group_size") > 1) & ~loser).alias("duplicate_hash_groups"),
+        F.count_if("approved_for_rag_index").alias("approved_for_rag_index_true_count"), F.count_if("is_legal_ground_truth").alias("is_legal_ground_truth_true_count"),
     )
     reconciled = F.col("total_rejected") + F.col("total_needs_review") + F.col("total_keep") == F.col("total_input_candidates")
     return a.withColumn("parent_provenance_coverage", rate(F.col("with_parent"), F.col("total_input_candidates"))).withColumn("counts_reconcile", reconciled).drop("with_parent")

@@ -69,6 +69,36 @@ def validate_rows(df: DataFrame, source: str = "synthetic-demo", format_: str =
     return staged.withColumn("errors", F.when(first.isNotNull(), F.array(first)).otherwise(F.concat(head, middle, tail))).drop("_v")
 
 
+def instruction_audit(validated: DataFrame, source: str = "synthetic-demo") -> DataFrame:
+    """One row: rows that are valid and not, the errors in all, and of each class that is counted by itself."""
+    errors = F.col("errors")
+    of = lambda t: F.coalesce(F.sum(F.size(F.filter(errors, lambda e: F.contains(e, F.lit(t))))), F.lit(0)).cast("long")
+    return validated.agg(
+        F.count("*").alias("total_rows"), F.count_if(F.size(errors) == 0).alias("valid_rows"), F.count_if(F.size(errors) > 0).alias("invalid_rows"), F.coalesce(F.sum(F.size(errors)), F.lit(0)).cast("long").alias("errors"),
+        of("official legal authority").alias("official_authority_claims"), of(f"source must equal {source}").alias("source_mismatches"), of("is_synthetic must be true").alias("synthetic_false"),
+        of("is_legal_ground_truth must be false").alias("legal_ground_truth_true"), of("approved_for_rag_index must be false").alias("rag_index_true"), of("disclaimer").alias("disclaimer_issues"),
+    )
+
+
+def split_overlaps(parts: dict[str, DataFrame], key: str = "id") -> DataFrame:
+    """``first, second, shared``: keys that two split files share, for every two of them; disjoint files give zeros.
+
+    One aggregation with a bit for each file, so a key is looked at once whatever the number of files.
+    """
+    if len(parts) > 32:
+        raise ValueError("over 32 split files")
+    names = sorted(parts)
+    seen = None
+    for n, name in enumerate(names):
+        own = parts[name].where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("k"), F.lit(1 << n).cast("long").alias("bit"))
+        seen = own if seen is None else seen.unionByName(own)
+    bits = seen.groupBy("k").agg(F.bit_or("bit").alias("bits"))
+    pairs = [(a, b, 1 << i | 1 << j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    counts = bits.agg(*[F.count_if(F.col("bits").bitwiseAND(m) == m).alias(f"p{n}") for n, (_, _, m) in enumerate(pairs)], F.count("*").alias("keys"))
+    rows = F.explode(F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(f"p{n}").alias("shared")) for n, (a, b, _) in enumerate(pairs)]))
+    return counts.select(rows.alias("r")).select("r.*")
+
+
 def duplicate_counts(df: DataFrame) -> DataFrame:
     """``measure, duplicates``: rows less distinct values of id, instruction, input, output and the three texts together.
 

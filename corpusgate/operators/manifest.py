@@ -15,15 +15,24 @@ COMPLETE = ["candidate_id", "parent_record_id", "source_dataset", "license", "pa
 PROVENANCE = ["candidate_id", "parent_record_id", "source_dataset", "license", "text_hash", "parser_version", "filter_version"]
 MERGED = ["parent_record_id", "source_dataset", "source_id", "source_url", "license", "title", "article_title", "parser_version", "filter_version"]
 
+# What the manifest reads of a review, and of a sample or filter row: no texts.
+REVIEW_FIELDS = ["candidate_id", "reviewer_id", "review_date", "decision_label", "confidence", "notes", "legal_ground_truth_approved", "rag_index_approved"]
+RECORD_FIELDS = ["candidate_id", *MERGED, "article_number", "text_hash", "article_hash", "review_sample_id", "sampling_bucket", "filter_decision"]
 
-def first_rows(df: DataFrame, order: list[str], tie: str | None = None) -> DataFrame:
+
+def first_rows(df: DataFrame, order: list[str], tie: str | None = None, keep: list[str] | None = None, among: DataFrame | None = None) -> DataFrame:
     """The first row of each candidate id by trimmed text of the ``order`` columns, then by ``tie``.
 
-    An aggregation with partial results, so rows need not be sorted. Rows with a blank id are left out.
+    An aggregation with partial results, so rows need not be sorted. Rows with a
+    blank id are left out. Only the columns to ``keep`` (all, if not given) are
+    carried, and of ids only those ``among`` a table's ``candidate_id``.
     """
     own = [text_or(c) for c in order if c in df.columns] + ([F.col(tie)] if tie else [])
-    keyed = df.where(~blank("candidate_id"))
-    best = keyed.groupBy(text_or("candidate_id").alias("_id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*own)).alias("r"))
+    kept = [c for c in df.columns if keep is None or c in keep]
+    slim = df.where(~blank("candidate_id")).select(text_or("candidate_id").alias("_id"), F.struct(*own).alias("_order"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
+    if among is not None:
+        slim = slim.join(among.select(F.col("candidate_id").alias("_id")), "_id", "left_semi")
+    best = slim.groupBy("_id").agg(F.min_by("_row", "_order").alias("r"))
     return best.select(F.col("_id").alias("candidate_id"), F.struct(F.col("r.*")).alias("r"))
 
 
@@ -40,7 +49,11 @@ def join_manifest(accepted: DataFrame, reviews: DataFrame, samples: DataFrame, f
     decision the other way round. A candidate is sound if both lists are empty.
     """
     a = accepted.where(~blank("candidate_id")).groupBy(text_or("candidate_id").alias("candidate_id")).agg(F.first("bucket", True).alias("accepted_audit_bucket"), F.first("consensus_label", True).alias("accepted_consensus_label"), F.max("review_count").alias("accepted_review_count"))
-    sides = {"review": first_rows(reviews, REVIEW_ORDER, tie if tie in reviews.columns else None), "sample": first_rows(samples, RECORD_ORDER), "filter": first_rows(filtered, RECORD_ORDER)}
+    ids = a.select("candidate_id")
+    sides = {
+        "review": first_rows(reviews, REVIEW_ORDER, tie if tie in reviews.columns else None, REVIEW_FIELDS, ids),
+        "sample": first_rows(samples, RECORD_ORDER, None, RECORD_FIELDS, ids), "filter": first_rows(filtered, RECORD_ORDER, None, RECORD_FIELDS, ids),
+    }
     joined = a
     for name, side in sides.items():
         joined = joined.join(side.withColumnRenamed("r", name), "candidate_id", "left")
@@ -61,18 +74,31 @@ def join_manifest(accepted: DataFrame, reviews: DataFrame, samples: DataFrame, f
     lacking = reasons(*[(text_or(first_truthy(of("sample", f), of("filter", f))) == "", f) for f in COMPLETE])
     return joined.select(
         "candidate_id", *[merged(f).alias(f) for f in MERGED], F.coalesce(of("sample", "article_number"), of("filter", "article_number")).cast("string").alias("article_number"),
-        text_or(first_truthy(of("sample", "text_hash"), of("filter", "text_hash"), of("filter", "article_hash"))).alias("text_hash"), *[text_or(of("review", f)).alias(f) for f in ("reviewer_id", "review_date", "decision_label", "confidence")],
+        text_or(first_truthy(of("sample", "text_hash"), of("filter", "text_hash"), of("filter", "article_hash"))).alias("text_hash"), *[text_or(of("review", f)).alias(f) for f in ("reviewer_id", "review_date", "decision_label", "confidence")], text_or(of("review", "notes")).alias("review_notes"),
         *[text_or(of("sample", f)).alias(f) for f in ("review_sample_id", "sampling_bucket")], text_or(first_truthy(of("filter", "filter_decision"), of("sample", "filter_decision"))).alias("filter_decision"),
         "accepted_audit_bucket", "accepted_consensus_label", "accepted_review_count", problems.alias("problems"), lacking.alias("missing_fields"),
     )
 
 
+def accepted_counts(accepted: DataFrame) -> DataFrame:
+    """One row: accepted rows that name a candidate, the candidates they name, and rows beyond the first of each."""
+    ids = text_or("candidate_id")
+    named = accepted.where(~blank("candidate_id")).agg(F.count("*").alias("accepted_rows"), F.count_distinct(ids).alias("accepted_candidates"))
+    return named.withColumn("repeated_rows", F.col("accepted_rows") - F.col("accepted_candidates"))
+
+
 def manifest_metrics(manifest: DataFrame) -> DataFrame:
+    """One row of counts over joined candidates; every candidate is written, rejected or unresolved."""
     sound = (F.size("problems") == 0) & (F.size("missing_fields") == 0)
-    return manifest.agg(
+    distinct = lambda c: F.count_distinct(F.when(sound, F.nullif(c, F.lit(""))))
+    has = lambda p: F.array_contains("problems", p)
+    counts = manifest.agg(
         F.count("*").alias("accepted_in"), F.count_if(sound).alias("written"), F.count_if(F.size("problems") > 0).alias("rejected"), F.count_if((F.size("problems") == 0) & (F.size("missing_fields") > 0)).alias("unresolved"),
-        F.count_distinct(F.when(sound, F.nullif("parent_record_id", F.lit("")))).alias("parents"), F.count_distinct(F.when(sound, F.nullif("reviewer_id", F.lit("")))).alias("reviewers"),
+        distinct("parent_record_id").alias("parents"), distinct("reviewer_id").alias("reviewers"), distinct("source_id").alias("source_ids"), distinct("source_dataset").alias("source_datasets"),
+        F.count_if(has("missing_completed_review_row")).alias("without_review"), F.count_if(has("missing_review_sample_row")).alias("without_sample"), F.count_if(has("review_decision_not_accept_for_later_corpus_candidate")).alias("unlike_review"),
+        F.count_if(has("review_row_legal_ground_truth_approved_true")).alias("legal_ground_truth_true"), F.count_if(has("review_row_rag_index_approved_true")).alias("rag_index_true"), F.count_if(F.array_contains("missing_fields", "filter_version")).alias("without_filter_version"),
     )
+    return counts.withColumn("counts_reconcile", F.col("written") + F.col("rejected") + F.col("unresolved") == F.col("accepted_in"))
 
 
 def provenance_coverage(df: DataFrame) -> DataFrame:

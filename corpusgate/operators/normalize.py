@@ -57,9 +57,11 @@ def record_id(dataset: Column, source_id: Column, text: Column) -> Column:
     return hash16(F.concat_ws("|", dataset, source_id, F.substring(text, 1, 200)))
 
 
-def normalize(df: DataFrame, dataset: Column, url: Column, license_: Column, retrieved_at: Column) -> DataFrame:
+def normalize(df: DataFrame, dataset: Column, url: Column, license_: Column, retrieved_at: Column, keep_raw: bool = False) -> DataFrame:
     """Normalised records in 15 columns; those without any text carry ``error`` and null text.
 
+    With ``keep_raw`` a rejected record also has its whole row as JSON in ``raw_record``.
+
     Fields are taken from the first of their names whose value is not empty,
     and only then trimmed: a text of blanks hides the later names, and falls
     to the first user turn of ``conversations`` if there is such a column.
@@ -73,14 +75,15 @@ def normalize(df: DataFrame, dataset: Column, url: Column, license_: Column, ret
         one_of(_named(df, "document_type"), DOCUMENT_TYPES, "other").alias("document_type"), text_or(_named(df, "document_number")).alias("document_number"), text_or(_named(df, "title")).alias("title"),
         lenient_int(_named(df, "article_number")).alias("article_number"), F.nullif(text_or(_named(df, "clause_number")), F.lit("")).alias("clause_number"),
         F.nullif(text, F.lit("")).alias("text"), one_of(_named(df, "effective_status"), STATUSES, "unknown").alias("effective_status"), metadata_json(df).alias("raw_metadata"),
+        *([F.when(text == "", F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("raw_record")] if keep_raw else []),
     )
     return staged.select(
         record_id(F.coalesce("source_dataset", F.lit("")), F.col("source_id"), F.coalesce("text", F.lit(""))).alias("record_id"), "source_dataset", "source_url", "source_id", "license", "retrieved_at",
-        F.lit(TRANSFORM_VERSION).alias("transform_version"), "document_type", "document_number", "title", "article_number", "clause_number", "text", "effective_status", "raw_metadata",
+        F.lit(TRANSFORM_VERSION).alias("transform_version"), "document_type", "document_number", "title", "article_number", "clause_number", "text", "effective_status", "raw_metadata", *(["raw_record"] if keep_raw else []),
         F.when(F.col("text").isNull(), "Record has no usable text field.").alias("error"),
     )
 
 
 def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Good records without the error column, and the rejected ones with it."""
-    return df.where(F.col(error).isNull()).drop(error), df.where(F.col(error).isNotNull())
+    """Good records without the error column and the raw row, and the rejected ones with them."""
+    return df.where(F.col(error).isNull()).drop(error, "raw_record"), df.where(F.col(error).isNotNull())

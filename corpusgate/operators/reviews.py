@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import reasons, text_or
+from ..functions.exprs import rate, reasons, text_or
 
 # The decision labels, those that take precedence, and the confidence levels.
 LABELS = [
@@ -73,10 +73,18 @@ def label_audit(validated: DataFrame, adjudicated: DataFrame) -> DataFrame:
     truth = lambda c: F.lower(text_or(c)).isin(TRUE)
     rows = validated.agg(
         F.count("*").alias("rows"), F.count_if(valid).alias("valid_rows"), F.count_if(~valid).alias("invalid_rows"), F.count_if(truth("legal_ground_truth_approved") | truth("rag_index_approved")).alias("forbidden_flags"),
-        F.count_distinct(F.when(valid, F.col("reviewer_id"))).alias("reviewers"),
+        F.count_distinct(F.when(valid, F.col("reviewer_id"))).alias("reviewers"), F.count_if(text_or("candidate_id") == "").alias("missing_candidate_ids"),
+        F.count_if(truth("legal_ground_truth_approved")).alias("legal_ground_truth_true"), F.count_if(truth("rag_index_approved")).alias("rag_index_true"),
+        rate(F.count_if(valid & (F.col("confidence") == "low")), F.count_if(valid)).alias("low_confidence_rate"),
     )
     items = adjudicated.agg(
         F.count("*").alias("candidates"), F.count_if(F.col("review_count") > 1).alias("reviewed_more_than_once"), F.count_if(outcome() == "accepted").alias("accepted"), F.count_if(outcome() == "rejected").alias("rejected"),
-        F.count_if(outcome() == "unresolved").alias("unresolved"),
+        F.count_if(outcome() == "unresolved").alias("unresolved"), F.count_if(F.col("adjudication_status") == "label_conflict_requires_adjudication").alias("label_conflicts"),
     )
     return rows.crossJoin(F.broadcast(items))  # one row each
+
+
+def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``field, value, count`` for every value of the columns; each row is read once and counted with partial sums."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return rows.select(pairs.alias("p")).groupBy("p.field", "p.value").agg(F.count("*").alias("count"))

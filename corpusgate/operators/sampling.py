@@ -140,3 +140,21 @@ def split_rows(df: DataFrame, key: str, seed: int = 42, train: float = 0.8, vali
     first, second = F.floor(F.col("_total") * train), F.floor(F.col("_total") * validation)
     name = F.when(F.col("_i") <= first, "train").when(F.col("_i") <= first + second, "validation").otherwise("test")
     return placed.withColumn("split_name", name).drop("_h", "_x", "_b", "_before", "_total", "_i")
+
+
+def seeded_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
+    """``size`` rows, or all if there are fewer, by hash order of ``seed|key``; a top-k, so nothing is sorted whole. Null keys count as empty."""
+    if size < 0:
+        raise ValueError("a sample cannot be smaller than nothing")
+    rank = F.sha2(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
+    return df.withColumn("_rank", rank).orderBy("_rank").limit(size).drop("_rank")
+
+
+def sample_coverage(sample: DataFrame) -> DataFrame:
+    """One row: what a sample covers. Sets are of names of sources and licences, which are few."""
+    named = lambda c: F.when(~blank(c), F.col(c))
+    warned = F.count_if(F.size("parent_document_warning_codes") > 0) if "parent_document_warning_codes" in sample.columns else F.lit(0).cast("long")
+    return sample.agg(
+        F.count("*").alias("sampled"), F.count_distinct(named("parent_record_id")).alias("parents_covered"), F.count_distinct(named("source_id")).alias("source_ids_covered"),
+        F.array_sort(F.collect_set(named("source_dataset"))).alias("source_datasets"), F.array_sort(F.collect_set(named("license"))).alias("licenses"), warned.alias("with_parent_warning"),
+    )

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from ..operators.articles import LABELS
-from ..operators.instructions import CLAIMS, DIFFICULTIES, TASK_TYPES
-from ..operators.normalize import DOCUMENT_TYPES, STATUSES
-from .queries import DEMO_DIMENSIONS, DEMO_TEMPLATES, POLICY_PHRASES, TASK_NOTES
+# Fixed values, written out here again so that the SQL checks them too.
+LABELS = ["Điều", "Dieu", "Äiá»u", "ÄIá»€U", "Ðiá»u", "ĐIỀU"]
+CLAIMS = ["this is official legal text", "this is official legal advice", "official legal authority", "official legal answer", "binding legal advice", "authoritative legal interpretation"]
+TASK_TYPES = ["classification", "explanation", "retrieval_style_qa", "drafting_demo"]
+DIFFICULTIES = ["easy", "medium", "hard"]
+DOCUMENT_TYPES = ["hien_phap", "bo_luat", "luat", "nghi_dinh", "thong_tu", "quyet_dinh", "nghi_quyet", "other"]
+STATUSES = ["in_force", "expired", "amended", "unknown"]
+DEMO_DIMENSIONS = {"topic": (["permit renewal", "address change", "invoice check"], 5), "actor": (["shop owner", "branch clerk"], 7), "place": (["north office", "south office", "harbour desk", "market hall"], 11)}
+DEMO_TEMPLATES = {
+    "instruction": ["Explain the next step of {topic} for case {case_anchor}.", "Draft a synthetic note on {topic} for the {place}."],
+    "input": ["Scenario {index}: a {actor} at the {place} asks about {topic}."],
+    "output": ["Demo answer for {case_anchor}: check the {topic} with the {actor} first.", "Synthetic reply: the {place} files the {topic}.", "Demo note: a {actor} keeps the {topic}."],
+}
+TASK_NOTES = {"explanation": "may leave out conditions", "drafting_demo": "may overstate effect"}
+POLICY_PHRASES = ["thời hạn", "complaint box", "not legal advice"]
+ALL_PHRASES = ["thời hạn", "hồ sơ"]
 
 # White space in the Unicode sense for RE2.
 _WS = r"[\t-\r\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -166,8 +178,8 @@ _REVIEWS = f"""
 _ONE_RAW = "SELECT {fields} FROM reviewer_decisions_completed WHERE NOT {blank} QUALIFY row_number() OVER (PARTITION BY {id} ORDER BY {order}) = 1"
 
 
-def _one(fields: str, order: list[str]) -> str:
-    return _ONE_RAW.format(fields=f"{_tidy('candidate_id')} AS id, {fields}", blank=_blank("candidate_id"), id=_tidy("candidate_id"), order=", ".join(map(_tidy, order)))
+def _one(fields: str, order: list[str], tie: str = "") -> str:
+    return _ONE_RAW.format(fields=f"{_tidy('candidate_id')} AS id, {fields}", blank=_blank("candidate_id"), id=_tidy("candidate_id"), order=", ".join([*map(_tidy, order), *([tie] if tie else [])]))
 
 
 def _either(field: str) -> str:
@@ -175,11 +187,14 @@ def _either(field: str) -> str:
 
 
 _MANIFEST = f"""
-    {_REVIEWS}, {_DECIDED.strip().removeprefix("WITH ").replace(", c AS (", ", cand AS (").replace("FROM c\n", "FROM cand\n")}, rv AS ({_one("decision_label, reviewer_id, review_date, legal_ground_truth_approved AS lg, rag_index_approved AS rg", ["review_date", "reviewer_id", "decision_label", "confidence", "review_sample_id"])}),
-    sm AS ({_one("parent_record_id, source_dataset, license, review_sample_id, filter_decision", ["parent_record_id", "source_id", "review_sample_id", "filter_decision"])}),
+    {_REVIEWS}, {_DECIDED.strip().removeprefix("WITH ").replace(", c AS (", ", cand AS (").replace("FROM c\n", "FROM cand\n")}, rv AS ({_one("decision_label, reviewer_id, review_date, confidence, notes, legal_ground_truth_approved AS lg, rag_index_approved AS rg", ["review_date", "reviewer_id", "decision_label", "confidence", "review_sample_id"], "review_row")}),
+    sm AS ({_one("parent_record_id, source_dataset, source_id, source_url, title, article_number, article_title, sampling_bucket, license, review_sample_id, filter_decision", ["parent_record_id", "source_id", "review_sample_id", "filter_decision"])}),
     joined AS (
         SELECT acc.candidate_id, {_either("parent_record_id")} AS parent_record_id, {_either("license")} AS license, {_tidy("coalesce(nullif(fl.text_hash, ''), fl.article_hash)")} AS text_hash, {_tidy("rv.reviewer_id")} AS reviewer_id,
                {_tidy("rv.review_date")} AS review_date, {_tidy("sm.review_sample_id")} AS review_sample_id, {_tidy("coalesce(nullif(fl.filter_decision, ''), sm.filter_decision)")} AS filter_decision, acc.review_count AS accepted_review_count,
+               {_either("source_dataset")} AS source_dataset, {_either("source_id")} AS source_id, {_either("source_url")} AS source_url, {_either("title")} AS title, {_either("article_title")} AS article_title, {_tidy("fl.parser_version")} AS parser_version,
+               CASE WHEN fl.candidate_id IS NULL THEN '' ELSE 'corpusgate_filter_v1' END AS filter_version, coalesce(sm.article_number, CAST(fl.article_number AS VARCHAR)) AS article_number, {_tidy("rv.decision_label")} AS decision_label,
+               {_tidy("rv.confidence")} AS confidence, {_tidy("rv.notes")} AS review_notes, {_tidy("sm.sampling_bucket")} AS sampling_bucket, 'accepted' AS accepted_audit_bucket, acc.consensus_label AS accepted_consensus_label,
                CASE WHEN rv.id IS NULL THEN ['missing_completed_review_row'] ELSE [x FOR x IN [CASE WHEN {_tidy("rv.decision_label")} <> 'accept_for_later_corpus_candidate' THEN 'review_decision_not_accept_for_later_corpus_candidate' END,
                    CASE WHEN lower({_tidy("lg")}) IN ('true', '1', 'yes', 'y') THEN 'review_row_legal_ground_truth_approved_true' END, CASE WHEN lower({_tidy("rg")}) IN ('true', '1', 'yes', 'y') THEN 'review_row_rag_index_approved_true' END] IF x IS NOT NULL] END AS problems,
                [x FOR x IN [CASE WHEN {_either("parent_record_id")} = '' THEN 'parent_record_id' END, CASE WHEN {_either("source_dataset")} = '' THEN 'source_dataset' END, CASE WHEN {_either("license")} = '' THEN 'license' END,
@@ -253,7 +268,13 @@ ORACLE_SQL: dict[str, str] = {
                    count(*) FILTER (WHERE filter_decision = 'reject_missing_parent_provenance') AS missing_required_fields_count, count(*) FILTER (WHERE chars = 0) AS empty_count, CAST(0 AS BIGINT) AS with_parent_warning,
                    count(*) FILTER (WHERE list_contains(why, 'reject_near_empty')) AS near_empty_count, count(*) FILTER (WHERE chars < 100 OR chars > 50000) AS suspicious_length_count,
                    count(*) FILTER (WHERE list_contains(why, 'needs_review_preamble_or_header_noise')) AS preamble_warning_count, count(*) FILTER (WHERE list_contains(why, 'needs_review_marker_uncertainty')) AS marker_uncertainty_count,
-                   round_even(count(*) FILTER (WHERE NOT list_contains(why, 'reject_missing_parent_provenance')) / count(*), 6) AS parent_provenance_coverage FROM decided)
+                   round_even(count(*) FILTER (WHERE NOT list_contains(why, 'reject_missing_parent_provenance')) / count(*), 6) AS parent_provenance_coverage, count(*) AS total_output_records,
+                   count(*) FILTER (WHERE group_size > 1 AND canonical_index = input_index) AS duplicate_hash_groups, CAST(0 AS BIGINT) AS approved_for_rag_index_true_count, CAST(0 AS BIGINT) AS is_legal_ground_truth_true_count FROM decided)
+    """,
+    "q_filter_reasons": f"{_DECIDED} SELECT CASE WHEN starts_with(filter_decision, 'reject_') THEN 'rejected' WHEN starts_with(filter_decision, 'needs_review_') THEN 'needs_review' ELSE 'keep' END AS bucket, filter_decision, count(*) AS candidates FROM decided GROUP BY 1, 2",
+    "q_union_outputs": f"""
+        {_DECIDED} SELECT filter_decision, count(*) AS candidates, count(*) FILTER (WHERE starts_with(filter_decision, 'reject_') AND canonical_index <> input_index) AS with_original,
+            count(*) FILTER (WHERE starts_with(filter_decision, 'needs_review_')) AS with_reasons FROM decided GROUP BY 1
     """,
     "q_candidate_ids": f"{_HASHED} SELECT input_index, substr(sha256(coalesce(parent_record_id, '') || '|' || coalesce(source_id, '') || '|' || coalesce(CAST(nullif(article_number, 0) AS VARCHAR), '') || '|' || coalesce(CAST(nullif(chunk_index, 0) AS VARCHAR), '') || '|' || article_hash), 1, 16) AS made_id, article_hash FROM h",
     "q_duplicate_groups": f"{_HASHED} SELECT article_hash, group_size FROM g WHERE group_size > 1",
@@ -283,7 +304,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_cross_source_overlap": " UNION ALL ".join(f"SELECT '{c}' AS key, count(*) AS shared FROM (SELECT {c} FROM synthetic_legal_articles WHERE {c} <> '' INTERSECT SELECT {c} FROM documents WHERE {c} <> '')" for c in ("title", "text", "license")),
     "q_turn_summary": f"""
         SELECT count(*) AS records, count(*) FILTER (WHERE u <> '') AS text_is_user_turn, count(*) FILTER (WHERE a <> '') AS assistant_turns, count(*) FILTER (WHERE a <> '' AND {_cites("a")}) AS citing_turns,
-               CAST(sum(length(a)) AS BIGINT) AS assistant_chars, true AS all_text_is_user_turn FROM (SELECT {_tidy("instruction")} AS u, {_tidy("output")} AS a FROM sample_qa)
+               CAST(sum(length(a)) AS BIGINT) AS assistant_chars, round_even(avg(length(a)) FILTER (WHERE a <> ''), 2) AS mean_assistant_chars, true AS all_text_is_user_turn FROM (SELECT {_tidy("instruction")} AS u, {_tidy("output")} AS a FROM sample_qa)
     """,
     "q_rejected_documents": f"{_DOCS} SELECT record_id AS parent_record_id, reason, array_to_string(missing, ',') AS missing_fields FROM parsed WHERE reason IS NOT NULL",
     "q_parse_warnings": f"{_DOCS} SELECT record_id AS parent_record_id, 'preamble_before_first_article' AS code FROM parsed WHERE reason IS NULL AND {_tidy('p[1]')} <> ''",
@@ -303,7 +324,23 @@ ORACLE_SQL: dict[str, str] = {
         {_sample()} SELECT b AS sampling_bucket, t AS target, count(input_index) AS selected, greatest(t - count(input_index), 0) AS shortfall
         FROM (VALUES ('duplicate_related', 10), ('suspicious_length', 10), ('keep_candidate_for_human_review', 60), ('needs_review', 50), ('rejected', 20)) w(b, t) LEFT JOIN sample ON sampling_bucket = b GROUP BY b, t
     """,
-    "q_subset_consistency": f"SELECT DISTINCT candidate_id FROM reviewer_decisions_completed r WHERE NOT {_blank('candidate_id')} AND NOT EXISTS (SELECT 1 FROM article_candidates c WHERE c.candidate_id = r.candidate_id)",
+    "q_subset_consistency": f"""
+        SELECT CASE bits WHEN 1 THEN 'reviews_only' WHEN 2 THEN 'candidates_only' ELSE 'both' END AS held_by, count(*) AS candidates FROM (
+            SELECT candidate_id, bit_or(bit) AS bits FROM (SELECT candidate_id, 1 AS bit FROM reviewer_decisions_completed UNION ALL SELECT candidate_id, 2 FROM article_candidates) WHERE NOT {_blank('candidate_id')} GROUP BY 1) GROUP BY 1
+    """,
+    "q_reviewed_not_kept": f"""
+        {_DECIDED} SELECT DISTINCT candidate_id FROM reviewer_decisions_completed r WHERE NOT {_blank('candidate_id')} AND candidate_id NOT IN (SELECT candidate_id FROM decided WHERE filter_decision = 'keep_candidate_for_human_review' AND candidate_id IS NOT NULL)
+    """,
+    "q_test_sample": "SELECT row_no, id FROM sample_qa WHERE split = 'test' ORDER BY sha256('42|' || CAST(row_no AS VARCHAR)) LIMIT 50",
+    "q_duplicate_related": f"{_DECIDED} SELECT input_index, group_size FROM decided WHERE group_size > 1",
+    "q_source_aliases": """
+        WITH known AS (SELECT source_dataset AS name, source_dataset AS own FROM source_manifest UNION ALL SELECT * FROM (VALUES ('mock_archive', 'mock-archive'), ('drill', 'template-drill')))
+        SELECT own AS source_dataset, count(*) AS records FROM documents d LEFT JOIN known ON lower(trim(d.source)) = name GROUP BY 1
+    """,
+    "q_phrase_policy": f"SELECT count(*) FILTER (WHERE {' OR '.join(f'contains(lower(text), {_q(x)})' for x in POLICY_PHRASES)}) AS any_phrase, count(*) FILTER (WHERE {' AND '.join(f'contains(lower(text), {_q(x)})' for x in ALL_PHRASES)}) AS all_phrases FROM documents",
+    "q_split_overlaps": " UNION ALL ".join(
+        f"SELECT '{a}' AS first, '{b}' AS second, count(*) AS shared FROM (SELECT DISTINCT id FROM sample_qa WHERE split = '{a}' AND id IS NOT NULL INTERSECT SELECT DISTINCT id FROM sample_qa WHERE split = '{b}')" for a, b in (("test", "train"), ("test", "validation"), ("train", "validation"))
+    ),
     "q_review_validation": f"{_REVIEWS} SELECT review_row, candidate_id, array_to_string(reasons, '; ') AS reasons FROM v WHERE len(reasons) > 0",
     "q_review_invalid_reasons": f"{_REVIEWS} SELECT reason, count(*) AS count FROM (SELECT unnest(reasons) AS reason FROM v) GROUP BY reason",
     "q_adjudication": f"{_REVIEWS} SELECT candidate_id, review_count, array_to_string(reviewer_ids, ',') AS reviewer_ids, array_to_string(decision_labels, ',') AS decision_labels, array_to_string(confidence_values, ',') AS confidence_values, adjudication_status, consensus_label FROM adjudicated",
@@ -311,22 +348,42 @@ ORACLE_SQL: dict[str, str] = {
     "q_label_audit": f"""
         {_REVIEWS} SELECT * FROM (SELECT count(*) AS rows, count(*) FILTER (WHERE len(reasons) = 0) AS valid_rows, count(*) FILTER (WHERE len(reasons) > 0) AS invalid_rows,
             count(*) FILTER (WHERE lower(legal_ground_truth_approved) IN ('true', '1', 'yes', 'y') OR lower(rag_index_approved) IN ('true', '1', 'yes', 'y')) AS forbidden_flags,
-            count(DISTINCT reviewer_id) FILTER (WHERE len(reasons) = 0) AS reviewers FROM v),
+            count(DISTINCT reviewer_id) FILTER (WHERE len(reasons) = 0) AS reviewers, count(*) FILTER (WHERE candidate_id = '') AS missing_candidate_ids,
+            count(*) FILTER (WHERE lower(legal_ground_truth_approved) IN ('true', '1', 'yes', 'y')) AS legal_ground_truth_true, count(*) FILTER (WHERE lower(rag_index_approved) IN ('true', '1', 'yes', 'y')) AS rag_index_true,
+            round_even(count(*) FILTER (WHERE len(reasons) = 0 AND confidence = 'low') / count(*) FILTER (WHERE len(reasons) = 0), 6) AS low_confidence_rate FROM v),
         (SELECT count(*) AS candidates, count(*) FILTER (WHERE review_count > 1) AS reviewed_more_than_once, count(*) FILTER (WHERE outcome = 'accepted') AS accepted,
-            count(*) FILTER (WHERE outcome = 'rejected') AS rejected, count(*) FILTER (WHERE outcome = 'unresolved') AS unresolved FROM settled)
+            count(*) FILTER (WHERE outcome = 'rejected') AS rejected, count(*) FILTER (WHERE outcome = 'unresolved') AS unresolved, count(*) FILTER (WHERE adjudication_status = 'label_conflict_requires_adjudication') AS label_conflicts FROM settled)
     """,
+    "q_label_counts": f"{_REVIEWS} SELECT 'decision_label' AS field, decision_label AS value, count(*) AS count FROM v WHERE len(reasons) = 0 GROUP BY 2 UNION ALL SELECT 'confidence', confidence, count(*) FROM v WHERE len(reasons) = 0 GROUP BY 2",
     "q_filter_risk_flags": f"{_RISK} SELECT risk_flag, count(*) AS count FROM flags WHERE risk_flag IS NOT NULL GROUP BY risk_flag",
     "q_manifest_join": f"{_MANIFEST} SELECT * REPLACE (array_to_string(problems, ',') AS problems, array_to_string(missing_fields, ',') AS missing_fields) FROM joined",
     "q_manifest_metrics": f"""
         {_MANIFEST} SELECT count(*) AS accepted_in, count(*) FILTER (WHERE ok) AS written, count(*) FILTER (WHERE len(problems) > 0) AS rejected, count(*) FILTER (WHERE len(problems) = 0 AND len(missing_fields) > 0) AS unresolved,
-            count(DISTINCT nullif(parent_record_id, '')) FILTER (WHERE ok) AS parents, count(DISTINCT nullif(reviewer_id, '')) FILTER (WHERE ok) AS reviewers FROM (SELECT *, len(problems) = 0 AND len(missing_fields) = 0 AS ok FROM joined)
+            count(DISTINCT nullif(parent_record_id, '')) FILTER (WHERE ok) AS parents, count(DISTINCT nullif(reviewer_id, '')) FILTER (WHERE ok) AS reviewers, count(DISTINCT nullif(source_id, '')) FILTER (WHERE ok) AS source_ids, count(DISTINCT nullif(source_dataset, '')) FILTER (WHERE ok) AS source_datasets,
+            count(*) FILTER (WHERE list_contains(problems, 'missing_completed_review_row')) AS without_review, count(*) FILTER (WHERE list_contains(problems, 'missing_review_sample_row')) AS without_sample,
+            count(*) FILTER (WHERE list_contains(problems, 'review_decision_not_accept_for_later_corpus_candidate')) AS unlike_review, count(*) FILTER (WHERE list_contains(problems, 'review_row_legal_ground_truth_approved_true')) AS legal_ground_truth_true,
+            count(*) FILTER (WHERE list_contains(problems, 'review_row_rag_index_approved_true')) AS rag_index_true, count(*) FILTER (WHERE list_contains(missing_fields, 'filter_version')) AS without_filter_version,
+            true AS counts_reconcile FROM (SELECT *, len(problems) = 0 AND len(missing_fields) = 0 AS ok FROM joined)
     """,
+    "q_manifest_counts": f"""
+        {_MANIFEST}, fine AS (SELECT * FROM joined WHERE len(problems) = 0 AND len(missing_fields) = 0)
+        SELECT 'decision_label' AS field, decision_label AS value, count(*) AS count FROM fine GROUP BY 2 UNION ALL SELECT 'confidence', confidence, count(*) FROM fine GROUP BY 2
+    """,
+    "q_accepted_counts": f"SELECT count(*) AS accepted_rows, count(DISTINCT {_trim('candidate_id')}) AS accepted_candidates, count(*) - count(DISTINCT {_trim('candidate_id')}) AS repeated_rows FROM reviewer_decisions_completed WHERE lower({_tidy('decision_label')}) = 'accept_for_later_corpus_candidate' AND NOT {_blank('candidate_id')}",
     "q_provenance_coverage": f"""
         SELECT count(*) AS rows, count(*) FILTER (WHERE ok) AS covered, round_even(count(*) FILTER (WHERE ok) / count(*), 6) AS coverage
         FROM (SELECT NOT ({" OR ".join(_blank(f) for f in ("candidate_id", "parent_record_id", "source_dataset", "license", "text_hash", "parser_version"))} OR ({_blank("source_id")} AND {_blank("source_url")})) AS ok FROM article_candidates)
     """,
     "q_first_occurrences": f"SELECT {_trim('candidate_id')} AS candidate_id, min(review_row) AS first_seen, count(*) - 1 AS repeats FROM reviewer_decisions_completed WHERE NOT {_blank('candidate_id')} GROUP BY 1",
     "q_instruction_errors": f"SELECT row_no, coalesce({_first_text_error()}, array_to_string({_VALID}, '; ')) AS errors FROM sample_qa",
+    "q_instruction_issues": f"SELECT issue, count(*) AS count FROM (SELECT unnest(CASE WHEN {_first_text_error()} IS NOT NULL THEN [{_first_text_error()}] ELSE {_VALID} END) AS issue FROM sample_qa) GROUP BY issue",
+    "q_instruction_audit": f"""
+        WITH e AS (SELECT CASE WHEN {_first_text_error()} IS NOT NULL THEN [{_first_text_error()}] ELSE {_VALID} END AS errors FROM sample_qa), x AS (SELECT unnest(errors) AS m FROM e)
+        SELECT * FROM (SELECT count(*) AS total_rows, count(*) FILTER (WHERE len(errors) = 0) AS valid_rows, count(*) FILTER (WHERE len(errors) > 0) AS invalid_rows, CAST(sum(len(errors)) AS BIGINT) AS errors FROM e),
+        (SELECT count(*) FILTER (WHERE contains(m, 'official legal authority')) AS official_authority_claims, count(*) FILTER (WHERE contains(m, 'source must equal template-drill')) AS source_mismatches,
+            count(*) FILTER (WHERE contains(m, 'is_synthetic must be true')) AS synthetic_false, count(*) FILTER (WHERE contains(m, 'is_legal_ground_truth must be false')) AS legal_ground_truth_true,
+            count(*) FILTER (WHERE contains(m, 'approved_for_rag_index must be false')) AS rag_index_true, count(*) FILTER (WHERE contains(m, 'disclaimer')) AS disclaimer_issues FROM x)
+    """,
     "q_instruction_duplicates": " UNION ALL ".join(
         f"SELECT '{m}' AS measure, count(*) - count(DISTINCT {e}) AS duplicates FROM sample_qa"
         for m, e in {**{c: f"coalesce({c}, '')" for c in ("id", "instruction", "input", "output")}, "instruction_input_output": "(coalesce(instruction, ''), coalesce(input, ''), coalesce(output, ''))"}.items()

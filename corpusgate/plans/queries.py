@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import blank, preview, text_or
+from ..functions.exprs import blank, contains_all, contains_any, preview, text_or
 from ..operators import articles as art
 from ..operators import audit, candidates, contracts, instructions, manifest, normalize, quality, reviews, sampling
+from ..sources import registry
 from ..sources.readers import table
 from ..sources.shared import spread
 
@@ -25,6 +26,8 @@ DEMO_TEMPLATES = {
 }
 TASK_NOTES = {"explanation": "may leave out conditions", "drafting_demo": "may overstate effect"}
 POLICY_PHRASES = ["thời hạn", "complaint box", "not legal advice"]
+ALL_PHRASES = ["thời hạn", "hồ sơ"]
+SOURCE_ALIASES = {"mock_archive": "mock-archive", "drill": "template-drill"}
 
 
 def query(f: Query) -> Query:
@@ -93,6 +96,20 @@ def q_filter_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates.filter_metrics(_decided(spark, sf_dir))
 
 
+@query
+def q_filter_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return candidates.decision_counts(_decided(spark, sf_dir))
+
+
+@query
+def q_union_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three filter outputs as one table again, counted by decision."""
+    decided = _decided(spark, sf_dir).withColumn("bucket", candidates.bucket(F.col("filter_decision")))
+    parts = [decided.where(F.col("bucket") == b).select("candidate_id", "filter_decision", *extra) for b, extra in (("keep", []), ("needs_review", ["filter_reasons"]), ("rejected", ["duplicate_of"]))]
+    whole = candidates.union_outputs(parts)
+    return whole.groupBy("filter_decision").agg(F.count("*").alias("candidates"), F.count("duplicate_of").alias("with_original"), F.count("filter_reasons").alias("with_reasons"))
+
+
 @query
 def q_candidate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _candidates(spark, sf_dir)
@@ -147,6 +164,14 @@ def q_source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(m, "source", "left")
 
 
+@query
+def q_source_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by the registered source that their source name or alias stands for; unknown names have none."""
+    known = registry.from_table(table(spark, sf_dir, "source_manifest"), SOURCE_ALIASES)
+    docs = table(spark, sf_dir, "documents").select(known.resolved(F.lower(F.trim("source"))).alias("source_dataset"))
+    return docs.groupBy("source_dataset").agg(F.count("*").alias("records"))
+
+
 @query
 def q_content_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.content_summary(table(spark, sf_dir, "documents"))
@@ -235,11 +260,40 @@ def q_bucket_shortfalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.shortfalls(sampling.review_sample(_decided(spark, sf_dir)), 150)
 
 
+@query
+def q_test_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty test rows by a seeded hash: a sampling operator."""
+    return sampling.seeded_sample(_qa(spark, sf_dir).where("split = 'test'").select("row_no", "id"), "row_no", 50)
+
+
+@query
+def q_sample_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = sampling.sample_coverage(sampling.review_sample(_decided(spark, sf_dir)))
+    return c.withColumns({x: _csv(F.col(x)) for x in ("source_datasets", "licenses")})
+
+
+@query
+def q_duplicate_related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = _decided(spark, sf_dir)
+    return decided.where(sampling.duplicate_related(decided)).select("input_index", "group_size")
+
+
 @query
 def q_subset_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviewed candidates that are not among the candidates; a consistent pair of tables gives none but strays."""
+    """Candidates by whether reviews, candidates or both name them; a consistent pair of tables has none in reviews only."""
+    reviewed = table(spark, sf_dir, "reviewer_decisions_completed").where(~blank("candidate_id")).select("candidate_id", F.lit(1).alias("bit"))
+    both = reviewed.unionByName(_candidates(spark, sf_dir).where(~blank("candidate_id")).select("candidate_id", F.lit(2).alias("bit")))
+    held = both.groupBy("candidate_id").agg(F.bit_or("bit").alias("bits"))
+    named = F.when(F.col("bits") == 1, "reviews_only").when(F.col("bits") == 2, "candidates_only").otherwise("both")
+    return held.groupBy(named.alias("held_by")).agg(F.count("*").alias("candidates"))
+
+
+@query
+def q_reviewed_not_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviewed candidates that the filter did not keep, by an anti join."""
     reviewed = table(spark, sf_dir, "reviewer_decisions_completed").where(~blank("candidate_id")).select("candidate_id").distinct()
-    return reviewed.join(_candidates(spark, sf_dir).select("candidate_id"), "candidate_id", "left_anti")
+    kept = _decided(spark, sf_dir).where(F.col("filter_decision") == candidates.KEEP).select("candidate_id")
+    return reviewed.join(kept, "candidate_id", "left_anti")
 
 
 @query
@@ -268,18 +322,23 @@ def q_label_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews.label_audit(_reviews(spark, sf_dir), _adjudicated(spark, sf_dir))
 
 
+@query
+def q_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reviews.value_counts(_reviews(spark, sf_dir).where(F.size("invalid_reasons") == 0), ["decision_label", "confidence"])
+
+
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = _adjudicated(spark, sf_dir).withColumn("bucket", reviews.outcome()).where("bucket = 'accepted'")
     raw = table(spark, sf_dir, "reviewer_decisions_completed")
     samples = raw.select("candidate_id", "review_sample_id", "parent_record_id", "source_dataset", "source_id", "source_url", "license", "title", "article_number", "article_title", "sampling_bucket", "filter_decision")
     filtered = _decided(spark, sf_dir).withColumn("filter_version", F.lit("corpusgate_filter_v1"))
-    return manifest.join_manifest(accepted, raw, samples, filtered)
+    return manifest.join_manifest(accepted, raw, samples, filtered, tie="review_row")
 
 
 @query
 def q_manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _manifest(spark, sf_dir)
-    return m.select("candidate_id", "parent_record_id", "license", "text_hash", "reviewer_id", "review_date", "review_sample_id", "filter_decision", "accepted_review_count", _csv(F.col("problems")).alias("problems"), _csv(F.col("missing_fields")).alias("missing_fields"))
+    return m.withColumns({c: _csv(F.col(c)) for c in ("problems", "missing_fields")})
 
 
 @query
@@ -287,6 +346,18 @@ def q_manifest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest_metrics(_manifest(spark, sf_dir))
 
 
+@query
+def q_manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _manifest(spark, sf_dir)
+    return reviews.value_counts(m.where((F.size("problems") == 0) & (F.size("missing_fields") == 0)), ["decision_label", "confidence"])
+
+
+@query
+def q_accepted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "reviewer_decisions_completed")
+    return manifest.accepted_counts(raw.where(F.lower(text_or("decision_label")) == reviews.ACCEPT))
+
+
 @query
 def q_provenance_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.provenance_coverage(_candidates(spark, sf_dir))
@@ -303,6 +374,31 @@ def q_instruction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("row_no", F.array_join("errors", "; ").alias("errors"))
 
 
+@query
+def q_instruction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = instructions.validate_rows(spread(_qa(spark, sf_dir)), source="template-drill", id_prefix="mock-qa-")
+    return instructions.instruction_audit(rows, "template-drill")
+
+
+@query
+def q_instruction_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = instructions.validate_rows(spread(_qa(spark, sf_dir)), source="template-drill", id_prefix="mock-qa-")
+    return audit.histogram(rows.select(F.explode("errors").alias("issue")), "issue")
+
+
+@query
+def q_split_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    qa = _qa(spark, sf_dir)
+    return instructions.split_overlaps({s: qa.where(F.col("split") == s).select("id") for s in ("train", "validation", "test")})
+
+
+@query
+def q_phrase_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold any, and all, of some phrases."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.agg(F.count_if(contains_any("text", POLICY_PHRASES)).alias("any_phrase"), F.count_if(contains_all("text", ALL_PHRASES)).alias("all_phrases"))
+
+
 @query
 def q_instruction_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.duplicate_counts(_qa(spark, sf_dir))

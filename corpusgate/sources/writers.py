@@ -60,8 +60,9 @@ def write_report(report: DataFrame, path: str) -> dict:
     return values
 
 
-def write_buckets(df: DataFrame, path: str, bucket: str, overwrite: bool = False) -> None:
-    """All buckets in one pass over the data, a folder each."""
+def write_buckets(df: DataFrame, path: str, bucket: str, overwrite: bool = False, order: list[str] | None = None) -> None:
+    """All buckets in one pass over the data, a folder each; in order over the files of a bucket if asked."""
+    df = df.orderBy(bucket, *order) if order else df
     df.write.mode("overwrite" if overwrite else "errorifexists").partitionBy(bucket).json(path)
 
 
@@ -75,11 +76,14 @@ def publish(verdict: Callable[[], str], outputs: dict[str, Callable[[], None]],
     return said
 
 
-def package(folder: str, files: dict[str, str], card: str, archive: str | None = None) -> list[str]:
-    """Copies files under given names beside a README with the card, and zips them if asked; returns the names."""
+def package(folder: str, files: dict[str, str | list[str]], card: str, archive: str | None = None) -> list[str]:
+    """Copies files under given names beside a README with the card, and zips them if asked; returns the names. Several sources of one name are put after each other."""
     os.makedirs(folder, exist_ok=True)
-    for name, source in files.items():
-        shutil.copyfile(source, os.path.join(folder, name))
+    for name, sources in files.items():
+        with open(os.path.join(folder, name), "wb") as out:
+            for source in [sources] if isinstance(sources, str) else sources:
+                with open(source, "rb") as f:
+                    shutil.copyfileobj(f, out)
     with open(os.path.join(folder, "README.md"), "w", encoding="utf-8") as f:
         f.write(card)
     names = [*sorted(files), "README.md"]

@@ -27,6 +27,7 @@ def test_from_raw_to_manifest(spark, tmp_path):
     run = lambda *a: main(list(a), spark)
     assert run("ingest", "--input", raw, "--output", t("in"), "--dataset", "d", "--url", "u", "--license", "MIT") == 2  # one of five has no text
     assert len(read(t("in", "normalized"))) == 4 and len(read(t("in", "rejected"))) == 1 and json.load(open(t("in", "quality_report.json")))["violations"]
+    assert json.loads(read(t("in", "rejected"))[0]["raw_record"])["doc_id"] == "x" and json.load(open(t("in", "provenance_manifest.json")))["actual_records_seen"] == 5
     assert run("parse", "--input", t("in", "normalized"), "--output", t("p"), "--strict") == 0
     assert len(read(t("p", "candidates"))) == 8 and len(read(t("p", "warnings"))) == 4
     assert run("filter", "--input", t("p", "candidates"), "--warnings", t("p", "warnings"), "--output", t("f")) == 0
@@ -50,6 +51,11 @@ def test_instruction_track(spark, tmp_path, capsys):
     assert json.load(open(t("report.json")))["duplicates"]["id"] == 0
     assert run("split", "--input", t("rows"), "--output", t("split")) == 0
     assert [len(read(t("split", f"split_name={s}"))) for s in ("train", "validation", "test")] == [32, 4, 4]
+    assert run("package", "--input", t("split"), "--output", t("pack"), "--archive", t("pack.zip")) == 0
+    assert sum(1 for _ in open(t("pack", "train.jsonl"))) == 32 and os.path.exists(t("pack.zip"))
+    with open(t("split", "split_name=test", "part-x.json"), "w") as f:
+        f.write(open(t("pack", "train.jsonl")).readline())
+    assert run("package", "--input", t("split"), "--output", t("pack2")) == 2 and "test.jsonl and train.jsonl share 1" in capsys.readouterr().out
     bad = lines(tmp_path / "bad.jsonl", [{"id": 1}])
     assert run("validate", "--input", bad) == 1
     assert run("split", "--input", t("rows"), "--output", t("split2"), "--train", "0.5") == 1
