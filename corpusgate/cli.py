@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import articles, audit, candidates, instructions, manifest, normalize, quality, reviews, sampling
 from .plans.queries import DEMO_DIMENSIONS, DEMO_TEMPLATES
-from .sources import readers, registry, writers
+from .sources import readers, registry, shared, writers
 
 
 def _session() -> SparkSession:
@@ -226,7 +226,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     try:
         if getattr(a, "inside", None):
             writers.guard_path(a.output, a.inside, tuple(filter(None, [getattr(a, "input", None)])))
-        return COMMANDS[a.command][0](spark or _session(), a)
+        spark = spark or _session()
+        try:
+            return COMMANDS[a.command][0](spark, a)
+        finally:
+            shared.clear_written(spark)
     except (ValueError, FileNotFoundError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

@@ -86,14 +86,14 @@ def suspicious_length(df: DataFrame) -> Column:
 def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_version: str = "corpusgate_filter_v1", id_prefix: str = "phase2h") -> DataFrame:
     """A review sample of about ``size`` rows in five buckets, none of which repeats a row of an earlier one.
 
-    What the drawing needs is written once, without texts. Each bucket is a
+    The decided rows are written once, without texts. Each bucket is a
     top-k; its keys, at most ``size`` over all buckets, go to the driver and are
-    left out of the next. The rows themselves are then looked up by those keys.
+    left out of the next. The rows themselves are then looked up by those keys,
+    and their texts in the input, for which nothing is decided again.
     Input indexes must be unique.
     """
     targets = apportion(size)
-    needed = ["input_index", "candidate_id", "parent_record_id", "article_hash", "filter_decision", "filter_reasons", "risk_flags", "duplicate_of", "group_size", "parent_document_warning_codes"]
-    slim = written(decided.select(*needed))
+    slim = written(decided.drop("text"))
     kind = bucket(F.col("filter_decision"))
     pools = {
         "duplicate_related": duplicate_representatives(slim, seed), "suspicious_length": slim.where(suspicious_length(slim)), "keep_candidate_for_human_review": slim.where(kind == "keep"),
@@ -107,7 +107,8 @@ def review_sample(decided: DataFrame, size: int = 150, seed: int = 42, filter_ve
         rows = round_robin(pool, seed, b, targets[b], warned_first=True).select("input_index", "row_key", "sample_index", F.when(F.lit(b == "duplicate_related"), F.col("group_size")).alias("duplicate_group_size"))
         drawn += [(*r, b) for r in rows.collect()]
     keys = decided.sparkSession.createDataFrame(drawn, "input_index long, row_key string, sample_index int, duplicate_group_size long, sampling_bucket string")
-    out = decided.join(F.broadcast(keys), "input_index")  # at most ``size`` keys
+    texts = decided.select("input_index", "text").join(F.broadcast(keys.select("input_index")), "input_index", "left_semi")  # at most ``size`` keys
+    out = slim.join(F.broadcast(keys), "input_index").join(texts, "input_index")
     short = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), "sampling_bucket", "row_key"), 256), 1, 12)
     return out.withColumns({
         "review_sample_id": F.format_string(id_prefix + "-%s-%03d-%s", "sampling_bucket", "sample_index", short), "text_length": F.coalesce(F.nullif("text_char_count", F.lit(0)), F.length(F.trim("text")), F.lit(0)),

@@ -98,6 +98,45 @@ _DOCS = f"""
     )
 """
 
+_ACC = "{{'d': {d}, 'h': {h}}}"
+
+
+def _held(state: str, part: str, glue: str) -> str:
+    return f"CASE WHEN {state}.h = '' THEN {part} ELSE {state}.h || {glue} || {part} END"
+
+
+def _flushed(state: str) -> str:
+    return f"CASE WHEN {state}.h = '' THEN {state}.d ELSE list_append({state}.d, {state}.h) END"
+
+
+def _parts(text: str, cut: str) -> str:
+    return f"[x FOR x IN [{_trim('y')} FOR y IN string_split_regex({text}, '{cut}')] IF x <> '']"
+
+
+def _chunks(text: str, most: int) -> str:
+    """Paragraphs, and lines of long ones, packed greedily, as nested folds."""
+    none = "CAST([] AS VARCHAR[])"
+    elements = lambda parts: f"list_transform({parts}, lambda e: {_ACC.format(d=none, h='e')})"
+    line = f"CASE WHEN length({_held('b', 'l.h', 'chr(10)')}) <= {most} THEN {_ACC.format(d='b.d', h=_held('b', 'l.h', 'chr(10)'))} ELSE {_ACC.format(d=_flushed('b'), h='l.h')} END"
+    lines = f"list_reduce({elements(_parts('q.h', _LINE_END))}, lambda b, l: {line}, {_ACC.format(d=_flushed('a'), h=chr(39) * 2)})"
+    both = _held("a", "q.h", "chr(10) || chr(10)")
+    paragraph = f"CASE WHEN length({both}) <= {most} THEN {_ACC.format(d='a.d', h=both)} WHEN length(q.h) <= {most} THEN {_ACC.format(d=_flushed('a'), h='q.h')} ELSE {lines} END"
+    paragraphs = _parts(text, "\\n" + _WS + "*\\n")
+    packed = f"list_reduce({elements(paragraphs)}, lambda a, q: {paragraph}, {_ACC.format(d=none, h=chr(39) * 2)})"
+    return f"CASE WHEN length({text}) <= {most} THEN [{text}] ELSE (SELECT {_flushed('z')} FROM (SELECT {packed} AS z)) END"
+
+
+_LINE_END = r"\r\n|[\n\v\f\r\x{85}\x{2028}\x{2029}]"
+
+
+def _chunked(most: int) -> str:
+    return f"""
+        {_DOCS}, chunked AS (SELECT *, {_chunks("text", most)} AS chunks FROM flagged), rows AS (
+            SELECT record_id, article_pos, article_number, unnest(chunks) AS chunk, CAST(generate_subscripts(chunks, 1) - 1 AS INTEGER) AS chunk_index,
+                   list_sort(CASE WHEN len(chunks) > 1 THEN list_append(flags, 'split_into_multiple_chunks') ELSE flags END) AS own FROM chunked)
+    """
+
+
 _HASHED = f"""
     WITH h AS (
         SELECT *, CASE WHEN NOT {_blank("text_hash")} THEN text_hash WHEN NOT {_blank("text")} THEN substr(sha256({_trim("text")}), 1, 16) ELSE '' END AS article_hash FROM article_candidates
@@ -309,6 +348,19 @@ ORACLE_SQL: dict[str, str] = {
     "q_rejected_documents": f"{_DOCS} SELECT record_id AS parent_record_id, reason, array_to_string(missing, ',') AS missing_fields FROM parsed WHERE reason IS NOT NULL",
     "q_parse_warnings": f"{_DOCS} SELECT record_id AS parent_record_id, 'preamble_before_first_article' AS code FROM parsed WHERE reason IS NULL AND {_tidy('p[1]')} <> ''",
     "q_article_split": f"{_DOCS} SELECT record_id, article_pos, article_number, article_title, md5(text) AS text_md5, array_to_string(flags, ',') AS parse_flags FROM flagged",
+    "q_chunk_articles": f"{_chunked(600)} SELECT record_id AS parent_record_id, article_pos, chunk_index, length(chunk) AS chars, substr(sha256(chunk), 1, 16) AS text_hash, array_to_string(own, ',') AS parse_flags FROM rows",
+    "q_parse_metrics": f"""
+        {_chunked(4000)}, marked AS (
+            SELECT *, CASE WHEN coalesce(t, '') <> '' THEN len(string_split(regexp_replace(replace(raw, chr(1), ''), {_q(_MARKER)}, chr(1) || '\\0', 'g'), chr(1))) - 1 ELSE 0 END AS m FROM parsed
+        ), docs AS (
+            SELECT count(*) AS documents, count(reason) AS rejected_documents, count(*) FILTER (WHERE len(missing) = 0) AS good, count(*) FILTER (WHERE m > 0) AS documents_with_markers, count(*) FILTER (WHERE m = 0) AS documents_without_markers,
+                   count(*) FILTER (WHERE m = 1) AS documents_with_one_article, count(*) FILTER (WHERE m > 1) AS documents_with_several_articles, count(*) FILTER (WHERE reason IS NULL AND {_tidy("p[1]")} <> '') AS warnings FROM marked
+        ), parts AS (
+            SELECT count(*) AS candidates, count(*) - count(DISTINCT substr(sha256(chunk), 1, 16)) AS duplicate_hashes, count(*) FILTER (WHERE length(chunk) = 0) AS empty, count(*) FILTER (WHERE length(chunk) <= 50) AS near_empty,
+                   count(*) FILTER (WHERE length(chunk) < 100 OR length(chunk) > 50000) AS suspicious_length, count(article_number) AS numbered, count(*) FILTER (WHERE len(own) > 0) AS uncertain FROM rows
+        )
+        SELECT * EXCLUDE (good, numbered), round_even(good / documents, 6) AS provenance_coverage, round_even(numbered / candidates, 6) AS article_number_rate FROM docs, parts
+    """,
     "q_round_robin_sample": f"""
         WITH r AS (SELECT *, sha256('42|keep:parent|' || coalesce(parent_record_id, '')) AS pr, row_number() OVER (PARTITION BY coalesce(parent_record_id, '') ORDER BY {_RANK.format(salt="keep").replace("article_hash", "coalesce(text_hash, '')")}, CAST(input_index AS VARCHAR)) AS turn FROM article_candidates)
         SELECT row_number() OVER (ORDER BY turn, pr, parent_record_id) AS sample_index, input_index, parent_record_id FROM r ORDER BY turn, pr, parent_record_id LIMIT 100

@@ -36,15 +36,27 @@ def durable(df: DataFrame) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """Cuts the lineage of ``df`` by a parquet table in the shared folder, which columns and compression make smaller than a checkpoint.
 
-    The table lies in the folder of the session's checkpoints and is left to
-    whoever clears that; its name is of one use.
+    The table lies in the folder of the session's checkpoints under a name of
+    one use. It must last as long as any frame that reads it; ``clear_written``
+    removes all that this process wrote.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_written(spark: SparkSession) -> int:
+    """Removes the tables that ``written`` made in this process; for when the results that read them have been used. Returns their number."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a table that is read in fewer parts than there are cores, dealt out to all of them; a larger table stays as it is.
 
@@ -54,6 +66,7 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+_WRITTEN: list[str] = []
 _SHIPPED: set[str] = set()
 
 

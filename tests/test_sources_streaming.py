@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from corpusgate.sources import readers, writers
+from corpusgate.sources import readers, shared, writers
 from corpusgate.streaming import ingest
 
 
@@ -127,3 +127,11 @@ def test_stream_equals_batch(spark, tmp_path):
         ingest.append_to(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 2 and got.where("rejected = 'true'").first().source_id == "2"
+
+
+def test_written_tables_are_cleared(spark):
+    shared.clear_written(spark)
+    table = shared.written(spark.range(3))
+    assert table.count() == 3 and shared.clear_written(spark) == 1 and shared.clear_written(spark) == 0
+    with pytest.raises(Exception):  # noqa: B017
+        table.count()
