@@ -260,3 +260,13 @@ ORACLE_SQL["p9_found"] = """
     ), sets AS (SELECT DISTINCT list_sort(docs) AS docs FROM held)
     SELECT DISTINCT a AS doc_id_a, b AS doc_id_b FROM (SELECT unnest(docs) AS a, docs FROM sets) JOIN LATERAL (SELECT unnest(docs) AS b) ON a < b
 """
+ORACLE_SQL["p9_coverage"] = """
+    WITH windows AS (
+        SELECT doc_id, place, md5(substr(text, place, 300)) AS w FROM (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS place FROM documents WHERE length(text) >= 300)
+    ), held AS (
+        SELECT w FROM windows GROUP BY w HAVING count(DISTINCT doc_id) > 1
+    ), covered AS (
+        SELECT doc_id, least(300, coalesce(lead(place) OVER (PARTITION BY doc_id ORDER BY place) - place, 300)) AS chars FROM windows SEMI JOIN held USING (w)
+    )
+    SELECT doc_id, CAST(sum(chars) AS BIGINT) AS shared_chars, round(sum(chars) / any_value(length(d.text)), 6) AS share FROM covered JOIN documents d USING (doc_id) GROUP BY doc_id
+"""
