@@ -376,6 +376,12 @@ ORACLE_SQL: dict[str, str] = {
         {_sample()} SELECT b AS sampling_bucket, t AS target, count(input_index) AS selected, greatest(t - count(input_index), 0) AS shortfall
         FROM (VALUES ('duplicate_related', 10), ('suspicious_length', 10), ('keep_candidate_for_human_review', 60), ('needs_review', 50), ('rejected', 20)) w(b, t) LEFT JOIN sample ON sampling_bucket = b GROUP BY b, t
     """,
+    "q_sample_coverage": f"""
+        {_sample()}, full_rows AS (SELECT a.* FROM sample JOIN article_candidates a USING (input_index))
+        SELECT count(*) AS sampled, count(DISTINCT CASE WHEN NOT {_blank('parent_record_id')} THEN parent_record_id END) AS parents_covered, count(DISTINCT CASE WHEN NOT {_blank('source_id')} THEN source_id END) AS source_ids_covered,
+            array_to_string(list_sort(list(DISTINCT source_dataset) FILTER (WHERE NOT {_blank('source_dataset')})), ',') AS source_datasets, array_to_string(list_sort(list(DISTINCT license) FILTER (WHERE NOT {_blank('license')})), ',') AS licenses,
+            CAST(0 AS BIGINT) AS with_parent_warning FROM full_rows
+    """,
     "q_subset_consistency": f"""
         SELECT CASE bits WHEN 1 THEN 'reviews_only' WHEN 2 THEN 'candidates_only' ELSE 'both' END AS held_by, count(*) AS candidates FROM (
             SELECT candidate_id, bit_or(bit) AS bits FROM (SELECT candidate_id, 1 AS bit FROM reviewer_decisions_completed UNION ALL SELECT candidate_id, 2 FROM article_candidates) WHERE NOT {_blank('candidate_id')} GROUP BY 1) GROUP BY 1
