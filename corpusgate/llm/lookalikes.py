@@ -168,15 +168,18 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
 
 @lru_cache(1)
 def _counter():
-    """Automaton over all members, and the characters that members of several characters have beyond their first."""
+    """Automaton over the members of several characters, and the characters they have beyond their first.
+
+    Plain ASCII strings are not among them: none competes with another usual form.
+    """
     import ahocorasick
 
-    known = [m for m in classes() if len(m) > 1]
+    known = [m for m in classes() if len(m) > 1 and not m.isascii()]
     automaton = ahocorasick.Automaton()
     for m in known:
         automaton.add_word(m, m)
     automaton.make_automaton()
-    return automaton, frozenset(c for m in known for c in m[1:])
+    return automaton, frozenset(c for m in known for c in m[1:] if not c.isascii())
 
 
 def frequencies(df: DataFrame, columns: list[str]) -> dict[str, int]:
