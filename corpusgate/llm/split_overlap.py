@@ -48,6 +48,8 @@ RUN = 5
 SPARE = 0
 #: Bits of the number of counters of runs, of a byte each: about as many as there are runs, from 64 KB to 2 MB.
 COUNTER_BITS = range(16, 22)
+#: A run in about so many held-out texts, by its counter, is joined within bands of text length only.
+HOT = 1_000
 #: Counters travel in blocks of so many, and blocks of tasks with the same number modulo 1,024 are summed first.
 BLOCK = 1 << 16
 #: Runs are chosen within pieces of up to so many words.
@@ -180,6 +182,11 @@ def _runs_needed(words: np.ndarray, differing: float) -> tuple[np.ndarray, np.nd
     return width, most + 1 + np.clip(room, 0, SPARE)
 
 
+def _bands(words: np.ndarray, differing: float) -> np.ndarray:
+    """Bands of text length: texts near enough are in the same or in neighbouring ones."""
+    return np.floor(np.log(words) / -np.log(1 - differing) + 1e-9).astype(np.int32) if differing else words.astype(np.int32)
+
+
 def _squeezed(n: np.ndarray) -> np.ndarray:
     """Counts in a byte: up to 127 as they are, above by steps of an eighth of a power of two; zero only for zero."""
     return np.where(n < 128, n, np.minimum(255, 128 + 8 * (np.log2(np.maximum(n, 1)) - 7))).astype(np.uint8)
@@ -372,7 +379,7 @@ def cross_split_overlaps(
     sent = spark.sparkContext.broadcast(_count_runs(held, hashes_of, differing))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = sent.value.astype(np.int64)
+        counts = _spread_out(sent.value)
         for b in batches:
             if b.num_rows:
                 h, start, size = hashes_of(b)
@@ -384,10 +391,12 @@ def cross_split_overlaps(
                 row, run = row[there], run[there]
                 held_by = np.unique(row)
                 ends = np.append(np.searchsorted(row, held_by), len(row)).astype(np.int32)
+                hot = counts[(run % np.uint64(len(counts))).astype(np.int64)] >= HOT
+                bands = np.where(hot, _bands(size, differing)[row], -1).astype(np.int32)
                 columns = b.select(own).take(pa.array(held_by)).columns
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(least[held_by].astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(run.view(np.int64)))], names=[*[f"{c}0" for c in own], "least", "runs"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(least[held_by].astype(np.int32)), *(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (run.view(np.int64), bands))], names=[*[f"{c}0" for c in own], "least", "runs", "bands"])
 
-    chosen = written(trained.mapInArrow(choose, "id0 long, words0 int, p00 long, p10 long, least int, runs array<long>"))
+    chosen = written(trained.mapInArrow(choose, "id0 long, words0 int, p00 long, p10 long, least int, runs array<long>, bands array<int>"))
     known = spark.sparkContext.broadcast(bloom(chosen.select(F.explode("runs").alias("value")), bits=8))
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,14 +406,19 @@ def cross_split_overlaps(
                 ok = passes(known.value, run)
                 # a window that a text has twice counts once
                 row, run = _each_once(row[ok], run[ok])
-                yield pa.RecordBatch.from_arrays([*b.select(own).take(pa.array(row)).columns, pa.array(run.view(np.int64))], names=[*[f"{c}1" for c in own], "run"])
-
-    offered = held.mapInArrow(offer, "id1 long, words1 int, p01 long, p11 long, run long")
+                # texts of any length meet in most runs, those near enough in length in hot ones
+                hot = np.flatnonzero(_spread_out(sent.value[(run % np.uint64(len(sent.value))).astype(np.int64)]) >= HOT)
+                band = np.full(len(run), -1, dtype=np.int32)
+                band[hot] = _bands(b.column("words").to_numpy(), differing)[row[hot]]
+                row, run, band = (np.concatenate(x) for x in ((row, row[hot], row[hot]), (run, run[hot], run[hot]), (band, band[hot] - 1, band[hot] + 1)))
+                yield pa.RecordBatch.from_arrays([*b.select(own).take(pa.array(row)).columns, pa.array(run.view(np.int64)), pa.array(band)], names=[*[f"{c}1" for c in own], "run", "band"])
+
+    offered = held.mapInArrow(offer, "id1 long, words1 int, p01 long, p11 long, run long, band int")
     # what must hold of two texts that differ in so few words
     most = F.greatest("words0", "words1") * differing
     odd = F.bit_count(F.col("p00").bitwiseXOR(F.col("p01"))) + F.bit_count(F.col("p10").bitwiseXOR(F.col("p11")))
     near = (F.abs(F.col("words0") - F.col("words1")) <= most) & (odd <= most * 2)
-    met = chosen.select("id0", "words0", "p00", "p10", "least", F.explode("runs").alias("run")).join(offered, "run").where(near)
+    met = chosen.select("id0", "words0", "p00", "p10", "least", F.explode(F.arrays_zip("runs", "bands")).alias("r")).select("id0", "words0", "p00", "p10", "least", F.col("r.runs").alias("run"), F.col("r.bands").alias("band")).join(offered, ["run", "band"]).where(near)
     # chunks of a text have one length, so their number stands for the sum of it
     pairs = written(met.groupBy("id0", "id1").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("id0", "id1"))
     wanted = written(pairs.select(F.col("id0").alias("id")).unionByName(pairs.select(F.col("id1").alias("id"))).distinct())

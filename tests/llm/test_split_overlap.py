@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from corpusgate.llm import split_overlap
 from corpusgate.llm.split_overlap import _hashed, _Hashes, _most_changed, _parities, _spread_out, _squeezed, class_pairs, cross_split_overlaps, cut, held_runs, record_words, spelled_out, train_runs, words_differing
 
 
@@ -146,3 +147,20 @@ def test_repetitive_texts_with_one_edit_and_squeezed_counts(spark):
     n = np.array([0, 1, 127, 128, 1000, 10**6])
     again = _spread_out(_squeezed(n))
     assert (again[:3] == n[:3]).all() and (np.abs(again - n) <= n * 0.1).sum() >= 5 and (again > 0).tolist() == (n > 0).tolist()
+
+
+def test_hot_runs_meet_within_bands_of_length(spark, monkeypatch):
+    monkeypatch.setattr(split_overlap, "HOT", 3)
+    rng = random.Random(12)
+    stock = [f"mẫu{n}" for n in range(30)]
+    rows = []
+    for k in range(60):
+        own = [f"riêng{k}x{n}" for n in range(rng.choice([2, 3, 20, 60]))]
+        other = [w if rng.random() > 0.05 else "khác" for w in own]
+        rows += [(2 * k, " ".join(stock + own), None, None, "train"), (2 * k + 1, " ".join(stock[: 30 - k % 3] + other), None, None, "test")]
+    df = spark.createDataFrame(rows, "id long, instruction string, input string, output string, side string")
+    got = {(r.train_key, r.held_key) for r in spelled_out(*cross_split_overlaps(df, "id", "side", ["instruction", "input"], ["output"])).collect()}
+    texts = {n: t for n, t, *_ in rows}
+    assert got == {(a, b) for a in texts for b in texts if a % 2 == 0 and b % 2 and words_differing(texts[a], texts[b], 0.12) <= 0.12}
+    bands = split_overlap._bands(np.arange(1, 2000), 0.12)
+    assert all(abs(int(bands[a - 1]) - int(bands[b - 1])) <= 1 for a in range(1, 1500, 7) for b in (int(a / 0.88), a + 1) if b < 2000 and b - a <= 0.12 * b)
