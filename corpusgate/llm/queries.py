@@ -270,3 +270,29 @@ ORACLE_SQL["p9_coverage"] = """
     )
     SELECT doc_id, CAST(sum(chars) AS BIGINT) AS shared_chars, round(sum(chars) / any_value(length(d.text)), 6) AS share FROM covered JOIN documents d USING (doc_id) GROUP BY doc_id
 """
+# runs of eight words or more by their eight-word windows, and chains of runs in order
+_WORDS_SQL = r"regexp_extract_all(replace(lower(strip_accents({})), 'đ', 'd'), '[\p{{L}}\p{{N}}]+')"
+ORACLE_SQL["p8_found"] = f"""
+WITH RECURSIVE items AS (
+    SELECT item_id, {_WORDS_SQL.format('text')} AS w FROM heldout_items WHERE text IS NOT NULL
+), item_grams AS (
+    SELECT item_id, i, array_to_string(w[i:i+7], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 6)) AS i FROM items WHERE len(w) >= 8)
+), docs AS (
+    SELECT doc_id, {_WORDS_SQL.format('text')} AS w FROM documents WHERE text IS NOT NULL
+), doc_grams AS (
+    SELECT doc_id, j, array_to_string(w[j:j+7], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS j FROM docs WHERE len(w) >= 8)
+), met AS (
+    SELECT doc_id, item_id, i, j, i - row_number() OVER (PARTITION BY doc_id, item_id, j - i ORDER BY i) AS island FROM doc_grams JOIN item_grams USING (g)
+), runs AS (
+    SELECT doc_id, item_id, min(i) AS i, min(j) AS j, count(*) + 7 AS n FROM met GROUP BY doc_id, item_id, j - i, island
+), sized AS (
+    SELECT r.*, len(w) AS size, CAST(floor(len(w) * 1.5) AS BIGINT) AS width FROM runs r JOIN items USING (item_id)
+), chains AS (
+    SELECT doc_id, item_id, size, j + width AS high, i + least(n, width) AS i_end, j + least(n, width) AS j_end, least(n, width) AS total FROM sized
+    UNION
+    SELECT c.doc_id, c.item_id, c.size, high, i + m, j + m, total + m - lost FROM (
+        SELECT c.*, s.i, s.j, least(s.n, c.high - s.j) AS m, greatest(0, c.i_end - s.i, c.j_end - s.j) AS lost FROM chains c JOIN sized s USING (doc_id, item_id) WHERE s.i > c.i_end - s.n AND s.j > c.j_end - s.n AND s.i + s.n > c.i_end AND s.j + s.n > c.j_end
+    ) c WHERE m - lost >= 8
+)
+SELECT doc_id, item_id FROM chains GROUP BY doc_id, item_id, size HAVING max(total) * 2 > size
+"""
