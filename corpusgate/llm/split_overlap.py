@@ -378,6 +378,8 @@ def cross_split_overlaps(
 
     sent = spark.sparkContext.broadcast(_count_runs(held, hashes_of, differing))
 
+    least_hot = _squeezed(np.array([HOT]))[0]
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _spread_out(sent.value)
         for b in batches:
@@ -391,7 +393,7 @@ def cross_split_overlaps(
                 row, run = row[there], run[there]
                 held_by = np.unique(row)
                 ends = np.append(np.searchsorted(row, held_by), len(row)).astype(np.int32)
-                hot = counts[(run % np.uint64(len(counts))).astype(np.int64)] >= HOT
+                hot = sent.value[(run % np.uint64(len(counts))).astype(np.int64)] >= least_hot
                 bands = np.where(hot, _bands(size, differing)[row], -1).astype(np.int32)
                 columns = b.select(own).take(pa.array(held_by)).columns
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(least[held_by].astype(np.int32)), *(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (run.view(np.int64), bands))], names=[*[f"{c}0" for c in own], "least", "runs", "bands"])
@@ -407,7 +409,7 @@ def cross_split_overlaps(
                 # a window that a text has twice counts once
                 row, run = _each_once(row[ok], run[ok])
                 # texts of any length meet in most runs, those near enough in length in hot ones
-                hot = np.flatnonzero(_spread_out(sent.value[(run % np.uint64(len(sent.value))).astype(np.int64)]) >= HOT)
+                hot = np.flatnonzero(sent.value[(run % np.uint64(len(sent.value))).astype(np.int64)] >= least_hot)
                 band = np.full(len(run), -1, dtype=np.int32)
                 band[hot] = _bands(b.column("words").to_numpy(), differing)[row[hot]]
                 row, run, band = (np.concatenate(x) for x in ((row, row[hot], row[hot]), (run, run[hot], run[hot]), (band, band[hot] - 1, band[hot] + 1)))
