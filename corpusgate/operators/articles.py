@@ -16,9 +16,9 @@ PARSER_VERSION = "corpusgate_articles_v1"
 NEAR_EMPTY, SHORTEST, LONGEST, CHUNK = 50, 100, 50_000, 4_000
 # The spellings of the article label, three of them garbled as they occur in sources.
 LABELS = ["Điều", "Dieu", "Äiá»u", "ÄIá»€U", "Ðiá»u", "ĐIỀU"]
-#: Marker line; groups: prefix, number, title. ``(?d)`` lets only a line feed end a line.
+# Fixed value: a marker line; groups: prefix, number, title. ``(?d)`` lets only a line feed end a line.
 MARKER = r"(?md)^(\s{0,3}(?:#{1,6}\s*)?)(?:" + "|".join(LABELS) + r")\s+(\d+)[ \t]*(?:[.:]|-)?[ \t]*([^\n]*)$"
-#: The audit counts by a looser pattern of its own.
+# Fixed value: the audit counts by a looser pattern of its own.
 AUDIT_MARKER = r"(?iuU)(?:^|\n)\s*(?:dieu|điều)\s+\d+"
 _MARK = "\u0001"
 

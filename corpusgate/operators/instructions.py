@@ -44,7 +44,7 @@ def validate_rows(df: DataFrame, source: str = "synthetic-demo", format_: str =
     """Adds ``errors``. Missing columns stop everything, then the first null or blank text, then all checks of content run.
 
     ``input`` may be blank but not null. Flags must be the boolean itself. A
-    column of another type than text counts as not a string.
+    column of another type than text counts as not a string. The messages are fixed values.
     """
     missing = [f for f in [*TEXT_FIELDS[:9], "is_synthetic", "is_legal_ground_truth", "approved_for_rag_index", "disclaimer"] if f not in df.columns]
     if missing:

@@ -382,6 +382,12 @@ ORACLE_SQL: dict[str, str] = {
             array_to_string(list_sort(list(DISTINCT source_dataset) FILTER (WHERE NOT {_blank('source_dataset')})), ',') AS source_datasets, array_to_string(list_sort(list(DISTINCT license) FILTER (WHERE NOT {_blank('license')})), ',') AS licenses,
             CAST(0 AS BIGINT) AS with_parent_warning FROM full_rows
     """,
+    "q_fixed_fields": """
+        WITH r AS (SELECT source IS DISTINCT FROM 'template-drill' AS a, is_synthetic IS DISTINCT FROM true AS b, is_legal_ground_truth IS DISTINCT FROM false AS c, approved_for_rag_index IS DISTINCT FROM false AS d FROM sample_qa)
+        SELECT count(*) AS rows, count(*) FILTER (WHERE a) AS wrong_source, count(*) FILTER (WHERE b) AS wrong_is_synthetic, count(*) FILTER (WHERE c) AS wrong_is_legal_ground_truth, count(*) FILTER (WHERE d) AS wrong_approved_for_rag_index,
+            count(*) FILTER (WHERE a OR b OR c OR d) AS bad_rows, count(*) FILTER (WHERE a OR b OR c OR d) = 0 AND count(*) = 2000 AS as_expected FROM r
+    """,
+    "q_true_flags": " UNION ALL ".join(f"SELECT '{f}' AS flag, count(*) FILTER (WHERE lower({_tidy(f)}) IN ('true', '1', 'yes', 'y')) AS count FROM reviewer_decisions_completed" for f in ("legal_ground_truth_approved", "rag_index_approved")),
     "q_subset_consistency": f"""
         SELECT CASE bits WHEN 1 THEN 'reviews_only' WHEN 2 THEN 'candidates_only' ELSE 'both' END AS held_by, count(*) AS candidates FROM (
             SELECT candidate_id, bit_or(bit) AS bits FROM (SELECT candidate_id, 1 AS bit FROM reviewer_decisions_completed UNION ALL SELECT candidate_id, 2 FROM article_candidates) WHERE NOT {_blank('candidate_id')} GROUP BY 1) GROUP BY 1
@@ -473,3 +479,8 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "q_template_rows": f"SELECT i AS index, printf('synthetic-demo-%06d', i) AS id, {_fill('instruction')} AS instruction, {_fill('input')} AS input, {_fill('output')} AS output FROM range(1, 2501) t(i)",
 }
+ORACLE_SQL["q_contract_summary"] = f"""
+    WITH bad AS ({ORACLE_SQL["q_contract_errors"]})
+    SELECT (SELECT count(*) FROM synthetic_legal_articles) - count(*) AS ok, count(*) AS broken,
+        count(*) = 0 AND (SELECT bool_and(coalesce(is_synthetic_example, false) AND coalesce(source_dataset, '') = 'synthetic_example') FROM synthetic_legal_articles) AS synthetic_only FROM bad
+"""

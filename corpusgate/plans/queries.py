@@ -446,6 +446,22 @@ def q_contract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.size("contract_errors") > 0).select("record_no", preview("title").alias("title"), F.array_join("contract_errors", "; ").alias("errors"))
 
 
+@query
+def q_contract_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.split_contract(contracts.contract_errors(table(spark, sf_dir, "synthetic_legal_articles")))[2]
+
+
+@query
+def q_fixed_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = {"source": "template-drill", "is_synthetic": True, "is_legal_ground_truth": False, "approved_for_rag_index": False}
+    return contracts.fixed_fields(_qa(spark, sf_dir), wanted, 2000)
+
+
+@query
+def q_true_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.true_counts(table(spark, sf_dir, "reviewer_decisions_completed"), ["legal_ground_truth_approved", "rag_index_approved"])
+
+
 @query
 def q_policy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.lines_holding(table(spark, sf_dir, "documents"), "doc_id", "text", POLICY_PHRASES)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import json
 import os
 import warnings
 from collections.abc import Iterator
 from itertools import islice
 from urllib.parse import unquote, urlparse
+from urllib.request import urlopen
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -198,6 +200,13 @@ class _Lines(InputPartition):
         self.path, self.most = path, most
 
 
+def _open_lines(path: str):
+    """Lines of a file, or of what an address serves, which are asked for as they are read."""
+    if path.startswith(("http://", "https://")):
+        return io.TextIOWrapper(urlopen(path, timeout=60), encoding="utf-8")  # noqa: S310
+    return open(path, encoding="utf-8")
+
+
 class BoundedJsonReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.options = options
@@ -207,20 +216,24 @@ class BoundedJsonReader(DataSourceReader):
 
     def read(self, partition: _Lines) -> Iterator[tuple]:
         n = 0
-        with open(partition.path, encoding="utf-8") as f:
-            for line in f:
-                if n == partition.most:
-                    return
-                if line.strip():
-                    json.loads(line)
-                    n += 1
-                    yield n, line.strip()
+        try:
+            with _open_lines(partition.path) as f:
+                for line in f:
+                    if n == partition.most:
+                        return
+                    if line.strip():
+                        json.loads(line)
+                        n += 1
+                        yield n, line.strip()
+        except (OSError, ValueError) as e:
+            raise RuntimeError(f"cannot read records of {partition.path}: {e}") from e
 
 
 class BoundedJsonSource(DataSource):
     """``spark.read.format("bounded_jsonl")``: the first ``limit`` records of a stream of JSON lines, read no further than needed.
 
-    The place for a remote reader: whatever yields lines can stand for the file.
+    A path of this machine or an address that serves the lines. What cannot be
+    read or is no JSON fails with the path named.
     """
 
     @classmethod

@@ -1,5 +1,8 @@
 import json
 import os
+from functools import partial
+from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+from threading import Thread
 
 import pytest
 
@@ -49,6 +52,22 @@ def test_numbers_over_several_files_and_splits(spark, tmp_path):
     assert [r.n for r in readers.indexed(spark.range(5).repartition(2), "n").orderBy("n").collect()] == list(range(5))
 
 
+def test_remote_records_are_bounded_and_errors_name_them(spark, tmp_path):
+    write(tmp_path / "r.jsonl", "".join(json.dumps({"a": n}) + "\n\n" for n in range(30)))
+    write(tmp_path / "broken.jsonl", '{"a": 1}\n{\n')
+    server = ThreadingHTTPServer(("127.0.0.1", 0), partial(SimpleHTTPRequestHandler, directory=str(tmp_path)))
+    Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        rows, mode = readers.load_records(spark, 5, remote=f"{base}/r.jsonl")
+        assert mode == "remote_stream" and [json.loads(r.value)["a"] for r in rows.orderBy("ordinal").collect()] == [0, 1, 2, 3, 4]
+        for name in ("none.jsonl", "broken.jsonl"):
+            with pytest.raises(Exception, match=name):
+                readers.load_records(spark, 5, remote=f"{base}/{name}")[0].collect()
+    finally:
+        server.shutdown()
+
+
 def test_checked_and_strict_json_lines(spark, tmp_path):
     p = write(tmp_path / "b.jsonl", '{"a": 1}\n[1]\n\n{broken\n')
     issues = {r.line_number: r.issue for r in readers.checked_jsonl(spark, p).collect()}
