@@ -38,7 +38,7 @@ Placement = tuple[int, int, int, int]
 ITEMS_A_GROUP = 200_000
 
 #: The linear programme has at most so many sizes; its time grows with their square and more.
-PROGRAMME_GROUPS = 256
+PROGRAMME_GROUPS = 128
 
 # Fixed value: how the public byte-level vocabularies part text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -69,8 +69,10 @@ def token_counts(df: DataFrame, key: str, text: str, folder: str, name: str = "b
 
 
 def _groups(counts: dict[int, int], least: int, groups: int) -> list[tuple[int, int, dict[int, int]]]:
-    """Large lengths in groups of equal cardinality: rounded length, number, and actual lengths; largest first."""
+    """Large lengths in groups of equal cardinality: rounded length, number, and actual lengths; largest first. Few lengths are a group each, and nothing is rounded."""
     large = sorted((s for s in counts if s > least), reverse=True)
+    if len(large) <= groups:
+        return [(s, counts[s], {s: counts[s]}) for s in large]
     share = max(1, -(-sum(counts[s] for s in large) // groups))
     out: list[tuple[int, int, dict[int, int]]] = []
     held: dict[int, int] = {}
@@ -267,15 +269,17 @@ def _salted(rows: DataFrame, by: str, sizes: pd.DataFrame) -> DataFrame:
     return joined.withColumn("salt", F.pmod(F.xxhash64("item", "tokens"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
 
 
-def _full_pieces(rows: DataFrame, capacity: int) -> tuple[DataFrame, int]:
-    """``container, item, piece, token_start, tokens`` of the pieces that fill a container, and their number.
+def _full_pieces(rows: DataFrame, capacity: int, many: int) -> DataFrame:
+    """``container, item, piece, token_start, tokens`` of the pieces that fill a container; ``many`` items have such.
 
     Items are numbered by running sums within groups; an item's pieces are only made once it knows its first container.
     """
     items = rows.where(F.col("tokens") >= capacity).select("item", "tokens", F.floor(F.col("tokens") / capacity).cast("long").alias("full"), F.lit(0).alias("all"))
-    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum("full"), F.lit(0)).alias("full")).first()
-    salted = _salted(items, "all", pd.DataFrame({"all": [0], "n": [total["n"]]}))
-    tally = salted.groupBy("salt").agg(F.sum("full").alias("full")).orderBy("salt").toPandas()  # a row for each 200,000 items
+    salted = _salted(items, "all", pd.DataFrame({"all": [0], "n": [many]}))
+    if many > ITEMS_A_GROUP:
+        tally = salted.groupBy("salt").agg(F.sum("full").alias("full")).orderBy("salt").toPandas()  # a row for each 200,000 items
+    else:
+        tally = pd.DataFrame({"salt": [0], "full": [0]})
     base = rows.sparkSession.sparkContext.broadcast(dict(zip(tally["salt"], tally["full"].cumsum() - tally["full"])))
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -290,8 +294,7 @@ def _full_pieces(rows: DataFrame, capacity: int) -> tuple[DataFrame, int]:
 
     placed = salted.repartition("salt").sortWithinPartitions("salt", "item", "tokens").select("salt", "item", "full").mapInPandas(number, "first long, item long, full long")
     pieces = placed.select("first", "item", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("piece"))
-    out = pieces.select((F.col("first") + F.col("piece")).alias("container"), "item", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).cast("int").alias("token_start"), F.lit(capacity).alias("tokens"))
-    return out, int(total["full"])
+    return pieces.select((F.col("first") + F.col("piece")).alias("container"), "item", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).cast("int").alias("token_start"), F.lit(capacity).alias("tokens"))
 
 
 def pack(items: DataFrame, capacity: int, groups: int = 512, small: int = 4) -> DataFrame:
@@ -306,16 +309,20 @@ def pack(items: DataFrame, capacity: int, groups: int = 512, small: int = 4) ->
         raise ValueError("a container must hold at least one token")
     spark = items.sparkSession
     rows = items.where("item is not null and tokens > 0").select(F.col("item").cast("long").alias("item"), F.col("tokens").cast("long").alias("tokens"))
-    full, taken = _full_pieces(rows, capacity)
     whole = F.floor(F.col("tokens") / capacity).cast("int")
-    rest = rows.select("item", whole.alias("piece"), (whole * capacity).alias("token_start"), (F.col("tokens") % capacity).cast("int").alias("tokens")).where("tokens > 0")
-    sizes = rest.groupBy("tokens").agg(F.count("*").alias("n")).toPandas()  # fewer rows than the capacity
+    cut = rows.select("item", whole.alias("piece"), (whole * capacity).alias("token_start"), (F.col("tokens") % capacity).cast("int").alias("tokens"))
+    # a row for each length below the capacity; length 0 is of items that full pieces use up
+    lengths = cut.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("piece").alias("full"), F.count_if(F.col("piece") > 0).alias("long")).toPandas()
+    taken, full = int(lengths["full"].sum()), _full_pieces(rows, capacity, int(lengths["long"].sum()))
+    rest, sizes = cut.where("tokens > 0"), lengths.loc[lengths["tokens"] > 0, ["tokens", "n"]].reset_index(drop=True)
     placed, _ = plan({int(t): int(n) for t, n in zip(sizes["tokens"], sizes["n"])}, capacity, groups, small)
     salted = _salted(rest, "tokens", sizes)
-    # a row for each length, and for each 200,000 items of one
-    tally = salted.groupBy("tokens", "salt").agg(F.count("*").alias("n")).orderBy("tokens", "salt").toPandas()
-    tally["base"] = tally.groupby("tokens")["n"].cumsum() - tally["n"]
-    base = {(int(t), int(s)): int(b) for t, s, b in zip(tally["tokens"], tally["salt"], tally["base"])}
+    hot = sizes.loc[sizes["n"] > ITEMS_A_GROUP, ["tokens"]]
+    base = {(int(t), 0): 0 for t in sizes["tokens"]}
+    if len(hot):  # a row for each 200,000 items of such a length
+        tally = salted.join(F.broadcast(spark.createDataFrame(hot)), "tokens").groupBy("tokens", "salt").agg(F.count("*").alias("n")).orderBy("tokens", "salt").toPandas()
+        tally["base"] = tally.groupby("tokens")["n"].cumsum() - tally["n"]
+        base |= {(int(t), int(s)): int(b) for t, s, b in zip(tally["tokens"], tally["salt"], tally["base"])}
     by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for length, some in pd.DataFrame(placed, columns=["length", "low", "high", "first"]).sort_values("low").groupby("length"):
         by_length[int(length)] = (some["low"].to_numpy(), some["first"].to_numpy())
